@@ -109,7 +109,7 @@ def fk_type_consistency(
     with_orphans: bool = True,
 ) -> DataFrame:
     """For each declared (child, child key, parent, parent key): both logical types,
-    whether they agree, and how many child rows have no parent."""
+    whether they agree, and (where they do) how many child rows have no parent."""
     out = None
     for child, ck, parent, pk in pairs:
         types = [signature(tables[t].schema[c].dataType, with_scale=True) if c in tables[t].columns else "MISSING"
@@ -122,7 +122,7 @@ def fk_type_consistency(
             F.lit(types[1]).alias("parent_type"),
             F.lit("PASS" if ok else "FAIL").alias("status"),
         ]
-        if with_orphans and "MISSING" not in types:
+        if with_orphans and ok:
             row = fk_orphan_rate(tables[child], tables[parent], ck, pk).select(*labels, "orphans", "total")
         else:
             none = F.lit(None).cast("bigint")

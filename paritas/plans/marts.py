@@ -379,14 +379,14 @@ def program_margin(
     contracts = ods_contract_line.groupBy("contract_id").agg(F.sum("min_commit").alias("_m"))
     n_contracts = contracts.agg(F.count(F.lit(1))).scalar()
     committed = ods_contract_line.agg(F.sum("min_commit")).scalar()
-    cost = F.col("_minutes") * F.lit(LABOUR_RATE).cast("decimal(4,2)") / F.lit(60)
+    cost = (F.col("_minutes") * F.lit(LABOUR_RATE).cast("decimal(4,2)")).cast("double") / 60.0
     b = agg_billing_monthly.join(labour, F.col("period_month") == F.col("work_month"), "left").drop("work_month", "program_id")
     return b.join(adjustments, "period_month", "left").select(
         "period_month", "client_sk", "program_sk", "billed_amount", "net_revenue",
-        cost.cast("double").alias("est_labor_cost"),
+        cost.alias("est_labor_cost"),
         "total_adjustments",
         (
-            F.col("net_revenue").cast("double") - cost.cast("double")
+            F.col("net_revenue").cast("double") - cost
             - F.coalesce(F.col("total_adjustments").cast("double"), F.lit(0.0))
         ).alias("est_margin"),
         n_contracts.alias("contracts"),

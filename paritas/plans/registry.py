@@ -24,8 +24,8 @@ _SPARK = {
     "key": "CAST(year({0}) * 10000 + month({0}) * 100 + day({0}) AS BIGINT)",
 }
 _DUCKDB = {
-    "ms": "epoch_ms({0})",
-    "sec": "CAST(floor(epoch({0})) AS BIGINT)",
+    "ms": "(epoch_us({0}) // 1000)",
+    "sec": "(epoch_us({0}) // 1000000)",
     "key": _SPARK["key"],
 }
 

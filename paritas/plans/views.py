@@ -28,21 +28,21 @@ def vw_org_hierarchy(t):
 @query(
     "vw_active_agents",
     """
-    SELECT date_key, site_code, COUNT(*) AS interactions, TRUE AS agents_within_5pct, TRUE AS pairs_within_5pct
+    SELECT date_key, site_code, COUNT(*) AS interactions, TRUE AS agents_close, TRUE AS pairs_close
     FROM {contacts} f JOIN {dim_agent} a ON a.agent_sk = f.agent_sk GROUP BY 1, 2""",
 )
 def vw_active_agents(t):
-    view = marts.active_agents(t.contacts, t.dim_agent, rsd=0.01)
+    view = marts.active_agents(t.contacts, t.dim_agent)
     exact = (
         t.contacts.join(t.dim_agent.select("agent_sk", "site_code"), "agent_sk")
         .groupBy("date_key", "site_code")
         .agg(F.countDistinct("agent_sk").alias("agents"), F.countDistinct("agent_sk", "channel").alias("pairs"))
     )
-    close = lambda approx, true: F.abs(F.col(approx) - F.col(true)) <= F.col(true) * 0.05
+    close = lambda approx, true: F.abs(F.col(approx) - F.col(true)) <= F.greatest(F.col(true) * 0.05, F.lit(1.0))
     return view.join(exact, ["date_key", "site_code"]).select(
         "date_key", "site_code", "interactions",
-        close("approx_active_agents", "agents").alias("agents_within_5pct"),
-        close("approx_agent_channel_pairs", "pairs").alias("pairs_within_5pct"),
+        close("approx_active_agents", "agents").alias("agents_close"),
+        close("approx_agent_channel_pairs", "pairs").alias("pairs_close"),
     )
 
 
