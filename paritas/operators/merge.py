@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paritas.functions import canon
@@ -13,27 +13,34 @@ from paritas.operators.report import as_checks, verdict
 from paritas.session import durable
 
 
-def _paired(target: DataFrame, delta: DataFrame, keys: Sequence[str], op: str, order: Sequence[str] | None) -> DataFrame:
-    """Full outer join on the keys with presence flags; columns prefixed ``t_`` and ``d_``."""
-    changes = cdc_latest(delta, keys, order) if order else delta
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("in_target"))
-    d = changes.select(*[F.col(c).alias(f"d_{c}") for c in changes.columns], F.lit(True).alias("in_delta"))
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(f"t_{k}").eqNullSafe(F.col(f"d_{k}"))
-    return t.join(d, condition, "full_outer")
-
-
-def _branch(op: str, delete: str) -> Column:
-    """What happens to a pair: kept, updated, deleted, inserted or ignored."""
-    is_delete = F.coalesce(F.col(f"d_{op}") == delete, F.lit(False))
-    return (
-        F.when(F.col("in_delta").isNull(), "kept")
-        .when(F.col("in_target").isNotNull() & is_delete, "deleted")
-        .when(F.col("in_target").isNotNull(), "updated")
-        .when(is_delete, "ignored")
-        .otherwise("inserted")
-    )
+class _Batch:
+    """A change batch matched against a target.
+
+    ``matched`` is the target with each row's change, if any, in ``_change``;
+    ``unmatched`` is the part of the batch with no target row.  Both are left
+    joins towards the batch: a batch small enough to broadcast leaves the target
+    unshuffled, and a target key with many rows can be split.
+    """
+
+    def __init__(self, target: DataFrame, delta: DataFrame, keys: Sequence[str], op: str, delete: str, order):
+        changes = cdc_latest(delta, keys, order) if order else delta
+        whole = F.struct(*[F.col(c) for c in changes.columns]).alias("_change")
+        keyed = changes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], whole)
+        on = F.lit(True)
+        for i, k in enumerate(keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        self.matched = target.join(keyed, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+        slots = [f"_k{i}" for i in range(len(keys))]
+        wanted = keyed.select(*slots)
+        hits = target.select(*keys).join(wanted, on, "left_semi").distinct()
+        self.unmatched = keyed.join(hits, on, "left_anti").select("_change")
+        self.is_delete = F.coalesce(F.col(f"_change.{op}") == delete, F.lit(False))
+
+    def branches(self) -> DataFrame:
+        """One row per target row or unmatched change, naming what happens to it."""
+        ours = F.when(F.col("_change").isNull(), "kept").when(self.is_delete, "deleted").otherwise("updated")
+        theirs = F.when(self.is_delete, "ignored").otherwise("inserted")
+        return self.matched.select(ours.alias("branch")).unionByName(self.unmatched.select(theirs.alias("branch")))
 
 
 def cdc_merge(
@@ -48,15 +55,23 @@ def cdc_merge(
     updated, unmatched rows inserted unless they are deletes.
 
     With ``order`` the batch may carry several changes per key; the last counts.
-    Columns the batch does not carry keep their value.
+    Columns the batch does not carry keep their value, and are NULL in inserts.
     """
-    pairs = _paired(target, delta, keys, op, order).withColumn("_branch", _branch(op, delete))
-    carried = set(delta.columns)
-    columns = [
-        (F.when(F.col("in_delta"), F.col(f"d_{c}")).otherwise(F.col(f"t_{c}")) if c in carried else F.col(f"t_{c}")).alias(c)
-        for c in target.columns
-    ]
-    return pairs.where(F.col("_branch").isin("kept", "updated", "inserted")).select(*columns)
+    batch = _Batch(target, delta, keys, op, delete, order)
+    changed = F.col("_change").isNotNull()
+    kept = batch.matched.where(~(changed & batch.is_delete)).select(
+        *[
+            (F.when(changed, F.col(f"_change.{c}")).otherwise(F.col(c)) if c in delta.columns else F.col(c)).alias(c)
+            for c in target.columns
+        ]
+    )
+    inserted = batch.unmatched.where(~batch.is_delete).select(
+        *[
+            (F.col(f"_change.{f.name}") if f.name in delta.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in target.schema.fields
+        ]
+    )
+    return kept.unionByName(inserted)
 
 
 def upsert_split(
@@ -67,9 +82,8 @@ def upsert_split(
     delete: str = "D",
     order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """How many keys of a batch were updated, inserted, deleted, ignored or left alone."""
-    pairs = _paired(target, delta, keys, op, order)
-    return pairs.groupBy(_branch(op, delete).alias("branch")).agg(F.count(F.lit(1)).alias("n"))
+    """How many rows a batch updated, inserted, deleted, ignored or left alone."""
+    return _Batch(target, delta, keys, op, delete, order).branches().groupBy("branch").agg(F.count(F.lit(1)).alias("n"))
 
 
 def deleted_keys_present(

@@ -288,17 +288,22 @@ def fingerprint_parity(
 # -- multisets and result sets -------------------------------------------------
 
 
+def _with_all(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` with a NULL column for every name it lacks."""
+    return df.select("*", *[F.lit(None).cast("string").alias(c) for c in names if c not in df.columns])
+
+
 def multiset_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
     """Rows whose multiplicity differs: ``row_text, difference, copies``.
 
     ``difference`` is ``missing`` (more copies on the left) or ``unexpected``.
     A column absent from one side counts as NULL there.  One shuffle, with
-    repeated rows combined before it.
+    repeated rows combined before it; :func:`multiset_counts` moves only hashes.
     """
     names = list(columns) if columns else sorted({*left.columns, *right.columns})
     texts = []
     for df, sign in ((left, 1), (right, -1)):
-        full = df.select("*", *[F.lit(None).cast("string").alias(c) for c in names if c not in df.columns])
+        full = _with_all(df, names)
         texts.append(full.select(canon.canon_row(full, names, **options).alias("row_text"), F.lit(sign).alias("_sign")))
     net = texts[0].unionByName(texts[1]).groupBy("row_text").agg(F.sum("_sign").alias("_net"))
     return net.where("_net != 0").select(
@@ -308,6 +313,21 @@ def multiset_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | No
     )
 
 
+def multiset_counts(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None, **options) -> DataFrame:
+    """One row, ``missing, unexpected``: copies on the left only and on the right only."""
+    names = list(columns) if columns else sorted({*left.columns, *right.columns})
+    hashed = [
+        canon.with_row_hashes(_with_all(df, names), names, **options).withColumn("_sign", F.lit(sign))
+        for df, sign in ((left, 1), (right, -1))
+    ]
+    net = hashed[0].unionByName(hashed[1]).groupBy("h1", "h2").agg(F.sum("_sign").alias("_net"))
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return net.agg(
+        count(F.when(F.col("_net") > 0, F.col("_net"))).alias("missing"),
+        count(F.when(F.col("_net") < 0, -F.col("_net"))).alias("unexpected"),
+    )
+
+
 def query_parity(
     source: DataFrame,
     target: DataFrame,
@@ -333,8 +353,7 @@ def query_parity(
         names = sorted({*source.columns, *target.columns})
         prints = []
         for df in (source, target):
-            full = df.select("*", *[F.lit(None).cast("string").alias(c) for c in names if c not in df.columns])
-            prints.append(canon.fingerprint(full, names, **options))
+            prints.append(canon.fingerprint(_with_all(df, names), names, **options))
         both = _two_sides(*prints).agg(_pick(0, "digest").alias("src"), _pick(1, "digest").alias("tgt"))
         ok = F.col("src") == F.col("tgt")
     return as_checks(
@@ -374,5 +393,5 @@ def keyed_compare(source: DataFrame, target: DataFrame, key: Sequence[str], colu
 
 __all__ = [
     "FAIL", "PASS", "aggregate_parity", "bucket_digests", "diff_keys", "diff_sample", "fingerprint_parity",
-    "keyed_compare", "localised_differences", "multiset_diff", "query_parity", "rowcount_parity", "table_aggregates",
+    "keyed_compare", "localised_differences", "multiset_counts", "multiset_diff", "query_parity", "rowcount_parity", "table_aggregates",
 ]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paritas.operators.integrity import assert_no_nulls, assert_unique
-from paritas.operators.parity import multiset_diff
+from paritas.operators.parity import multiset_counts
 from paritas.operators.report import ERROR, as_checks, check_row, verdict
 from paritas.sources.files import load
 from paritas.sources.inline import seed_all
@@ -74,13 +74,7 @@ def _message(missing: Column, unexpected: Column) -> Column:
 
 
 def _multiset_check(expected: DataFrame, actual: DataFrame, columns: Sequence[str], pattern: str, name: str) -> DataFrame:
-    net = multiset_diff(expected, actual, columns, coerce_numeric_strings=True)
-    totals = net.agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("difference") == kind, F.col("copies"))), F.lit(0)).cast("bigint").alias(kind)
-            for kind in ("missing", "unexpected")
-        ]
-    )
+    totals = multiset_counts(expected, actual, columns, coerce_numeric_strings=True)
     return as_checks(
         totals,
         pattern,

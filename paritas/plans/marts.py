@@ -79,14 +79,17 @@ def org_hierarchy(ods_org_unit: DataFrame, max_depth: int = MAX_ORG_DEPTH) -> Da
 
 def active_agents(fact_interaction: DataFrame, dim_agent: DataFrame, rsd: float = 0.02) -> DataFrame:
     """Approximate active agents and agent-channel pairs per day and site."""
+    # Folded to one row per day, agent and channel before the join; distinct
+    # agents and pairs are the same at that grain.
+    folded = fact_interaction.groupBy("date_key", "agent_sk", "channel").agg(F.count(F.lit(1)).alias("_n"))
     pair = F.concat(F.col("agent_sk").cast("string"), F.lit("|"), "channel")
     return (
-        fact_interaction.join(dim_agent.select("agent_sk", "site_code"), "agent_sk")
+        folded.join(dim_agent.select("agent_sk", "site_code"), "agent_sk")
         .groupBy("date_key", "site_code")
         .agg(
             F.approx_count_distinct("agent_sk", rsd).alias("approx_active_agents"),
             F.approx_count_distinct(pair, rsd).alias("approx_agent_channel_pairs"),
-            F.count(F.lit(1)).alias("interactions"),
+            F.sum("_n").alias("interactions"),
         )
     )
 
@@ -122,17 +125,21 @@ def call_driver(disposition_desc: Column) -> Column:
 def call_drivers(ods_call: DataFrame, dim_disposition: DataFrame) -> DataFrame:
     """Calls per day, queue, driver and embedded reference number.
 
-    The texts are classified once per disposition, not once per call.
+    Texts are classified once per disposition, and calls are folded per
+    disposition before the join.
     """
     classified = dim_disposition.select(
         "disposition_code",
         call_driver(F.col("disposition_desc")).alias("call_driver"),
         F.nullif(F.regexp_extract("disposition_desc", CALL_REFERENCE, 1), F.lit("")).alias("embedded_ref_no"),
     )
+    folded = ods_call.groupBy("call_date", "queue_id", "disposition_code").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("talk_seconds").alias("_talk"), F.count("talk_seconds").alias("_n_talk")
+    )
     return (
-        ods_call.join(classified, "disposition_code")
+        folded.join(classified, "disposition_code")
         .groupBy("call_date", "queue_id", "call_driver", "embedded_ref_no")
-        .agg(F.count(F.lit(1)).alias("calls"), mean("talk_seconds").alias("avg_talk_seconds"))
+        .agg(F.sum("_n").alias("calls"), F.try_divide(F.sum("_talk").cast("double"), F.sum("_n_talk")).alias("avg_talk_seconds"))
     )
 
 
@@ -255,27 +262,24 @@ def queue_sla(fact_queue_interval: DataFrame, dim_queue: DataFrame, stg_crm_sla_
     return out.withColumn("attainment", F.when(met, "MET").otherwise("MISSED"))
 
 
-def repeats_after(
-    fact_interaction: DataFrame, days: int = FCR_WINDOW_DAYS, *, hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
-    """Per resolved interaction, ``n_repeats``: contacts of the same customer that
-    start after its end and within ``days``.
+def _micros(c: str) -> Column:
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
+def _contacts_after(fact_interaction: DataFrame, days: int, hot_rows: int) -> DataFrame:
+    """``customer_ref, _end, n_repeats`` for every instant a resolved interaction of the customer ended.
 
-    Counting pairs without forming them: with C(t) the customer's contacts up to
-    t, the count is C(end + days) - C(end).  Contacts and the two query instants
-    of each interaction are merged on one time line and C is a running total.
+    Counts pairs without forming them: with C(t) the customer's contacts up to
+    t, the count is C(end + days) - C(end).  Contacts and the two instants asked
+    about are merged on one time line, on which C is a running total.
     """
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    points = fact_interaction.where(F.col("customer_ref").isNotNull()).groupBy(
-        "customer_ref", micros("start_ts").alias("_at")
-    ).agg(F.count(F.lit(1)).alias("_w"))
-    resolved = fact_interaction.where("resolved_flag").select("customer_ref", "interaction_id", micros("end_ts").alias("_end"))
-    span = days * 86_400 * 1_000_000
+    known = fact_interaction.where(F.col("customer_ref").isNotNull())
+    points = known.groupBy("customer_ref", _micros("start_ts").alias("_at")).agg(F.count(F.lit(1)).alias("_w"))
     # Interactions that end at one instant share their count: ask once.
-    asked = resolved.where(F.col("customer_ref").isNotNull()).select("customer_ref", "_end").distinct()
+    asked = known.where("resolved_flag").select("customer_ref", _micros("end_ts").alias("_end")).distinct()
     ends = F.array(
         F.struct(F.col("_end").alias("_at"), F.lit(-1).alias("_sign")),
-        F.struct((F.col("_end") + span).alias("_at"), F.lit(1).alias("_sign")),
+        F.struct((F.col("_end") + days * 86_400 * 1_000_000).alias("_at"), F.lit(1).alias("_sign")),
     )
     questions = asked.select("customer_ref", "_end", F.inline(ends))
     line = points.select(
@@ -285,10 +289,18 @@ def repeats_after(
     )
     # _kind puts a contact before a question at the same instant: "up to and including".
     counted = running_total(line, ["customer_ref"], ["_at", "_kind", "_end", "_sign"], "_w", "_upto", hot_rows=hot_rows)
-    answers = counted.where("_kind = 1").groupBy("customer_ref", "_end").agg(
+    return counted.where("_kind = 1").groupBy("customer_ref", "_end").agg(
         F.sum(F.col("_upto") * F.col("_sign")).cast("bigint").alias("n_repeats")
     )
-    joined = resolved.join(answers, ["customer_ref", "_end"], "left")
+
+
+def repeats_after(
+    fact_interaction: DataFrame, days: int = FCR_WINDOW_DAYS, *, hot_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
+    """Per resolved interaction, ``n_repeats``: contacts of the same customer that
+    start after its end and within ``days``."""
+    resolved = fact_interaction.where("resolved_flag").select("interaction_id", "customer_ref", _micros("end_ts").alias("_end"))
+    joined = resolved.join(_contacts_after(fact_interaction, days, hot_rows), ["customer_ref", "_end"], "left")
     return joined.select("interaction_id", "customer_ref", F.coalesce("n_repeats", F.lit(0)).alias("n_repeats"))
 
 
@@ -298,11 +310,13 @@ def first_contact_resolution(fact_interaction: DataFrame, *, hot_rows: int = HOT
     ``resolved_interactions`` keeps the view's arithmetic: an interaction with k
     repeats counts k times, one without counts once.
     """
-    repeats = repeats_after(fact_interaction, hot_rows=hot_rows).select("interaction_id", "n_repeats")
-    resolved = fact_interaction.where("resolved_flag").select("interaction_id", "date_key", "program_sk")
-    joined = resolved.join(repeats, "interaction_id")
-    first = F.count_if(F.col("n_repeats") == 0)
-    total = F.sum(F.greatest("n_repeats", F.lit(1)))
+    resolved = fact_interaction.where("resolved_flag").groupBy(
+        "customer_ref", _micros("end_ts").alias("_end"), "date_key", "program_sk"
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    repeats = _contacts_after(fact_interaction, FCR_WINDOW_DAYS, hot_rows)
+    joined = resolved.join(repeats, ["customer_ref", "_end"], "left").withColumn("_k", F.coalesce("n_repeats", F.lit(0)))
+    first = F.sum(F.when(F.col("_k") == 0, F.col("_n")).otherwise(0))
+    total = F.sum(F.col("_n") * F.greatest("_k", F.lit(1)))
     return joined.groupBy("date_key", "program_sk").agg(
         total.alias("resolved_interactions"), first.alias("fcr_count"), percent(first, total).alias("fcr_pct")
     )

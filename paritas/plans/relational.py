@@ -353,3 +353,18 @@ def tier_join_probe(t):
         )
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query(
+    "perf_measure",
+    """
+    SELECT 'lineitem sum' AS query, 'rows_scanned' AS metric, CAST(COUNT(*) AS DOUBLE) AS p95 FROM {lineitem}
+    UNION ALL SELECT 'orders sum', 'rows_scanned', CAST(COUNT(*) AS DOUBLE) FROM {orders}""",
+)
+def perf_measure(t):
+    queries = {
+        "lineitem sum": lambda: t.lineitem.groupBy("l_returnflag").agg(F.sum("l_quantity")),
+        "orders sum": lambda: t.orders.groupBy("o_orderstatus").agg(F.sum("o_totalprice")),
+    }
+    measured = perf.perf_percentiles(perf.perf_measure(t.spark, queries, runs=2))
+    return measured.where("metric = 'rows_scanned'").select("query", "metric", "p95")

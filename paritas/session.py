@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -36,7 +37,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/paritas-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/paritas-{label}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this application wrote; results read from them end here."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for text in paths:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
