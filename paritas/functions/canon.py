@@ -2,8 +2,9 @@
 
 Two copies of a table agree when their rows have the same canonical text, even
 if one stores ``1.50`` as a decimal and the other ``1.5`` as a double, or one
-keeps microseconds that the other dropped.  Everything here is a Column
-expression, so it runs inside whole-stage code generation.
+keeps microseconds that the other dropped.  Everything here is a Spark SQL
+expression, so it runs inside whole-stage code generation; the expressions are
+built as text, because one wide row is thousands of Column calls otherwise.
 
 Text per value: NULL gets a tag no ordinary string starts with; numbers are
 plain digits without trailing zeros (floating point rounded to
@@ -24,167 +25,142 @@ FIELD_SEPARATOR = "\x1f"
 NULL_TAG = "\x1e__NULL__"
 FLOAT_DECIMALS = 6
 
-# Largest magnitude that still fits decimal(30,0) after scaling by 10**6.
-_FLOAT_LIMIT = 1e23
-_PIECE_BITS = 20
-_PIECE_MASK = (1 << _PIECE_BITS) - 1
+_SEPARATOR_SQL, _NULL_SQL = "chr(31)", "concat(chr(30), '__NULL__')"
 
 
-def _strip_zeros(text: Column) -> Column:
-    return F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+def _float_text(c: str, places: int) -> str:
+    # Kept short on purpose: a wide row's generated method must stay small
+    # enough for the JVM to compile it.  NaN, infinities and magnitudes beyond
+    # the decimal's range have no decimal value and keep their own text.
+    digits = f"CAST(try_cast({c} AS DECIMAL(38,{places})) AS STRING)"
+    return f"coalesce({_trim_fraction(digits) if places else digits}, CAST({c} AS STRING))"
 
 
-def _float_text(c: Column, places: int) -> Column:
-    scaled = F.round(c * F.lit(float(10**places))).cast("decimal(30,0)")
-    step = F.lit("0." + "0" * (places - 1) + "1" if places else "1").cast(T.DecimalType(places + 1, places))
-    plain = _strip_zeros((scaled * step).cast("string"))
-    return (
-        F.when(F.isnan(c), F.lit("NaN"))
-        .when(c == F.lit(float("inf")), F.lit("Infinity"))
-        .when(c == F.lit(float("-inf")), F.lit("-Infinity"))
-        .when(F.abs(c) >= F.lit(_FLOAT_LIMIT), c.cast("string"))
-        .otherwise(plain)
-    )
+def _trim_fraction(text: str) -> str:
+    """Drop trailing zeros of a text known to have a decimal point."""
+    return f"rtrim('.', rtrim('0', {text}))"
 
 
-def _numeric_string(c: Column) -> Column:
-    looks_numeric = F.trim(c).rlike(r"^[+-]?(\d{1,29})(\.\d{1,9})?$")
-    number = F.when(looks_numeric, F.trim(c)).try_cast("decimal(38,9)")
-    return F.coalesce(_strip_zeros(number.cast("string")), c)
+def _numeric_string(c: str) -> str:
+    number = f"try_cast(if(trim({c}) RLIKE '^[+-]?[0-9]{{1,29}}([.][0-9]{{1,9}})?$', trim({c}), NULL) AS DECIMAL(38,9))"
+    return f"coalesce({_trim_fraction(f'CAST({number} AS STRING)')}, {c})"
 
 
-def canon_value(
-    c: Column,
+def canon_sql(
+    c: str,
     dtype: T.DataType,
     *,
     float_decimals: int = FLOAT_DECIMALS,
     coerce_numeric_strings: bool = False,
-) -> Column:
-    """Canonical text of one value of type ``dtype``."""
+    _depth: int = 0,
+) -> str:
+    """SQL text of the canonical form of expression ``c`` of type ``dtype``."""
 
-    def inner(value: Column, value_type: T.DataType) -> Column:
-        return canon_value(
+    def inner(value: str, value_type: T.DataType) -> str:
+        return canon_sql(
             value,
             value_type,
             float_decimals=float_decimals,
             coerce_numeric_strings=coerce_numeric_strings,
+            _depth=_depth + 1,
         )
 
+    item = f"_v{_depth}"
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        text = _float_text(c.cast("double"), float_decimals)
+        text = _float_text(c if isinstance(dtype, T.DoubleType) else f"DOUBLE({c})", float_decimals)
     elif isinstance(dtype, T.DecimalType):
-        text = _strip_zeros(c.cast("string"))
+        text = f"CAST({c} AS STRING)" if dtype.scale == 0 else _trim_fraction(f"CAST({c} AS STRING)")
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        text = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
     elif isinstance(dtype, T.BinaryType):
-        text = F.lower(F.hex(c))
+        text = f"lower(hex({c}))"
     elif isinstance(dtype, T.ArrayType):
-        element = dtype.elementType
-        text = F.concat(F.lit("["), F.array_join(F.transform(c, lambda v: inner(v, element)), ","), F.lit("]"))
+        text = f"concat('[', array_join(transform({c}, {item} -> {inner(item, dtype.elementType)}), ','), ']')"
     elif isinstance(dtype, T.StructType):
-        pairs = [
-            F.concat(F.lit(f.name.lower() + ":"), inner(c.getField(f.name), f.dataType))
-            for f in sorted(dtype.fields, key=lambda f: f.name.lower())
-        ]
-        text = F.when(c.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")))
+        fields = sorted(dtype.fields, key=lambda f: f.name.lower())
+        pairs = ", ".join(f"concat('{f.name.lower()}:', {inner(f'{c}.`{f.name}`', f.dataType)})" for f in fields)
+        text = f"if({c} IS NULL, NULL, concat('{{', concat_ws(',', {pairs}), '}}'))"
     elif isinstance(dtype, T.MapType):
-        pairs = F.transform(
-            F.map_entries(c),
-            lambda e: F.concat(
-                inner(e.getField("key"), dtype.keyType), F.lit(":"), inner(e.getField("value"), dtype.valueType)
-            ),
-        )
-        text = F.concat(F.lit("{"), F.array_join(F.array_sort(pairs), ","), F.lit("}"))
-    elif isinstance(dtype, T.StringType) and coerce_numeric_strings:
-        text = _numeric_string(c)
+        pair = f"concat({inner(f'{item}.key', dtype.keyType)}, ':', {inner(f'{item}.value', dtype.valueType)})"
+        text = f"concat('{{', array_join(array_sort(transform(map_entries({c}), {item} -> {pair})), ','), '}}')"
+    elif isinstance(dtype, T.StringType):
+        text = _numeric_string(c) if coerce_numeric_strings else c
     else:
-        text = c.cast("string")
-    return F.coalesce(text, F.lit(NULL_TAG))
+        text = f"CAST({c} AS STRING)"
+    return f"coalesce({text}, {_NULL_SQL})"
 
 
-def canon_row(df: DataFrame, columns: Sequence[str], **options) -> Column:
-    """Canonical text of the named columns, in the given order."""
-    parts = [canon_value(F.col(f"`{c}`"), df.schema[c].dataType, **options) for c in columns]
-    return F.concat_ws(FIELD_SEPARATOR, *parts)
+def canon_value(name: str, dtype: T.DataType, **options) -> Column:
+    """Canonical text of the column ``name``."""
+    return F.expr(canon_sql(f"`{name}`", dtype, **options))
+
 
+def canon_row_sql(df: DataFrame, columns: Sequence[str], **options) -> str:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts = ", ".join(canon_sql(f"`{c}`", types[c], **options) for c in columns)
+    return f"concat_ws({_SEPARATOR_SQL}, {parts})"
 
-def _hex_to_long(text: Column) -> Column:
-    return F.conv(text, 16, 10).cast("bigint")
+
+def canon_row(df: DataFrame, columns: Sequence[str], **options) -> Column:
+    """Canonical text of the named columns, in the given order."""
+    return F.expr(canon_row_sql(df, columns, **options))
 
 
-def hash_pair(text: Column) -> tuple[Column, Column]:
-    """Two independent non-negative 60-bit hashes of ``text`` (md5 hex 1-15 and 16-30)."""
-    digest = F.md5(text)
-    return _hex_to_long(F.substring(digest, 1, 15)), _hex_to_long(F.substring(digest, 16, 15))
+def _hash60(md5: str, start: int) -> str:
+    """15 hex digits of an md5 text as a non-negative bigint."""
+    return f"CAST(conv(substring({md5}, {start}, 15), 16, 10) AS BIGINT)"
 
 
 def with_row_hashes(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), **options) -> DataFrame:
-    """``keep`` columns plus ``h1`` and ``h2``; md5 is evaluated once per row."""
-    staged = df.select(*[F.col(f"`{k}`") for k in keep], F.md5(canon_row(df, columns, **options)).alias("_md5"))
-    return staged.select(
-        *[F.col(f"`{k}`") for k in keep],
-        _hex_to_long(F.substring("_md5", 1, 15)).alias("h1"),
-        _hex_to_long(F.substring("_md5", 16, 15)).alias("h2"),
-    )
+    """``keep`` columns plus ``h1`` and ``h2``, two independent 60-bit hashes of the row
+    (md5 hex digits 1-15 and 16-30); md5 is evaluated once per row."""
+    kept = [f"`{k}`" for k in keep]
+    staged = df.selectExpr(*kept, f"md5({canon_row_sql(df, columns, **options)}) AS _md5")
+    return staged.selectExpr(*kept, f"{_hash60('_md5', 1)} AS h1", f"{_hash60('_md5', 16)} AS h2")
 
 
 def key_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> Column:
     """Bucket number of a key: 60-bit hash of its canonical text, modulo ``buckets``."""
-    return F.pmod(_hex_to_long(F.substring(F.md5(canon_row(df, key)), 1, 15)), F.lit(buckets)).cast("int")
+    return F.expr(f"CAST({_hash60(f'md5({canon_row_sql(df, key)})', 1)} % {buckets} AS INT)")
 
 
 # A 60-bit hash is summed as three 20-bit pieces: each piece stays inside a
 # bigint for 2**43 rows, and the aggregation buffer holds only longs, which is
 # far cheaper than summing wide decimals.
-def piece_sums(sign: Column | None = None) -> list[Column]:
-    """Aggregates ``s10..s12, s20..s22`` over ``h1`` and ``h2``, optionally signed."""
-    out = []
-    for h in ("h1", "h2"):
-        for i in range(3):
-            piece = F.shiftright(F.col(h), _PIECE_BITS * i).bitwiseAND(F.lit(_PIECE_MASK))
-            value = piece if sign is None else piece * sign
-            out.append(F.sum(value).alias(f"s{h[1]}{i}"))
-    return out
-
-
-def joined_sum(h: str) -> Column:
-    """The exact sum of a 60-bit hash from its three piece sums."""
-    total = sum(
-        (
-            F.coalesce(F.col(f"s{h[1]}{i}"), F.lit(0)).cast("decimal(20,0)")
-            * F.lit(1 << (_PIECE_BITS * i)).cast("decimal(13,0)")
-            for i in range(1, 3)
-        ),
-        F.coalesce(F.col(f"s{h[1]}0"), F.lit(0)).cast("decimal(33,0)"),
-    )
-    return total.cast("decimal(38,0)")
+_BITS = 20
+PIECES = [f"s{h}{i}" for h in (1, 2) for i in range(3)]
 
 
-PIECES = [f"s{h}{i}" for h in (1, 2) for i in range(3)]
+def piece_sums(sign: str = "") -> list[Column]:
+    """Aggregates ``s10..s12, s20..s22`` over ``h1`` and ``h2``; ``sign`` is an optional factor."""
+    factor = f" * {sign}" if sign else ""
+    return [
+        F.expr(f"sum((shiftright(h{p[1]}, {_BITS * int(p[2])}) & {(1 << _BITS) - 1}){factor}) AS {p}") for p in PIECES
+    ]
+
+
+def _joined_sum(h: int) -> str:
+    """The exact sum of a 60-bit hash from its three piece sums."""
+    terms = [f"CAST(coalesce(s{h}{i}, 0) AS DECIMAL(20,0)) * CAST({1 << (_BITS * i)} AS DECIMAL(13,0))" for i in range(3)]
+    return f"CAST({' + '.join(terms)} AS DECIMAL(38,0))"
 
 
 def digest_columns() -> list[Column]:
     """Aggregates for one digest; finish with :func:`finish_digest`."""
-    return [
-        F.count(F.lit(1)).alias("n"),
-        *piece_sums(),
-        F.bit_xor("h1").alias("x1"),
-        F.bit_xor("h2").alias("x2"),
-    ]
+    return [F.expr("count(1) AS n"), *piece_sums(), F.expr("bit_xor(h1) AS x1"), F.expr("bit_xor(h2) AS x2")]
 
 
 def finish_digest(aggregated: DataFrame, *group: str) -> DataFrame:
     """Columns ``n, sum1, sum2, xor1, xor2, digest`` of an aggregate built from :func:`digest_columns`."""
-    parts = aggregated.select(
+    parts = aggregated.selectExpr(
         *group,
         "n",
-        joined_sum("h1").alias("sum1"),
-        joined_sum("h2").alias("sum2"),
-        F.coalesce("x1", F.lit(0)).cast("bigint").alias("xor1"),
-        F.coalesce("x2", F.lit(0)).cast("bigint").alias("xor2"),
+        f"{_joined_sum(1)} AS sum1",
+        f"{_joined_sum(2)} AS sum2",
+        "coalesce(x1, 0L) AS xor1",
+        "coalesce(x2, 0L) AS xor2",
     )
-    fields = ("n", "sum1", "sum2", "xor1", "xor2")
-    return parts.withColumn("digest", F.md5(F.concat_ws("|", *[F.col(f).cast("string") for f in fields])))
+    return parts.selectExpr("*", "md5(concat_ws('|', n, sum1, sum2, xor1, xor2)) AS digest")
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:

@@ -166,6 +166,12 @@ def epoch_check(
     )
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """A number as text that equal values share, NULL for NULL."""
+    text = canon.canon_value(name, df.schema[name].dataType, coerce_numeric_strings=True)
+    return F.when(F.col(name).isNotNull(), text)
+
+
 def decimal_differences(source: DataFrame, target: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``key, column, source_value, target_value`` wherever a value changed.
 
@@ -174,13 +180,8 @@ def decimal_differences(source: DataFrame, target: DataFrame, key: Sequence[str]
     """
     pairs = keyed_compare(source, target, key, {c: c for c in columns}).where("n_source > 0")
 
-    def number(side: str, c: str) -> Column:
-        name = f"{side}_{c}"
-        text = canon.canon_value(F.col(name), pairs.schema[name].dataType, coerce_numeric_strings=True)
-        return F.when(F.col(name).isNotNull(), text)
-
     cells = [
-        F.struct(F.lit(c).alias("column"), number("source", c).alias("source_value"), number("target", c).alias("target_value"))
+        F.struct(F.lit(c).alias("column"), _number(pairs, f"source_{c}").alias("source_value"), _number(pairs, f"target_{c}").alias("target_value"))
         for c in columns
     ]
     long = pairs.select(*key, F.inline(F.array(*cells)))
@@ -192,16 +193,7 @@ def decimal_roundtrip(
 ) -> DataFrame:
     """One check per column, each with its own count of changed values."""
     pairs = keyed_compare(source, target, key, {c: c for c in columns}).where("n_source > 0")
-    texts = {}
-    for c in columns:
-        sides = [
-            F.when(
-                F.col(f"{side}_{c}").isNotNull(),
-                canon.canon_value(F.col(f"{side}_{c}"), pairs.schema[f"{side}_{c}"].dataType, coerce_numeric_strings=True),
-            )
-            for side in ("source", "target")
-        ]
-        texts[c] = ~sides[0].eqNullSafe(sides[1])
+    texts = {c: ~_number(pairs, f"source_{c}").eqNullSafe(_number(pairs, f"target_{c}")) for c in columns}
     row = pairs.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(bad).alias(f"bad_{c}") for c, bad in texts.items()])
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col("n"), F.col(f"bad_{c}").alias("bad")) for c in columns])
     return as_checks(

@@ -144,7 +144,7 @@ def aggregate_parity(
         label: F.coalesce(
             F.col(f"{label}_txt"),
             F.col(f"{label}_sec").cast("string"),
-            canon.canon_value(F.col(f"{label}_num"), T.DecimalType(38, 9)),
+            F.expr(f"if({label}_num IS NULL, NULL, {canon.canon_sql(f'{label}_num', T.DecimalType(38, 9))})"),
         )
         for label in ("src", "tgt")
     }
@@ -184,26 +184,19 @@ def _signed_rows(source: DataFrame, target: DataFrame, key, columns, buckets: in
 
 def _net(rows: DataFrame, group: Sequence[str]) -> DataFrame:
     """Per group: rows on each side and the hash sums of source minus target."""
-    sign = F.when(F.col("_side") == 0, F.lit(1)).otherwise(F.lit(-1))
     return rows.groupBy(*group).agg(
-        F.count_if(F.col("_side") == 0).alias("n_source"),
-        F.count_if(F.col("_side") == 1).alias("n_target"),
-        *canon.piece_sums(sign),
+        F.expr("count_if(_side = 0) AS n_source"),
+        F.expr("count_if(_side = 1) AS n_target"),
+        *canon.piece_sums("(1 - 2 * _side)"),
     )
 
 
-def _differs() -> Column:
-    unequal = F.col("n_source") != F.col("n_target")
-    for piece in canon.PIECES:
-        unequal = unequal | (F.col(piece) != 0)
-    return unequal
+_DIFFERS = " OR ".join(["n_source != n_target", *[f"{piece} != 0" for piece in canon.PIECES]])
 
 
 def _classified(net: DataFrame, key: Sequence[str]) -> DataFrame:
-    kind = (
-        F.when(F.col("n_target") == 0, "missing").when(F.col("n_source") == 0, "extra").otherwise("changed")
-    ).alias("difference")
-    return net.where(_differs()).select(*key, kind, "n_source", "n_target")
+    kind = F.expr("CASE WHEN n_target = 0 THEN 'missing' WHEN n_source = 0 THEN 'extra' ELSE 'changed' END AS difference")
+    return net.where(_DIFFERS).select(*key, kind, "n_source", "n_target")
 
 
 def diff_keys(source: DataFrame, target: DataFrame, key: Sequence[str], columns: Sequence[str], **options) -> DataFrame:
@@ -228,7 +221,7 @@ def localised_differences(
     shuffles only rows of unequal buckets.  Equal tables shuffle no rows.
     """
     rows = _signed_rows(source, target, key, columns, buckets, options)
-    unequal = F.broadcast(_net(rows, ["_bucket"]).where(_differs()).select("_bucket"))
+    unequal = F.broadcast(_net(rows, ["_bucket"]).where(_DIFFERS).select("_bucket"))
     return _classified(_net(rows.join(unequal, "_bucket", "left_semi"), key), key)
 
 

@@ -79,20 +79,21 @@ def as_checks(
     criteria_index: int | None = None,
 ) -> DataFrame:
     """Shape the rows of ``df`` as checks."""
-    text = lambda c: (F.lit(None) if c is None else c).cast("string")
+    literal = lambda v: "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    text = lambda c, name: F.expr(f"CAST(NULL AS STRING) AS {name}") if c is None else c.cast("string").alias(name)
     pairs = [x for k, v in (metrics or {}).items() for x in (F.lit(k), v.cast("string"))]
     return df.select(
-        F.lit(pattern).alias("pattern"),
-        F.lit(suite_id or pattern).alias("suite_id"),
+        F.expr(f"{literal(pattern)} AS pattern"),
+        F.expr(f"{literal(suite_id or pattern)} AS suite_id"),
         target.alias("target"),
         status.alias("status"),
-        text(message).alias("message"),
-        text(expected).alias("expected"),
-        text(actual).alias("actual"),
-        (F.lit(False) if measurement is None else measurement).alias("measurement"),
-        F.lit(story_id).cast("string").alias("story_id"),
-        F.lit(criteria_index).cast("int").alias("criteria_index"),
-        (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,string>").alias("metrics"),
+        text(message, "message"),
+        text(expected, "expected"),
+        text(actual, "actual"),
+        F.expr("false AS measurement") if measurement is None else measurement.alias("measurement"),
+        F.expr(f"CAST({literal(story_id)} AS STRING) AS story_id"),
+        F.expr(f"CAST({literal(criteria_index)} AS INT) AS criteria_index"),
+        F.create_map(*pairs).alias("metrics") if pairs else F.expr("CAST(map() AS MAP<STRING, STRING>) AS metrics"),
     )
 
 

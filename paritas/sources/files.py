@@ -244,14 +244,14 @@ def egress_parity(
     compared = [("row_cnt", "row_cnt")] + ([("control_total", f"control_total:{control_total}")] if control_total else [])
     for c, label in compared:
         dtype = both.schema[f"l_{c}"].dataType
-        want, got = canon.canon_value(F.col(f"l_{c}"), dtype), canon.canon_value(F.col(f"e_{c}"), dtype)
+        want, got = canon.canon_value(f"l_{c}", dtype), canon.canon_value(f"e_{c}", dtype)
         checks = checks.unionByName(
             as_checks(
                 both,
                 "egress_parity",
                 target=F.lit(f"{name} ({label})"),
                 status=verdict(F.col(f"l_{c}") == F.col(f"e_{c}")),
-                message=F.concat(F.lit("variance "), canon.canon_value(F.abs(F.col(f"l_{c}") - F.col(f"e_{c}")), dtype)),
+                message=F.concat(F.lit("variance "), F.expr(canon.canon_sql(f"CAST(abs(l_{c} - e_{c}) AS {dtype.simpleString()})", dtype))),
                 expected=want,
                 actual=got,
                 **labels,
