@@ -115,6 +115,11 @@ def check_row(spark: SparkSession, pattern: str, target: str, status: str, messa
     return spark.createDataFrame([tuple(row.get(c) for c in columns)], CHECK_SCHEMA)
 
 
+def error_text(e: Exception) -> str:
+    """Type and first line of an error."""
+    return f"{type(e).__name__}: {(str(e).splitlines() or [''])[0]}"
+
+
 def reconcile(suites: Iterable[DataFrame]) -> DataFrame:
     """All suites' checks as one sign-off table."""
     return reduce(DataFrame.unionByName, suites)

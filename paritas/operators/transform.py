@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from paritas.operators.integrity import assert_no_nulls, assert_unique
 from paritas.operators.parity import multiset_counts
-from paritas.operators.report import ERROR, as_checks, check_row, verdict
+from paritas.operators.report import ERROR, as_checks, check_row, error_text, verdict
 from paritas.sources.files import load
 from paritas.sources.inline import seed_all
 
@@ -138,7 +138,7 @@ def transform_unit(
         checks += [_assertion(actual, table, a) for a in expect.get("assert", [])]
         return reduce(DataFrame.unionByName, checks)
     except Exception as e:  # noqa: BLE001 - a transform that cannot run is an ERROR check
-        return check_row(spark, "transform_unit", name or table, ERROR, type(e).__name__)
+        return check_row(spark, "transform_unit", name or table, ERROR, error_text(e))
 
 
 def transform_diff(
@@ -158,7 +158,7 @@ def transform_diff(
         legacy, migrated = (run_transform(spark, given, q) for q in (legacy_sql, migrated_sql))
         legacy, migrated = (df.toDF(*[c.lower() for c in df.columns]) for df in (legacy, migrated))
     except Exception as e:  # noqa: BLE001
-        return check_row(spark, "transform_diff", name, ERROR, type(e).__name__)
+        return check_row(spark, "transform_diff", name, ERROR, error_text(e))
     checks = _multiset_check(legacy, migrated, sorted(legacy.columns), "transform_diff", name)
     added = sorted(set(migrated.columns) - set(legacy.columns))
     if added:
@@ -235,7 +235,7 @@ def build_and_verify(
             try:
                 _apply(spark, database, step)
             except Exception as e:  # noqa: BLE001
-                return check_row(spark, "build", f"step {i + 1} ({step.get('kind')})", ERROR, type(e).__name__)
+                return check_row(spark, "build", f"step {i + 1} ({step.get('kind')})", ERROR, error_text(e))
         return reduce(DataFrame.unionByName, [suite(spark) for suite in suites])
     finally:
         spark.catalog.setCurrentDatabase(before)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from paritas.functions import canon
 from paritas.operators.parity import multiset_counts
-from paritas.operators.report import FAIL, as_checks, check_row, verdict
+from paritas.operators.report import FAIL, as_checks, check_row, error_text, verdict
 
 # Accepted format names.
 FORMATS = {
@@ -113,7 +113,7 @@ def bulk_load(spark: SparkSession, loads: Sequence[Mapping]) -> DataFrame:
             )
             landed = df.count()
         except Exception as e:  # noqa: BLE001 - a failed load is a finding
-            row = check_row(spark, "bulk_load", target, FAIL, f"load failed: {type(e).__name__}")
+            row = check_row(spark, "bulk_load", target, FAIL, f"load failed: {error_text(e)}")
             out = row if out is None else out.unionByName(row)
             continue
         want = spec["expected_count"]
