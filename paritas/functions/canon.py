@@ -121,7 +121,8 @@ def with_row_hashes(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
 
 def key_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> Column:
     """Bucket number of a key: 60-bit hash of its canonical text, modulo ``buckets``."""
-    return F.expr(f"CAST({_hash60(f'md5({canon_row_sql(df, key)})', 1)} % {buckets} AS INT)")
+    # Never NULL; saying so spares joins on it a second evaluation as a NULL filter.
+    return F.expr(f"coalesce(CAST({_hash60(f'md5({canon_row_sql(df, key)})', 1)} % {buckets} AS INT), 0)")
 
 
 # A 60-bit hash is summed as three 20-bit pieces: each piece stays inside a

@@ -110,7 +110,8 @@ def merge_idempotency(
     deleted key may remain."""
     labels = dict(labels or {})
     run = apply or (lambda t, d: cdc_merge(t, d, keys, op, delete))
-    # The first result feeds three readers, so it is written once.
+    # The batch feeds seven readers and the first result three: each is written once.
+    delta = durable(delta, "batch")
     once = durable(run(target, delta), "merged")
     twice = run(once, delta)
     prints = canon.fingerprint(once, compare).withColumn("_run", F.lit(1)).unionByName(

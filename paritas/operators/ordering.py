@@ -159,7 +159,7 @@ def table_rank(
     rows = rows.select(
         "*",
         F.rank().over(inside).cast("bigint").alias("_in_rank"),
-        F.row_number().over(Window.partitionBy("_part").orderBy("_at")).cast("bigint").alias("_in_row"),
+        (F.col("_at").bitwiseAND(F.lit((1 << _PART_SHIFT) - 1)) + 1).alias("_in_row"),
     )
     text = F.col(by).cast("string")
     summary = (

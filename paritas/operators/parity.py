@@ -91,34 +91,44 @@ def _aggregate(fn: str, column: str, dtype: T.DataType) -> Column:
     raise ValueError(f"unknown aggregate {fn!r}")
 
 
+def _cell(value: Column, dtype: T.DataType, spec: Mapping[str, str]) -> Column:
+    num, sec, txt = F.lit(None), F.lit(None), F.lit(None)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        sec = F.unix_seconds(value.cast("timestamp"))
+    elif isinstance(dtype, T.DateType):
+        sec = F.unix_date(value)
+    elif isinstance(dtype, T.NumericType):
+        num = value
+    else:
+        txt = value
+    return F.struct(
+        F.lit(spec["column"]).alias("column"),
+        F.lit(spec["fn"]).alias("fn"),
+        F.lit(str(spec.get("tolerance", "0"))).alias("tolerance"),
+        num.cast(_AMOUNT).alias("num"),
+        sec.cast("bigint").alias("sec"),
+        txt.cast("string").alias("txt"),
+    )
+
+
 def table_aggregates(df: DataFrame, aggregates: Sequence[Mapping[str, str]]) -> DataFrame:
     """One row per aggregate: ``column, fn, num`` for numbers, ``sec`` for instants
-    (whole seconds) and dates (days), ``txt`` for everything else."""
-    cells = []
-    row = df.agg(*[_aggregate(a["fn"], a["column"], df.schema[a["column"]].dataType).alias(f"a{i}")
-                   for i, a in enumerate(aggregates)])
-    for i, a in enumerate(aggregates):
-        c, dtype = F.col(f"a{i}"), row.schema[f"a{i}"].dataType
-        num, sec, txt = F.lit(None), F.lit(None), F.lit(None)
-        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            sec = F.unix_seconds(c.cast("timestamp"))
-        elif isinstance(dtype, T.DateType):
-            sec = F.unix_date(c)
-        elif isinstance(dtype, T.NumericType):
-            num = c
-        else:
-            txt = c
-        cells.append(
-            F.struct(
-                F.lit(a["column"]).alias("column"),
-                F.lit(a["fn"]).alias("fn"),
-                F.lit(str(a.get("tolerance", "0"))).alias("tolerance"),
-                num.cast(_AMOUNT).alias("num"),
-                sec.cast("bigint").alias("sec"),
-                txt.cast("string").alias("txt"),
-            )
+    (whole seconds) and dates (days), ``txt`` for everything else.
+
+    Distinct counts run apart from the rest: together, Spark would group the
+    whole table by the distinct column and carry every other aggregate along.
+    """
+    distinct = [a for a in aggregates if a["fn"] == "count_distinct"]
+    plain = [a for a in aggregates if a["fn"] != "count_distinct"]
+    out = None
+    for group in ([plain] if plain else []) + [[a] for a in distinct]:
+        row = df.agg(
+            *[_aggregate(a["fn"], a["column"], df.schema[a["column"]].dataType).alias(f"a{i}") for i, a in enumerate(group)]
         )
-    return row.select(F.inline(F.array(*cells)))
+        types = [f.dataType for f in row.schema.fields]
+        cells = row.select(F.inline(F.array(*[_cell(F.col(f"a{i}"), types[i], a) for i, a in enumerate(group)])))
+        out = cells if out is None else out.unionByName(cells)
+    return out
 
 
 def aggregate_parity(
@@ -170,15 +180,9 @@ def bucket_digests(df: DataFrame, key: Sequence[str], columns: Sequence[str], bu
     return canon.finish_digest(hashed.groupBy("bucket").agg(*canon.digest_columns()), "bucket")
 
 
-def _signed_rows(source: DataFrame, target: DataFrame, key, columns, buckets: int | None, options) -> DataFrame:
-    """Key columns, optional bucket, ``h1``, ``h2`` and ``_side`` of both tables."""
-    sides = []
-    for df in (source, target):
-        keep = list(key)
-        if buckets:
-            df = df.withColumn("_bucket", canon.key_bucket(df, key, buckets))
-            keep.append("_bucket")
-        sides.append(canon.with_row_hashes(df, columns, keep=keep, **options))
+def _signed_rows(source, target, key, columns, options, keep=(), prepare=lambda df: df) -> DataFrame:
+    """``keep`` columns, ``h1``, ``h2`` and ``_side`` of the rows of both (prepared) tables."""
+    sides = [canon.with_row_hashes(prepare(df), columns, keep=keep or key, **options) for df in (source, target)]
     return _two_sides(*sides)
 
 
@@ -204,7 +208,7 @@ def diff_keys(source: DataFrame, target: DataFrame, key: Sequence[str], columns:
 
     Duplicate keys are compared as multisets and their counts kept.
     """
-    return _classified(_net(_signed_rows(source, target, key, columns, None, options), key), key)
+    return _classified(_net(_signed_rows(source, target, key, columns, options), key), key)
 
 
 def localised_differences(
@@ -220,9 +224,17 @@ def localised_differences(
     The first pass folds both tables to at most ``buckets`` rows; the second
     shuffles only rows of unequal buckets.  Equal tables shuffle no rows.
     """
-    rows = _signed_rows(source, target, key, columns, buckets, options)
+    def bucketed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", canon.key_bucket(df, key, buckets))
+
+    rows = _signed_rows(source, target, key, columns, options, keep=["_bucket"], prepare=bucketed)
     unequal = F.broadcast(_net(rows, ["_bucket"]).where(_DIFFERS).select("_bucket"))
-    return _classified(_net(rows.join(unequal, "_bucket", "left_semi"), key), key)
+
+    def suspect(df: DataFrame) -> DataFrame:
+        # Only the key is hashed before the filter; whole rows after it.
+        return bucketed(df).join(unequal, "_bucket", "left_semi")
+
+    return _classified(_net(_signed_rows(source, target, key, columns, options, prepare=suspect), key), key)
 
 
 def diff_sample(differences: DataFrame, key: Sequence[str], n: int = 10) -> DataFrame:

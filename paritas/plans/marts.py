@@ -343,39 +343,31 @@ def shrinkage(
 ) -> DataFrame:
     """Lost minutes per day and site.
 
-    The view joins a fact row to every schedule of its agent and day and then
-    sums, so minutes count once per schedule; here they are multiplied by that
-    number instead.  The two distinct counts are taken over (day, site, id).
+    Minutes count once per schedule (and overnight shift) of the agent and day,
+    as the view's joins have it.  Facts are folded to one row per day and agent
+    first, so the join yields one row per schedule and nothing multiplies.
     """
-    agents = dim_agent.select("agent_sk", "agent_id", "site_code")
     minutes = ["scheduled_minutes", "worked_minutes", "exception_minutes", "timeoff_minutes"]
     facts = fact_adherence_daily.groupBy("date_key", "agent_sk").agg(*[F.sum(m).alias(m) for m in minutes])
-    facts = facts.join(agents, "agent_sk").withColumn("sched_date", date_key_to_date("date_key"))
-    overnight = dim_shift.where("overnight_flag").groupBy("shift_id").agg(F.count(F.lit(1)).alias("_shifts"))
-    schedules = ods_schedule.select("agent_id", "sched_date", "schedule_id", "shift_id")
-    fan = schedules.join(overnight, "shift_id", "left").groupBy("agent_id", "sched_date").agg(
-        F.sum(F.coalesce("_shifts", F.lit(1))).alias("_fan")
-    )
-    fanned = facts.join(fan, ["agent_id", "sched_date"], "left").withColumn("_fan", F.coalesce("_fan", F.lit(1)))
-    times = lambda *cols: F.sum(sum((F.col(c) for c in cols[1:]), F.col(cols[0])) * F.col("_fan"))
-    lost = times("exception_minutes", "timeoff_minutes")
-    sums = fanned.groupBy("date_key", "site_code").agg(
-        times("scheduled_minutes").alias("scheduled_minutes"),
-        times("worked_minutes").alias("worked_minutes"),
+    facts = facts.join(dim_agent.select("agent_sk", "agent_id", "site_code"), "agent_sk")
+    facts = facts.withColumn("sched_date", date_key_to_date("date_key"))
+    overnight = dim_shift.where("overnight_flag").select("shift_id", "shift_sk")
+    schedules = ods_schedule.select("agent_id", "sched_date", "schedule_id", "shift_id").join(overnight, "shift_id", "left")
+    joined = facts.join(schedules, ["agent_id", "sched_date"], "left")
+    lost = F.sum(F.col("exception_minutes") + F.col("timeoff_minutes"))
+    keys = ["date_key", "site_code"]
+    sums = joined.groupBy(*keys, "schedule_id", "shift_sk").agg(
+        F.sum("scheduled_minutes").alias("scheduled_minutes"), F.sum("worked_minutes").alias("worked_minutes"),
         lost.alias("shrinkage_minutes"),
-        percent(lost, times("scheduled_minutes")).alias("shrinkage_pct"),
     )
-    present = facts.select("agent_id", "sched_date", "date_key", "site_code").distinct()
-    matched = schedules.join(present, ["agent_id", "sched_date"])
-    per_shift = dim_shift.where("overnight_flag").select("shift_id", "shift_sk")
-    n_schedules = matched.groupBy("date_key", "site_code").agg(F.countDistinct("schedule_id").alias("schedules"))
-    n_shifts = (
-        matched.select("date_key", "site_code", "shift_id").distinct().join(per_shift, "shift_id")
-        .groupBy("date_key", "site_code").agg(F.countDistinct("shift_sk").alias("overnight_shifts"))
+    return sums.groupBy(*keys).agg(
+        F.sum("scheduled_minutes").alias("scheduled_minutes"),
+        F.sum("worked_minutes").alias("worked_minutes"),
+        F.sum("shrinkage_minutes").alias("shrinkage_minutes"),
+        percent(F.sum("shrinkage_minutes"), F.sum("scheduled_minutes")).alias("shrinkage_pct"),
+        F.countDistinct("schedule_id").alias("schedules"),
+        F.countDistinct("shift_sk").alias("overnight_shifts"),
     )
-    keys = ["date_key", "site_code"]
-    out = sums.join(n_schedules, keys, "left").join(n_shifts, keys, "left")
-    return out.fillna(0, ["schedules", "overnight_shifts"])
 
 
 def program_margin(
