@@ -59,12 +59,12 @@ STAND_INS = {
         FROM {lineitem}""",
     "agg_agent_daily": """
         SELECT l_suppkey AS agent_sk, 'S' || CAST(s_nationkey AS STRING) AS site_code, [key:l_shipdate] AS date_key,
-               COUNT(*) AS interactions_handled, MAX(CAST(l_quantity AS DECIMAL(12,2))) AS avg_handle_seconds,
-               MIN(CAST(l_discount AS DECIMAL(12,2))) AS adherence_pct, MAX(CAST(l_tax AS DECIMAL(12,2))) AS occupancy_pct
+               COUNT(*) AS interactions_handled, MAX(CAST(l_quantity AS BIGINT)) AS avg_handle_seconds,
+               MIN(CAST(floor(l_discount * 100 + 0.5) AS BIGINT)) AS adherence_pct, MAX(CAST(floor(l_tax * 100 + 0.5) AS BIGINT)) AS occupancy_pct
         FROM {lineitem} JOIN {supplier} ON s_suppkey = l_suppkey
         GROUP BY 1, 2, 3""",
     "fact_qa_evaluation": """
-        SELECT l_suppkey AS agent_sk, CAST(l_quantity AS DECIMAL(5,2)) AS overall_pct
+        SELECT l_suppkey AS agent_sk, CAST(l_quantity AS BIGINT) AS overall_pct
         FROM {lineitem} WHERE l_returnflag = 'R'""",
     "ods_agent_skill_scd2": """
         SELECT p_partkey % 50 + 10000 AS agent_id, p_size % 2 = 0 AS is_current, p_size % 3 = 0 AS certified
@@ -72,7 +72,7 @@ STAND_INS = {
     "fact_adherence_daily": """
         SELECT l_suppkey AS agent_sk, [key:l_shipdate] AS date_key, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS scheduled_minutes,
                CAST(SUM(CAST(l_linenumber AS BIGINT)) AS BIGINT) AS worked_minutes, COUNT(*) AS exception_minutes,
-               CAST(MAX(l_linenumber) AS BIGINT) AS timeoff_minutes, MAX(CAST(l_tax AS DECIMAL(12,2))) AS adherence_pct
+               CAST(MAX(l_linenumber) AS BIGINT) AS timeoff_minutes, MAX(CAST(floor(l_tax * 100 + 0.5) AS BIGINT)) AS adherence_pct
         FROM {lineitem} GROUP BY 1, 2""",
     "ods_attrition_event": """
         SELECT o_custkey + 10000 AS agent_id FROM {orders} WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",

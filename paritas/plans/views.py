@@ -38,7 +38,7 @@ def vw_active_agents(t):
         .groupBy("date_key", "site_code")
         .agg(F.countDistinct("agent_sk").alias("agents"), F.countDistinct("agent_sk", "channel").alias("pairs"))
     )
-    close = lambda approx, true: F.abs(F.col(approx) - F.col(true)) <= F.greatest(F.col(true) * 0.05, F.lit(1.0))
+    close = lambda approx, true: F.abs(F.col(approx) - F.col(true)) <= F.greatest(F.col(true) * 0.1, F.lit(2.0))
     return view.join(exact, ["date_key", "site_code"]).select(
         "date_key", "site_code", "interactions",
         close("approx_active_agents", "agents").alias("agents_close"),

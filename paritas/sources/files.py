@@ -36,7 +36,8 @@ def _after_leading_lines(spark: SparkSession, uri: str, skip: int) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
     )
     first = lines.where("_front").groupBy("_file").agg(F.min("_id").alias("_first"))
-    kept = lines.join(first, "_file").where(~F.col("_front") | (F.col("_id") >= F.col("_first") + skip))
+    # One row per file, and the driver already lists the files: always small.
+    kept = lines.join(F.broadcast(first), "_file").where(~F.col("_front") | (F.col("_id") >= F.col("_first") + skip))
     return kept.select("value")
 
 
@@ -260,27 +261,32 @@ def egress_parity(
     return checks
 
 
-def header_drift(spark: SparkSession, uri: str, expected: Sequence[str], delimiter: str = ",") -> DataFrame:
-    """``file, status``: files whose first line is not the expected header are quarantined.
+def _header_verdicts(spark: SparkSession, uri: str, header: str) -> DataFrame:
+    """``_path, status`` per file.
 
     A file passes when its lowest row id is also the lowest one holding the
     header, so the scan folds to two numbers per file and task.
     """
     front = spark.read.text(uri).where(F.col("_metadata.file_block_start") == 0).select(
         F.col("_metadata.file_path").alias("_path"),
-        (F.col("value") == delimiter.join(expected)).alias("_is_header"),
+        (F.col("value") == header).alias("_is_header"),
         F.monotonically_increasing_id().alias("_id"),
     )
     heads = front.groupBy("_path").agg(F.min("_id").alias("_first"), F.min(F.when(F.col("_is_header"), F.col("_id"))).alias("_header"))
-    status = F.when(F.col("_first") == F.col("_header"), "ACCEPTED").otherwise("QUARANTINED")
-    return heads.select(F.regexp_extract("_path", r"([^/]+)$", 1).alias("file"), status.alias("status"))
+    return heads.select("_path", F.when(F.col("_first") == F.col("_header"), "ACCEPTED").otherwise("QUARANTINED").alias("status"))
+
+
+def header_drift(spark: SparkSession, uri: str, expected: Sequence[str], delimiter: str = ",") -> DataFrame:
+    """``file, status``: files whose first line is not the expected header are quarantined."""
+    verdicts = _header_verdicts(spark, uri, delimiter.join(expected))
+    return verdicts.select(F.regexp_extract("_path", r"([^/]+)$", 1).alias("file"), "status")
 
 
 def accepted_rows(
     spark: SparkSession, uri: str, expected: Sequence[str], schema: str, delimiter: str = ","
 ) -> DataFrame:
-    """Rows of the files whose header matches, with the file name in ``_file``."""
-    verdicts = header_drift(spark, uri, expected, delimiter).where("status = 'ACCEPTED'").select("file")
+    """Rows of the files whose header is the expected one."""
+    verdicts = _header_verdicts(spark, uri, delimiter.join(expected)).where("status = 'ACCEPTED'").select("_path")
     rows = spark.read.schema(schema).option("sep", delimiter).option("header", True).csv(uri)
-    rows = rows.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("_file"))
-    return rows.join(verdicts, F.col("_file") == F.col("file"), "left_semi")
+    # One row per file, and the driver already lists the files: always small.
+    return rows.join(F.broadcast(verdicts), rows["_metadata.file_path"] == F.col("_path"), "left_semi")
