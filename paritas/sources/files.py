@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -186,6 +188,20 @@ def dynamic_partition_write(df: DataFrame, path: str, partition_by: Sequence[str
     write_partitioned(df, path, partition_by, mode="overwrite")
 
 
+def drop_expired_partitions(spark: SparkSession, path: str, column: str, keep_days: int, today: dt.date) -> list[str]:
+    """Delete the date partitions below ``path`` older than ``keep_days``; returns their dates."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    oldest = (today - dt.timedelta(days=keep_days)).isoformat()
+    dropped = []
+    for status in system.listStatus(root):
+        key, _, value = status.getPath().getName().partition("=")
+        if key == column and re.fullmatch(r"\d{4}-\d{2}-\d{2}", value) and value < oldest:
+            system.delete(status.getPath(), True)
+            dropped.append(value)
+    return sorted(dropped)
+
+
 def partition_collapse(df: DataFrame, event_ts: str, drop: Sequence[str], name: str = "event_date") -> DataFrame:
     """Replace (year, month) partition columns by one DATE derived from the event instant."""
     return df.drop(*drop).withColumn(name, F.to_date(event_ts))

@@ -183,3 +183,29 @@ def test_synthetic_rows_depend_only_on_their_id(spark, tmp_path):
     assert synth.row_count("small") == 1_000_000 and synth.row_count("1e3") == 1000
     back = synth.write_synth_table(spark, str(tmp_path / "t"), 300, columns, ["day"], ["id"])
     assert back.count() == 300 and back.where("day = '2026-01-02'").count() == 100
+
+
+def test_expired_partitions_are_dropped(spark, fact, tmp_path):
+    path = str(tmp_path / "r")
+    files.write_partitioned(fact, path, ["day"])
+    dropped = files.drop_expired_partitions(spark, path, "day", 2, dt.date(2024, 1, 5))
+    assert dropped == ["2024-01-01", "2024-01-02"]
+    assert spark.read.parquet(path).count() == 300
+
+
+def test_database_conformance(spark, fact, tmp_path):
+    from paritas.operators import transform
+
+    transform.provision(spark, "dmt_build_schema", str(tmp_path / "db"))
+    files.create_table_as(fact, "dmt_build_schema.fact", ["day"])
+    declared = [
+        {"table": "fact", "columns": [{"name": "id", "type": "INT64", "nullable": False}], "expect": {"object_type": "TABLE", "partition_by": "day"}},
+        {"table": "absent", "columns": []},
+    ]
+    found = by_target(schema.database_conformance(spark, "dmt_build_schema", declared, expect_table_count=1))
+    assert found == {
+        "dmt_build_schema": "PASS", "dmt_build_schema.fact.id": "PASS", "dmt_build_schema.fact.id (not null)": "PASS",
+        "dmt_build_schema.fact (object_type)": "PASS", "dmt_build_schema.fact (partition_by)": "PASS",
+        "dmt_build_schema.fact (native)": "PASS", "dmt_build_schema.absent": "FAIL",
+    }
+    transform.teardown(spark, "dmt_build_schema")

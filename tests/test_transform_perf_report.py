@@ -83,6 +83,7 @@ def test_gates(spark):
     assert summary(perf.perf_compare(df, "a", "b", {"bytes": "report"})) == {"a->b:bytes": "FAIL"}
     with pytest.raises(ValueError):
         perf.perf_compare(df, "a", "b", {"ms": "a < b"})
+    assert {c["measurement"] for c in perf.measured(df).collect()} == {True}
     base = spark.createDataFrame([("a", "ms", 90.0)], "query string, metric string, value double")
     found = perf.perf_regression(df, base, {"ms": "10%"}).collect()
     assert {(c["target"], c["status"], c["measurement"]) for c in found} == {("a:ms", "FAIL", False), ("b:ms", "PASS", True)}
