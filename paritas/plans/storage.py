@@ -56,7 +56,7 @@ def load_orc(t):
 
 @query(
     "load_hive_partitioned",
-    """SELECT year(o_orderdate) AS order_year, o_orderstatus, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount FROM {orders_source} GROUP BY 1, 2""",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, o_orderstatus, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount FROM {orders_source} GROUP BY 1, 2""",
 )
 def load_hive_partitioned(t):
     path = scratch_path(t.spark, "hive")
@@ -195,7 +195,7 @@ def seed_given(t):
 @query(
     "dynamic_partition_write",
     """
-    SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, COUNT(*) AS n, CAST(SUM(CASE WHEN year(o_orderdate) = 1997 THEN amount + 1 ELSE amount END) AS DOUBLE) AS amount
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, COUNT(*) AS n, CAST(SUM(CASE WHEN year(o_orderdate) = 1997 THEN amount + 1 ELSE amount END) AS DOUBLE) AS amount
     FROM {orders_source} GROUP BY 1, 2""",
 )
 def dynamic_partition_write(t):
@@ -295,8 +295,8 @@ def schema_conformance(t):
     """
     SELECT 'event_id' AS "column", 'INT64' AS type, COUNT(*) AS n_rows, COUNT(*) FILTER (event_id IS NULL) AS nulls, NULL AS int_digits, NULL AS scale_used FROM {epoch_source}
     UNION ALL SELECT 'raw_ms', 'INT64', COUNT(*), COUNT(*) FILTER (raw_ms IS NULL), NULL, NULL FROM {epoch_source}
-    UNION ALL SELECT 'amount', 'NUMERIC', COUNT(*), COUNT(*) FILTER (amount IS NULL), MAX(length(CAST(CAST(floor(amount) AS BIGINT) AS STRING))),
-      MAX(length(split_part(rtrim(rtrim(CAST(amount AS STRING), '0'), '.'), '.', 2))) FROM {orders_source}""",
+    UNION ALL SELECT 'amount', 'NUMERIC', COUNT(*), COUNT(*) FILTER (amount IS NULL), CAST(MAX(length(CAST(CAST(floor(amount) AS BIGINT) AS STRING))) AS INTEGER),
+      CAST(MAX(length(split_part(rtrim(rtrim(CAST(amount AS STRING), '0'), '.'), '.', 2))) AS INTEGER) FROM {orders_source}""",
 )
 def column_profile(t):
     return schema.column_profile(t.epoch_source).unionByName(schema.column_profile(t.orders_source.select("amount")))

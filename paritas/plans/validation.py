@@ -156,7 +156,7 @@ def aggregate_parity(t):
 _DIFF = """
     SELECT COALESCE(s.o_orderkey, t.o_orderkey) AS o_orderkey,
            CASE WHEN t.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS difference,
-           CASE WHEN s.o_orderkey IS NULL THEN 0 ELSE 1 END AS n_source, CASE WHEN t.o_orderkey IS NULL THEN 0 ELSE 1 END AS n_target
+           CAST(s.o_orderkey IS NOT NULL AS BIGINT) AS n_source, CAST(t.o_orderkey IS NOT NULL AS BIGINT) AS n_target
     FROM {orders_source} s FULL OUTER JOIN {orders_target} t ON s.o_orderkey = t.o_orderkey
     WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL OR s.amount <> t.amount"""
 
@@ -229,8 +229,8 @@ _SANE = "raw_ms >= 0 AND raw_ms < 4133980800000"
 @query(
     "keyed_compare",
     """
-    SELECT COALESCE(s.event_id, t.event_id) AS event_id, CASE WHEN s.event_id IS NULL THEN 0 ELSE 1 END AS n_source,
-           CASE WHEN t.event_id IS NULL THEN 0 ELSE 1 END AS n_target, s.raw_ms AS source_raw_ms,
+    SELECT COALESCE(s.event_id, t.event_id) AS event_id, CAST(s.event_id IS NOT NULL AS BIGINT) AS n_source,
+           CAST(t.event_id IS NOT NULL AS BIGINT) AS n_target, s.raw_ms AS source_raw_ms,
            strftime(t.converted_ts, '%Y-%m-%d %H:%M:%S') AS target_raw_ms
     FROM {epoch_source} s FULL OUTER JOIN {epoch_target} t ON s.event_id = t.event_id""",
 )
@@ -607,7 +607,8 @@ def reconcile(t):
     WITH c AS (SELECT (SELECT COUNT(*) FROM {orders_source}) <> (SELECT COUNT(*) FROM {orders_target}) AS rc,
                       (SELECT COUNT(*) FROM {orders_source} s LEFT JOIN {orders_target} t USING (o_orderkey) WHERE s.amount IS DISTINCT FROM t.amount) > 0 AS dr,
                       (SELECT COUNT(*) FROM {lineitem} WHERE l_orderkey NOT IN (SELECT o_orderkey FROM {orders_partial})) > 0.0005 * (SELECT COUNT(*) FROM {lineitem}) AS fk)
-    SELECT * FROM (VALUES ('golden', 'rowcount_parity', 'PASS', 1, 0, 0), ('golden', 'aggregate_parity', 'PASS', 7, 0, 0), ('golden', 'fingerprint_parity', 'PASS', 1, 0, 0)) v(suite_id, pattern, status, n_pass, n_fail, n_error)
+    SELECT suite_id, pattern, status, CAST(n_pass AS BIGINT) AS n_pass, CAST(n_fail AS BIGINT) AS n_fail, CAST(n_error AS BIGINT) AS n_error
+    FROM (VALUES ('golden', 'rowcount_parity', 'PASS', 1, 0, 0), ('golden', 'aggregate_parity', 'PASS', 7, 0, 0), ('golden', 'fingerprint_parity', 'PASS', 1, 0, 0)) v(suite_id, pattern, status, n_pass, n_fail, n_error)
     UNION ALL SELECT 'faulty', 'rowcount_parity', CASE WHEN rc THEN 'FAIL' ELSE 'PASS' END, CASE WHEN rc THEN 0 ELSE 1 END, CASE WHEN rc THEN 1 ELSE 0 END, 0 FROM c
     UNION ALL SELECT 'faulty', 'decimal_roundtrip', CASE WHEN dr THEN 'FAIL' ELSE 'PASS' END, CASE WHEN dr THEN 0 ELSE 1 END, CASE WHEN dr THEN 1 ELSE 0 END, 0 FROM c
     UNION ALL SELECT 'faulty', 'fk_orphan', CASE WHEN fk THEN 'FAIL' ELSE 'PASS' END, CASE WHEN fk THEN 1 ELSE 2 END, CASE WHEN fk THEN 1 ELSE 0 END, 0 FROM c""",
