@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from paritas.functions.tolerance import allowed
 from paritas.operators.ordering import HOT_KEY_ROWS, running_total
 from paritas.operators.report import FAIL, PASS, as_checks, verdict
+from paritas.session import durable
 
 METRIC_SCHEMA = "query string, run bigint, metric string, value double"
 
@@ -70,6 +71,7 @@ def perf_percentiles(metrics: DataFrame, *, hot_rows: int = HOT_KEY_ROWS) -> Dat
     """
     keys = ["query", "metric"]
     counted = metrics.where(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
+    counted = durable(counted, "metric_values")  # read three times below
     totals = counted.groupBy(*keys).agg(
         F.sum("_n").alias("runs"), F.max("value").alias("max_value"), F.min("value").alias("min_value")
     )

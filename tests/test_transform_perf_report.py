@@ -116,6 +116,7 @@ def test_rollup_and_coverage(spark):
 
 def test_scratch_is_released(spark):
     path = scratch_path(spark, "x")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
     spark.range(3).write.parquet(path)
     assert release_scratch(spark) >= 1
     with pytest.raises(Exception):
