@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from paritas.functions import canon
 from paritas.operators.parity import keyed_compare
-from paritas.operators.report import FAIL, as_checks, verdict
+from paritas.operators.report import as_checks, several_checks, verdict
 
 # Epoch units per second, and the default year limits.
 UNITS_PER_SECOND = {"seconds": 1, "millis": 1_000, "micros": 1_000_000}
@@ -139,31 +139,28 @@ def epoch_check(
         audited = audit.where(F.col("src_table") == source_table).agg(F.count(F.lit(1)).alias("audited"))
         totals = totals.unionByName(audited.select(*blank, "audited"))
         totals = totals.agg(*[F.sum(c).alias(c) for c in totals.columns])
-    summary = as_checks(
-        totals,
-        "epoch_conversion",
-        target=F.lit(name),
-        status=verdict(F.col("mismatched") == 0),
-        message=F.format_string("%d matched, %d nulled, %d bad", "matched", "nulled", "mismatched"),
-        expected=F.lit(0),
-        actual=F.col("mismatched"),
-        metrics={c: F.col(c) for c in ("matched", "nulled", "mismatched", "target_only")},
-        **labels,
-    )
-    if audit is None:
-        return summary
-    return summary.unionByName(
-        as_checks(
-            totals.where(F.col("nulled") > 0),
-            "epoch_conversion",
-            target=F.lit(f"{name} (audit)"),
-            status=verdict(F.col("audited") >= F.col("nulled")),
-            message=F.format_string("%d audit rows for %d quarantined epochs", "audited", "nulled"),
-            expected=F.concat(F.lit(">="), F.col("nulled").cast("string")),
-            actual=F.col("audited"),
-            **labels,
+    specs = [
+        {
+            "target": F.lit(name),
+            "status": verdict(F.col("mismatched") == 0),
+            "message": F.format_string("%d matched, %d nulled, %d bad", "matched", "nulled", "mismatched"),
+            "expected": F.lit(0),
+            "actual": F.col("mismatched"),
+            "metrics": {c: F.col(c) for c in ("matched", "nulled", "mismatched", "target_only")},
+        }
+    ]
+    if audit is not None:
+        specs.append(
+            {
+                "when": F.col("nulled") > 0,
+                "target": F.lit(f"{name} (audit)"),
+                "status": verdict(F.col("audited") >= F.col("nulled")),
+                "message": F.format_string("%d audit rows for %d quarantined epochs", "audited", "nulled"),
+                "expected": F.concat(F.lit(">="), F.col("nulled").cast("string")),
+                "actual": F.col("audited"),
+            }
         )
-    )
+    return several_checks(totals, "epoch_conversion", specs, **labels)
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -207,9 +204,3 @@ def decimal_roundtrip(
         metrics={"rows": F.col("n")},
         **labels,
     )
-
-
-__all__ = [
-    "FAIL", "Mapping", "classify_epochs", "decimal_differences", "decimal_roundtrip", "epoch_check",
-    "epoch_quarantine", "epoch_to_timestamp", "in_years", "vendor_timestamp",
-]

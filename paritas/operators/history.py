@@ -18,14 +18,11 @@ def _second(c: str) -> Column:
     return F.unix_seconds(F.col(c).cast("timestamp"))
 
 
-def scd2_gaps(
-    df: DataFrame, entity_key: str, eff_from: str, eff_to: str, *, hot_rows: int = HOT_KEY_ROWS, tiebreak: Sequence[str] = ()
-) -> DataFrame:
-    """Consecutive versions whose ``eff_to`` is not the next ``eff_from``, to the second."""
-    narrow = df.select(entity_key, eff_from, eff_to, *[t for t in tiebreak if t not in (entity_key, eff_from, eff_to)])
-    narrow = narrow.withColumn("_present", F.lit(True))
+def _with_next(df: DataFrame, entity_key: str, eff_from: str, eff_to: str, keep, tiebreak, hot_rows: int) -> DataFrame:
+    """Versions with the next version's ``eff_from`` and ``_gap``: the timeline breaks after this one."""
+    names = list(dict.fromkeys([entity_key, eff_from, eff_to, *keep, *tiebreak]))
     pairs = neighbour(
-        narrow,
+        df.select(*names).withColumn("_present", F.lit(True)),
         [entity_key],
         [eff_from, eff_to, *tiebreak],
         {"next_from": eff_from, "_has_next": "_present"},
@@ -34,23 +31,35 @@ def scd2_gaps(
     )
     joined = _second(eff_to).eqNullSafe(_second("next_from"))
     usable = F.col(eff_to).isNotNull() & F.col("next_from").isNotNull()
-    return pairs.where(F.col("_has_next") & ~(joined & usable)).select(entity_key, eff_from, eff_to, "next_from")
+    return pairs.withColumn("_gap", F.coalesce(F.col("_has_next"), F.lit(False)) & ~(joined & usable))
+
+
+def scd2_gaps(
+    df: DataFrame, entity_key: str, eff_from: str, eff_to: str, *, hot_rows: int = HOT_KEY_ROWS, tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """Consecutive versions whose ``eff_to`` is not the next ``eff_from``, to the second."""
+    pairs = _with_next(df, entity_key, eff_from, eff_to, (), tiebreak, hot_rows)
+    return pairs.where("_gap").select(entity_key, eff_from, eff_to, "next_from")
 
 
 def _is_terminal(eff_to: str, terminal: str) -> Column:
     return F.coalesce(F.to_date(F.col(eff_to)) == F.lit(terminal).cast("date"), F.lit(False))
 
 
-def scd2_entities(df: DataFrame, entity_key: str, eff_to: str, current_flag: str, terminal: str = OPEN_END) -> DataFrame:
-    """Per entity: versions, current versions, and open-end violations on each kind."""
+def _entity_counts(eff_to: str, current_flag: str, terminal: str) -> list[Column]:
     current = F.coalesce(F.col(current_flag), F.lit(False))
     is_open = _is_terminal(eff_to, terminal)
-    return df.groupBy(entity_key).agg(
+    return [
         F.count(F.lit(1)).alias("versions"),
         F.count_if(current).alias("n_current"),
         F.count_if(current & ~is_open).alias("current_not_open"),
         F.count_if(~current & is_open).alias("closed_but_open"),
-    )
+    ]
+
+
+def scd2_entities(df: DataFrame, entity_key: str, eff_to: str, current_flag: str, terminal: str = OPEN_END) -> DataFrame:
+    """Per entity: versions, current versions, and open-end violations on each kind."""
+    return df.groupBy(entity_key).agg(*_entity_counts(eff_to, current_flag, terminal))
 
 
 def scd2_current(df: DataFrame, entity_key: str, eff_to: str, current_flag: str) -> DataFrame:
@@ -109,22 +118,19 @@ def scd2_continuity(
     With ``source`` (the legacy history), a further check counts hashes present
     on one side only.
     """
-    gaps = scd2_gaps(df, entity_key, eff_from, eff_to, hot_rows=hot_rows, tiebreak=tiebreak)
-    per = scd2_entities(df, entity_key, eff_to, current_flag, terminal)
+    # The look-ahead already brings an entity's versions together, so counting
+    # per entity on top of it needs no second shuffle.
+    versions = _with_next(df, entity_key, eff_from, eff_to, [current_flag], tiebreak, hot_rows)
+    per = versions.groupBy(entity_key).agg(F.count_if("_gap").alias("gaps"), *_entity_counts(eff_to, current_flag, terminal))
     wrong_current = F.when(F.col("n_current") == 1, F.col("current_not_open")).otherwise(0)
-    parts = [
-        gaps.agg(F.lit("gaps").alias("what"), F.count(F.lit(1)).alias("bad")),
-        per.agg(
-            F.count_if(F.col("n_current") != 1).alias("current"),
-            F.coalesce(F.sum(wrong_current + F.col("closed_but_open")), F.lit(0)).alias("terminal"),
-        ).select(
-            F.inline(
-                F.array(
-                    *[F.struct(F.lit(w).alias("what"), F.col(w).cast("bigint").alias("bad")) for w in ("current", "terminal")]
-                )
-            )
-        ),
-    ]
+    whats = ("gaps", "current", "terminal")
+    totals = per.agg(
+        F.coalesce(F.sum("gaps"), F.lit(0)).alias("gaps"),
+        F.count_if(F.col("n_current") != 1).alias("current"),
+        F.coalesce(F.sum(wrong_current + F.col("closed_but_open")), F.lit(0)).alias("terminal"),
+    )
+    cells = [F.struct(F.lit(w).alias("what"), F.col(w).cast("bigint").alias("bad")) for w in whats]
+    parts = [totals.select(F.inline(F.array(*cells)))]
     if row_hash_column and hash_columns:
         wrong = row_hash_mismatches(df, entity_key, row_hash_column, hash_columns)
         parts.append(wrong.agg(F.lit("row_hash").alias("what"), F.count(F.lit(1)).alias("bad")))

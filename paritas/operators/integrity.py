@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paritas.functions.types import signature
-from paritas.operators.report import as_checks, verdict
+from paritas.operators.report import several_checks, verdict
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,32 +73,28 @@ def fk_orphan(
         F.col(f"{s}_orphans").cast("string"), F.lit("/"), F.col(f"{s}_total").cast("string")
     )
     metrics = {"source_rate": F.col("s_rate"), "target_rate": F.col("t_rate")}
-    checks = as_checks(
-        both,
-        "fk_orphan",
-        target=F.lit(f"{name} (parity)"),
-        status=verdict(F.abs(F.col("t_rate") - F.col("s_rate")) <= F.lit(tolerance_pp / 100.0)),
-        message=F.concat(F.lit("orphans src "), shown("s"), F.lit(" tgt "), shown("t")),
-        expected=shown("s"),
-        actual=shown("t"),
-        metrics=metrics,
-        **labels,
-    )
-    if max_orphan_rate is None:
-        return checks
-    return checks.unionByName(
-        as_checks(
-            both,
-            "fk_orphan",
-            target=F.lit(f"{name} (max)"),
-            status=verdict(F.col("t_rate") <= F.lit(max_orphan_rate / 100.0)),
-            message=F.concat(F.lit(f"cap {max_orphan_rate} percent, orphans "), shown("t")),
-            expected=F.lit(f"<={max_orphan_rate}%"),
-            actual=shown("t"),
-            metrics=metrics,
-            **labels,
+    specs = [
+        {
+            "target": F.lit(f"{name} (parity)"),
+            "status": verdict(F.abs(F.col("t_rate") - F.col("s_rate")) <= F.lit(tolerance_pp / 100.0)),
+            "message": F.concat(F.lit("orphans src "), shown("s"), F.lit(" tgt "), shown("t")),
+            "expected": shown("s"),
+            "actual": shown("t"),
+            "metrics": metrics,
+        }
+    ]
+    if max_orphan_rate is not None:
+        specs.append(
+            {
+                "target": F.lit(f"{name} (max)"),
+                "status": verdict(F.col("t_rate") <= F.lit(max_orphan_rate / 100.0)),
+                "message": F.concat(F.lit(f"cap {max_orphan_rate} percent, orphans "), shown("t")),
+                "expected": F.lit(f"<={max_orphan_rate}%"),
+                "actual": shown("t"),
+                "metrics": metrics,
+            }
         )
-    )
+    return several_checks(both, "fk_orphan", specs, **labels)
 
 
 def fk_type_consistency(

@@ -153,22 +153,20 @@ def incremental_append(
     """Load ``feed`` in runs whose upper watermarks are ``runs``; returns the final
     table and the audit rows ``run, watermark_from, rows_loaded, duplicate_keys, status``.
 
-    Each run appends only rows above the previous watermark, so the feed is
-    scanned with a range filter per run and nothing already loaded is rewritten.
+    Each run takes the rows above the previous watermark.  A row's run follows
+    from its value, so all runs are audited in one scan of the feed.
     """
-    table, audits, low = existing, None, None
-    for i, high in enumerate(runs, start=1):
-        fresh = feed.where(F.col(check_column) <= F.lit(high))
-        if low is not None:
-            fresh = fresh.where(F.col(check_column) > F.lit(low))
-        table = table.unionByName(fresh)
-        audit = fresh.agg(F.count(F.lit(1)).alias("rows_loaded")).select(
-            F.lit(i).alias("run"),
-            F.lit(None if low is None else str(low)).cast("string").alias("watermark_from"),
-            "rows_loaded",
-        )
-        audits = audit if audits is None else audits.unionByName(audit)
-        low = high
+    spark = feed.sparkSession
+    mark = F.col(check_column)
+    run_of = F.lit(None).cast("int")
+    for i in range(len(runs), 0, -1):
+        run_of = F.when(mark <= F.lit(runs[i - 1]), i).otherwise(run_of)
+    fresh = feed.where(mark <= F.lit(runs[-1]))
+    table = existing.unionByName(fresh)
+    lows = [(i, None if i == 1 else str(runs[i - 2])) for i in range(1, len(runs) + 1)]
+    declared = spark.createDataFrame(lows, "run int, watermark_from string")
+    loaded = fresh.groupBy(run_of.alias("run")).agg(F.count(F.lit(1)).alias("_n"))
+    audit = declared.join(loaded, "run", "left").select("run", "watermark_from", F.coalesce("_n", F.lit(0)).alias("rows_loaded"))
     repeats = table.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    audits = audits.withColumn("duplicate_keys", repeats.agg(F.count(F.lit(1))).scalar())
-    return table, audits.withColumn("status", F.when(F.col("duplicate_keys") == 0, "SUCCESS").otherwise("FAILED"))
+    audit = audit.withColumn("duplicate_keys", repeats.agg(F.count(F.lit(1))).scalar())
+    return table, audit.withColumn("status", F.when(F.col("duplicate_keys") == 0, "SUCCESS").otherwise("FAILED"))

@@ -63,8 +63,13 @@ def verdict(ok: Column) -> Column:
     return F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL))
 
 
-def as_checks(
-    df: DataFrame,
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _fields(
     pattern: str,
     *,
     target: Column,
@@ -77,24 +82,43 @@ def as_checks(
     suite_id: str | None = None,
     story_id: str | None = None,
     criteria_index: int | None = None,
-) -> DataFrame:
-    """Shape the rows of ``df`` as checks."""
-    literal = lambda v: "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-    text = lambda c, name: F.expr(f"CAST(NULL AS STRING) AS {name}") if c is None else c.cast("string").alias(name)
+) -> list[Column]:
+    def text(c: Column | None, name: str) -> Column:
+        return F.expr(f"CAST(NULL AS STRING) AS {name}") if c is None else c.cast("string").alias(name)
+
     pairs = [x for k, v in (metrics or {}).items() for x in (F.lit(k), v.cast("string"))]
-    return df.select(
-        F.expr(f"{literal(pattern)} AS pattern"),
-        F.expr(f"{literal(suite_id or pattern)} AS suite_id"),
+    return [
+        F.expr(f"{_literal(pattern)} AS pattern"),
+        F.expr(f"{_literal(suite_id or pattern)} AS suite_id"),
         target.alias("target"),
         status.alias("status"),
         text(message, "message"),
         text(expected, "expected"),
         text(actual, "actual"),
         F.expr("false AS measurement") if measurement is None else measurement.alias("measurement"),
-        F.expr(f"CAST({literal(story_id)} AS STRING) AS story_id"),
-        F.expr(f"CAST({literal(criteria_index)} AS INT) AS criteria_index"),
-        F.create_map(*pairs).alias("metrics") if pairs else F.expr("CAST(map() AS MAP<STRING, STRING>) AS metrics"),
-    )
+        F.expr(f"CAST({_literal(story_id)} AS STRING) AS story_id"),
+        F.expr(f"CAST({_literal(criteria_index)} AS INT) AS criteria_index"),
+        (F.create_map(*pairs) if pairs else F.expr("map()")).cast("map<string,string>").alias("metrics"),
+    ]
+
+
+def as_checks(df: DataFrame, pattern: str, **fields) -> DataFrame:
+    """Shape the rows of ``df`` as checks; ``fields`` are ``target``, ``status`` and
+    optionally the other columns of the checks table."""
+    return df.select(*_fields(pattern, **fields))
+
+
+def several_checks(df: DataFrame, pattern: str, specs: Iterable[Mapping], **labels) -> DataFrame:
+    """Several checks per row of ``df``, which is computed once.
+
+    Each spec holds the fields of :func:`as_checks`, and ``when`` if the check
+    is made only under a condition.
+    """
+    cells = []
+    for spec in specs:
+        rest = {k: v for k, v in spec.items() if k != "when"}
+        cells.append(F.struct(*_fields(pattern, **rest, **labels), spec.get("when", F.lit(True)).alias("_made")))
+    return df.select(F.inline(F.array(*cells))).where("_made").drop("_made")
 
 
 def check_row(spark: SparkSession, pattern: str, target: str, status: str, message: str = "", **fields) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from paritas.functions import canon
 from paritas.operators.parity import multiset_counts
-from paritas.operators.report import FAIL, as_checks, check_row, error_text, verdict
+from paritas.operators.report import FAIL, as_checks, check_row, error_text, several_checks, verdict
 
 # Accepted format names.
 FORMATS = {
@@ -259,22 +259,20 @@ def egress_parity(
     pick = lambda c, side: F.max(F.when(F.col("_side") == side, F.col(c)))
     both = sides.agg(*[pick(c, i).alias(f"{s}_{c}") for i, s in enumerate("le") for c in ("row_cnt", "control_total")])
     compared = [("row_cnt", "row_cnt")] + ([("control_total", f"control_total:{control_total}")] if control_total else [])
+    specs = []
     for c, label in compared:
         dtype = both.schema[f"l_{c}"].dataType
-        want, got = canon.canon_value(f"l_{c}", dtype), canon.canon_value(f"e_{c}", dtype)
-        checks = checks.unionByName(
-            as_checks(
-                both,
-                "egress_parity",
-                target=F.lit(f"{name} ({label})"),
-                status=verdict(F.col(f"l_{c}") == F.col(f"e_{c}")),
-                message=F.concat(F.lit("variance "), F.expr(canon.canon_sql(f"CAST(abs(l_{c} - e_{c}) AS {dtype.simpleString()})", dtype))),
-                expected=want,
-                actual=got,
-                **labels,
-            )
+        variance = canon.canon_sql(f"CAST(abs(l_{c} - e_{c}) AS {dtype.simpleString()})", dtype)
+        specs.append(
+            {
+                "target": F.lit(f"{name} ({label})"),
+                "status": verdict(F.col(f"l_{c}") == F.col(f"e_{c}")),
+                "message": F.concat(F.lit("variance "), F.expr(variance)),
+                "expected": canon.canon_value(f"l_{c}", dtype),
+                "actual": canon.canon_value(f"e_{c}", dtype),
+            }
         )
-    return checks
+    return checks.unionByName(several_checks(both, "egress_parity", specs, **labels))
 
 
 def _header_verdicts(spark: SparkSession, uri: str, header: str) -> DataFrame:
