@@ -151,6 +151,11 @@ def digest_columns() -> list[Column]:
     return [F.expr("count(1) AS n"), *piece_sums(), F.expr("bit_xor(h1) AS x1"), F.expr("bit_xor(h2) AS x2")]
 
 
+def folded_digest_columns() -> list[Column]:
+    """Aggregates that fold digests of parts, built from :func:`digest_columns`, into one."""
+    return [F.expr(f"sum({c}) AS {c}") for c in ("n", *PIECES)] + [F.expr(f"bit_xor({x}) AS {x}") for x in ("x1", "x2")]
+
+
 def finish_digest(aggregated: DataFrame, *group: str) -> DataFrame:
     """Columns ``n, sum1, sum2, xor1, xor2, digest`` of an aggregate built from :func:`digest_columns`."""
     parts = aggregated.selectExpr(
@@ -164,6 +169,9 @@ def finish_digest(aggregated: DataFrame, *group: str) -> DataFrame:
     return parts.selectExpr("*", "md5(concat_ws('|', n, sum1, sum2, xor1, xor2)) AS digest")
 
 
+EMPTY_DIGEST_SQL = "md5('0|0|0|0|0')"
+
+
 def fingerprint(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
     """One row identifying the multiset of rows of ``df``, whatever their order."""
     return finish_digest(with_row_hashes(df, columns, **options).agg(*digest_columns()))

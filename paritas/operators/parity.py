@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from paritas.functions import canon
 from paritas.functions.tolerance import allowed
-from paritas.operators.report import FAIL, PASS, as_checks, verdict
+from paritas.operators.report import FAIL, as_checks, verdict
+from paritas.session import durable
 
 BUCKETS = 256
 
@@ -224,15 +225,23 @@ def localised_differences(
     The first pass folds both tables to at most ``buckets`` rows; the second
     shuffles only rows of unequal buckets.  Equal tables shuffle no rows.
     """
-    def bucketed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_bucket", canon.key_bucket(df, key, buckets))
+    rows = _bucketed_rows(source, target, key, columns, buckets, options)
+    unequal = _net(rows, ["_bucket"]).where(_DIFFERS).select("_bucket")
+    return _drill(source, target, key, columns, buckets, unequal, options)
 
-    rows = _signed_rows(source, target, key, columns, options, keep=["_bucket"], prepare=bucketed)
-    unequal = F.broadcast(_net(rows, ["_bucket"]).where(_DIFFERS).select("_bucket"))
+
+def _bucketed_rows(source, target, key, columns, buckets: int, options) -> DataFrame:
+    """``_bucket``, ``h1``, ``h2`` and ``_side`` of every row of both tables."""
+    bucketed = lambda df: df.withColumn("_bucket", canon.key_bucket(df, key, buckets))
+    return _signed_rows(source, target, key, columns, options, keep=["_bucket"], prepare=bucketed)
+
+
+def _drill(source, target, key, columns, buckets: int, unequal: DataFrame, options) -> DataFrame:
+    """Differing keys within the buckets listed in ``unequal`` (at most ``buckets`` rows)."""
 
     def suspect(df: DataFrame) -> DataFrame:
         # Only the key is hashed before the filter; whole rows after it.
-        return bucketed(df).join(unequal, "_bucket", "left_semi")
+        return df.withColumn("_bucket", canon.key_bucket(df, key, buckets)).join(F.broadcast(unequal), "_bucket", "left_semi")
 
     return _classified(_net(_signed_rows(source, target, key, columns, options, prepare=suspect), key), key)
 
@@ -253,10 +262,23 @@ def fingerprint_parity(
     labels: Mapping[str, str] | None = None,
     **options,
 ) -> DataFrame:
-    """Digest check and, with ``key``, a check that counts and names differing keys."""
+    """Digest check and, with ``key``, a check that counts and names differing keys.
+
+    With a key, one pass folds both tables to bucket digests (written down: at
+    most two rows per bucket), from which the table digests and the unequal
+    buckets follow; a second pass reads only the latter.
+    """
     labels = dict(labels or {})
-    digests = _two_sides(canon.fingerprint(source, columns, **options), canon.fingerprint(target, columns, **options))
-    both = digests.agg(_pick(0, "digest").alias("src"), _pick(1, "digest").alias("tgt"))
+    if key:
+        rows = _bucketed_rows(source, target, key, columns, buckets, options)
+        parts = durable(rows.groupBy("_side", "_bucket").agg(*canon.digest_columns()), "buckets")
+        digests = canon.finish_digest(parts.groupBy("_side").agg(*canon.folded_digest_columns()), "_side")
+    else:
+        digests = _two_sides(canon.fingerprint(source, columns, **options), canon.fingerprint(target, columns, **options))
+    empty = F.expr(canon.EMPTY_DIGEST_SQL)
+    both = digests.agg(
+        F.coalesce(_pick(0, "digest"), empty).alias("src"), F.coalesce(_pick(1, "digest"), empty).alias("tgt")
+    )
     checks = as_checks(
         both,
         "fingerprint_parity",
@@ -269,22 +291,22 @@ def fingerprint_parity(
     )
     if not key:
         return checks
-    found = localised_differences(source, target, key, columns, buckets, **options)
-    shown = canon.canon_row(found, key)
-    first = found.orderBy(*key).limit(10).select(shown.alias("key")).agg(F.array_sort(F.collect_list("key")).alias("first"))
-    total = found.agg(F.count(F.lit(1)).alias("n"))
-    total = total.withColumn("first", F.lit(None).cast("array<string>")).unionByName(first.withColumn("n", F.lit(None).cast("bigint")))
-    total = total.agg(F.max("n").alias("n"), F.max("first").alias("first"))
+    net = [F.expr(f"sum({c} * (1 - 2 * _side)) AS {c}") for c in ("n", *canon.PIECES)]
+    unequal = parts.groupBy("_bucket").agg(*net).where(" OR ".join(f"{c} != 0" for c in ("n", *canon.PIECES))).select("_bucket")
+    found = durable(_drill(source, target, key, columns, buckets, unequal, options), "differences")
+    first = found.orderBy(*key).limit(10).select(F.struct(*key, canon.canon_row(found, key).alias("text")).alias("k"))
+    names = first.agg(F.concat_ws(", ", F.transform(F.array_sort(F.collect_list("k")), lambda k: k.getField("text"))))
+    total = found.agg(F.count(F.lit(1)).alias("n")).withColumn("first", names.scalar())
     return checks.unionByName(
         as_checks(
             total.where(F.col("n") > 0),
             "fingerprint_parity",
             target=F.lit(f"{name} (localized)"),
             status=F.lit(FAIL),
-            message=F.concat(F.col("n").cast("string"), F.lit(" differing keys: "), F.concat_ws(", ", "first")),
+            message=F.concat(F.col("n").cast("string"), F.lit(" differing keys: "), F.col("first")),
             expected=F.lit("0"),
             actual=F.col("n"),
-            metrics={"differing_keys": F.concat_ws(",", "first")},
+            metrics={"differing_keys": F.col("first")},
             **labels,
         )
     )
@@ -394,9 +416,3 @@ def keyed_compare(source: DataFrame, target: DataFrame, key: Sequence[str], colu
         F.count_if(F.col("_side") == 1).alias("n_target"),
         *[F.max(f"{side}_{s}").alias(f"{side}_{s}") for s in columns for side in ("source", "target")],
     )
-
-
-__all__ = [
-    "FAIL", "PASS", "aggregate_parity", "bucket_digests", "diff_keys", "diff_sample", "fingerprint_parity",
-    "keyed_compare", "localised_differences", "multiset_counts", "multiset_diff", "query_parity", "rowcount_parity", "table_aggregates",
-]

@@ -73,6 +73,21 @@ def test_equal_tables_have_no_differences(table):
     assert [c["status"] for c in parity.fingerprint_parity(table, shuffled, columns, ["id"]).collect()] == ["PASS"]
 
 
+def test_empty_tables_and_one_sided_emptiness(table):
+    columns, none = ["id", "contact"], table.where("false")
+    status_of = lambda a, b: [c["status"] for c in parity.fingerprint_parity(a, b, columns, ["id"]).collect()]
+    assert status_of(none, none) == ["PASS"]
+    assert status_of(table, none) == ["FAIL", "FAIL"]
+    keyless = parity.fingerprint_parity(none, none, columns).first()["expected"]
+    assert parity.fingerprint_parity(none, none, columns, ["id"]).first()["expected"] == keyless
+    assert parity.fingerprint_parity(table, table, columns, ["id"]).first()["expected"] == parity.fingerprint_parity(table, table, columns).first()["expected"]
+
+
+def test_first_keys_are_named_in_key_order(table):
+    found = parity.fingerprint_parity(table, table.where("id NOT IN (9, 10, 100)"), ["id", "contact"], ["id"]).collect()[1]
+    assert found["metrics"]["differing_keys"] == "9, 10, 100"
+
+
 def test_duplicate_keys_compare_as_multisets(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, v string")
     b = spark.createDataFrame([(1, "y"), (1, "x"), (2, "z"), (2, "z"), (None, "n")], "k int, v string")
