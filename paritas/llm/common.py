@@ -77,18 +77,24 @@ def row_keys(id_col: Column, text: Column) -> list[Column]:
     ]
 
 
-def keep_rows(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_rows(
+    docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text", times: str | None = None
+) -> DataFrame:
     """Rows of ``docs`` whose key is in ``chosen`` (``_k1``, ``_k2``, unique), each key once, all columns.
 
     Rows equal in id and text are one document; of them the one whose other
-    columns hash lowest stays.
+    columns hash lowest stays.  ``times`` names a column of ``chosen``: so many
+    copies of the row come out.
     """
     packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_keys(F.col(id_col), F.col(text_col))
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_keys(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     )
-    same = Window.partitionBy("_k1", "_k2").orderBy(F.xxhash64(F.to_json("_row")))
-    kept = packed.join(chosen.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi")
-    return kept.withColumn("_n", F.row_number().over(same)).where("_n = 1").select("_row.*")
+    hashable = [F.to_json(f"_row.`{n}`") if "map<" in kind else F.col(f"_row.`{n}`") for n, kind in docs.dtypes]
+    same = Window.partitionBy("_k1", "_k2").orderBy(F.xxhash64(*hashable))
+    kept = packed.join(chosen, ["_k1", "_k2"]).withColumn("_n", F.row_number().over(same)).where("_n = 1")
+    if times:
+        kept = kept.select("_row", F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))))
+    return kept.select("_row.*")
 
 
 def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:

@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paritas.llm.common import table
+from paritas.llm.bpe import round_trip
+from paritas.llm.common import LOWER, UPPER, table
+from paritas.llm.exact_dedup import exact_duplicates
+from paritas.llm.mixing import mix
 from paritas.llm.near_dup import near_duplicates
+from paritas.llm.quality import quality_sample
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,3 +25,31 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 @register
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@register
+def op8_block_naming_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(table(spark, folder, "documents"))
+
+
+ORACLES["op8_block_naming_exact_dedup"] = f"""
+WITH normal AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS body FROM documents),
+groups AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(body) AS text_sha256
+FROM normal JOIN groups USING (body)
+"""
+
+
+@register
+def op5_pareto_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"))
+
+
+@register
+def op9_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_sample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "documents"))

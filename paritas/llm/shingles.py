@@ -67,8 +67,14 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(hash per word, bounds)``: the words of text i are ``bounds[i]:bounds[i + 1]``."""
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """``(hash per word, bounds)``: the words of text i are ``bounds[i]:bounds[i + 1]``.
+
+    ``kinds`` (a number per byte value, 0 for white space) also ends a word
+    where the kind of byte changes.
+    """
     lo, hi = int(offsets[0]), int(offsets[-1])
     data, offsets = data[lo:hi], offsets - lo
     n = len(data)
@@ -77,7 +83,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     blank = _blank()[data]
     first = np.empty(n, bool)
     first[0] = True
-    first[1:] = blank[:-1]
+    if kinds is None:
+        first[1:] = blank[:-1]
+    else:
+        kind = kinds[data]
+        first[1:] = kind[1:] != kind[:-1]
     first[offsets[:-1][offsets[:-1] < n]] = True
     starts = np.flatnonzero(first & ~blank)
     bounds = np.searchsorted(starts, offsets)
