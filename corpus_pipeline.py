@@ -1,30 +1,61 @@
 """From raw documents to token ids: reject poor documents, drop copies and near copies, mix sources, encode.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
-written and read again as the next stage's ``docs``.
+written and read again as the next stage's ``docs``.  All but the last return
+the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paritas.llm.bpe import encode
 from paritas.llm.common import Workspace, table
+from paritas.llm.exact_dedup import drop_exact_duplicates
+from paritas.llm.mixing import mixed
 from paritas.llm.near_dup import drop_near_duplicates
+from paritas.llm.quality import keep_quality
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance resampling rejects go."""
+    return keep_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id stays."""
+    return drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, that with the smallest doc_id."""
     return drop_near_duplicates(docs)
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixed(docs)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the byte offset where each token ends."""
+    return encode(docs)
+
+
 STAGES = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("bpe", bpe),
 ]
 
+#: SQL can't express the classifier, the banding or the merges; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; every stage is written below the shared folder and read again."""
     work = Workspace(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for place, (name, stage) in enumerate(STAGES):
