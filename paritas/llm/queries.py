@@ -12,6 +12,7 @@ from paritas.llm.exact_dedup import exact_duplicates
 from paritas.llm.mixing import mix
 from paritas.llm.near_dup import near_duplicates
 from paritas.llm.quality import quality_sample
+from paritas.llm.url_filter import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +54,8 @@ def op9_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(table(spark, folder, "documents"))
+
+
+@register
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "pages"))
