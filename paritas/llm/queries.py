@@ -13,6 +13,7 @@ from paritas.llm.mixing import mix
 from paritas.llm.near_dup import near_duplicates
 from paritas.llm.quality import quality_sample
 from paritas.llm.url_filter import judge
+from paritas.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +60,17 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "pages"))
+
+
+@register
+def op3_warc_members(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_round_trip(table(spark, folder, "pages"))
+
+
+ORACLES["op3_warc_members"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS largest FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < largest THEN largest END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+"""
