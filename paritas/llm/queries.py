@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paritas.llm.bpe import round_trip
 from paritas.llm.common import LOWER, UPPER, table
 from paritas.llm.exact_dedup import exact_duplicates
+from paritas.llm.html import main_text
 from paritas.llm.mixing import mix
 from paritas.llm.near_dup import near_duplicates
 from paritas.llm.quality import quality_sample
@@ -74,3 +75,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < largest THEN
        CASE WHEN page_id < largest THEN largest END AS refers_to
 FROM p LEFT JOIN g USING (payload_digest)
 """
+
+
+@register
+def op2_template_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"))

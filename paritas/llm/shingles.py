@@ -120,3 +120,23 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
                 yield mix(np.array([few], np.uint64) ^ np.uint64(j - i))
             else:
                 yield np.zeros(0, np.uint64)
+
+
+def token_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hash, bounds, byte offset from the first text)`` of markup tokens: words, cut before ``<`` and after ``>``."""
+    lo, hi = int(offsets[0]), int(offsets[-1])
+    data, offsets = data[lo:hi], offsets - lo
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
+    blank = _blank()[data]
+    first = data == 0x3C
+    first[0] = True
+    first[1:] |= blank[:-1] | (data[:-1] == 0x3E)
+    first[offsets[:-1][offsets[:-1] < n]] = True
+    starts = np.flatnonzero(first & ~blank)
+    bounds = np.searchsorted(starts, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), bounds, starts
+    up, down = _powers(1 << max(20, int(n - 1).bit_length()))
+    return mix(np.add.reduceat(_byte_values()[data] * up[:n], starts) * down[starts]), bounds, starts
