@@ -10,9 +10,11 @@ from paritas.llm.bpe import round_trip
 from paritas.llm.common import LOWER, UPPER, table
 from paritas.llm.exact_dedup import exact_duplicates
 from paritas.llm.html import main_text
+from paritas.llm.line_dedup import drop_repeated_windows
 from paritas.llm.mixing import mix
 from paritas.llm.near_dup import near_duplicates
 from paritas.llm.quality import quality_sample
+from paritas.llm.topk import top_k
 from paritas.llm.url_filter import judge
 from paritas.llm.warc import archive_round_trip
 
@@ -80,3 +82,38 @@ FROM p LEFT JOIN g USING (payload_digest)
 @register
 def op2_template_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return main_text(table(spark, folder, "pages"))
+
+
+@register
+def op6_impact_ordered_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"))
+
+
+ORACLES["op6_impact_ordered_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+             CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@register
+def op7_three_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_repeated_windows(table(spark, folder, "documents"))
+
+
+ORACLES["op7_three_line_dedup"] = """
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+w AS (SELECT doc_id, p, l[p : p + 2] AS window_lines FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS p FROM d)),
+o AS (SELECT doc_id, p, first_value(doc_id) OVER same AS first_doc, first_value(p) OVER same AS first_p, row_number() OVER same AS nth
+      FROM w WINDOW same AS (PARTITION BY window_lines ORDER BY doc_id, p)),
+gone AS (SELECT DISTINCT doc_id, line FROM (SELECT *, unnest([p, p + 1, p + 2]) AS line FROM o WHERE nth > 1)
+         WHERE NOT (doc_id = first_doc AND line BETWEEN first_p AND first_p + 2)),
+lines AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS line FROM d)
+SELECT doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
+       coalesce(string_agg(l[line], chr(10) ORDER BY line) FILTER (gone.line IS NULL), '') AS text
+FROM lines LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id
+"""
