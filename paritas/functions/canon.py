@@ -10,7 +10,8 @@ Text per value: NULL gets a tag no ordinary string starts with; numbers are
 plain digits without trailing zeros (floating point rounded to
 ``float_decimals`` places first); instants are UTC to the second; binary is
 lower-case hex; arrays, structs and maps are bracketed, the latter two sorted
-by name.
+by name, and every value inside is preceded by its length, so that no separator
+in a value can be taken for one between values.
 """
 
 from __future__ import annotations
@@ -42,8 +43,10 @@ def _trim_fraction(text: str) -> str:
 
 
 def _numeric_string(c: str) -> str:
-    number = f"try_cast(if(trim({c}) RLIKE '^[+-]?[0-9]{{1,29}}([.][0-9]{{1,9}})?$', trim({c}), NULL) AS DECIMAL(38,9))"
-    return f"coalesce({_trim_fraction(f'CAST({number} AS STRING)')}, {c})"
+    # Any number of digits: signs and zeros that say nothing are cut from the text itself.
+    plain = f"regexp_replace(regexp_replace(trim({c}), '^[+]', ''), '^(-?)0+(?=[0-9])', '$1')"
+    short = f"regexp_replace(regexp_replace({plain}, '([.][0-9]*?)0+$', '$1'), '[.]$', '')"
+    return f"if(trim({c}) RLIKE '^[+-]?[0-9]+([.][0-9]+)?$', if({short} = '-0', '0', {short}), {c})"
 
 
 def canon_sql(
@@ -57,6 +60,10 @@ def canon_sql(
     """SQL text of the canonical form of expression ``c`` of type ``dtype``."""
 
     def inner(value: str, value_type: T.DataType) -> str:
+        text = bare(value, value_type)
+        return f"concat(length({text}), '#', {text})"
+
+    def bare(value: str, value_type: T.DataType) -> str:
         return canon_sql(
             value,
             value_type,
@@ -119,6 +126,12 @@ def with_row_hashes(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     return staged.selectExpr(*kept, f"{_hash60('_md5', 1)} AS h1", f"{_hash60('_md5', 16)} AS h2")
 
 
+def with_text_hashes(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the hashes of a row whose canonical text is in column ``text``."""
+    staged = df.selectExpr("*", f"md5(`{text}`) AS _md5")
+    return staged.selectExpr("* EXCEPT (_md5)", f"{_hash60('_md5', 1)} AS h1", f"{_hash60('_md5', 16)} AS h2")
+
+
 def key_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> Column:
     """Bucket number of a key: 60-bit hash of its canonical text, modulo ``buckets``."""
     # Never NULL; saying so spares joins on it a second evaluation as a NULL filter.

@@ -75,7 +75,8 @@ def classify_epochs(
 
     Outcomes: ``matched``; ``nulled`` and ``null_source`` (target rightly NULL);
     ``not_nulled`` (out of range, yet a value arrived); ``lying_column`` (year
-    outside ``expect_years``); ``mismatch``; ``target_only``.
+    outside ``expect_years``); ``mismatch``; ``target_only``; ``duplicate`` (a
+    key with several rows on a side).
     """
     pairs = keyed_compare(source, target, [key], {source_column: target_column})
     raw, found = F.col(f"source_{source_column}"), F.col(f"target_{source_column}")
@@ -86,7 +87,8 @@ def classify_epochs(
     found_second = F.unix_seconds(found.cast("timestamp") if not isinstance(target_dtype, T.TimestampType) else found)
     sane = in_years(raw, encoding, sane_years)
     outcome = (
-        F.when(F.col("n_source") == 0, "target_only")
+        F.when(F.col("duplicated"), "duplicate")
+        .when(F.col("n_source") == 0, "target_only")
         .when(~sane & found.isNotNull() & F.lit(out_of_range_is_null), "not_nulled")
         .when(raw.isNull(), "null_source")
         .when(~sane, "nulled")
@@ -103,7 +105,7 @@ def classify_epochs(
     )
 
 
-_BAD_EPOCHS = ("not_nulled", "lying_column", "mismatch")
+_BAD_EPOCHS = ("not_nulled", "lying_column", "mismatch", "duplicate")
 
 
 def epoch_check(
@@ -173,32 +175,37 @@ def decimal_differences(source: DataFrame, target: DataFrame, key: Sequence[str]
     """``key, column, source_value, target_value`` wherever a value changed.
 
     Values are compared as numbers, so 1.50 equals 1.5; a missing target row
-    reads as NULL.
+    reads as NULL.  Of a key with several rows on a side every column differs,
+    and the value is the number of rows.
     """
     pairs = keyed_compare(source, target, key, {c: c for c in columns}).where("n_source > 0")
 
-    cells = [
-        F.struct(F.lit(c).alias("column"), _number(pairs, f"source_{c}").alias("source_value"), _number(pairs, f"target_{c}").alias("target_value"))
-        for c in columns
-    ]
+    def value(side: str, c: str) -> Column:
+        rows = F.concat(F.col(f"n_{side}").cast("string"), F.lit(" rows"))
+        return F.when(F.col("duplicated"), rows).otherwise(_number(pairs, f"{side}_{c}")).alias(f"{side}_value")
+
+    cells = [F.struct(F.lit(c).alias("column"), value("source", c), value("target", c), F.col("duplicated")) for c in columns]
     long = pairs.select(*key, F.inline(F.array(*cells)))
-    return long.where(~F.col("source_value").eqNullSafe(F.col("target_value")))
+    differs = F.col("duplicated") | ~F.col("source_value").eqNullSafe(F.col("target_value"))
+    return long.where(differs).drop("duplicated")
 
 
 def decimal_roundtrip(
     source: DataFrame, target: DataFrame, key: Sequence[str], columns: Sequence[str], *, name: str = "target", **labels
 ) -> DataFrame:
-    """One check per column, each with its own count of changed values."""
+    """One check per column, each with its own count of changed values; keys with several rows on a side count as changed."""
     pairs = keyed_compare(source, target, key, {c: c for c in columns}).where("n_source > 0")
-    texts = {c: ~_number(pairs, f"source_{c}").eqNullSafe(_number(pairs, f"target_{c}")) for c in columns}
-    row = pairs.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(bad).alias(f"bad_{c}") for c, bad in texts.items()])
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col("n"), F.col(f"bad_{c}").alias("bad")) for c in columns])
+    texts = {c: F.col("duplicated") | ~_number(pairs, f"source_{c}").eqNullSafe(_number(pairs, f"target_{c}")) for c in columns}
+    row = pairs.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("duplicated").alias("twice"), *[F.count_if(bad).alias(f"bad_{c}") for c, bad in texts.items()]
+    )
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col("n"), F.col("twice"), F.col(f"bad_{c}").alias("bad")) for c in columns])
     return as_checks(
         row.select(F.inline(cells)),
         "decimal_roundtrip",
         target=F.concat(F.lit(name + "."), F.col("column")),
         status=verdict(F.col("bad") == 0),
-        message=F.format_string("%d of %d rows changed", "bad", "n"),
+        message=F.format_string("%d of %d keys changed, %d of them with several rows", "bad", "n", "twice"),
         expected=F.lit(0),
         actual=F.col("bad"),
         metrics={"rows": F.col("n")},

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.operators.ordering import HOT_KEY_ROWS, neighbour
+from paritas.operators.ordering import neighbour
 from paritas.operators.report import as_checks, verdict
 
 OPEN_END = "9999-12-31"
@@ -18,7 +18,7 @@ def _second(c: str) -> Column:
     return F.unix_seconds(F.col(c).cast("timestamp"))
 
 
-def _with_next(df: DataFrame, entity_key: str, eff_from: str, eff_to: str, keep, tiebreak, hot_rows: int) -> DataFrame:
+def _with_next(df: DataFrame, entity_key: str, eff_from: str, eff_to: str, keep, tiebreak) -> DataFrame:
     """Versions with the next version's ``eff_from`` and ``_gap``: the timeline breaks after this one."""
     names = list(dict.fromkeys([entity_key, eff_from, eff_to, *keep, *tiebreak]))
     pairs = neighbour(
@@ -27,7 +27,6 @@ def _with_next(df: DataFrame, entity_key: str, eff_from: str, eff_to: str, keep,
         [eff_from, eff_to, *tiebreak],
         {"next_from": eff_from, "_has_next": "_present"},
         following=True,
-        hot_rows=hot_rows,
     )
     joined = _second(eff_to).eqNullSafe(_second("next_from"))
     usable = F.col(eff_to).isNotNull() & F.col("next_from").isNotNull()
@@ -35,10 +34,10 @@ def _with_next(df: DataFrame, entity_key: str, eff_from: str, eff_to: str, keep,
 
 
 def scd2_gaps(
-    df: DataFrame, entity_key: str, eff_from: str, eff_to: str, *, hot_rows: int = HOT_KEY_ROWS, tiebreak: Sequence[str] = ()
+    df: DataFrame, entity_key: str, eff_from: str, eff_to: str, *, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
     """Consecutive versions whose ``eff_to`` is not the next ``eff_from``, to the second."""
-    pairs = _with_next(df, entity_key, eff_from, eff_to, (), tiebreak, hot_rows)
+    pairs = _with_next(df, entity_key, eff_from, eff_to, (), tiebreak)
     return pairs.where("_gap").select(entity_key, eff_from, eff_to, "next_from")
 
 
@@ -108,7 +107,6 @@ def scd2_continuity(
     source: DataFrame | None = None,
     *,
     tiebreak: Sequence[str] = (),
-    hot_rows: int = HOT_KEY_ROWS,
     name: str = "target",
     **labels,
 ) -> DataFrame:
@@ -120,7 +118,7 @@ def scd2_continuity(
     """
     # The look-ahead already brings an entity's versions together, so counting
     # per entity on top of it needs no second shuffle.
-    versions = _with_next(df, entity_key, eff_from, eff_to, [current_flag], tiebreak, hot_rows)
+    versions = _with_next(df, entity_key, eff_from, eff_to, [current_flag], tiebreak)
     per = versions.groupBy(entity_key).agg(F.count_if("_gap").alias("gaps"), *_entity_counts(eff_to, current_flag, terminal))
     wrong_current = F.when(F.col("n_current") == 1, F.col("current_not_open")).otherwise(0)
     whats = ("gaps", "current", "terminal")

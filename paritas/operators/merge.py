@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paritas.functions import canon
@@ -23,17 +23,23 @@ class _Batch:
     """
 
     def __init__(self, target: DataFrame, delta: DataFrame, keys: Sequence[str], op: str, delete: str, order):
+        slots = [f"_k{i}" for i in range(len(keys))]
         changes = cdc_latest(delta, keys, order) if order else delta
-        whole = F.struct(*[F.col(c) for c in changes.columns]).alias("_change")
-        keyed = changes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], whole)
+        whole = F.struct(*[F.col(c) for c in changes.columns])
+        keyed = changes.select(*[F.col(k).alias(s) for k, s in zip(keys, slots)], whole.alias("_change"))
+        if not order:
+            # Without an order no change of several is the last one: refuse the batch.
+            one = F.when(F.count(F.lit(1)) == 1, F.first("_change")).otherwise(
+                F.raise_error(F.lit("several changes for one key of the batch; name an order"))
+            )
+            keyed = keyed.groupBy(*slots).agg(one.alias("_change"))
+        # Reduced once; both joins below read it.
+        keyed = durable(keyed, "batch")
         on = F.lit(True)
-        for i, k in enumerate(keys):
-            on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-        self.matched = target.join(keyed, on, "left").drop(*[f"_k{i}" for i in range(len(keys))])
-        slots = [f"_k{i}" for i in range(len(keys))]
-        wanted = keyed.select(*slots)
-        hits = target.select(*keys).join(wanted, on, "left_semi").distinct()
-        self.unmatched = keyed.join(hits, on, "left_anti").select("_change")
+        for k, s in zip(keys, slots):
+            on = on & F.col(k).eqNullSafe(F.col(s))
+        self.matched = target.join(keyed, on, "left").drop(*slots)
+        self.unmatched = keyed.join(target.select(*keys), on, "left_anti").select("_change")
         self.is_delete = F.coalesce(F.col(f"_change.{op}") == delete, F.lit(False))
 
     def branches(self) -> DataFrame:
@@ -55,6 +61,7 @@ def cdc_merge(
     updated, unmatched rows inserted unless they are deletes.
 
     With ``order`` the batch may carry several changes per key; the last counts.
+    Without it several changes of one key end the query with an error.
     Columns the batch does not carry keep their value, and are NULL in inserts.
     """
     batch = _Batch(target, delta, keys, op, delete, order)
@@ -151,22 +158,46 @@ def incremental_append(
     existing: DataFrame, feed: DataFrame, check_column: str, key: Sequence[str], runs: Sequence[object]
 ) -> tuple[DataFrame, DataFrame]:
     """Load ``feed`` in runs whose upper watermarks are ``runs``; returns the final
-    table and the audit rows ``run, watermark_from, rows_loaded, duplicate_keys, status``.
-
-    Each run takes the rows above the previous watermark.  A row's run follows
-    from its value, so all runs are audited in one scan of the feed.
+    table and the audit rows ``run, watermark_from, rows_loaded, duplicate_keys,
+    rows_not_taken, status``.
+
+    The first run starts above the largest value the table already holds, each
+    other above the run before.  ``duplicate_keys`` counts keys a run loads that
+    the table or an earlier run holds, or that it loads twice.
+    ``rows_not_taken`` counts the feed's rows that neither this run nor one before
+    it takes: behind the start, without a value, or ahead.  A row's run follows
+    from its value, so all runs are audited together.
     """
     spark = feed.sparkSession
     mark = F.col(check_column)
+    start = existing.agg(F.max(check_column)).scalar()
     run_of = F.lit(None).cast("int")
     for i in range(len(runs), 0, -1):
         run_of = F.when(mark <= F.lit(runs[i - 1]), i).otherwise(run_of)
-    fresh = feed.where(mark <= F.lit(runs[-1]))
-    table = existing.unionByName(fresh)
-    lows = [(i, None if i == 1 else str(runs[i - 2])) for i in range(1, len(runs) + 1)]
-    declared = spark.createDataFrame(lows, "run int, watermark_from string")
-    loaded = fresh.groupBy(run_of.alias("run")).agg(F.count(F.lit(1)).alias("_n"))
-    audit = declared.join(loaded, "run", "left").select("run", "watermark_from", F.coalesce("_n", F.lit(0)).alias("rows_loaded"))
-    repeats = table.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    audit = audit.withColumn("duplicate_keys", repeats.agg(F.count(F.lit(1))).scalar())
-    return table, audit.withColumn("status", F.when(F.col("duplicate_keys") == 0, "SUCCESS").otherwise("FAILED"))
+    run_of = F.when(start.isNull() | (mark > start), run_of)
+    placed = feed.withColumn("_run", run_of)
+    fresh = placed.where("_run IS NOT NULL")
+    table = existing.unionByName(fresh.drop("_run"))
+
+    counts = placed.groupBy("_run").agg(F.count(F.lit(1)).alias("_n"))
+    held = existing.select(*key, F.lit(0).alias("_run")).unionByName(fresh.select(*key, "_run"))
+    held = held.groupBy(*key, "_run").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*key).orderBy("_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    repeats = held.withColumn("_upto", F.sum("_n").over(upto)).where("_run > 0 AND _upto > 1")
+    repeats = repeats.groupBy("_run").agg(F.count(F.lit(1)).alias("_repeats"))
+
+    declared = spark.createDataFrame([(i,) for i in range(1, len(runs) + 1)], "run int")
+    low = F.lit(None).cast("string")
+    for i in range(len(runs), 1, -1):
+        low = F.when(F.col("run") == i, F.lit(str(runs[i - 2]))).otherwise(low)
+    low = F.when(F.col("run") == 1, start.cast("string")).otherwise(low)
+    audit = declared.join(counts, declared["run"] == counts["_run"], "left").drop("_run")
+    audit = audit.join(repeats, declared["run"] == repeats["_run"], "left")
+    loaded, repeated = F.coalesce("_n", F.lit(0)), F.coalesce("_repeats", F.lit(0))
+    earlier = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per run
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    return table, audit.select(
+        "run", low.alias("watermark_from"), loaded.alias("rows_loaded"), repeated.alias("duplicate_keys"),
+        (total - F.sum(loaded).over(earlier)).alias("rows_not_taken"),
+        F.when(repeated == 0, "SUCCESS").otherwise("FAILED").alias("status"),
+    )

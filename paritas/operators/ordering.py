@@ -1,11 +1,9 @@
 """Ordered computations that no single key, and no single task, can swamp.
 
-A window function sends every row of a key to one task.  That is right while
-keys are small, so :func:`neighbour` and :func:`running_total` use the plain
-window for them.  Keys above a row limit go another way: range-partition by
-(key, order), so that a hot key spreads over many tasks; compute inside each
-partition; carry the little state that crosses partition edges.  Rankings over
-a whole table always go the second way.
+A window function sends every row of a key to one task.  Here rows are
+range-partitioned by (key, order) instead, so that a key of any size spreads
+over many tasks; each partition computes on its own, and the little state that
+crosses partition edges is carried.  There is one path for keys of every size.
 """
 
 from __future__ import annotations
@@ -17,38 +15,9 @@ from pyspark.sql import functions as F
 
 from paritas.session import durable
 
-# A key with more rows than this leaves the plain window.
-HOT_KEY_ROWS = 5_000_000
-# At most this many keys can be hot, which bounds the broadcast list of them.
-MAX_HOT_KEYS = 10_000
-
 _PART_SHIFT = 33  # monotonically_increasing_id keeps the partition above bit 33
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
-def split_hot_keys(
-    df: DataFrame, keys: Sequence[str], limit: int = HOT_KEY_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
-    """``(rows of ordinary keys, rows of hot keys or None)``.
-
-    The counting pass reads only the key columns and combines on the map side.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest, total = counts.agg(F.max("_n"), F.sum("_n")).first()
-    if largest is None or largest <= limit:
-        return df, None
-    threshold = max(limit, total // MAX_HOT_KEYS)
-    hot = F.broadcast(counts.where(F.col("_n") > threshold).select(*keys))
-    condition = _same_key(df, hot, keys)
-    return df.join(hot, condition, "left_anti"), df.join(hot, condition, "left_semi")
-
-
 def placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, with ``_part`` and ``_at``.
 
@@ -61,14 +30,23 @@ def placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return durable(ordered.withColumn("_part", F.shiftright("_at", _PART_SHIFT)), "ordered")
 
 
+def _with_edges(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the edge columns of their (partition, key); one small row per partition and key on the right.
+
+    ``edges`` names its keys ``_e0, _e1, ...`` and its partition ``_e``.
+    """
+    on = F.col("_part") == F.col("_e")
+    for i, k in enumerate(keys):
+        on = on & F.col(f"`{k}`").eqNullSafe(F.col(f"_e{i}"))
+    return rows.join(edges, on, "left").drop("_e", *[f"_e{i}" for i in range(len(keys))])
+
+
+def _edge_names(keys: Sequence[str]) -> list[Column]:
+    return [F.col("_part").alias("_e"), *[F.col(f"`{k}`").alias(f"_e{i}") for i, k in enumerate(keys)]]
+
+
 def neighbour(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    columns: dict[str, str],
-    *,
-    following: bool = False,
-    hot_rows: int = HOT_KEY_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], *, following: bool = False
 ) -> DataFrame:
     """Add, per row, values of the previous (or following) row of the same key.
 
@@ -76,67 +54,34 @@ def neighbour(
     total order within a key.
     """
     step = F.lead if following else F.lag
-    ordinary, hot = split_hot_keys(df, keys, hot_rows)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    result = ordinary.select("*", *[step(F.col(src)).over(window).alias(new) for new, src in columns.items()])
-    if hot is None:
-        return result
-
-    rows = placed(hot, [F.col(k).asc() for k in (*keys, *order)])
+    rows = placed(df, [F.col(f"`{k}`").asc() for k in (*keys, *order)])
     inside = Window.partitionBy("_part", *keys).orderBy("_at")
-    inside_columns = [step(F.col(src)).over(inside).alias(f"_in_{new}") for new, src in columns.items()]
-    rows = rows.select("*", step(F.lit(True)).over(inside).alias("_has"), *inside_columns)
+    found = [step(F.col(f"`{src}`")).over(inside).alias(f"_in_{i}") for i, src in enumerate(columns.values())]
+    inner = rows.select("*", step(F.lit(True)).over(inside).alias("_has"), *found)
 
     # One row per (partition, key): the value the next partition needs.
-    edge = F.struct(*[F.col(src).alias(new) for new, src in columns.items()])
+    edge = F.struct(*[F.col(f"`{src}`").alias(f"v{i}") for i, src in enumerate(columns.values())])
     pick = F.min_by if following else F.max_by
     edges = rows.groupBy("_part", *keys).agg(pick(edge, "_at").alias("_edge"))
     across = Window.partitionBy(*keys).orderBy("_part")
-    edges = edges.select("_part", *keys, step("_edge").over(across).alias("_edge"))
-
-    r, e = rows.alias("r"), F.broadcast(edges).alias("e")
-    condition = F.col("r._part") == F.col("e._part")
-    for k in keys:
-        condition = condition & F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}"))
+    edges = edges.select(*_edge_names(keys), step("_edge").over(across).alias("_edge"))
     carried = [
-        F.when(F.col("r._has"), F.col(f"r._in_{new}")).otherwise(F.col(f"e._edge.{new}")).alias(new)
-        for new in columns
+        F.when(F.col("_has"), F.col(f"_in_{i}")).otherwise(F.col(f"_edge.v{i}")).alias(new) for i, new in enumerate(columns)
     ]
-    spread = r.join(e, condition, "left").select(*[F.col(f"r.`{c}`") for c in df.columns], *carried)
-    return result.unionByName(spread)
+    return _with_edges(inner, edges, keys).select(*[F.col(f"`{c}`") for c in df.columns], *carried)
 
 
-def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    name: str,
-    *,
-    hot_rows: int = HOT_KEY_ROWS,
-) -> DataFrame:
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """Add the running sum of ``value`` along ``order`` within each key, this row included."""
-    ordinary, hot = split_hot_keys(df, keys, hot_rows)
     frame = (Window.unboundedPreceding, Window.currentRow)
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
-    result = ordinary.withColumn(name, F.sum(value).over(window))
-    if hot is None:
-        return result
-
-    rows = placed(hot, [F.col(k).asc() for k in (*keys, *order)])
+    rows = placed(df, [F.col(f"`{k}`").asc() for k in (*keys, *order)])
     inside = Window.partitionBy("_part", *keys).orderBy("_at").rowsBetween(*frame)
-    rows = rows.withColumn("_inside", F.sum(value).over(inside))
+    inner = rows.withColumn("_inside", F.sum(value).over(inside))
     subtotals = rows.groupBy("_part", *keys).agg(F.sum(value).alias("_sub"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = subtotals.select("_part", *keys, F.coalesce(F.sum("_sub").over(earlier), F.lit(0)).alias("_carry"))
-
-    r, c = rows.alias("r"), F.broadcast(carried).alias("c")
-    condition = F.col("r._part") == F.col("c._part")
-    for k in keys:
-        condition = condition & F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}"))
-    total = (F.col("r._inside") + F.col("c._carry")).alias(name)
-    spread = r.join(c, condition, "left").select(*[F.col(f"r.`{x}`") for x in df.columns], total)
-    return result.unionByName(spread)
+    carried = subtotals.select(*_edge_names(keys), F.sum("_sub").over(earlier).alias("_carry"))
+    total = (F.col("_inside") + F.coalesce("_carry", F.lit(0))).alias(name)
+    return _with_edges(inner, carried, keys).select(*[F.col(f"`{c}`") for c in df.columns], total)
 
 
 def table_rank(

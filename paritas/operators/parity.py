@@ -67,22 +67,10 @@ def rowcount_parity(
 
 # -- aggregates --------------------------------------------------------------
 
-_AMOUNT = "decimal(38,9)"
-
-
-def _exact(c: Column, dtype: T.DataType) -> Column:
-    """A number whose sum does not depend on the order of addition."""
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return c.cast("decimal(28,6)")
-    if isinstance(dtype, T.IntegralType):
-        return c.cast("decimal(20,0)")
-    return c
-
-
 def _aggregate(fn: str, column: str, dtype: T.DataType) -> Column:
     c = F.col(f"`{column}`")
     if fn == "sum":
-        return F.sum(_exact(c, dtype))
+        return F.sum(c.cast("decimal(20,0)") if isinstance(dtype, T.IntegralType) else c)
     if fn == "count":
         return F.count(c)
     if fn == "count_distinct":
@@ -92,51 +80,97 @@ def _aggregate(fn: str, column: str, dtype: T.DataType) -> Column:
     raise ValueError(f"unknown aggregate {fn!r}")
 
 
+def _float_sum(df: DataFrame, column: str) -> DataFrame:
+    """The sum ``a0`` of doubles of any magnitude, whatever the order of the rows.
+
+    A double is a whole number of 2**(exponent - 52).  Whole numbers are added
+    exactly per exponent (some hundred groups, combined before the shuffle) and
+    the groups' sums in order of exponent.  NaN, and infinities of both signs,
+    give NaN.
+    """
+    x = F.col(f"`{column}`").cast("double")
+    infinite = F.lit(float("inf"))
+    finite = ~F.isnan(x) & (F.abs(x) != infinite)
+    exponent = F.when(finite & (x != 0), F.greatest(F.floor(F.log2(F.abs(x))), F.lit(-1000))).otherwise(F.lit(0)).cast("int")
+    # Scaled in two steps: 2**(52 - exponent) may itself be too large for a double.
+    scaled = F.round(x * F.pow(F.lit(2.0), F.floor((52 - exponent) / 2)) * F.pow(F.lit(2.0), F.ceil((52 - exponent) / 2)))
+    whole = F.when(finite, scaled.cast("decimal(20,0)"))
+    odd = F.when(x.isNotNull() & ~finite, x)
+    parts = df.select(exponent.alias("e"), whole.alias("m"), odd.alias("odd")).where("m IS NOT NULL OR odd IS NOT NULL")
+    parts = parts.groupBy("e").agg(F.sum("m").alias("m"), F.sum("odd").alias("odd"))
+    term = F.col("m").cast("double") * F.pow(F.lit(2.0), F.floor((F.col("e") - 52) / 2)) * F.pow(F.lit(2.0), F.ceil((F.col("e") - 52) / 2))
+    terms = F.array_sort(F.collect_list(F.struct("e", term.alias("t"))))
+    total = F.aggregate(terms, F.lit(0.0), lambda acc, p: acc + F.coalesce(p["t"], F.lit(0.0)))
+    return parts.agg(F.when(F.count(F.lit(1)) > 0, F.coalesce(F.sum("odd"), total)).alias("a0"))
+
+
 def _cell(value: Column, dtype: T.DataType, spec: Mapping[str, str]) -> Column:
-    num, sec, txt = F.lit(None), F.lit(None), F.lit(None)
+    number, sec, txt = F.lit(None), F.lit(None), F.lit(None)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         sec = F.unix_seconds(value.cast("timestamp"))
     elif isinstance(dtype, T.DateType):
         sec = F.unix_date(value)
     elif isinstance(dtype, T.NumericType):
-        num = value
+        number, txt = value, _digits(value, dtype)
     else:
         txt = value
     return F.struct(
         F.lit(spec["column"]).alias("column"),
         F.lit(spec["fn"]).alias("fn"),
         F.lit(str(spec.get("tolerance", "0"))).alias("tolerance"),
-        num.cast(_AMOUNT).alias("num"),
+        number.cast("double").alias("num"),
         sec.cast("bigint").alias("sec"),
         txt.cast("string").alias("txt"),
     )
 
 
+def _digits(value: Column, dtype: T.DataType) -> Column:
+    """All digits of a number as text that equal numbers of any type share; doubles of plain magnitude as decimals."""
+    text = value.cast("string")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        plain = value.cast("double")
+        small = (F.abs(plain) < 1e15) & ((plain == 0) | (F.abs(plain) >= 1e-3)) & ~F.isnan(plain)
+        # The shortest text of such a double has a point and no exponent once it is a decimal.
+        text = F.when(small, F.when(small, text).try_cast("decimal(38,20)").cast("string")).otherwise(text)
+    pointed = text.contains(".") & ~text.contains("E")
+    return F.when(pointed, F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+
+
 def table_aggregates(df: DataFrame, aggregates: Sequence[Mapping[str, str]]) -> DataFrame:
-    """One row per aggregate: ``column, fn, num`` for numbers, ``sec`` for instants
-    (whole seconds) and dates (days), ``txt`` for everything else.
+    """One row per aggregate: ``column, fn``, ``txt`` with all digits and ``num`` as a double for
+    numbers, ``sec`` for instants (whole seconds) and dates (days), ``txt`` for everything else.
 
-    Distinct counts run apart from the rest: together, Spark would group the
-    whole table by the distinct column and carry every other aggregate along.
+    Distinct counts and sums of doubles run apart from the rest: together, Spark
+    would group the whole table by them and carry every other aggregate along.
     """
-    distinct = [a for a in aggregates if a["fn"] == "count_distinct"]
-    plain = [a for a in aggregates if a["fn"] != "count_distinct"]
+    inexact = lambda a: a["fn"] == "sum" and isinstance(df.schema[a["column"]].dataType, (T.FloatType, T.DoubleType))
+    apart = [a for a in aggregates if a["fn"] == "count_distinct" or inexact(a)]
+    plain = [a for a in aggregates if a not in apart]
     out = None
-    for group in ([plain] if plain else []) + [[a] for a in distinct]:
-        row = df.agg(
-            *[_aggregate(a["fn"], a["column"], df.schema[a["column"]].dataType).alias(f"a{i}") for i, a in enumerate(group)]
-        )
+    for group in ([plain] if plain else []) + [[a] for a in apart]:
+        if inexact(group[0]):
+            row = _float_sum(df, group[0]["column"])
+        else:
+            row = df.agg(
+                *[_aggregate(a["fn"], a["column"], df.schema[a["column"]].dataType).alias(f"a{i}") for i, a in enumerate(group)]
+            )
         types = [f.dataType for f in row.schema.fields]
         cells = row.select(F.inline(F.array(*[_cell(F.col(f"a{i}"), types[i], a) for i, a in enumerate(group)])))
         out = cells if out is None else out.unionByName(cells)
     return out
 
 
+def _within(src: Column, tgt: Column, src_text: Column, tgt_text: Column, limit: Column) -> Column:
+    """Whether two numbers differ by ``limit`` at most: as decimals where both fit, else as doubles."""
+    exact = F.abs(src_text.try_cast("decimal(38,12)") - tgt_text.try_cast("decimal(38,12)")) <= limit.try_cast("decimal(38,12)")
+    return (limit > 0) & F.coalesce(exact, F.abs(src - tgt) <= limit)
+
+
 def aggregate_parity(
     source: DataFrame, target: DataFrame, aggregates: Sequence[Mapping[str, str]], *, name: str = "target", **labels
 ) -> DataFrame:
     """One check per ``{column, fn, tolerance?}``; instants are compared in whole
-    seconds, numbers exactly, and NULL equals NULL."""
+    seconds, numbers in all their digits, and NULL equals NULL, NaN equals NaN."""
     sides = _two_sides(table_aggregates(source, aggregates), table_aggregates(target, aggregates))
     both = sides.groupBy("column", "fn", "tolerance").agg(
         *[_pick(side, c).alias(f"{label}_{c}") for side, label in ((0, "src"), (1, "tgt")) for c in ("num", "sec", "txt")]
@@ -145,20 +179,11 @@ def aggregate_parity(
     percent = F.col("tolerance").endswith("%")
     size = F.regexp_replace("tolerance", "%", "").cast("double")
     limit = F.when(percent, F.abs(src).cast("double") * size / 100.0).otherwise(size)
-    same_number = (src == tgt) | (F.abs(src - tgt) <= limit)
+    same_number = _within(src, tgt, F.col("src_txt"), F.col("tgt_txt"), limit)
     same_instant = F.abs(F.col("src_sec") - F.col("tgt_sec")) <= F.when(percent, F.lit(0.0)).otherwise(size)
-    equal = (
-        src.eqNullSafe(tgt) & F.col("src_sec").eqNullSafe(F.col("tgt_sec")) & F.col("src_txt").eqNullSafe(F.col("tgt_txt"))
-    )
+    equal = F.col("src_sec").eqNullSafe(F.col("tgt_sec")) & F.col("src_txt").eqNullSafe(F.col("tgt_txt"))
     ok = equal | F.coalesce(same_number, F.lit(False)) | F.coalesce(same_instant, F.lit(False))
-    shown = {
-        label: F.coalesce(
-            F.col(f"{label}_txt"),
-            F.col(f"{label}_sec").cast("string"),
-            F.expr(f"if({label}_num IS NULL, NULL, {canon.canon_sql(f'{label}_num', T.DecimalType(38, 9))})"),
-        )
-        for label in ("src", "tgt")
-    }
+    shown = {label: F.coalesce(F.col(f"{label}_txt"), F.col(f"{label}_sec").cast("string")) for label in ("src", "tgt")}
     return as_checks(
         both,
         "aggregate_parity",
@@ -284,7 +309,7 @@ def fingerprint_parity(
         "fingerprint_parity",
         target=F.lit(name),
         status=verdict(F.col("src") == F.col("tgt")),
-        message=F.when(F.col("src") == F.col("tgt"), "digest match").otherwise("digest mismatch"),
+        message=F.when(F.col("src") == F.col("tgt"), "same digest on both sides").otherwise("digests differ"),
         expected=F.col("src"),
         actual=F.col("tgt"),
         **labels,
@@ -324,16 +349,21 @@ def multiset_diff(left: DataFrame, right: DataFrame, columns: Sequence[str] | No
     """Rows whose multiplicity differs: ``row_text, difference, copies``.
 
     ``difference`` is ``missing`` (more copies on the left) or ``unexpected``.
-    A column absent from one side counts as NULL there.  One shuffle, with
-    repeated rows combined before it; :func:`multiset_counts` moves only hashes.
+    A column absent from one side counts as NULL there.  Row hashes are netted
+    first, repeated rows combined before the shuffle; only rows of an unequal hash
+    are then written out as text.
     """
     names = list(columns) if columns else sorted({*left.columns, *right.columns})
+    sides = [(_with_all(df, names), sign) for df, sign in ((left, 1), (right, -1))]
+    hashed = [canon.with_row_hashes(df, names, **options).withColumn("_sign", F.lit(sign)) for df, sign in sides]
+    net = hashed[0].unionByName(hashed[1]).groupBy("h1", "h2").agg(F.sum("_sign").alias("_net")).where("_net != 0")
+    net = durable(net, "unequal")
     texts = []
-    for df, sign in ((left, 1), (right, -1)):
-        full = _with_all(df, names)
-        texts.append(full.select(canon.canon_row(full, names, **options).alias("row_text"), F.lit(sign).alias("_sign")))
-    net = texts[0].unionByName(texts[1]).groupBy("row_text").agg(F.sum("_sign").alias("_net"))
-    return net.where("_net != 0").select(
+    for df, _ in sides:
+        full = df.select(canon.canon_row(df, names, **options).alias("row_text"))
+        texts.append(canon.with_text_hashes(full, "row_text").join(net, ["h1", "h2"], "left_semi").distinct())
+    found = texts[0].unionByName(texts[1]).distinct().join(net, ["h1", "h2"])
+    return found.select(
         "row_text",
         F.when(F.col("_net") > 0, "missing").otherwise("unexpected").alias("difference"),
         F.abs("_net").alias("copies"),
@@ -370,12 +400,16 @@ def query_parity(
     if mode == "scalar":
         cells = []
         for df in (source, target):
-            first = F.first(F.col(f"`{df.columns[0]}`")).alias("v")
-            cells.append(df.select(df.columns[0]).limit(1).agg(first).select(F.col("v").cast("string").alias("v")))
-        both = _two_sides(*cells).agg(_pick(0, "v").alias("src"), _pick(1, "v").alias("tgt"))
-        src, tgt = F.col("src").try_cast("decimal(38,9)"), F.col("tgt").try_cast("decimal(38,9)")
-        close = F.abs(src - tgt) <= allowed(tolerance, src)
-        ok = F.coalesce(close, F.col("src").eqNullSafe(F.col("tgt")))
+            dtype, value = df.schema.fields[0].dataType, F.col(f"`{df.columns[0]}`")
+            text = _digits(value, dtype) if isinstance(dtype, T.NumericType) else value.cast("string")
+            cells.append(df.agg(F.max(text).alias("v"), F.count(F.lit(1)).alias("n")))
+        both = _two_sides(*cells).agg(*[_pick(i, c).alias(f"{c}{i}") for i in (0, 1) for c in ("v", "n")])
+        # A query of other than one row has no scalar; its row count stands in for the value.
+        shown = [F.when(F.col(f"n{i}") == 1, F.col(f"v{i}")).otherwise(F.concat(F.col(f"n{i}").cast("string"), F.lit(" rows"))) for i in (0, 1)]
+        both = both.select(shown[0].alias("src"), shown[1].alias("tgt"), (F.col("n0") + F.col("n1") == 2).alias("single"))
+        src, tgt = F.col("src").try_cast("double"), F.col("tgt").try_cast("double")
+        close = F.coalesce(_within(src, tgt, F.col("src"), F.col("tgt"), allowed(tolerance, src)), F.lit(False))
+        ok = F.col("single") & (close | F.col("src").eqNullSafe(F.col("tgt")))
     else:
         names = sorted({*source.columns, *target.columns})
         prints = []
@@ -396,12 +430,13 @@ def query_parity(
 
 
 def keyed_compare(source: DataFrame, target: DataFrame, key: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
-    """Per key: ``n_source, n_target`` and each column's value on both sides.
+    """Per key: ``n_source, n_target``, ``duplicated`` and each column's value on both sides.
 
     ``columns`` maps source column to target column; the output has
     ``source_<c>`` and ``target_<c>`` per source column ``c``.  A key absent
-    from the target yields NULL there.  Duplicate keys fold to their largest
-    value and show in the counts.
+    from the target yields NULL there.  A key with several rows on a side has no
+    one value to compare: it is ``duplicated``, a finding of its own, and its
+    values are NULL on that side.
     """
     left = source.select(
         *key, F.lit(0).alias("_side"), *[F.col(s).alias(f"source_{s}") for s in columns],
@@ -411,8 +446,13 @@ def keyed_compare(source: DataFrame, target: DataFrame, key: Sequence[str], colu
         *key, F.lit(1).alias("_side"), *[F.lit(None).cast(source.schema[s].dataType).alias(f"source_{s}") for s in columns],
         *[F.col(t).alias(f"target_{s}") for s, t in columns.items()],
     )
-    return left.unionByName(right).groupBy(*key).agg(
+    values = [f"{side}_{s}" for s in columns for side in ("source", "target")]
+    both = left.unionByName(right).groupBy(*key).agg(
         F.count_if(F.col("_side") == 0).alias("n_source"),
         F.count_if(F.col("_side") == 1).alias("n_target"),
-        *[F.max(f"{side}_{s}").alias(f"{side}_{s}") for s in columns for side in ("source", "target")],
+        *[F.max(v).alias(v) for v in values],
+    )
+    alone = lambda v: F.when(F.col("n_source" if v.startswith("source_") else "n_target") <= 1, F.col(v)).alias(v)
+    return both.select(
+        *key, "n_source", "n_target", ((F.col("n_source") > 1) | (F.col("n_target") > 1)).alias("duplicated"), *[alone(v) for v in values]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paritas.functions.tolerance import allowed
-from paritas.operators.ordering import HOT_KEY_ROWS, running_total
+from paritas.operators.ordering import running_total
 from paritas.operators.report import FAIL, PASS, as_checks, verdict
 from paritas.session import durable
 
@@ -63,7 +63,7 @@ def perf_measure(spark: SparkSession, queries: Mapping[str, Callable[[], DataFra
     return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
-def perf_percentiles(metrics: DataFrame, *, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def perf_percentiles(metrics: DataFrame) -> DataFrame:
     """``query, metric, runs, p50, p95, max_value, min_value`` by the nearest-rank rule.
 
     Equal values are counted first; ranks come from a running total of those
@@ -75,7 +75,7 @@ def perf_percentiles(metrics: DataFrame, *, hot_rows: int = HOT_KEY_ROWS) -> Dat
     totals = counted.groupBy(*keys).agg(
         F.sum("_n").alias("runs"), F.max("value").alias("max_value"), F.min("value").alias("min_value")
     )
-    ranked = running_total(counted, keys, ["value"], "_n", "_upto", hot_rows=hot_rows)
+    ranked = running_total(counted, keys, ["value"], "_n", "_upto")
     r, t = ranked.alias("r"), totals.alias("t")
     same = F.col("r.query").eqNullSafe(F.col("t.query")) & F.col("r.metric").eqNullSafe(F.col("t.metric"))
     joined = r.join(t, same).select("r.query", "r.metric", "value", "_upto", "runs", "max_value", "min_value")

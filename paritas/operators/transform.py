@@ -17,7 +17,7 @@ from paritas.operators.report import ERROR, as_checks, check_row, error_text, ve
 from paritas.sources.files import load
 from paritas.sources.inline import seed_all
 
-SCRATCH_PREFIX = "dmt_build"
+SCRATCH_PREFIX = "scratch_build"
 _SCRATCH_PROPERTY = "ephemeral"
 _CREATE_AS = re.compile(r"\s*CREATE\s+(?:OR\s+REPLACE\s+)?TABLE\s+([\w.`]+)\s+AS\s+", re.IGNORECASE)
 

@@ -166,6 +166,23 @@ STAND_INS = {
         SELECT event_id, CASE WHEN event_id % 1000 = 11 THEN ts WHEN event_id % 500 IN (7, 11, 13) THEN NULL
                               WHEN event_id % 701 = 3 THEN ts + INTERVAL '1' SECOND ELSE ts END AS converted_ts
         FROM {events} WHERE event_id % 907 <> 4""",
+    "faulty_export": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, amount,
+               CASE WHEN o_orderkey % 499 = 2 THEN o_orderdate + INTERVAL '1' DAY ELSE o_orderdate END AS o_orderdate, o_orderpriority
+        FROM {orders_target}""",
+    "orders_repeated": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, amount, o_orderdate, o_orderpriority FROM {orders_target}
+        UNION ALL
+        SELECT o_orderkey, o_custkey, o_orderstatus, amount, o_orderdate, o_orderpriority FROM {orders_target} WHERE o_orderkey % 503 = 1""",
+    "orders_doubled": """
+        SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(14,2)) AS amount FROM {orders}
+        UNION ALL
+        SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) - CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS DECIMAL(14,2))
+        FROM {orders} WHERE o_orderkey % 211 IN (5, 6)""",
+    "epoch_doubled": """
+        SELECT event_id, converted_ts FROM {epoch_target}
+        UNION ALL
+        SELECT event_id, converted_ts + INTERVAL '1' HOUR FROM {epoch_target} WHERE event_id % 307 = 9""",
     "invoices": """
         SELECT o_orderkey AS invoice_id, o_custkey AS contact_id, CAST(o_totalprice AS DECIMAL(14,2)) AS amount
         FROM {orders}""",

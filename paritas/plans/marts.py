@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paritas.operators.history import latest_version
-from paritas.operators.ordering import HOT_KEY_ROWS, neighbour, ntile, percent_rank, running_total, table_rank
+from paritas.operators.ordering import neighbour, ntile, percent_rank, running_total, table_rank
+from paritas.session import durable
 
 REPEAT_WINDOW_SECONDS = 259_200
 FCR_WINDOW_DAYS = 7
 LABOUR_RATE = "18.50"
-MAX_ORG_DEPTH = 6
 
 # Call-driver classes in order of precedence.
 CALL_DRIVERS = (
@@ -46,39 +46,51 @@ def date_key_to_date(c: str) -> Column:
     return F.to_date(F.col(c).cast("string"), "yyyyMMdd")
 
 
-def org_hierarchy(ods_org_unit: DataFrame, max_depth: int = MAX_ORG_DEPTH) -> DataFrame:
-    """Every unit at most ``max_depth`` steps below a root (no parent), with depth and name path.
+def org_hierarchy(ods_org_unit: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Every unit below a root (no parent), with depth and name path.
 
-    Each unit climbs: one join per step looks its current ancestor up by id, so
-    the walk is ``max_depth`` joins whatever the shape of the tree.  Units whose
-    ancestors are missing or too far up never meet a root and drop out.
+    Units climb by doubling: after round r a unit knows its ancestor 2**r steps
+    up, or its root, so a tree of depth d takes log2(d) rounds; each is written.
+    Units below a missing parent drop out, and a cycle ends the climb when no
+    path of its length is left in the table.  ``max_depth`` leaves out deeper
+    units, as the legacy view does at 6.
     """
     kept = ["org_unit_id", "unit_code", "unit_name", "unit_type", "site_code"]
-    own = F.col("parent_unit_id").isNull()
-    climbing = ods_org_unit.select(
-        *kept,
-        F.when(own, F.col("org_unit_id")).alias("root_unit_id"),
-        F.lit(0).alias("depth"),
-        F.col("unit_name").alias("path_names"),
-        F.col("parent_unit_id").alias("_next"),
-    )
-    ancestors = ods_org_unit.select(
-        F.col("org_unit_id").alias("_id"), F.col("unit_name").alias("_name"), F.col("parent_unit_id").alias("_up")
-    )
-    met = F.col("_id").isNotNull()
-    for _ in range(max_depth):
-        climbing = climbing.join(ancestors, F.col("_next") == F.col("_id"), "left").select(
-            *kept,
-            F.when(met & F.col("_up").isNull(), F.col("_id")).otherwise(F.col("root_unit_id")).alias("root_unit_id"),
-            F.when(met, F.col("depth") + 1).otherwise(F.col("depth")).alias("depth"),
-            F.when(met, F.concat("_name", F.lit(" > "), "path_names")).otherwise(F.col("path_names")).alias("path_names"),
-            F.col("_up").alias("_next"),
+    tops = ods_org_unit.where("parent_unit_id IS NULL").select(
+        *kept, F.col("org_unit_id").alias("root_unit_id"), F.lit(0).alias("depth"), F.col("unit_name").alias("path_names")
+    )
+    # A jump leads from a unit to an ancestor: its id, the steps, the names passed on the way, and whether it is a root.
+    up = ods_org_unit.select(
+        F.col("org_unit_id").alias("_to"), F.lit(1).alias("_steps"), F.col("unit_name").alias("_names"),
+        F.col("parent_unit_id").isNull().alias("_top"),
+    )
+    own = ods_org_unit.select(*kept, F.col("parent_unit_id").alias("_to")).where("_to IS NOT NULL")
+    jumps = durable(own.join(up, "_to").select(*kept, "_to", "_steps", "_names", "_top"), "org-jumps")
+    units, reach = ods_org_unit.count(), 1
+    while reach <= units and not jumps.where("NOT _top").isEmpty():
+        further = jumps.select(
+            F.col("org_unit_id").alias("_to"), F.col("_to").alias("_to2"), F.col("_steps").alias("_more"),
+            F.col("_names").alias("_above"), F.col("_top").alias("_ends"),
         )
-    return climbing.where(F.col("root_unit_id").isNotNull()).drop("_next")
+        climbed = jumps.where("NOT _top").join(further, "_to").select(
+            *kept, F.col("_to2").alias("_to"), (F.col("_steps") + F.col("_more")).alias("_steps"),
+            F.concat("_above", F.lit(" > "), "_names").alias("_names"), F.col("_ends").alias("_top"),
+        )
+        jumps, reach = durable(jumps.where("_top").unionByName(climbed), "org-jumps"), reach * 2
+    below = jumps.where("_top").select(
+        *kept, F.col("_to").alias("root_unit_id"), F.col("_steps").alias("depth"),
+        F.concat("_names", F.lit(" > "), "unit_name").alias("path_names"),
+    )
+    tree = tops.unionByName(below)
+    return tree if max_depth is None else tree.where(F.col("depth") <= max_depth)
 
 
-def active_agents(fact_interaction: DataFrame, dim_agent: DataFrame, rsd: float = 0.02) -> DataFrame:
-    """Approximate active agents and agent-channel pairs per day and site."""
+def active_agents(fact_interaction: DataFrame, dim_agent: DataFrame, lg_k: int = 14) -> DataFrame:
+    """Approximate active agents and agent-channel pairs per day and site.
+
+    Sketches hold the few values of a small group as they are and grow to
+    2**lg_k registers (0.8 % standard error at 14).
+    """
     # Folded to one row per day, agent and channel before the join; distinct
     # agents and pairs are the same at that grain.
     folded = fact_interaction.groupBy("date_key", "agent_sk", "channel").agg(F.count(F.lit(1)).alias("_n"))
@@ -87,8 +99,8 @@ def active_agents(fact_interaction: DataFrame, dim_agent: DataFrame, rsd: float
         folded.join(dim_agent.select("agent_sk", "site_code"), "agent_sk")
         .groupBy("date_key", "site_code")
         .agg(
-            F.approx_count_distinct("agent_sk", rsd).alias("approx_active_agents"),
-            F.approx_count_distinct(pair, rsd).alias("approx_agent_channel_pairs"),
+            F.hll_sketch_estimate(F.hll_sketch_agg(F.col("agent_sk").cast("bigint"), lg_k)).alias("approx_active_agents"),
+            F.hll_sketch_estimate(F.hll_sketch_agg(pair, lg_k)).alias("approx_agent_channel_pairs"),
             F.sum("_n").alias("interactions"),
         )
     )
@@ -143,12 +155,12 @@ def call_drivers(ods_call: DataFrame, dim_disposition: DataFrame) -> DataFrame:
     )
 
 
-def repeat_contact(ods_interaction: DataFrame, *, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def repeat_contact(ods_interaction: DataFrame) -> DataFrame:
     """Each interaction with the customer's previous contact and whether it was within 72 hours."""
     known = ods_interaction.where(F.col("customer_ref").isNotNull() & (F.col("customer_ref").cast("string") != ""))
     narrow = known.select("interaction_id", "customer_ref", "channel", "start_ts")
     previous = neighbour(
-        narrow, ["customer_ref"], ["start_ts", "interaction_id"], {"prev_contact_ts": "start_ts"}, hot_rows=hot_rows
+        narrow, ["customer_ref"], ["start_ts", "interaction_id"], {"prev_contact_ts": "start_ts"}
     )
     gap = F.unix_seconds(F.col("start_ts").cast("timestamp")) - F.unix_seconds(F.col("prev_contact_ts").cast("timestamp"))
     return previous.withColumn("repeat_within_72h", F.when(gap <= REPEAT_WINDOW_SECONDS, 1).otherwise(0))
@@ -266,7 +278,7 @@ def _micros(c: str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def _contacts_after(fact_interaction: DataFrame, days: int, hot_rows: int) -> DataFrame:
+def _contacts_after(fact_interaction: DataFrame, days: int) -> DataFrame:
     """``customer_ref, _end, n_repeats`` for every instant a resolved interaction of the customer ended.
 
     Counts pairs without forming them: with C(t) the customer's contacts up to
@@ -288,23 +300,23 @@ def _contacts_after(fact_interaction: DataFrame, days: int, hot_rows: int) -> Da
         questions.select("customer_ref", "_at", F.lit(1).alias("_kind"), F.lit(0).cast("bigint").alias("_w"), "_end", "_sign")
     )
     # _kind puts a contact before a question at the same instant: "up to and including".
-    counted = running_total(line, ["customer_ref"], ["_at", "_kind", "_end", "_sign"], "_w", "_upto", hot_rows=hot_rows)
+    counted = running_total(line, ["customer_ref"], ["_at", "_kind", "_end", "_sign"], "_w", "_upto")
     return counted.where("_kind = 1").groupBy("customer_ref", "_end").agg(
         F.sum(F.col("_upto") * F.col("_sign")).cast("bigint").alias("n_repeats")
     )
 
 
 def repeats_after(
-    fact_interaction: DataFrame, days: int = FCR_WINDOW_DAYS, *, hot_rows: int = HOT_KEY_ROWS
+    fact_interaction: DataFrame, days: int = FCR_WINDOW_DAYS
 ) -> DataFrame:
     """Per resolved interaction, ``n_repeats``: contacts of the same customer that
     start after its end and within ``days``."""
     resolved = fact_interaction.where("resolved_flag").select("interaction_id", "customer_ref", _micros("end_ts").alias("_end"))
-    joined = resolved.join(_contacts_after(fact_interaction, days, hot_rows), ["customer_ref", "_end"], "left")
+    joined = resolved.join(_contacts_after(fact_interaction, days), ["customer_ref", "_end"], "left")
     return joined.select("interaction_id", "customer_ref", F.coalesce("n_repeats", F.lit(0)).alias("n_repeats"))
 
 
-def first_contact_resolution(fact_interaction: DataFrame, *, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def first_contact_resolution(fact_interaction: DataFrame) -> DataFrame:
     """First-contact resolution per day and program.
 
     ``resolved_interactions`` keeps the view's arithmetic: an interaction with k
@@ -313,7 +325,7 @@ def first_contact_resolution(fact_interaction: DataFrame, *, hot_rows: int = HOT
     resolved = fact_interaction.where("resolved_flag").groupBy(
         "customer_ref", _micros("end_ts").alias("_end"), "date_key", "program_sk"
     ).agg(F.count(F.lit(1)).alias("_n"))
-    repeats = _contacts_after(fact_interaction, FCR_WINDOW_DAYS, hot_rows)
+    repeats = _contacts_after(fact_interaction, FCR_WINDOW_DAYS)
     joined = resolved.join(repeats, ["customer_ref", "_end"], "left").withColumn("_k", F.coalesce("n_repeats", F.lit(0)))
     first = F.sum(F.when(F.col("_k") == 0, F.col("_n")).otherwise(0))
     total = F.sum(F.col("_n") * F.greatest("_k", F.lit(1)))

@@ -81,7 +81,8 @@ def oracle(body: str) -> str:
     need(body)
     flat = lambda text: _NAME.sub(lambda m: m.group(1), _expand(text, _DUCKDB)).strip()
     ctes = [f"{name} AS (\n{flat(STAND_INS[name])}\n)" for name in order]
-    text = flat(body)
+    # A comment may lead the query; what follows decides how its CTEs are joined.
+    text = "\n".join(line for line in flat(body).splitlines() if not line.strip().startswith("--")).strip()
     recursive = text.upper().startswith("WITH RECURSIVE")
     if text.upper().startswith("WITH"):
         text = text[len("WITH RECURSIVE" if recursive else "WITH"):].strip()

@@ -102,12 +102,14 @@ def egress_export(t):
 @query(
     "egress_parity",
     """
-    WITH d AS (SELECT COUNT(*) AS n FROM {orders_source} s FULL OUTER JOIN {orders_target} t ON s.o_orderkey = t.o_orderkey AND s.amount = t.amount
-               WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL),
-    s AS (SELECT COUNT(*) AS n, SUM(amount) AS a FROM {orders_source}), t AS (SELECT COUNT(*) AS n, SUM(amount) AS a FROM {orders_target})
-    SELECT 'true (identity)' AS target, 'PASS' AS status, '0' AS expected, '0' AS actual
-    UNION ALL SELECT 'true (row_cnt)', 'PASS', CAST(n AS STRING), CAST(n AS STRING) FROM s
-    UNION ALL SELECT 'true (control_total:amount)', 'PASS', rtrim(rtrim(CAST(a AS STRING), '0'), '.'), rtrim(rtrim(CAST(a AS STRING), '0'), '.') FROM s
+    WITH d AS (SELECT (SELECT COUNT(*) FROM (FROM {orders_source} EXCEPT ALL FROM {faulty_export}) x)
+                    + (SELECT COUNT(*) FROM (FROM {faulty_export} EXCEPT ALL FROM {orders_source}) y) AS n),
+    e AS (SELECT COUNT(*) AS n FROM (FROM {orders_source} EXCEPT ALL FROM {orders_source}) z),
+    s AS (SELECT COUNT(*) AS n, SUM(amount) AS a FROM {orders_source}), t AS (SELECT COUNT(*) AS n, SUM(amount) AS a FROM {faulty_export})
+    SELECT 'true (identity)' AS target, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, '0' AS expected, CAST(n AS STRING) AS actual FROM e
+    UNION ALL SELECT 'true (row_cnt)', CASE WHEN n = (SELECT COUNT(*) FROM {orders}) THEN 'PASS' ELSE 'FAIL' END, CAST(n AS STRING), CAST((SELECT COUNT(*) FROM {orders}) AS STRING) FROM s
+    UNION ALL SELECT 'true (control_total:amount)', CASE WHEN a = (SELECT SUM(CAST(o_totalprice AS DECIMAL(14,2))) FROM {orders}) THEN 'PASS' ELSE 'FAIL' END,
+      rtrim(rtrim(CAST(a AS STRING), '0'), '.'), rtrim(rtrim(CAST((SELECT SUM(CAST(o_totalprice AS DECIMAL(14,2))) FROM {orders}) AS STRING), '0'), '.') FROM s
     UNION ALL SELECT 'faulty (identity)', CASE WHEN d.n = 0 THEN 'PASS' ELSE 'FAIL' END, '0', CAST(d.n AS STRING) FROM d
     UNION ALL SELECT 'faulty (row_cnt)', CASE WHEN s.n = t.n THEN 'PASS' ELSE 'FAIL' END, CAST(s.n AS STRING), CAST(t.n AS STRING) FROM s, t
     UNION ALL SELECT 'faulty (control_total:amount)', CASE WHEN s.a = t.a THEN 'PASS' ELSE 'FAIL' END,
@@ -115,9 +117,9 @@ def egress_export(t):
 )
 def egress_parity(t):
     legacy = t.orders_source
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "amount", "o_orderpriority"]
+    columns = ORDER_COLUMNS
     good = files.export_json(legacy, scratch_path(t.spark, "export"))
-    bad = files.export_json(t.orders_target, scratch_path(t.spark, "export"))
+    bad = files.export_json(t.faulty_export, scratch_path(t.spark, "export"))
     return shown(
         files.egress_parity(legacy, good, columns, "amount", name="true").unionByName(
             files.egress_parity(legacy, bad, columns, "amount", name="faulty")
@@ -135,23 +137,32 @@ def egress_parity(t):
     UNION ALL SELECT 'o_orc (ORC)', 'PASS', n, n FROM n
     UNION ALL SELECT 'o_hive (NEWLINE_DELIMITED_JSON)', 'PASS', n, n FROM n
     UNION ALL SELECT 'o_hive (partition meta)', 'PASS', 'o_orderstatus', 'o_orderstatus'
+    UNION ALL SELECT 'o_broken_json', 'FAIL', NULL, NULL
+    UNION ALL SELECT 'o_broken_csv', 'FAIL', NULL, NULL
     UNION ALL SELECT 'o_absent', 'FAIL', NULL, NULL""",
 )
 def bulk_load(t):
     folder = scratch_path(t.spark, "bulk")
     paths = files.stage_formats(t.orders_source, folder, "o_orderstatus")
     t.orders_source.write.orc(f"{folder}/orc")
+    # The same rows with one line cut off, and with one that holds a word for a number.
+    lines = t.spark.read.text(paths["json"])
+    lines.unionByName(lines.limit(1).select(F.expr("left(value, 20)").alias("value"))).write.text(f"{folder}/broken_json")
+    lines = t.spark.read.text(paths["csv"])
+    lines.unionByName(lines.limit(1).select(F.lit("zz|1|O|1.00|1996-01-01 00:00:00|5-LOW").alias("value"))).write.text(f"{folder}/broken_csv")
     n = t.orders.count()
     hive = {"source_uri_prefix": paths["hive_json"], "mode": "STRINGS", "expect_partition_column": "o_orderstatus"}
     loads = [
         {"table": "o_json", "uri": paths["json"], "format": "NEWLINE_DELIMITED_JSON", "expected_count": n, "schema": ORDER_LAYOUT},
         {"table": "o_csv", "uri": paths["csv"], "format": "CSV", "expected_count": n, "schema": ORDER_LAYOUT, "field_delimiter": "|", "skip_leading_rows": 1},
         {"table": "o_short", "uri": paths["parquet"], "format": "PARQUET", "expected_count": n + 1},
+        {"table": "o_broken_json", "uri": f"{folder}/broken_json", "format": "JSON", "expected_count": n, "schema": ORDER_LAYOUT},
+        {"table": "o_broken_csv", "uri": f"{folder}/broken_csv", "format": "CSV", "expected_count": n, "schema": ORDER_LAYOUT, "field_delimiter": "|"},
         {"table": "o_absent", "uri": f"{folder}/absent", "format": "PARQUET", "expected_count": 1},
         {"table": "o_orc", "uri": f"{folder}/orc", "format": "ORC", "expected_count": n},
         {"table": "o_hive", "uri": paths["hive_json"], "format": "NEWLINE_DELIMITED_JSON", "expected_count": n, "schema": ORDER_LAYOUT, "hive_partitioning": hive},
     ]
-    return shown(files.bulk_load(t.spark, loads))
+    return shown(files.bulk_load(t.spark, loads, f"{folder}/landed"))
 
 
 @query(
@@ -228,7 +239,7 @@ def _scratch_database(t, name: str) -> str:
 
 @query("ctas", "SELECT o_orderpriority, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount FROM {orders_source} GROUP BY 1")
 def ctas(t):
-    db = _scratch_database(t, "dmt_build_ctas")
+    db = _scratch_database(t, "scratch_build_ctas")
     files.create_table_as(t.orders_source.limit(0), f"{db}.orders_copy")
     table = files.create_table_as(t.orders_source, f"{db}.orders_copy")
     return table.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
@@ -340,7 +351,7 @@ def catalog_presence(t):
     UNION ALL SELECT 'flipped', 'TABLE', 'VIEW', COUNT(*), 'FAIL' FROM {orders_source}""",
 )
 def object_types(t):
-    db = _scratch_database(t, "dmt_build_objects")
+    db = _scratch_database(t, "scratch_build_objects")
     files.create_table_as(t.orders_source, f"{db}.orders_copy")
     t.spark.sql(f"CREATE VIEW {db}.open_orders AS SELECT * FROM {db}.orders_copy WHERE o_orderstatus = 'O'")
     t.spark.sql(f"CREATE VIEW {db}.flipped AS SELECT * FROM {db}.orders_copy")
@@ -452,7 +463,7 @@ def build_and_verify(t):
         lambda spark: rowcount_parity(t.orders.where("o_orderstatus = 'O'"), spark.table("ods_invoice"), name="ods_invoice"),
         lambda spark: rowcount_parity(t.orders, spark.table("ods_invoice_raw"), name="staging"),
     ]
-    return shown(transform.build_and_verify(t.spark, steps, suites, "dmt_build_verify", scratch_path(t.spark, "build")))
+    return shown(transform.build_and_verify(t.spark, steps, suites, "scratch_build_verify", scratch_path(t.spark, "build")))
 
 
 @query(

@@ -6,7 +6,7 @@ import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,7 @@ def _after_leading_lines(spark: SparkSession, uri: str, skip: int) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
     )
     first = lines.where("_front").groupBy("_file").agg(F.min("_id").alias("_first"))
-    # One row per file, and the driver already lists the files: always small.
-    kept = lines.join(F.broadcast(first), "_file").where(~F.col("_front") | (F.col("_id") >= F.col("_first") + skip))
+    kept = lines.join(first, "_file").where(~F.col("_front") | (F.col("_id") >= F.col("_first") + skip))
     return kept.select("value")
 
 
@@ -58,7 +57,7 @@ def load(
     ``hive_partitioning`` is ``{source_uri_prefix, mode}``; mode AUTO infers the
     types of partition columns, STRINGS keeps them as text, CUSTOM takes them
     from ``schema``.  Without ``schema``, types are inferred where the format
-    carries none.
+    carries none.  A row that does not parse ends the job that reads it.
     """
     name = FORMATS.get(fmt.upper())
     if name is None:
@@ -81,6 +80,8 @@ def load(
 
 
 def _read(spark, reader, uri, name, schema, delimiter, skip) -> DataFrame:
+    if name in ("json", "csv"):
+        reader = reader.option("mode", "FAILFAST")
     if name != "csv":
         return reader.format(name).load(uri)
     reader = reader.option("sep", delimiter)
@@ -91,15 +92,17 @@ def _read(spark, reader, uri, name, schema, delimiter, skip) -> DataFrame:
     if schema is None:
         raise ValueError("skipping several leading rows needs a schema")
     layout = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv("value", layout, {"sep": delimiter})
+    parsed = F.from_csv("value", layout, {"sep": delimiter, "mode": "FAILFAST"})
     return _after_leading_lines(spark, uri, skip).select(parsed.alias("r")).select("r.*")
 
 
-def bulk_load(spark: SparkSession, loads: Sequence[Mapping]) -> DataFrame:
+def bulk_load(spark: SparkSession, loads: Sequence[Mapping], folder: str) -> DataFrame:
     """Checks of a list of loads ``{table, uri, format, expected_count, schema?,
     field_delimiter?, skip_leading_rows?, hive_partitioning?}``.
 
-    A load that fails is a FAIL row and the next one still runs.
+    Each load replaces the table's files below ``folder``, and the rows that
+    landed there are counted.  A load that fails, be it for one malformed row, is
+    a FAIL row, and the next one still runs.
     """
     out = None
     for spec in loads:
@@ -114,7 +117,9 @@ def bulk_load(spark: SparkSession, loads: Sequence[Mapping]) -> DataFrame:
                 skip_leading_rows=spec.get("skip_leading_rows", 0),
                 hive_partitioning=spec.get("hive_partitioning"),
             )
-            landed = df.count()
+            path = f"{folder}/{target}"
+            df.write.mode("overwrite").parquet(path)
+            landed = spark.read.schema(df.schema).parquet(path).count()
         except Exception as e:  # noqa: BLE001 - a failed load is a finding
             row = check_row(spark, "bulk_load", target, FAIL, f"load failed: {error_text(e)}")
             out = row if out is None else out.unionByName(row)
@@ -158,6 +163,11 @@ def stage_formats(df: DataFrame, folder: str, partition: str) -> dict[str, str]:
     return paths
 
 
+def row_salt(df: DataFrame) -> Column:
+    """A hash of the row: the same whenever a task runs again, unlike a row number."""
+    return F.xxhash64(*[F.to_json(F.col(f"`{n}`")) if "map<" in kind else F.col(f"`{n}`") for n, kind in df.dtypes])
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -170,12 +180,12 @@ def write_partitioned(
 ) -> None:
     """Write one folder per partition value, rows sorted by ``cluster_by`` inside.
 
-    Rows are range-partitioned by (partition, cluster, row id) first, so a
-    partition value or cluster key holding much of the table is written by
+    Rows are range-partitioned by (partition, cluster, hash of the row) first, so
+    a partition value or cluster key holding much of the table is written by
     several tasks, each covering a narrow range that file statistics can skip.
     """
     order = [F.col(c) for c in (*partition_by, *cluster_by)]
-    arranged = df.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
+    arranged = df.repartitionByRange(*order, row_salt(df)).sortWithinPartitions(*order)
     # Only matters with mode="overwrite": leave partitions alone that df does not hold.
     writer = arranged.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     if max_records_per_file:
@@ -217,15 +227,19 @@ def create_table_as(df: DataFrame, table: str, partition_by: Sequence[str] = ())
 
 
 def export_json(df: DataFrame, path: str) -> DataFrame:
-    """Export as newline JSON and read every line back with the same schema."""
+    """Export as newline JSON and read every line back with the same schema; a line that does not parse ends the read."""
     df.write.json(path)
-    return df.sparkSession.read.schema(df.schema).json(path)
+    return df.sparkSession.read.schema(df.schema).option("mode", "FAILFAST").json(path)
 
 
 def control_totals(df: DataFrame, column: str) -> DataFrame:
     """``row_cnt, control_total``: exact sum, what does not read as a number counts 0."""
     amount = F.coalesce(F.col(column).cast("string").try_cast("decimal(38,9)"), F.lit(0).cast("decimal(38,9)"))
-    total = F.coalesce(F.sum(amount.cast("decimal(28,9)")), F.lit(0)).cast("decimal(38,9)")
+    # Whole units and fractions apart: neither sum leaves its type.
+    whole = F.floor(amount)
+    fraction = (amount - whole).cast("decimal(10,9)")
+    total = F.coalesce(F.sum(whole.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,9)") + F.coalesce(F.sum(fraction), F.lit(0))
+    total = total.cast("decimal(38,9)")
     return df.agg(F.count(F.lit(1)).alias("row_cnt"), total.alias("control_total"))
 
 
@@ -302,5 +316,4 @@ def accepted_rows(
     """Rows of the files whose header is the expected one."""
     verdicts = _header_verdicts(spark, uri, delimiter.join(expected)).where("status = 'ACCEPTED'").select("_path")
     rows = spark.read.schema(schema).option("sep", delimiter).option("header", True).csv(uri)
-    # One row per file, and the driver already lists the files: always small.
-    return rows.join(F.broadcast(verdicts), rows["_metadata.file_path"] == F.col("_path"), "left_semi")
+    return rows.join(verdicts, rows["_metadata.file_path"] == F.col("_path"), "left_semi")

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paritas.sources.files import write_partitioned
+from paritas.sources.files import row_salt, write_partitioned
 
 # Rows per size tier.
 TIERS = {"small": 1_000_000, "medium": 100_000_000, "large": 1_000_000_000}
@@ -76,7 +76,7 @@ def write_synth_table(
         write_partitioned(df, path, partition_by, cluster_by)
     elif cluster_by:
         order = [F.col(c) for c in cluster_by]
-        df.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order).write.parquet(path)
+        df.repartitionByRange(*order, row_salt(df)).sortWithinPartitions(*order).write.parquet(path)
     else:
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -37,10 +37,22 @@ def test_numeric_text_is_read_as_number_only_on_request(spark):
 
 def test_nested_values(spark):
     a, b = texts(spark, "named_struct('b', 1, 'a', 2.50BD)", "named_struct('a', 2.5D, 'b', 1L)")
-    assert a == b == "{a:2.5,b:1}"
+    assert a == b == "{a:3#2.5,b:1#1}"
     a, b = texts(spark, "map('y', 1, 'x', 2)", "map('x', 2, 'y', 1)")
     assert a == b
-    assert texts(spark, "array(1.50BD, NULL)") == [f"[1.5,{canon.NULL_TAG}]"]
+    assert texts(spark, "array(1.50BD, NULL)") == [f"[3#1.5,{len(canon.NULL_TAG)}#{canon.NULL_TAG}]"]
+
+
+def test_separators_inside_nested_values_do_not_collide(spark):
+    a, b = texts(spark, "array('a,b')", "array('a', 'b')")
+    assert a != b
+    a, b = texts(spark, "map('x', 'y,z:w')", "map('x', 'y', 'z', 'w')")
+    assert a != b
+
+
+def test_numeric_text_of_any_length(spark):
+    long = "1" * 45
+    assert texts(spark, f"'{long}.50'", "'1.5000000000'", "'-000.000'", "'0001'", coerce_numeric_strings=True) == [f"{long}.5", "1.5", "0", "1"]
 
 
 def test_fingerprint_ignores_order_but_not_multiplicity(spark):

@@ -1,14 +1,12 @@
 import datetime as dt
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from paritas.plans import marts
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 10])
-def test_first_contact_resolution_equals_the_pairwise_join(spark, hot_rows):
+def test_first_contact_resolution_equals_the_pairwise_join(spark):
     rng = random.Random(3)
     start = dt.datetime(2024, 1, 1)
     rows = []
@@ -20,14 +18,14 @@ def test_first_contact_resolution_equals_the_pairwise_join(spark, hot_rows):
     fact = spark.createDataFrame(rows, "interaction_id int, customer_ref string, start_ts timestamp, end_ts timestamp, resolved_flag boolean, date_key int, program_sk int")
     week = dt.timedelta(days=7)
     repeats = {r[0]: sum(1 for q in rows if q[1] == r[1] and r[1] is not None and r[3] < q[2] <= r[3] + week) for r in rows if r[4]}
-    got = {r["interaction_id"]: r["n_repeats"] for r in marts.repeats_after(fact, hot_rows=hot_rows).collect()}
+    got = {r["interaction_id"]: r["n_repeats"] for r in marts.repeats_after(fact).collect()}
     assert got == repeats
     want = {}
     for r in rows:
         if r[4]:
             total, first = want.get((r[5], r[6]), (0, 0))
             want[(r[5], r[6])] = (total + max(1, repeats[r[0]]), first + (repeats[r[0]] == 0))
-    view = marts.first_contact_resolution(fact, hot_rows=hot_rows).collect()
+    view = marts.first_contact_resolution(fact).collect()
     assert {(r["date_key"], r["program_sk"]): (r["resolved_interactions"], r["fcr_count"]) for r in view} == want
 
 
@@ -41,14 +39,13 @@ def test_org_hierarchy_depth_and_missing_parents(spark):
     assert got[0] == (0, 0, "u0") and got[2] == (0, 2, "u0 > u1 > u2") and got[61] == (60, 1, "other > leaf")
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 2])
-def test_repeat_contact(spark, hot_rows):
+def test_repeat_contact(spark):
     day = lambda d: dt.datetime(2024, 1, d)
     df = spark.createDataFrame(
         [(1, "a", day(1)), (2, "a", day(4)), (3, "a", day(8)), (4, "b", day(1)), (5, "", day(1)), (6, None, day(1))],
         "interaction_id int, customer_ref string, start_ts timestamp",
     ).withColumn("channel", F.lit("x"))
-    got = {r["interaction_id"]: (r["prev_contact_ts"], r["repeat_within_72h"]) for r in marts.repeat_contact(df, hot_rows=hot_rows).collect()}
+    got = {r["interaction_id"]: (r["prev_contact_ts"], r["repeat_within_72h"]) for r in marts.repeat_contact(df).collect()}
     assert got == {1: (None, 0), 2: (day(1), 1), 3: (day(4), 0), 4: (None, 0)}
 
 

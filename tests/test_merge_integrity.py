@@ -46,8 +46,23 @@ def test_incremental_runs_do_not_overlap(spark):
     assert table.count() == 100
     rows = [(r["run"], r["rows_loaded"], r["duplicate_keys"], r["status"]) for r in audit.orderBy("run").collect()]
     assert rows == [(1, 41, 0, "SUCCESS"), (2, 30, 0, "SUCCESS"), (3, 29, 0, "SUCCESS")]
-    _, again = merge.incremental_append(feed.where("id < 5"), feed, "mark", ["id"], [40])
-    assert again.first()["status"] == "FAILED"
+
+
+def test_incremental_runs_start_at_the_table(spark):
+    feed = spark.createDataFrame([(i, i) for i in range(100)] + [(3, 50), (60, 61), (200, None)], "id bigint, mark bigint")
+    table, audit = merge.incremental_append(feed.where("id < 5 AND mark < 5"), feed, "mark", ["id"], [40, 70])
+    rows = [tuple(r) for r in audit.orderBy("run").collect()]
+    # Behind the start: 5 rows; without a mark: 1; ahead of 70: 29.  Key 3 is in the table, key 60 comes twice in run 2.
+    assert rows == [(1, "4", 36, 0, 5 + 1 + 29 + 32, "SUCCESS"), (2, "40", 32, 2, 5 + 1 + 29, "FAILED")]
+    assert table.count() == 5 + 36 + 32
+
+
+def test_several_changes_of_a_key_need_an_order(spark, invoices):
+    twice = spark.createDataFrame([(5001, 1, Decimal("1.00"), "U", 1), (5001, 1, Decimal("2.00"), "U", 2)], "id bigint, contact bigint, amount decimal(12,2), op string, at int")
+    with pytest.raises(Exception, match="several changes"):
+        merge.cdc_merge(invoices, twice, ["id"]).collect()
+    after = merge.cdc_merge(invoices, twice, ["id"], order=["at"]).where("id = 5001").collect()
+    assert [r["amount"] for r in after] == [Decimal("2.00")]
 
 
 def test_orphans_count_null_and_hot_keys(spark):

@@ -16,28 +16,39 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("limit", [10**9, 20])
-def test_neighbour_equals_the_plain_window(skewed, following, limit):
+def test_neighbour_equals_the_plain_window(skewed, following):
     w = Window.partitionBy("k").orderBy("at", "id")
     step = F.lead if following else F.lag
     want = skewed.select("id", step("at").over(w).alias("x"), step("id").over(w).alias("y"))
-    got = ordering.neighbour(skewed, ["k"], ["at", "id"], {"x": "at", "y": "id"}, following=following, hot_rows=limit)
+    got = ordering.neighbour(skewed, ["k"], ["at", "id"], {"x": "at", "y": "id"}, following=following)
     assert sorted(map(tuple, got.select("id", "x", "y").collect()), key=lambda r: r[0]) == sorted(map(tuple, want.collect()), key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("limit", [10**9, 20])
-def test_running_total_equals_the_plain_window(skewed, limit):
+def test_running_total_equals_the_plain_window(skewed):
     w = Window.partitionBy("k").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = dict(map(tuple, skewed.select("id", F.sum("at").over(w)).collect()))
-    got = ordering.running_total(skewed, ["k"], ["at", "id"], "at", "total", hot_rows=limit)
+    got = ordering.running_total(skewed, ["k"], ["at", "id"], "at", "total")
     assert dict(map(tuple, got.select("id", "total").collect())) == want
 
 
-def test_hot_rows_spread_over_partitions(spark, skewed):
-    _, hot = ordering.split_hot_keys(skewed, ["k"], 500)
-    assert {r["k"] for r in hot.select("k").distinct().collect()} == {"hot"}
-    rows = ordering.placed(hot, [F.col("k"), F.col("at"), F.col("id")])
-    assert rows.select("_part").distinct().count() > 1
+def test_a_key_with_most_rows_spreads_over_partitions(spark):
+    df = spark.range(10_000).selectExpr("if(id % 10 = 0, id, -1) AS k", "id AS at")
+    rows = ordering.placed(df, [F.col("k"), F.col("at")])
+    parts = rows.where("k = -1").groupBy("_part").count().collect()
+    assert len(parts) > 2 and max(r["count"] for r in parts) < 5000
+    got = ordering.running_total(df, ["k"], ["at"], "at", "upto").where("k = -1").agg(F.max("upto")).first()[0]
+    assert got == sum(i for i in range(10_000) if i % 10)
+
+
+def test_building_the_plan_runs_no_job_but_the_write(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS at")
+    ordering.placed(df, [F.col("k"), F.col("at")])
+    write = len(tracker.getJobIdsForGroup("plan-only"))
+    ordering.neighbour(df, ["k"], ["at"], {"x": "at"})
+    assert len(tracker.getJobIdsForGroup("plan-only")) == 2 * write
+    spark.sparkContext.setJobGroup("rest", "")
 
 
 @pytest.mark.parametrize("descending", [False, True])

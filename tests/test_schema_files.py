@@ -23,9 +23,9 @@ def test_logical_names(spelling, name):
 
 
 def test_signatures():
-    dtype = T._parse_datatype_string("array<struct<Id:int,qty:decimal(9,2),tags:array<string>>>")
+    dtype = T.DataType.fromDDL("array<struct<Id:int,qty:decimal(9,2),tags:array<string>>>")
     assert signature(dtype) == "ARRAY<STRUCT<id:INT64,qty:NUMERIC,tags:ARRAY<STRING>>>"
-    paths = [p for p, _ in leaf_paths(T._parse_datatype_string("a int, items array<struct<id:int,sub:struct<x:string>>>"))]
+    paths = [p for p, _ in leaf_paths(T.DataType.fromDDL("a int, items array<struct<id:int,sub:struct<x:string>>>"))]
     assert paths == ["a", "items", "items[].id", "items[].sub", "items[].sub.x"]
 
 
@@ -123,7 +123,7 @@ def test_bulk_load_goes_on_after_a_failure(spark, fact, tmp_path):
         {"table": "b", "uri": str(tmp_path / "p"), "format": "XML", "expected_count": 1},
         {"table": "c", "uri": str(tmp_path / "p"), "format": "PARQUET", "expected_count": 500},
         {"table": "d", "uri": str(tmp_path / "p"), "format": "PARQUET", "expected_count": 501},
-    ])
+    ], str(tmp_path / "landed"))
     assert [c["status"] for c in checks.collect()] == ["FAIL", "FAIL", "PASS", "FAIL"]
 
 
@@ -196,16 +196,16 @@ def test_expired_partitions_are_dropped(spark, fact, tmp_path):
 def test_database_conformance(spark, fact, tmp_path):
     from paritas.operators import transform
 
-    transform.provision(spark, "dmt_build_schema", str(tmp_path / "db"))
-    files.create_table_as(fact, "dmt_build_schema.fact", ["day"])
+    transform.provision(spark, "scratch_build_schema", str(tmp_path / "db"))
+    files.create_table_as(fact, "scratch_build_schema.fact", ["day"])
     declared = [
         {"table": "fact", "columns": [{"name": "id", "type": "INT64", "nullable": False}], "expect": {"object_type": "TABLE", "partition_by": "day"}},
         {"table": "absent", "columns": []},
     ]
-    found = by_target(schema.database_conformance(spark, "dmt_build_schema", declared, expect_table_count=1))
+    found = by_target(schema.database_conformance(spark, "scratch_build_schema", declared, expect_table_count=1))
     assert found == {
-        "dmt_build_schema": "PASS", "dmt_build_schema.fact.id": "PASS", "dmt_build_schema.fact.id (not null)": "PASS",
-        "dmt_build_schema.fact (object_type)": "PASS", "dmt_build_schema.fact (partition_by)": "PASS",
-        "dmt_build_schema.fact (native)": "PASS", "dmt_build_schema.absent": "FAIL",
+        "scratch_build_schema": "PASS", "scratch_build_schema.fact.id": "PASS", "scratch_build_schema.fact.id (not null)": "PASS",
+        "scratch_build_schema.fact (object_type)": "PASS", "scratch_build_schema.fact (partition_by)": "PASS",
+        "scratch_build_schema.fact (native)": "PASS", "scratch_build_schema.absent": "FAIL",
     }
-    transform.teardown(spark, "dmt_build_schema")
+    transform.teardown(spark, "scratch_build_schema")

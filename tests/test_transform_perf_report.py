@@ -49,28 +49,27 @@ def test_build_stops_at_the_first_error_and_guards_names(spark, tmp_path):
     seeded.write.json(str(tmp_path / "raw"))
     steps = [{"kind": "load", "from": str(tmp_path / "raw"), "format": "JSON", "schema": seeded.schema, "target": "raw"}, {"kind": "transform", "sql_text": SQL}]
     suite = lambda s: parity.rowcount_parity(seeded.where("op != 'D'"), s.table("out"), name="out")
-    run = lambda steps: transform.build_and_verify(spark, steps, [suite], "dmt_build_t", scratch_path(spark, "b"))
+    run = lambda steps: transform.build_and_verify(spark, steps, [suite], "scratch_build_t", scratch_path(spark, "b"))
     assert summary(run(steps)) == {"out": "PASS"}
     assert summary(run(steps[:1] + [{"kind": "transform", "sql_text": "SELECT broken FROM raw", "target": "out"}] + steps[1:])) == {"step 2 (transform)": "ERROR"}
     assert summary(run([{"kind": "external"}])) == {"step 1 (external)": "ERROR"}
-    for name in ("prod", "dmt_builder", "default"):
+    for name in ("prod", "scratch_builder", "default"):
         with pytest.raises(transform.ScratchGuardError):
             transform.provision(spark, name)
-    spark.sql(f"CREATE DATABASE dmt_build_real LOCATION '{tmp_path / 'real'}'")
+    spark.sql(f"CREATE DATABASE scratch_build_real LOCATION '{tmp_path / 'real'}'")
     with pytest.raises(transform.ScratchGuardError):
-        transform.provision(spark, "dmt_build_real")
-    transform.teardown(spark, "dmt_build_t")
-    assert not spark.catalog.databaseExists("dmt_build_t") and spark.catalog.currentDatabase() == "default"
+        transform.provision(spark, "scratch_build_real")
+    transform.teardown(spark, "scratch_build_t")
+    assert not spark.catalog.databaseExists("scratch_build_t") and spark.catalog.currentDatabase() == "default"
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 3])
-def test_percentiles_are_nearest_rank(spark, hot_rows):
+def test_percentiles_are_nearest_rank(spark):
     import math
 
     data = {("a", "ms"): [5.0, 1.0, 9.0, 9.0, 2.0, 7.0, 3.0], ("a", "bytes"): [4.0], ("b", "ms"): [float(i % 17) for i in range(100)]}
     rows = [(q, i, m, v) for (q, m), vs in data.items() for i, v in enumerate(vs)] + [("a", 99, "ms", None)]
     df = spark.createDataFrame(rows, perf.METRIC_SCHEMA)
-    got = {(r["query"], r["metric"]): (r["runs"], r["p50"], r["p95"], r["max_value"], r["min_value"]) for r in perf.perf_percentiles(df, hot_rows=hot_rows).collect()}
+    got = {(r["query"], r["metric"]): (r["runs"], r["p50"], r["p95"], r["max_value"], r["min_value"]) for r in perf.perf_percentiles(df).collect()}
     pick = lambda vs, p: sorted(vs)[max(0, math.ceil(p / 100 * len(vs)) - 1)]
     assert got == {k: (len(vs), pick(vs, 50), pick(vs, 95), max(vs), min(vs)) for k, vs in data.items()}
 
