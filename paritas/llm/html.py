@@ -57,7 +57,7 @@ _BLOCK = {
 _MARKS = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promotion",
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "header", "masthead", "contentinfo",
-    "complementary", "comment", "comments", "disqus", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "notices",
+    "complementary", "dialog", "comment", "comments", "disqus", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "notices",
     "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "login", "search", "share", "social", "related", "widget",
 }
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
@@ -131,8 +131,8 @@ def page_blocks(page: str, is_template=None) -> list[str]:
             continue
         mark = _is_aside(tag, attributes, article)
         if tag in ("article", "main") and not mark:
-            if aside and stack and not article:
-                # An article never lies in a menu, header or advert: what was left open there has ended.
+            if aside and not marked:
+                # The first article lies in no menu, header or advert: what was left open there has ended. Later ones may be comments.
                 while stack and aside:
                     _, aside, article = stack.pop()
             stack.append((tag, aside, article))
