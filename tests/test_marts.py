@@ -31,11 +31,14 @@ def test_first_contact_resolution_equals_the_pairwise_join(spark):
 
 def test_org_hierarchy_depth_and_missing_parents(spark):
     rows = [(i, i - 1 if i else None, f"u{i}") for i in range(10)] + [(50, 99, "lost"), (60, None, "other"), (61, 60, "leaf")]
+    rows += [(70, 72, "ring"), (71, 70, "ring"), (72, 71, "ring"), (73, 72, "below a ring")]
     units = spark.createDataFrame(rows, "org_unit_id bigint, parent_unit_id bigint, unit_name string").selectExpr(
         "*", "unit_name AS unit_code", "'T' AS unit_type", "'S' AS site_code"
     )
     got = {r["org_unit_id"]: (r["root_unit_id"], r["depth"], r["path_names"]) for r in marts.org_hierarchy(units).collect()}
-    assert set(got) == {*range(7), 60, 61}
+    assert set(got) == {*range(10), 60, 61}
+    assert {r["org_unit_id"] for r in marts.org_hierarchy(units, max_depth=6).collect()} == {*range(7), 60, 61}
+    assert got[9] == (0, 9, " > ".join(f"u{i}" for i in range(10)))
     assert got[0] == (0, 0, "u0") and got[2] == (0, 2, "u0 > u1 > u2") and got[61] == (60, 1, "other > leaf")
 
 
