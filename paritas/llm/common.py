@@ -5,7 +5,6 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -13,9 +12,12 @@ import paritas
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paritas.session import shared_folder
+from paritas.session import scratch_path
 
 _SHIPPED: set[str] = set()
+#: Rows that go to a Python worker at a time, in bytes; bounds what workers hold, however long the texts.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,7 +30,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, as ``spark-submit --py-files`` would."""
+    """Send this package to the executors, as ``spark-submit --py-files`` would, and bound Arrow batches."""
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(paritas.__file__).parent
@@ -49,12 +52,12 @@ class Workspace:
 
     ``write`` cuts the lineage: later steps read files every executor reaches.
     ``drop`` deletes a table as soon as no later step reads it; what a result
-    still reads stays.
+    still reads stays until ``paritas.session.release_scratch``.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/paritas-{label}-{uuid.uuid4().hex}"
+        self.folder = scratch_path(spark, label)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"

@@ -6,9 +6,13 @@ sorted and named in turn, and so on until a document has one name left.  Names
 are places among the distinct contents, so (round, name) is equal exactly for
 equal texts: no hash decides.
 
-Sorting is range partitioning by (block, document), so a block that a third of
-the documents share spreads over many tasks; each task names its range, and only
-the first and last block of a range are needed to number them through.
+Blocks are sorted by a 128-bit hash and then by content, so that the boundaries
+Spark samples for range partitioning are small.  Ranges may cut through a block
+that a third of the documents share, which so spreads over many tasks; each task
+names its range by comparing contents, and only the first and last block of a
+range are needed to number the ranges through.  Should a cut ever separate
+different blocks of one hash, whose order it can't know, the query ends with an
+error instead of a wrong name.
 
 Defined cases: null text counts as empty; empty text is one empty block, hence
 equal to other empty texts.  A null doc_id is smaller than any other.  Rows that
@@ -96,9 +100,10 @@ def named(rows: DataFrame, content: str, work: Workspace, label: str) -> DataFra
     Written once; equal contents get equal names wherever they lie.
     """
     carried = [c for c in rows.columns if c != content]
-    ordered = rows.select(*carried, content)
-    order = [F.col(content), *[F.col(c) for c in ("_k1", "_k2", "pos")]]
-    ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order)
+    hashes = [F.xxhash64(content).alias("_h1"), F.xxhash64(F.lit("second"), content).alias("_h2")]
+    ordered = rows.select(*carried, *hashes, content)
+    ordered = ordered.repartitionByRange("_h1", "_h2", "_k1", "_k2", "pos")
+    ordered = ordered.sortWithinPartitions("_h1", "_h2", content, "_k1", "_k2", "pos").drop("_h1", "_h2")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in ordered.schema.fields[:-1]])
     for name, kind in (("part", T.LongType()), ("number", T.LongType()), ("first", T.BinaryType()), ("last", T.BinaryType())):
         schema = schema.add(name, kind)
@@ -107,7 +112,11 @@ def named(rows: DataFrame, content: str, work: Workspace, label: str) -> DataFra
     # One row per range: how many contents lie before it; a content continued from the range before counts once.
     in_order = Window.orderBy("part")
     ends = ranges.where("first IS NOT NULL").select("part", "number", "first", "last")
-    ends = ends.withColumn("joined", F.coalesce((F.lag("last").over(in_order) == F.col("first")).cast("long"), F.lit(0)))
+    ends = ends.withColumn("_before", F.lag("last").over(in_order))
+    hash_of = lambda c: F.struct(F.xxhash64(c), F.xxhash64(F.lit("second"), c))
+    collide = (F.col("_before") != F.col("first")) & (hash_of("_before") == hash_of("first"))
+    joined = F.when(collide, F.raise_error(F.lit("different blocks of one hash"))).otherwise((F.col("_before") == F.col("first")).cast("long"))
+    ends = ends.withColumn("joined", F.coalesce(joined, F.lit(0)))
     fresh = F.col("number") + 1 - F.col("joined")
     before = F.sum(fresh).over(in_order) - fresh - F.col("joined")
     starts = F.broadcast(ends.select("part", before.alias("before")))
