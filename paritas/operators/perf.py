@@ -17,17 +17,26 @@ from paritas.session import durable
 METRIC_SCHEMA = "query string, run bigint, metric string, value double"
 
 
-def _scan_metrics(plan) -> dict[str, int]:
-    """Sum of file-scan metrics over an executed plan."""
+def _scan_metrics(plan, subqueries: bool = True) -> dict[str, int]:
+    """Sum of file-scan metrics over an executed plan and its subqueries."""
     totals = {"files_read": 0, "bytes_scanned": 0, "rows_scanned": 0}
     names = {"numFiles": "files_read", "filesSize": "bytes_scanned", "numOutputRows": "rows_scanned"}
     if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
         plan = plan.executedPlan()
+    if subqueries:  # nested ones are listed too
+        found = plan.subqueriesAll()
+        for sub in (found.apply(i) for i in range(found.size())):
+            if sub.getClass().getSimpleName() != "ReusedSubqueryExec":
+                inner = _scan_metrics(sub, False)
+                totals = {k: totals[k] + inner[k] for k in totals}
     nodes = plan.collectLeaves()
     for i in range(nodes.size()):
         node = nodes.apply(i)
         kind = node.getClass().getSimpleName()
-        if kind.endswith("QueryStageExec"):
+        if kind == "AdaptiveSparkPlanExec":
+            inner = _scan_metrics(node, subqueries)
+            totals = {k: totals[k] + inner[k] for k in totals}
+        elif kind.endswith("QueryStageExec"):
             inner = _scan_metrics(node.plan())
             totals = {k: totals[k] + inner[k] for k in totals}
         elif kind == "FileSourceScanExec":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -121,8 +121,8 @@ def several_checks(df: DataFrame, pattern: str, specs: Iterable[Mapping], **labe
     return df.select(F.inline(F.array(*cells))).where("_made").drop("_made")
 
 
-def check_row(spark: SparkSession, pattern: str, target: str, status: str, message: str = "", **fields) -> DataFrame:
-    """One check known on the driver, such as a load that could not start."""
+def check_fields(pattern: str, target: str, status: str, message: str = "", **fields) -> tuple:
+    """The row of a check known on the driver; collect rows and make one table of them with :func:`check_table`."""
     row = {
         "pattern": pattern,
         "suite_id": fields.pop("suite_id", None) or pattern,
@@ -135,8 +135,17 @@ def check_row(spark: SparkSession, pattern: str, target: str, status: str, messa
         "criteria_index": fields.pop("criteria_index", None),
     }
     row.update({k: None if v is None else str(v) for k, v in fields.items()})
-    columns = [c.split()[0] for c in CHECK_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(row.get(c) for c in columns)], CHECK_SCHEMA)
+    return tuple(row.get(c.split()[0]) for c in CHECK_SCHEMA.split(", "))
+
+
+def check_table(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """One local table of checks, however many."""
+    return spark.createDataFrame(list(rows), CHECK_SCHEMA)
+
+
+def check_row(spark: SparkSession, pattern: str, target: str, status: str, message: str = "", **fields) -> DataFrame:
+    """One check known on the driver, such as a load that could not start."""
+    return check_table(spark, [check_fields(pattern, target, status, message, **fields)])
 
 
 def error_text(e: Exception) -> str:

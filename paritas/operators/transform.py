@@ -37,8 +37,10 @@ def query_of(sql: str) -> tuple[str | None, str]:
 
 @contextmanager
 def visible(tables: Mapping[str, DataFrame]) -> Iterator[None]:
-    """Make the tables readable by name while a query is analysed."""
+    """Make the tables readable by name while a query is analysed; the caller's views of these names come back after."""
     spark = next(iter(tables.values())).sparkSession
+    taken = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+    before = {name: spark.table(name) for name in tables if name.lower() in taken}
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     try:
@@ -46,6 +48,8 @@ def visible(tables: Mapping[str, DataFrame]) -> Iterator[None]:
     finally:
         for name in tables:
             spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
 
 
 def run_transform(spark: SparkSession, given: Mapping[str, Mapping | DataFrame], sql: str) -> DataFrame:

@@ -300,6 +300,26 @@ def epoch_convert(t):
     return t.epoch_source.select("event_id", encoding.epoch_to_timestamp(F.col("raw_ms"), "millis").alias("converted_ts"))
 
 
+@query(
+    "epoch_encodings",
+    """
+    SELECT event_id, strftime(make_timestamp(floor(epoch(ts)) :: BIGINT * 1000000), '%Y-%m-%d %H:%M:%S') AS from_seconds,
+           strftime(ts, '%Y-%m-%d %H:%M:%S') AS from_micros,
+           CASE WHEN event_id % 50 <> 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS from_text
+    FROM {events}""",
+)
+def epoch_encodings(t):
+    """Seconds, microseconds and vendor text of the same instants; some texts name a 13th month."""
+    ts = F.col("ts").cast("timestamp")
+    text = F.when(F.col("event_id") % 50 == 3, F.lit("20241399000000")).otherwise(F.date_format(ts, "yyyyMMddHHmmss"))
+    return t.events.select(
+        "event_id",
+        encoding.epoch_to_timestamp(F.unix_seconds(ts), "seconds").alias("from_seconds"),
+        encoding.epoch_to_timestamp(F.unix_micros(ts), "micros").alias("from_micros"),
+        encoding.vendor_timestamp(text).alias("from_text"),
+    )
+
+
 @query(
     "epoch_quarantine",
     f"""SELECT 'events' AS src_table, 'raw_ms' AS src_column, event_id AS row_id,
@@ -494,6 +514,24 @@ def merge_idempotency(t):
     return shown(merge.merge_idempotency(t.invoices, batch, ["invoice_id"], ["invoice_id", "contact_id", "amount"], name="invoices"))
 
 
+@query(
+    "merge_idempotency_broken",
+    """
+    -- A merge that only appends: the second run adds the batch again, and deleted keys stay.
+    WITH b AS (SELECT invoice_id, op FROM {invoice_last_changes}), n AS (SELECT (SELECT count(*) FROM {invoices}) AS base, (SELECT count(*) FROM b) AS batch),
+    gone AS (SELECT count(DISTINCT invoice_id) AS left_over FROM (SELECT invoice_id FROM {invoices} UNION ALL SELECT invoice_id FROM b UNION ALL SELECT invoice_id FROM b) t
+             WHERE invoice_id IN (SELECT invoice_id FROM b WHERE op = 'D'))
+    SELECT 'appended' AS target, CASE WHEN batch = 0 THEN 'PASS' ELSE 'FAIL' END AS status, CAST(base + batch AS STRING) AS expected,
+           CAST(base + 2 * batch AS STRING) AS actual FROM n
+    UNION ALL SELECT 'appended (deletes applied)', CASE WHEN left_over = 0 THEN 'PASS' ELSE 'FAIL' END, '0', CAST(left_over AS STRING) FROM gone""",
+)
+def merge_idempotency_broken(t):
+    batch = history.cdc_latest(t.invoice_changes, ["invoice_id"])
+    append = lambda table, delta: table.unionByName(delta.select("invoice_id", "contact_id", "amount"))
+    columns = ["invoice_id", "contact_id", "amount"]
+    return shown(merge.merge_idempotency(t.invoices, batch, ["invoice_id"], columns, append, name="appended"))
+
+
 @query(
     "deleted_keys_absent",
     """
@@ -606,12 +644,16 @@ def fk_type_consistency(t):
     SELECT 'o_orderkey' AS keys, COUNT(*) AS n_rows, COUNT(DISTINCT o_orderkey) AS n_distinct, CAST(0 AS BIGINT) AS duplicate_keys FROM {orders}
     UNION ALL
     SELECT 'l_orderkey,l_linenumber', CAST(SUM(n) AS BIGINT), COUNT(*), COUNT(*) FILTER (n > 1)
-    FROM (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM {lineitem} GROUP BY 1, 2) x""",
+    FROM (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM {lineitem} GROUP BY 1, 2) x
+    UNION ALL
+    SELECT 'doubled o_orderkey', CAST(SUM(n) AS BIGINT), COUNT(*), COUNT(*) FILTER (n > 1)
+    FROM (SELECT o_orderkey, COUNT(*) AS n FROM {orders_doubled} GROUP BY 1) y""",
 )
 def assert_unique(t):
     one = integrity.assert_unique(t.orders, ["o_orderkey"]).withColumn("keys", F.lit("o_orderkey"))
     two = integrity.assert_unique(t.lineitem, ["l_orderkey", "l_linenumber"]).withColumn("keys", F.lit("l_orderkey,l_linenumber"))
-    return one.unionByName(two)
+    twice = integrity.assert_unique(t.orders_doubled, ["o_orderkey"]).withColumn("keys", F.lit("doubled o_orderkey"))
+    return one.unionByName(two).unionByName(twice)
 
 
 @query(

@@ -22,7 +22,7 @@ def test_logical_names(spelling, name):
     assert logical_name(spelling) == name
 
 
-def test_signatures():
+def test_signatures(spark):
     dtype = T.DataType.fromDDL("array<struct<Id:int,qty:decimal(9,2),tags:array<string>>>")
     assert signature(dtype) == "ARRAY<STRUCT<id:INT64,qty:NUMERIC,tags:ARRAY<STRING>>>"
     paths = [p for p, _ in leaf_paths(T.DataType.fromDDL("a int, items array<struct<id:int,sub:struct<x:string>>>"))]
