@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 from collections.abc import Iterator
@@ -71,6 +72,11 @@ class Workspace:
             path = hadoop(f"{self.folder}/{name}")
             path.getFileSystem(conf).delete(path, True)
 
+    def sweep(self) -> None:
+        """Let Spark's cleaner delete shuffle files of finished steps now, not when the driver next collects garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 def row_keys(id_col: Column, text: Column) -> list[Column]:
     """128 bits that tell rows apart by id and text, nulls included."""

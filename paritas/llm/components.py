@@ -23,19 +23,22 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
-def components(edges: DataFrame, work: Workspace, name: str) -> DataFrame:
+def components(edges: DataFrame, work: Workspace, name: str, rounds: int | None = None) -> DataFrame:
     """``(node, root)`` of every node in ``edges`` (longs ``u``, ``v``): root is the smallest node reachable.
 
     Each round is written; rounds grow with the logarithm of the longest path.
+    After a given number of ``rounds`` the root is some smaller node reachable.
     """
     now = work.write(edges.select("u", "v").where("u <> v").distinct(), f"{name}-0")
     mark, step = None, 0
-    while True:
-        total = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1000003)).first()
-        if tuple(total) == mark or not total[0]:
-            break
-        mark, step = tuple(total), step + 1
+    while rounds is None or step < rounds:
+        if rounds is None:
+            total = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1000003)).first()
+            if tuple(total) == mark or not total[0]:
+                break
+            mark = tuple(total)
+        step += 1
         now = work.write(_star(_star(now, False), True), f"{name}-{step}")
         work.drop(f"{name}-{step - 1}")
-    roots = now.select("v").distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("v", "v"))
+    ends = now.select("u", "v").union(now.select("v", "v"))
+    return ends.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))

@@ -8,14 +8,13 @@ shingle contributes one contiguous slice to the whole signature.
 
 With 48 bands of 5 coordinates two documents of Jaccard similarity 0.75 share no
 band with probability 2e-6, and less above.  Documents that share a band are
-compared in two steps, neither of which forms all pairs of a group:
-
-1. every document against the smallest members of its buckets: the best
-   looking one is confirmed on the full sets, and confirmed links join groups;
-2. buckets that still hold several groups are cut into blocks; pairs of blocks
-   compare the 240 signature bytes and give only pairs of different groups that
-   look similar (agreement of 0.62; 0.75 falls below it with probability 3e-6).
-   These are confirmed on the full sets as well.
+candidates if 720 coordinates, a byte of each, agree to 0.68 (a pair of
+similarity 0.75 falls below that with probability 1e-5), compared within and
+between blocks of a bucket.  Never all pairs of a group come out: the first
+round takes only the few best candidates of every document, confirms links on
+the full sets and joins the groups, so that most pairs are inside a group before
+they are ever formed.  The last round takes whatever pairs between groups are
+left.
 
 Defined cases: no words or null text: no shingles, linked with nothing, its own
 component.  Equal sets are one node, so copies cost nothing.  Rows that repeat a
@@ -41,10 +40,14 @@ from paritas.llm.shingles import mix, shingle_sets
 
 POSITIONS = 1 << 20
 BANDS, ROWS = 48, 5
-COORDINATES = BANDS * ROWS
-LOOKS_SIMILAR = 0.62
+BANDED = BANDS * ROWS
+COORDINATES = 720
+#: Agreement of candidates, on the banded coordinates and on all.
+LOOKS_SIMILAR, SIMILAR = 0.62, 0.68
 #: Members of a bucket compared in one go.
 BLOCK = 256
+#: The first round looks at so many bands and takes so many best candidates of each node; the last takes all that are left.
+FIRST_BANDS, BEST = 16, 4
 _SET_ROWS = 1024
 
 
@@ -69,7 +72,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """One 64-bit key per band of each signature; the band's number is part of it."""
-    cells = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+    cells = signatures[:, :BANDED].reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), cells.shape[:2]).copy()
     for r in range(ROWS):
         keys = mix(keys * np.uint64(0x9FB21C651E98DF25) + cells[:, :, r])
@@ -116,28 +119,52 @@ def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return signed.withColumn("row", F.monotonically_increasing_id())
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different groups within two blocks of one bucket whose signatures look similar."""
-    unpack = lambda cell: (
-        np.array([m["node"] for m in cell], np.int64),
-        np.array([m["grp"] for m in cell], np.int64),
-        np.array([m["n"] for m in cell], np.float64),
-        np.frombuffer(b"".join(m["sketch"] for m in cell), np.uint8).reshape(len(cell), COORDINATES),
-    )
+def _cells(column: pa.ListArray) -> tuple[np.ndarray, ...]:
+    """Bounds of each block, and node, group, set size, signature and band keys (if there) of all members."""
+    members = column.flatten()
+    bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+    sketch = members.field("sketch")  # of one length each, so their bytes are a matrix
+    ends = np.frombuffer(sketch.buffers()[1], np.int32)[sketch.offset : sketch.offset + len(sketch) + 1]
+    sketches = np.frombuffer(sketch.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(len(members), -1)
+    keys = members.field("bands").flatten().to_numpy().reshape(-1, BANDS) if "bands" in column.type.value_type.names else None
+    return (bounds, *[members.field(f).to_numpy() for f in ("node", "grp", "n")], sketches, keys)
+
+
+def _alike(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of different groups within two blocks of a bucket that look similar; of each node the best ones, or all."""
+    limit = LOOKS_SIMILAR if best else SIMILAR
     for batch in batches:
-        for one, two in zip(batch.column("one"), batch.column("two")):
-            (a, ga, na, sa), (b, gb, nb, sb) = unpack(one.as_py()), unpack(two.as_py())
-            found_u, found_v = [], []
-            for i in range(len(a)):
-                may = (gb != ga[i]) & (4 * nb >= 3 * na[i]) & (4 * na[i] >= 3 * nb) & (b != a[i])
-                at = np.flatnonzero(may)
-                if len(at):
-                    at = at[(sb[at] == sa[i]).mean(axis=1) >= LOOKS_SIMILAR]
-                    found_u.append(np.minimum(a[i], b[at]))
-                    found_v.append(np.maximum(a[i], b[at]))
-            if found_u:
-                pairs = np.unique(np.stack([np.concatenate(found_u), np.concatenate(found_v)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+        if not batch.num_rows:
+            continue
+        cells = {name: _cells(batch.column(name)) for name in batch.schema.names if name != "key"}
+        bucket, u, v, looks = batch.column("key").to_numpy() >> 32, [], [], []
+        one = cells["one"]
+        two = cells.get("two", one)
+        for row in range(batch.num_rows):
+            a, b = [slice(c[0][row], c[0][row + 1]) for c in (one, two)]
+            node, group, n, sketch = (c[b] for c in two[1:5])
+            for i in range(a.start, a.stop):
+                size = one[3][i]
+                may = np.flatnonzero((group != one[2][i]) & (4 * n >= 3 * size) & (4 * size >= 3 * n))
+                if not len(may):
+                    continue
+                equal = np.packbits(sketch[may] == one[4][i], axis=1)
+                agree = np.bitwise_count(equal).sum(axis=1) / sketch.shape[1]
+                keep = np.flatnonzero(agree >= limit)
+                if best and len(keep) > BEST:
+                    keep = keep[np.lexsort((node[may[keep]], -agree[keep]))[:BEST]]
+                if not best and len(keep):  # a pair comes out of the first bucket it shares
+                    mine = one[5][i]
+                    first = np.argmax(two[5][b][may[keep]] == mine, axis=1)
+                    keep = keep[mine[first] == bucket[row]]
+                u.append(np.full(len(keep), one[1][i]))
+                v.append(node[may[keep]])
+                looks.append(agree[keep])
+        if u:
+            u, v, looks = np.concatenate(u), np.concatenate(v), np.concatenate(looks)
+            pairs, first = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0, return_index=True)
+            arrays = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(looks[first])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["u", "v", "agree"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -165,6 +192,39 @@ def _texts(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> Dat
     return keyed.join(nodes, ["_k1", "_k2"]).select("node", "text")
 
 
+def _candidates(members: DataFrame, faces: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Pairs ``u < v`` of different groups that share a bucket and look similar.
+
+    Without groups, the best of each node inside blocks of some bands; with
+    groups, all there are in any two blocks of any bucket.
+    """
+    best = groups is None
+    if best:
+        placed = members.where(F.col("band") < FIRST_BANDS).select("key", "members", "node", F.col("node").alias("grp"))
+    else:
+        placed = members.join(groups, "node", "left")
+        placed = placed.select("key", "members", "node", F.coalesce("root", "node").alias("grp"))
+        several = placed.groupBy("key").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("key")
+        placed = placed.join(several, "key", "left_semi")
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).alias("block")
+    face = [F.substring("sketch", 1, BANDED).alias("sketch")] if best else ["sketch", "bands"]
+    open_ = placed.join(faces.select("node", "n", *face), "node")
+    member = F.struct("node", "grp", "n", "sketch", *([] if best else ["bands"]))
+    blocks = open_.groupBy("key", block).agg(F.max("members").alias("members"), F.collect_list(member).alias("cell"))
+    alike = lambda df: df.mapInArrow(lambda b: _alike(b, best), "u bigint, v bigint, agree double")
+    if best:
+        pairs = alike(blocks.select("key", F.col("cell").alias("one")))
+        ends = pairs.select(F.col("u").alias("node"), "*").union(pairs.select("v", "*"))
+        top = F.slice(F.sort_array(F.collect_set(F.struct("agree", "u", "v")), asc=False), 1, BEST)
+        return ends.groupBy("node").agg(top.alias("top")).select(F.inline("top")).select("u", "v").distinct()
+    pairs = alike(blocks.where(F.col("members") <= BLOCK).select("key", F.col("cell").alias("one")))
+    large = blocks.where(F.col("members") > BLOCK)
+    one = large.select("key", F.col("block").alias("i"), F.col("cell").alias("one"))
+    two = large.select("key", F.col("block").alias("j"), F.col("cell").alias("two"))
+    pairs = pairs.union(alike(one.join(two, "key").where("i <= j").select("key", "one", "two")))
+    return pairs.select("u", "v")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     left = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     right = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
@@ -190,49 +250,37 @@ def near_duplicates(
     )
     own = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     own = own.select(F.col("row").alias("node"), "n", "sketch", "bands", "_k1", "_k2")
-    banded = own.select("node", F.explode("bands").alias("key"))
+    banded = own.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("key").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("members"))
     members = work.write(banded.join(buckets.where("members > 1"), "key"), "members")
     linked = members.select("node").distinct()
-    faces = work.write(own.drop("bands").join(linked, "node", "left_semi"), "faces")
-
-    # Step 1: the best looking leader of each node.
-    lead = faces.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("sketch_u"))
-    node = faces.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("sketch_v"))
-    pairs = members.where("node <> lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct()
-    pairs = pairs.join(lead, "u").join(node, "v").where("4 * n_u >= 3 * n_v AND 4 * n_v >= 3 * n_u")
-    agree = _agreement("sketch_u", "sketch_v")
-    pairs = pairs.select("u", "v", agree.alias("agree")).where(F.col("agree") >= LOOKS_SIMILAR)
-    first = pairs.groupBy("v").agg(F.max(F.struct("agree", (-F.col("u")).alias("minus_u"))).alias("best"))
-    first = work.write(first.select((-F.col("best.minus_u")).alias("u"), "v"), "first")
-    texts = work.write(_texts(docs, _ends(first, faces), id_col, text_col), "texts")
-    links = work.write(_confirmed(first, texts, percent), "links")
-    work.drop("texts")
-    groups = components(links, work, "groups")
-
-    # Step 2: what buckets of several groups still may link.
-    placed = members.where("members > 2").join(groups, "node", "left")
-    placed = placed.select("key", "node", "members", F.coalesce("root", "node").alias("grp"))
-    mixed = placed.groupBy("key").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a <> b").select("key")
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK))
-    member = F.struct("node", "grp", "n", "sketch")
-    open_ = placed.join(mixed, "key", "left_semi").join(faces.select("node", "n", "sketch"), "node")
-    blocks = open_.groupBy("key", block.alias("block")).agg(F.collect_list(member).alias("cell"))
-    blocks = work.write(blocks, "blocks")
-    one = blocks.select("key", F.col("block").alias("i"), F.col("cell").alias("one"))
-    two = blocks.select("key", F.col("block").alias("j"), F.col("cell").alias("two"))
-    rest = one.join(two, "key").where("i <= j").select("one", "two").mapInArrow(_alike, "u bigint, v bigint")
-    rest = work.write(rest.distinct(), "rest")
-    texts = work.write(_texts(docs, _ends(rest, faces), id_col, text_col), "texts-rest")
-    more = work.write(_confirmed(rest, texts, percent), "more")
-    work.drop("members", "blocks", "faces", "texts-rest")
-    groups = components(links.union(more), work, "all-groups")
+    # Of a band's key, 32 bits are enough to tell which bands two nodes share.
+    short = F.transform("bands", lambda key: F.shiftright(key, 32).cast("int")).alias("bands")
+    faces = own.select("node", "n", "sketch", short, "_k1", "_k2")
+    faces = work.write(faces.join(linked, "node", "left_semi"), "faces")
+
+    # What is left to know of every row; signatures are no longer needed.
+    slim = work.write(rows.select("id", "n", "digest", "_k1", "_k2"), "slim")
+    work.drop("rows")
+    # Read anew from the documents, once for all rounds.
+    texts = work.write(_texts(docs, faces.select("node", "_k1", "_k2"), id_col, text_col), "texts")
+    work.sweep()
+    first = work.write(_candidates(members, faces, None), "first")
+    links = work.write(_confirmed(first, texts, percent), "first-links")
+    # Here it is enough that most linked documents share a group.
+    groups = components(links, work, "first-groups", rounds=4)
+    work.sweep()
+    rest = work.write(_candidates(members, faces, groups), "rest")
+    links = work.write(_confirmed(rest, texts, percent), "rest-links")
+    work.sweep()
+    groups = components(links.union(groups.select("node", "root")), work, "groups")
+    work.drop("members", "faces", "texts")
 
     named = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = work.write(named, "named")
     lowest = named.groupBy("root").agg(F.min("low").alias("component"))
     named = work.write(named.join(lowest, "root").select("digest", "component"), "components")
-    result = rows.select("id", "n", "digest", "_k1", "_k2").join(named, "digest", "left")
+    result = slim.join(named, "digest", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
     return result.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -241,27 +289,6 @@ def near_duplicates(
     )
 
 
-def _agreement(a: str, b: str):
-    """Share of equal bytes of two signatures."""
-
-    @F.pandas_udf("double")
-    def share(x, y):
-        import pandas as pd
-
-        if not len(x):
-            return pd.Series([], dtype=float)
-        left = np.frombuffer(b"".join(x), np.uint8).reshape(len(x), COORDINATES)
-        right = np.frombuffer(b"".join(y), np.uint8).reshape(len(y), COORDINATES)
-        return pd.Series((left == right).mean(axis=1))
-
-    return share(a, b)
-
-
-def _ends(pairs: DataFrame, faces: DataFrame) -> DataFrame:
-    ends = pairs.select("u").union(pairs.select("v")).distinct().toDF("node")
-    return faces.select("node", "_k1", "_k2").join(ends, "node", "left_semi")
-
-
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group stays, that of the smallest id, with all columns.
 
