@@ -1,14 +1,11 @@
-"""The pipeline's stages and the registered queries on the smallest driver tables."""
+"""The pipeline's stages on the smallest driver tables."""
 
 from pathlib import Path
 
 import pytest
 from test_dedup import fold, shingles
-from test_registered_queries import duck  # noqa: F401
 
 import corpus_pipeline
-from paritas.llm.queries import ORACLES, QUERIES
-from tools.compare import rows
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="driver tables absent")
@@ -38,15 +35,3 @@ def test_stages_one_after_the_other(spark, tmp_path):
 
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, FOLDER).columns == ["doc_id", "n_tokens", "ids", "ends"]
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, duck, name):  # noqa: F811
-    df = QUERIES[name](spark, FOLDER)
-    got = df.collect()
-    assert got
-    if name in ORACLES:
-        cursor = duck.execute(ORACLES[name])
-        names, expected = [d[0] for d in cursor.description], cursor.fetchall()
-        assert sorted(df.columns) == sorted(names)
-        assert rows(df.columns, got) == rows(names, expected)
