@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paritas.operators import perf, schema, transform
 from paritas.operators.parity import rowcount_parity
+from paritas.plans.inputs import TABLES
 from paritas.plans.registry import query
 from paritas.plans.relational import TRANSFORM_INVOICE
 from paritas.plans.validation import ORDER_COLUMNS, shown
@@ -331,15 +332,15 @@ def nested_signature(t):
 
 @query(
     "catalog_presence",
-    """
-    SELECT 'orders' AS object, 'TABLE' AS expected_type, 'TABLE' AS actual_type, COUNT(*) AS n_rows, 'PASS' AS status FROM {orders}
-    UNION ALL SELECT 'lineitem', 'TABLE', 'TABLE', COUNT(*), 'PASS' FROM {lineitem}
-    UNION ALL SELECT 'documents', 'TABLE', 'TABLE', COUNT(*), 'PASS' FROM {documents}
-    UNION ALL SELECT 'shipments', 'TABLE', NULL, NULL, 'FAIL'""",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS object, 'TABLE' AS expected_type, 'TABLE' AS actual_type, COUNT(*) AS n_rows, 'PASS' AS status FROM {{{n}}}"
+        for n in TABLES
+    )
+    + " UNION ALL SELECT 'shipments', 'TABLE', NULL, NULL, 'FAIL'",
 )
 def catalog_presence(t):
-    tables = {n: getattr(t, n) for n in ("orders", "lineitem", "documents")}
-    return schema.catalog_presence(t.spark, tables, {n: "TABLE" for n in ("orders", "lineitem", "documents", "shipments")})
+    """Every driver table, and one that is not there."""
+    return schema.catalog_presence(t.spark, {n: getattr(t, n) for n in TABLES}, {n: "TABLE" for n in (*TABLES, "shipments")})
 
 
 @query(
@@ -364,18 +365,13 @@ def object_types(t):
 
 @query(
     "queryability",
-    """
-    SELECT 'orders' AS object, 'PASS' AS status, CAST(NULL AS STRING) AS error, COUNT(*) AS n_rows FROM {orders}
-    UNION ALL SELECT 'customer', 'PASS', NULL, COUNT(*) FROM {customer}
-    UNION ALL SELECT 'broken view', 'FAIL', 'UNRESOLVED_COLUMN.WITH_SUGGESTION', NULL""",
+    " UNION ALL ".join(f"SELECT '{n}' AS object, 'PASS' AS status, CAST(NULL AS STRING) AS error, COUNT(*) AS n_rows FROM {{{n}}}" for n in TABLES)
+    + " UNION ALL SELECT 'broken view', 'FAIL', 'UNRESOLVED_COLUMN.WITH_SUGGESTION', NULL",
 )
 def queryability(t):
-    objects = {
-        "orders": "SELECT * FROM probe_orders",
-        "customer": "SELECT * FROM probe_customer",
-        "broken view": "SELECT no_such_column FROM probe_orders",
-    }
-    with transform.visible({"probe_orders": t.orders, "probe_customer": t.customer}):
+    """Every driver table, and a query that does not analyse."""
+    objects = {n: f"SELECT * FROM probe_{n}" for n in TABLES} | {"broken view": "SELECT no_such_column FROM probe_orders"}
+    with transform.visible({f"probe_{n}": getattr(t, n) for n in TABLES}):
         return schema.queryability(t.spark, objects)
 
 

@@ -612,30 +612,33 @@ def fk_orphan(t):
     )
 
 
+# Child, child key, parent, parent key: every reference between the driver tables, and a pair of unlike types.
+_REFERENCES = [
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("labels", "doc_id", "documents", "doc_id"),
+    ("nation", "n_name", "region", "r_regionkey"),
+]
+
+
 @query(
     "fk_type_consistency",
-    """
-    SELECT 'lineitem.l_orderkey' AS child, 'orders.o_orderkey' AS parent, 'INT64' AS child_type, 'INT64' AS parent_type, 'PASS' AS status,
-           COUNT(*) FILTER (l_orderkey NOT IN (SELECT o_orderkey FROM {orders})) AS orphans, COUNT(*) AS total FROM {lineitem}
-    UNION ALL
-    SELECT 'orders.o_custkey', 'customer.c_custkey', 'INT64', 'INT64', 'PASS', COUNT(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM {customer})), COUNT(*) FROM {orders}
-    UNION ALL
-    SELECT 'customer.c_nationkey', 'nation.n_nationkey', 'INT64', 'INT64', 'PASS', COUNT(*) FILTER (c_nationkey NOT IN (SELECT n_nationkey FROM {nation})), COUNT(*) FROM {customer}
-    UNION ALL
-    SELECT 'nation.n_regionkey', 'region.r_regionkey', 'INT64', 'INT64', 'PASS', COUNT(*) FILTER (n_regionkey NOT IN (SELECT r_regionkey FROM {region})), COUNT(*) FROM {nation}
-    UNION ALL
-    SELECT 'nation.n_name', 'region.r_regionkey', 'STRING', 'INT64', 'FAIL', NULL, NULL""",
+    " UNION ALL ".join(
+        f"""
+    SELECT '{child}.{ck}' AS child, '{parent}.{pk}' AS parent, 'INT64' AS child_type, 'INT64' AS parent_type, 'PASS' AS status,
+           COUNT(*) FILTER ({ck} IS NULL OR {ck} NOT IN (SELECT {pk} FROM {{{parent}}})) AS orphans, COUNT(*) AS total FROM {{{child}}}"""
+        for child, ck, parent, pk in _REFERENCES[:-1]
+    )
+    + " UNION ALL SELECT 'nation.n_name', 'region.r_regionkey', 'STRING', 'INT64', 'FAIL', NULL, NULL",
 )
 def fk_type_consistency(t):
-    tables = {n: getattr(t, n) for n in ("lineitem", "orders", "customer", "nation", "region")}
-    pairs = [
-        ("lineitem", "l_orderkey", "orders", "o_orderkey"),
-        ("orders", "o_custkey", "customer", "c_custkey"),
-        ("customer", "c_nationkey", "nation", "n_nationkey"),
-        ("nation", "n_regionkey", "region", "r_regionkey"),
-        ("nation", "n_name", "region", "r_regionkey"),
-    ]
-    return integrity.fk_type_consistency(t.spark, tables, pairs)
+    names = {n for child, _, parent, _ in _REFERENCES for n in (child, parent)}
+    return integrity.fk_type_consistency(t.spark, {n: getattr(t, n) for n in names}, _REFERENCES)
 
 
 @query(
