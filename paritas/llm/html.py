@@ -1,9 +1,11 @@
 """Main text of pages by template deduction from equivalence classes.
 
-1. Every page is cut into tokens (tags and words).  Tokens of one host with the
-   same occurrence vector over the host's pages form a class; vectors are
-   compared by additive digests, so a host of any size is an aggregate combined
-   before the shuffle, never a group in one task.
+1. Every page is cut into tokens (tags and words).  A template's tokens are on
+   half of the host's pages or more, hence on half of the host's pages in some
+   run of pages: these are the candidates.  Candidates of one host with the same
+   occurrence vector over all its pages form a class; vectors are compared by
+   additive digests, so a host of any size is an aggregate combined before the
+   shuffle, never a group in one task.
 2. A class is valid if its tokens come in one order on every page (repeated
    ones: in one order per repetition) and nest: on no page does a class straddle
    the slots of a larger one.  Valid classes nested in each other are the host's
@@ -166,37 +168,67 @@ def _grouped(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(change)
 
 
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per host of a run of pages: the tokens on at least ``SUPPORT`` of its pages in the run."""
+    for batch in batches:
+        names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
+        found = []
+        for a, _, owner, token, _ in _page_tokens(batch.column("html")):
+            order, starts = _grouped([owner, token])
+            found.append((host[owner[order][starts] + a], token[order][starts]))
+        if not found:
+            continue
+        hosts, tokens = (np.concatenate(c) for c in zip(*found))
+        order, starts = _grouped([hosts, tokens])
+        count = np.diff(np.append(starts, len(order)))
+        hosts, tokens = hosts[order][starts], tokens[order][starts]
+        keep = count >= SUPPORT * np.bincount(host, minlength=len(names))[hosts] if len(hosts) else np.zeros(0, bool)
+        arrays = [pa.array([names[i] for i in hosts[keep]], pa.string()), pa.array(tokens[keep].view(np.int64))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["host", "token"])
+
+
+def _members(own: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of a page's tokens are in a sorted list, and where there."""
+    own = own.view(np.int64)
+    place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    at = np.flatnonzero(known[place] == own) if len(known) else np.zeros(0, np.int64)
+    return at, place[at]
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and token of a run of pages: two digest sums of the occurrence vector, and pages it is on."""
+    """Per host and candidate of a run of pages: two digest sums of the occurrence vector, and pages it is on."""
     for batch in batches:
-        hosts, pages = batch.column("host").to_pylist(), np.asarray(batch.column("page")).view(np.uint64)
+        pages, cells = np.asarray(batch.column("page")).view(np.uint64), batch.column("tokens")
+        names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
+        sums = []
         for a, b, owner, token, _ in _page_tokens(batch.column("html")):
-            if not len(token):
-                continue
-            known = {h: i for i, h in enumerate(dict.fromkeys(hosts[a:b]))}
-            host = np.array([known[h] for h in hosts[a:b]])
+            bounds = np.searchsorted(owner, np.arange(b - a + 1))
+            known = [_members(token[bounds[i] : bounds[i + 1]], cells[a + i].values.to_numpy())[0] + bounds[i] for i in range(b - a)]
+            at = np.concatenate(known) if known else np.zeros(0, np.int64)
+            owner, token = owner[at], token[at]
             order, starts = _grouped([owner, token])
             times = np.diff(np.append(starts, len(order))).astype(np.uint64)
             owner, token = owner[order][starts], token[order][starts]
             digest = mix(mix(pages[a:b][owner] + _ODD) + times * _ODD)
-            order, starts = _grouped([host[owner], token])
-            low = np.add.reduceat((digest & np.uint64(0x7FFFFFFF)).astype(np.int64)[order], starts)
-            high = np.add.reduceat((digest >> np.uint64(33)).astype(np.int64)[order], starts)
-            count = np.diff(np.append(starts, len(order)))
-            names = list(known)
-            which = host[owner][order][starts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([names[i] for i in which]), pa.array(token[order][starts].view(np.int64)),
-                    pa.array(low), pa.array(high), pa.array(count.astype(np.int64)),
-                ],
-                names=["host", "token", "low", "high", "pages"],
-            )
+            sums.append((host[owner + a], token, digest))
+        if not sums or not sum(len(t) for _, t, _ in sums):
+            continue
+        hosts, tokens, digest = (np.concatenate(c) for c in zip(*sums))
+        order, starts = _grouped([hosts, tokens])
+        low = np.add.reduceat((digest & np.uint64(0x7FFFFFFF)).astype(np.int64)[order], starts)
+        high = np.add.reduceat((digest >> np.uint64(33)).astype(np.int64)[order], starts)
+        count = np.diff(np.append(starts, len(order))).astype(np.int64)
+        arrays = [
+            pa.array([names[i] for i in hosts[order][starts]], pa.string()), pa.array(tokens[order][starts].view(np.int64)),
+            pa.array(low), pa.array(high), pa.array(count),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, names=["host", "token", "low", "high", "pages"])
 
 
-def _found_tokens(token: np.ndarray, template: dict[int, int]) -> np.ndarray:
-    known = np.fromiter(template, np.int64, len(template)).view(np.uint64)
-    return np.isin(token, known)
+def _classes_of(cell) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted tokens and their classes, of one host's cell."""
+    pairs = cell.values
+    return pairs.field("token").to_numpy(), pairs.field("grp").to_numpy()
 
 
 def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,29 +236,25 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, seen = batch.column("host").to_pylist(), {}
         cells = batch.column("tokens")
-        for a, b, owner, token, place in _page_tokens(batch.column("html")):
+        for a, b, owner, token, _ in _page_tokens(batch.column("html")):
             bounds = np.searchsorted(owner, np.arange(b - a + 1))
             for i in range(b - a):
-                cell = cells[a + i].as_py()
-                if not cell:
-                    continue
-                class_of = {t["token"]: t["grp"] for t in cell}
+                known, classes = _classes_of(cells[a + i])
                 own = token[bounds[i] : bounds[i + 1]]
-                at = np.flatnonzero(_found_tokens(own, class_of))
-                mine = own[at].view(np.int64)
-                group = np.array([class_of[t] for t in mine.tolist()], np.int64)
+                at, place = _members(own, known)
+                mine, group = known[place], classes[place]
                 spans = {}
                 for g in dict.fromkeys(group.tolist()):
-                    where = at[group == g]
-                    tokens = mine[group == g]
+                    chosen = group == g
+                    where, tokens = at[chosen], mine[chosen]
                     distinct = len(set(tokens.tolist()))
                     rounds = tokens.reshape(-1, distinct) if len(tokens) % distinct == 0 else tokens[None, :]
-                    pattern = hash(tuple(rounds[0].tolist())) if (rounds == rounds[0]).all() and rounds.shape[1] == distinct else None
+                    pattern = hash(tuple(rounds[0].tolist())) if rounds.shape[1] == distinct and (rounds == rounds[0]).all() else None
                     spans[g] = (where, pattern, len(rounds) == 1)
                 for g, (where, pattern, once) in spans.items():
-                    straddles = any(
-                        single and len(other) > len(where) and len(set(np.searchsorted(other, where).tolist())) > 1
-                        and where[0] < other[-1] and where[-1] > other[0] and once
+                    straddles = once and any(
+                        single and len(other) > len(where) and where[0] < other[-1] and where[-1] > other[0]
+                        and len(set(np.searchsorted(other, where).tolist())) > 1
                         for h, (other, _, single) in spans.items() if h != g
                     )
                     low, high, bad = seen.get((hosts[a + i], g), (pattern, pattern, 0))
@@ -246,20 +274,24 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(pages: DataFrame, work: Workspace) -> DataFrame:
     """``host, tokens``: the tokens of the valid classes of each host (``host, page, html`` in), with their class."""
-    vectors = pages.mapInArrow(_vectors, "host string, token bigint, low bigint, high bigint, pages bigint")
-    vectors = vectors.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages")])
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages")).where(F.col("all_pages") >= LEAST_PAGES)
-    frequent = vectors.where(F.col("pages") >= 2).join(sizes, "host").where(F.col("pages") >= F.col("all_pages") * SUPPORT)
+    sizes = work.write(sizes, "sizes")
+    local = pages.mapInArrow(_frequent, "host string, token bigint").join(sizes, "host", "left_semi")
+    candidates = work.write(local.groupBy("host").agg(F.array_sort(F.collect_set("token")).alias("tokens")), "candidates")
+    vectors = pages.join(candidates, "host").select("host", "page", "html", "tokens")
+    vectors = vectors.mapInArrow(_vectors, "host string, token bigint, low bigint, high bigint, pages bigint")
+    vectors = vectors.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages")])
+    frequent = vectors.join(sizes, "host").where(F.col("pages") >= F.col("all_pages") * SUPPORT)
     frequent = work.write(frequent.select("host", "token", F.xxhash64("low", "high", "pages").alias("grp")), "frequent")
     classes = frequent.groupBy("host", "grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CLASS_TOKENS)
     tokens = frequent.join(classes.drop("n"), ["host", "grp"])
     tokens = work.write(tokens, "tokens")
-    cells = tokens.groupBy("host").agg(F.collect_list(F.struct("token", "grp")).alias("tokens"))
+    cells = tokens.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("token", "grp"))).alias("tokens"))
     checks = pages.join(work.write(cells, "classes"), "host").select("host", "html", "tokens")
     checks = checks.mapInArrow(_checks, "host string, grp bigint, low bigint, high bigint, bad bigint")
     checks = checks.groupBy("host", "grp").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("bad").alias("bad"))
     valid = checks.where("low = high AND bad = 0").select("host", "grp")
-    cells = tokens.join(valid, ["host", "grp"]).groupBy("host").agg(F.collect_list(F.struct("token", "grp")).alias("tokens"))
+    cells = tokens.join(valid, ["host", "grp"]).groupBy("host").agg(F.array_sort(F.collect_list(F.struct("token", "grp"))).alias("tokens"))
     return work.write(cells, "templates")
 
 
@@ -270,13 +302,12 @@ def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
         for a, b, owner, token, place in _page_tokens(pages):
             bounds = np.searchsorted(owner, np.arange(b - a + 1))
             for i in range(b - a):
-                page, cell = pages[a + i].as_py() or "", cells[a + i].as_py()
-                offsets, frame = None, 0
-                if cell:
+                page, offsets, frame = pages[a + i].as_py() or "", None, 0
+                if cells[a + i].is_valid:
                     own, where = token[bounds[i] : bounds[i + 1]], place[bounds[i] : bounds[i + 1]]
-                    is_frame = _found_tokens(own, {t["token"]: t["grp"] for t in cell})
-                    frame = int(np.count_nonzero(is_frame[1:] > is_frame[:-1])) + 1 if is_frame.any() else 0
-                    offsets = set(where[is_frame].tolist())
+                    at, _ = _members(own, _classes_of(cells[a + i])[0])
+                    frame = int(np.count_nonzero(np.diff(at) > 1)) + 1 if len(at) else 0
+                    offsets = set(where[at].tolist())
                 blocks = page_blocks(page, _template_text(page, offsets) if offsets else None)
                 texts.append("\n".join(blocks))
                 slots.append(frame)
