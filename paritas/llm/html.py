@@ -1,6 +1,7 @@
 """Main text of pages by template deduction from equivalence classes.
 
-1. Every page is cut into tokens (tags and words).  A template's tokens are on
+1. Every page is cut into tokens (tags and words), told apart by their tag path
+   and words also by the tokens beside them.  A template's tokens are on
    half of the host's pages or more, hence on half of the host's pages in some
    run of pages: these are the candidates.  Candidates of one host with the same
    occurrence vector over all its pages form a class; vectors are compared by
@@ -9,7 +10,8 @@
 2. A class is valid if its tokens come in one order on every page (repeated
    ones: in one order per repetition) and nest: on no page does a class straddle
    the slots of a larger one.  Valid classes nested in each other are the host's
-   template.
+   template.  Words are the template's only where they stand in a run of class
+   words too long, or too close to the block's edges, for chance to repeat.
 3. What lies between template tokens are slots.  The text of slots inside the
    article is extracted; text that belongs to the template itself, and slots
    inside menus, headers, footers, sidebars, notices, adverts, forms, comments,
@@ -43,6 +45,8 @@ from paritas.llm.url_filter import host_and_path
 LEAST_PAGES = 3
 #: Share of a host's pages a template token is on, and tokens a class has at least.
 SUPPORT, CLASS_TOKENS = 0.5, 2
+#: Words of a template run that reaches none, one or both edges of its block, on hosts below and from ``SURE_PAGES`` pages.
+SURE_PAGES, _RUN_WORDS = 8, ((8, 3, 2), (6, 2, 1))
 
 # Elements whose text is never the article's.
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp"}
@@ -66,6 +70,11 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]
 _MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[^a-z0-9]+")
+_TAG_BYTES = re.compile(_TAG.pattern.encode(), re.S)
+_BLOCK_BYTES = {tag.encode(): number for number, tag in enumerate(sorted(_BLOCK), 1)}
+_REPEATS = {b"p", b"li", b"dt", b"dd", b"tr", b"td", b"th"}
+#: Kinds of tokens: words, tags of blocks, other tags.
+_WORD, _EDGE, _INLINE = 0, 1, 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,13 +156,80 @@ def page_blocks(page: str, is_template=None) -> list[str]:
     return blocks if marked else outside
 
 
-def _page_tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For runs of pages: ``(first, end, owner, token hash, byte offset in the page)``; tokens are tags and words."""
+def _places(page: bytes, first: int, found: list[tuple[int, int, bool, int]]) -> None:
+    """Adds ``(start, end, block, path)`` of the page's tags; ``path`` is a hash of the blocks open after the tag."""
+    found.append((first, first, True, 0))
+    stack: list[tuple[bytes, int]] = []
+    path = 0
+    for tag in _TAG_BYTES.finditer(page):
+        name = (tag.group(2) or b"").lower()
+        block = name in _BLOCK_BYTES
+        if block and tag.group(1):
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] == name:
+                    path = stack[depth][1]
+                    del stack[depth:]
+                    break
+        elif block and name != b"hr":
+            if name in _REPEATS and stack and stack[-1][0] == name:  # <p> ends an open <p>
+                path = stack.pop()[1]
+            stack.append((name, path))
+            path = (path * 1000003 + _BLOCK_BYTES[name]) & 0xFFFFFFFFFFFF
+        found.append((first + tag.start(), first + tag.end(), block, path))
+
+
+def _page_tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of pages: ``(first, end, owner, token hash, byte offset in the page, kind)``.
+
+    Tokens are tags and words, told apart by the blocks they are in, and words
+    also by the token before and after: next to a block's edge, by that edge.
+    """
     data, offsets = as_bytes(texts)
     for a, b in slices(np.diff(offsets).tolist(), SLICE_BYTES):
         hashes, bounds, starts = token_hashes(data, offsets[a : b + 1])
         owner = np.repeat(np.arange(b - a), np.diff(bounds))
-        yield a, b, owner, hashes, starts - (offsets[a:b] - offsets[a])[owner]
+        tags: list[tuple[int, int, bool, int]] = []
+        for i in range(a, b):
+            _places(data[offsets[i] : offsets[i + 1]].tobytes(), int(offsets[i] - offsets[a]), tags)
+        begin, end, block, path = (np.array(c) for c in zip(*tags))
+        at = np.searchsorted(begin, starts, side="right") - 1
+        in_tag, path = starts < end[at], path[at].astype(np.uint64)
+        kind = np.where(in_tag, np.where(block[at], _EDGE, _INLINE), _WORD)
+        token = mix(hashes + path * _ODD)
+        line = np.flatnonzero(kind != _INLINE)
+        value, whose = np.where(kind[line] == _EDGE, _ODD, hashes[line]), owner[line]
+        before, after = np.full(len(line), _ODD), np.full(len(line), _ODD)
+        same = whose[1:] == whose[:-1]
+        before[1:][same], after[:-1][same] = value[:-1][same], value[1:][same]
+        inner = kind[line] == _WORD
+        token[line[inner]] = mix(mix(mix(before + path[line] * _ODD) + value) + after)[inner]
+        yield a, b, owner, token, starts - (offsets[a:b] - offsets[a])[owner], kind
+
+
+def _template_words(kind: np.ndarray, known: np.ndarray, pages: int) -> np.ndarray:
+    """Which of a page's tokens are words of the template, given which are tokens of its classes.
+
+    A class word vouches for the words beside it.  A run of such words counts by
+    its length and by the block's edges it reaches: what chance can repeat on
+    ``pages`` pages is none.
+    """
+    line = np.flatnonzero(kind != _INLINE)
+    word = kind[line] == _WORD
+    hit = np.zeros(len(kind), bool)
+    hit[known] = True
+    hit = hit[line] & word
+    run = hit.copy()
+    run[1:] |= hit[:-1]
+    run[:-1] |= hit[1:]
+    run &= word
+    edge = np.diff(np.concatenate([[0], run.view(np.int8), [0]]))
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+    inside = np.concatenate([[False], word, [False]])
+    edges = (hit[first] & ~inside[first]).astype(int) + (hit[last] & ~inside[last + 2])
+    least = np.array(_RUN_WORDS[pages >= SURE_PAGES])[edges]
+    keep = last - first + 1 >= least
+    chosen = [line[f : e + 1] for f, e in zip(first[keep], last[keep])]
+    return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
 
 
 def _grouped(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +249,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
         found = []
-        for a, _, owner, token, _ in _page_tokens(batch.column("html")):
+        for a, _, owner, token, *_ in _page_tokens(batch.column("html")):
             order, starts = _grouped([owner, token])
             found.append((host[owner[order][starts] + a], token[order][starts]))
         if not found:
@@ -201,7 +277,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages, cells = np.asarray(batch.column("page")).view(np.uint64), batch.column("tokens")
         names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
         sums = []
-        for a, b, owner, token, _ in _page_tokens(batch.column("html")):
+        for a, b, owner, token, *_ in _page_tokens(batch.column("html")):
             bounds = np.searchsorted(owner, np.arange(b - a + 1))
             known = [_members(token[bounds[i] : bounds[i + 1]], cells[a + i].values.to_numpy())[0] + bounds[i] for i in range(b - a)]
             at = np.concatenate(known) if known else np.zeros(0, np.int64)
@@ -236,7 +312,7 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, seen = batch.column("host").to_pylist(), {}
         cells = batch.column("tokens")
-        for a, b, owner, token, _ in _page_tokens(batch.column("html")):
+        for a, b, owner, token, *_ in _page_tokens(batch.column("html")):
             bounds = np.searchsorted(owner, np.arange(b - a + 1))
             for i in range(b - a):
                 known, classes = _classes_of(cells[a + i])
@@ -273,7 +349,7 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame, work: Workspace) -> DataFrame:
-    """``host, tokens``: the tokens of the valid classes of each host (``host, page, html`` in), with their class."""
+    """``host, tokens, all_pages``: the tokens of the valid classes of each host (``host, page, html`` in), with their class."""
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages")).where(F.col("all_pages") >= LEAST_PAGES)
     sizes = work.write(sizes, "sizes")
     local = pages.mapInArrow(_frequent, "host string, token bigint").join(sizes, "host", "left_semi")
@@ -292,14 +368,14 @@ def templates(pages: DataFrame, work: Workspace) -> DataFrame:
     checks = checks.groupBy("host", "grp").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("bad").alias("bad"))
     valid = checks.where("low = high AND bad = 0").select("host", "grp")
     cells = tokens.join(valid, ["host", "grp"]).groupBy("host").agg(F.array_sort(F.collect_list(F.struct("token", "grp"))).alias("tokens"))
-    return work.write(cells, "templates")
+    return work.write(cells.join(sizes, "host"), "templates")
 
 
 def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cells, pages = batch.column("tokens"), batch.column("html")
         texts, slots = [], []
-        for a, b, owner, token, place in _page_tokens(pages):
+        for a, b, owner, token, place, kind in _page_tokens(pages):
             bounds = np.searchsorted(owner, np.arange(b - a + 1))
             for i in range(b - a):
                 page, offsets, frame = pages[a + i].as_py() or "", None, 0
@@ -307,7 +383,8 @@ def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
                     own, where = token[bounds[i] : bounds[i + 1]], place[bounds[i] : bounds[i + 1]]
                     at, _ = _members(own, _classes_of(cells[a + i])[0])
                     frame = int(np.count_nonzero(np.diff(at) > 1)) + 1 if len(at) else 0
-                    offsets = set(where[at].tolist())
+                    words = _template_words(kind[bounds[i] : bounds[i + 1]], at, batch.column("all_pages")[a + i].as_py())
+                    offsets = set(where[words].tolist())
                 blocks = page_blocks(page, _template_text(page, offsets) if offsets else None)
                 texts.append("\n".join(blocks))
                 slots.append(frame)
@@ -339,7 +416,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), url.alias("url"), host_and_path(url)[0].alias("host"), F.col(f"`{html_col}`").alias("html"))
     keyed = rows.select("host", F.xxhash64("id", "url", "html").alias("page"), F.coalesce("html", F.lit("")).alias("html"))
     known = templates(keyed, work)
-    joined = rows.join(known, "host", "left").select("id", "url", "html", "tokens")
+    joined = rows.join(known, "host", "left").select("id", "url", "html", "tokens", "all_pages")
     schema = T.StructType(joined.schema.fields[:2]).add("text", T.StringType()).add("n_chars", T.LongType()).add("n_slots", T.LongType())
     names = schema.names
     found = joined.mapInArrow(lambda b: _extract(b, names), schema)

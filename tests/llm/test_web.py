@@ -57,6 +57,13 @@ def test_template_text_goes_where_no_article_is_marked(spark):
     assert got == {i: sentence(i, 25) for i in range(30)}
 
 
+def test_chance_words_of_small_hosts_stay(spark):
+    texts = {i: f"{sentence(i, 20)} river {sentence(i + 50, 20)} mountain {sentence(i + 90, 20)}" for i in range(4)}
+    rows = [(i, "http://s.example.org/", f"<body><div>Sign up here</div><p>{t}</p><p>river {i}</p></body>") for i, t in texts.items()]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, PAGE)).collect()}
+    assert got == {i: f"{t}\nriver {i}" for i, t in texts.items()}
+
+
 @pytest.mark.parametrize("html, blocks", [
     ("<article><p>a<nav>n</nav>b</article>", ["a", "b"]),
     ("<nav>n<article>a</article>", ["a"]),
