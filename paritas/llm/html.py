@@ -66,6 +66,11 @@ _MARKS = {
     "complementary", "dialog", "comment", "comments", "disqus", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "notices",
     "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "login", "search", "share", "social", "related", "widget",
 }
+# Of these, and of tags, those that a page may leave open before its article.
+_LEFT_OPEN = {
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promotion",
+    "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "head", "form",
+}
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -78,22 +83,40 @@ _WORD, _EDGE, _INLINE = 0, 1, 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
+def _aside(tag: str, attributes: str, in_article: bool) -> int:
+    """0: no aside, 1: a menu, header or advert, which may be left open, 2: another."""
     if tag in _ASIDE or tag == "header" and not in_article:
-        return True
+        return 1 if tag in _LEFT_OPEN else 2
     if not attributes:
-        return False
+        return 0
     if _HIDDEN.search(attributes):
-        return True
-    return any(not _MARKS.isdisjoint(_WORDS.split(m.lower())) for m in _MARKED.findall(attributes))
+        return 2
+    marks = [m for value in _MARKED.findall(attributes) if (m := _MARKS.intersection(_WORDS.split(value.lower())))]
+    return 0 if not marks else 1 if all(m <= _LEFT_OPEN for m in marks) else 2
+
+
+def _closes(page: str, at: int, tag: str) -> bool:
+    """Whether an element that is open at ``at`` is closed later."""
+    depth = 0
+    for found in re.finditer(rf"<(/?){tag}\b", page[at:], re.I):
+        depth += -1 if found.group(1) else 1
+        if depth < 0:
+            return True
+    return False
 
 
 def page_blocks(page: str, is_template=None) -> list[str]:
     """The blocks of the article of one page; ``is_template(start, end)`` tells which text is the template's."""
+    blocks, shut_in = _blocks(page, is_template, False)
+    return _blocks(page, is_template, True)[0] if shut_in and not blocks else blocks
+
+
+def _blocks(page: str, is_template, any_aside: bool) -> tuple[list[str], bool]:
+    """The blocks, and whether an article lies in an aside; ``any_aside`` takes the first such article as the page's."""
     outside: list[str] = []  # blocks elsewhere, used if the page marks no article
-    stack: list[tuple[str, bool, bool]] = []  # tag, aside here, within an article
+    stack: list[tuple[str, int, bool]] = []  # tag, aside here, within an article
     text: list[str] = []
-    marked, aside, article, at, size = False, False, False, 0, len(page)
+    marked, aside, article, shut_in, at, size = False, 0, False, False, 0, len(page)
     blocks: list[str] = []
 
     def close_block() -> None:
@@ -140,20 +163,24 @@ def page_blocks(page: str, is_template=None) -> list[str]:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
             continue
-        mark = _is_aside(tag, attributes, article)
+        mark = _aside(tag, attributes, article)
         if tag in ("article", "main") and not mark:
             if aside and not marked:
-                # The first article lies in no menu, header or advert: what was left open there has ended. Later ones may be comments.
-                while stack and aside:
-                    _, aside, article = stack.pop()
+                # The first article lies in no menu, header or advert left open: that has ended. Other asides hold comments and teasers.
+                opened = {name for name, _, _ in stack if name in ("nav", "menu", "header")}
+                if any_aside or aside == 1 and not any(_closes(page, at, name) for name in opened):
+                    while stack and aside:
+                        _, aside, article = stack.pop()
+                else:
+                    shut_in = True
             stack.append((tag, aside, article))
             if not aside:
                 article = marked = True
             continue
         stack.append((tag, aside, article))
-        aside = aside or mark
+        aside = max(aside, mark)
     close_block()
-    return blocks if marked else outside
+    return blocks if marked else outside, shut_in
 
 
 def _places(page: bytes, first: int, found: list[tuple[int, int, bool, int]]) -> None:

@@ -64,6 +64,17 @@ def test_chance_words_of_small_hosts_stay(spark):
     assert got == {i: f"{t}\nriver {i}" for i, t in texts.items()}
 
 
+@pytest.mark.parametrize("html, blocks", [
+    (page(3, article=False), want(3).split("\n")),
+    ("<div><p>main</div><aside class=related><article>teaser</article></aside>", ["main"]),
+    ("<nav><article>teaser</article></nav><p>main", ["main"]),
+    ("<header><div class=ad>x<article>a</article>", ["a"]),
+    ("<div class=sidebar><article>a</article></div>", ["a"]),
+])
+def test_articles_in_asides(html, blocks):
+    assert page_blocks(html) == blocks
+
+
 @pytest.mark.parametrize("html, blocks", [
     ("<article><p>a<nav>n</nav>b</article>", ["a", "b"]),
     ("<nav>n<article>a</article>", ["a"]),
