@@ -66,7 +66,10 @@ _MARKS = {
     "complementary", "dialog", "comment", "comments", "disqus", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "notices",
     "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "login", "search", "share", "social", "related", "widget",
 }
-# Of these, and of tags, those that a page may leave open before its article.
+# Parts of names that tell how a page is laid out, and elements that only a whole name makes an aside.
+_STATES = {"no", "not", "has", "with", "without", "layout"}
+_TEXT = {"h1", "h2", "h3", "h4", "h5", "h6", "p"}
+# Of the marks, and of tags, those that a page may leave open before its article.
 _LEFT_OPEN = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promotion",
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "head", "form",
@@ -87,11 +90,16 @@ def _aside(tag: str, attributes: str, in_article: bool) -> int:
     """0: no aside, 1: a menu, header or advert, which may be left open, 2: another."""
     if tag in _ASIDE or tag == "header" and not in_article:
         return 1 if tag in _LEFT_OPEN else 2
-    if not attributes:
+    if not attributes or tag in ("html", "body"):
         return 0
     if _HIDDEN.search(attributes):
         return 2
-    marks = [m for value in _MARKED.findall(attributes) if (m := _MARKS.intersection(_WORDS.split(value.lower())))]
+    names = [name for value in _MARKED.findall(attributes) for name in value.strip("\"'").lower().split()]
+    if in_article or tag in _TEXT:
+        marks = [{name} for name in names if name in _MARKS]
+    else:
+        parts = [set(_WORDS.split(name)) for name in names]
+        marks = [m for p in parts if _STATES.isdisjoint(p) and (m := _MARKS & p)]
     return 0 if not marks else 1 if all(m <= _LEFT_OPEN for m in marks) else 2
 
 

@@ -70,6 +70,9 @@ def test_chance_words_of_small_hosts_stay(spark):
     ("<nav><article>teaser</article></nav><p>main", ["main"]),
     ("<header><div class=ad>x<article>a</article>", ["a"]),
     ("<div class=sidebar><article>a</article></div>", ["a"]),
+    ("<body class='has-sidebar ad'><div id=page class='no-sidebar'><p>a<div class=site-menu>m</div>", ["a"]),
+    ("<article><h2 class='section-header'>t</h2><div class='entry-header'>e</div><p class='search-results'>r<div class='x ad'>n</div>", ["t", "e", "r"]),
+    ("<h1 class='page-header'>t</h1><p class=ad>n</p>", ["t"]),
 ])
 def test_articles_in_asides(html, blocks):
     assert page_blocks(html) == blocks
