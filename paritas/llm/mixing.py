@@ -5,8 +5,9 @@ source's target over its source's size (times its weight over the source's mean
 weight, if a weight is given): the whole part is taken for certain, the rest is
 its inclusion probability p.  The documents of a source are ranked by random
 odds over inclusion odds, u / (1 - u) / (p / (1 - p)), and the lowest ranks fill
-the words that certain copies leave open; the last place goes to the document
-whose size fits the gap best.
+the words that certain copies leave open.  A document larger than what is open
+is passed over and the draw goes on below it, until no document fits; then the
+smallest one left may replace the last ranks drawn, if that narrows the gap.
 
 Ranks are range partitioned by (source, odds), so one source may hold any share
 of the rows; running sums carry one number per range and source.
@@ -63,6 +64,42 @@ def _uniform(seed: int, id_: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_, id_.isNull()), 11).cast("double") + 0.5) / F.lit(2.0**53)
 
 
+def _taken(passes: str, at: Column) -> Column:
+    return F.exists(passes, lambda p: (F.col("size") <= p["most"]) & (at <= p["cut"]))
+
+
+def _fill(rows: DataFrame, room: DataFrame, work: Workspace, name: str) -> DataFrame:
+    """Per source ``k`` of ``room``: the ``passes`` over its rows, and the words still ``open``.
+
+    Each pass goes down the rows (``k, part, at, size``, in order of ``at``) that
+    fit what is open, and stops before the first that no longer does; the next
+    pass leaves out what is too large by then, until nothing fits.  A pass takes
+    rows of up to ``most`` words up to place ``cut``, so that passes are small.
+    """
+    passes = F.array().cast("array<struct<most: double, cut: bigint>>")
+    state = work.write(room.select("k", F.col("open").cast("double").alias("open"), passes.alias("passes")), f"{name}-0")
+    turn = 0
+    while True:
+        turn += 1
+        left = rows.where("size > 0").join(state, "k").where((F.col("size") <= F.col("open")) & ~_taken("passes", F.col("at")))
+        sums = left.groupBy("k", "part").agg(F.sum("size").alias("words"), F.first("open").alias("open"))
+        sums = sums.withColumn("upto", F.sum("words").over(Window.partitionBy("k").orderBy("part")))
+        fits = F.col("upto") <= F.col("open")
+        edge = sums.groupBy("k").agg(F.min(F.when(~fits, F.col("part"))).alias("edge"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("before"))
+        edge = work.write(edge, f"{name}-edge-{turn}")
+        if edge.isEmpty():
+            return state
+        cut = left.join(edge.withColumnRenamed("edge", "part"), ["k", "part"])
+        cut = cut.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("k").orderBy("at")))
+        cut = cut.where("upto <= open").groupBy("k").agg(F.max("at").alias("cut"), F.max("upto").alias("got"))
+        last = F.coalesce("cut", F.shiftleft("edge", _PART_SHIFT) - 1, F.lit((1 << 63) - 1))
+        now = F.when(F.col("before").isNotNull(), F.array(F.struct(F.col("open").alias("most"), last.alias("cut")))).otherwise(F.array())
+        state = state.join(edge, "k", "left").join(cut, "k", "left").select(
+            "k", (F.col("open") - F.coalesce("got", "before", F.lit(0))).alias("open"), F.concat("passes", now).alias("passes")
+        )
+        state = work.write(state, f"{name}-{turn}")
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weight_col: str | None = None, seed: int = 1, keys: bool = False,
@@ -79,7 +116,7 @@ def mix(
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("weight") * F.col("size")).alias("weighed"))
     plan = source_targets(sums.select("source", "source_size"))
     plan = plan.join(sums.select(F.col("source").alias("s"), "weighed"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    plan = work.write(plan, "plan")
+    plan = work.write(plan.withColumn("k", F.monotonically_increasing_id()), "plan")
 
     p = plan.withColumnRenamed("source", "s")
     rows = rows.join(p, F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -96,35 +133,24 @@ def mix(
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
     ordered = work.write(ordered.withColumn("part", F.shiftright("at", _PART_SHIFT)), "ordered")
     work.drop("sizes")
-    drawn = F.when(F.col("odds").isNotNull(), F.col("size")).otherwise(0)
-    sure = F.col("certain") * F.col("size")
-    carried = ordered.groupBy("source", "part").agg(F.sum(drawn).alias("drawn"), F.sum(sure).alias("sure"))
-    within = Window.partitionBy("source")
-    earlier = within.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = carried.select(
-        F.col("source").alias("s"), F.col("part").alias("q"),
-        F.coalesce(F.sum("drawn").over(earlier), F.lit(0)).alias("carry"), F.sum("sure").over(within).alias("all_sure"),
-    )
-    inside = Window.partitionBy("part", "source").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ordered.withColumn("upto", F.sum(drawn).over(inside))
-    placed = placed.join(carried, (F.col("part") == F.col("q")) & F.col("source").eqNullSafe(F.col("s")))
-    placed = placed.withColumn("upto", F.col("upto") + F.col("carry"))
-    placed = placed.withColumn("open", F.col("target") - F.col("all_sure"))
-    placed = placed.withColumn("chosen", F.col("odds").isNotNull() & (F.col("upto") <= F.col("open")))
-    placed = work.write(
-        placed.select("id", "source", "_k1", "_k2", "size", "source_size", "target", "certain", "odds", "open", "chosen", "at"), "placed"
-    )
-    work.drop("ordered")
-
-    # The last place: the document, not chosen yet, whose size comes nearest to the gap, if taking it narrows the gap.
-    got = F.sum(F.when(F.col("chosen"), F.col("size")).otherwise(0))
-    gaps = placed.groupBy("source").agg((F.first("open") - got).alias("gap")).withColumnRenamed("source", "s")
-    rest = placed.where("NOT chosen AND odds IS NOT NULL AND size > 0")
-    rest = rest.join(gaps, F.col("source").eqNullSafe(F.col("s"))).where("abs(size - gap) < gap")
-    best = rest.groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "odds", "at")).alias("best"))
-    last = best.select(F.col("best.at").alias("at"), F.lit(1).alias("last"))
-    done = placed.join(last, "at", "left")
-    copies = (F.col("certain") + F.col("chosen").cast("long") + F.coalesce("last", F.lit(0))).cast("bigint")
+    sure = ordered.groupBy("k").agg(F.sum(F.col("certain") * F.col("size")).alias("all_sure"))
+    room = plan.join(sure, "k").select("k", (F.col("target") - F.col("all_sure")).alias("open"))
+    ranked = ordered.where("odds IS NOT NULL").select("k", "part", "at", "size")
+    drawn = _fill(ranked, room, work, "drawn")
+
+    # What is left is larger than the gap.  The smallest of it comes in, and the last ranks go out, if that narrows the gap.
+    placed = ranked.where("size > 0").join(drawn, "k").withColumn("chosen", _taken("passes", F.col("at")))
+    least = placed.where("NOT chosen AND open > 0").groupBy("k").agg(F.min(F.struct("size", "at")).alias("extra"), F.first("open").alias("gap"))
+    least = work.write(least, "least")
+    back = -F.col("at")
+    leaving = placed.where("chosen").select("k", F.shiftright(back, _PART_SHIFT).alias("part"), back.alias("at"), "size")
+    over = _fill(leaving, least.select("k", (F.col("extra.size") - F.col("gap")).alias("open")), work, "over")
+    swaps = over.join(least, "k").where("open < gap").select("k", F.col("extra.at").alias("extra"), F.col("passes").alias("out"))
+
+    done = ordered.join(drawn.drop("open"), "k").join(swaps, "k", "left")
+    chosen = F.col("odds").isNotNull() & _taken("passes", F.col("at")) & ~F.coalesce(_taken("out", back), F.lit(False))
+    chosen = chosen | F.coalesce(F.col("at") == F.col("extra"), F.lit(False))
+    copies = (F.col("certain") + chosen.cast("long")).cast("bigint")
     return done.select(
         F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"), *[c for c in ("_k1", "_k2") if keys],

@@ -12,6 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_samples import sentence
+from pyspark.sql import functions as F
 
 from paritas.llm import bpe
 from paritas.llm.line_dedup import drop_repeated_windows
@@ -133,6 +134,15 @@ def test_mix_meets_targets(spark):
     assert sum(t for t, _, _ in by.values()) == pytest.approx(1.5 * sum(words.values()))
 
 
+def test_one_long_text_does_not_end_the_draw(spark):
+    rows = [(1000 * s + i, "w " * (400 if i else 400 * 500), f"s{s:02}") for s in range(18) for i in range(501)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mix(df).groupBy(F.floor(F.col("doc_id") / 1000)).agg(F.first("target"), F.sum("taken"), F.max("copies")).collect()
+    assert len(got) == 18 and len({r[1] for r in got}) > 1
+    for _, target, taken, copies in got:
+        assert abs(taken - target) <= 400 and copies <= 2
+
+
 def test_weights_lead_the_draw(spark):
     rows = [(i, sentence(i, 20), "s", float(1 + 9 * (i % 2))) for i in range(4000)] + [(9000 + i, sentence(i, 60), "t", 1.0) for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, w double")
