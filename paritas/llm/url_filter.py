@@ -43,12 +43,11 @@ UNWANTED = (
 WANTED = (
     "news times herald library museum school college university science history garden kitchen recipes travel city "
     "council health nature weather music theatre books reading letters essays journal review research archive "
-    "writing stories culture sports football cycling hiking photo art design engineering software docs manual wiki "
-    "the there other thing nation than their then that station theory within thousand another reason"
+    "writing stories culture sports football cycling hiking photo art design engineering software docs manual wiki"
 )
-PREFIXES = ("", "www.", "blog.", "m.")
-ENDINGS = (".com", ".org", ".net", ".example.com", ".example.org", ".example.net")
-PATHS = ("/", "/en/101", "/de/2040.html", "/fr/77/", "/es/318", "/news/today")
+PREFIXES = ("", "www.", "shop.", "my.")
+ENDINGS = (".com", ".org", ".net", ".info", ".co.uk", ".io")
+PATHS = ("/", "/index.html", "/about", "/2019/07/post", "/view/12", "/category/all/")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:

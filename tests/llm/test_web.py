@@ -178,6 +178,20 @@ def test_model_on_held_out_urls(spark):
     assert np.mean([got[i] == r["verdict"] for i, r in enumerate(urls)]) > 0.95
 
 
+#: Of neither word list.
+UNSEEN = {
+    "block": "gambling bingo wagers blackjack xxxvideos camgirls steroids painkiller counterfeit linkspam clickbait trojan spyware phisher lotto freebets",
+    "allow": "astronomy biology geology poetry opera orchestra gallery bakery farming sailing chess parliament cathedral botany dictionary gazette",
+}
+
+
+def test_labelled_urls_copy_no_given_table(spark):
+    hosts = [r["host"] for r in labelled_urls(spark).select("host").distinct().collect()]
+    names = {part for h in hosts for part in h.replace("-", ".").split(".")}
+    assert names.isdisjoint({"example", "blog", "m", "the", "there", "than", "thing", "nation", "their", "station"})
+    assert names.isdisjoint(" ".join(UNSEEN.values()).split())
+
+
 def test_without_both_verdicts_all_is_allowed(spark):
     labelled = spark.createDataFrame([("a.org", "/", "block")], "host string, path string, verdict string")
     assert fit(labelled) is None
