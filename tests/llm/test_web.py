@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from paritas.llm.common import Workspace
 from paritas.llm.html import main_text, page_blocks
-from paritas.llm.topk import top_k
+from paritas.llm.topk import _Block, top_k
 from paritas.llm.url_filter import RULES, fit, host_and_path, judge, labelled_urls
 from paritas.llm.warc import archive_round_trip, normalise, read_records, write_archives
 from llm_samples import sentence
@@ -240,3 +240,27 @@ def test_top_k_over_many_blocks(spark, monkeypatch):
         order = [j for j in np.lexsort((np.arange(20_000), -score)) if j != i][:5]
         assert {(i, r + 1, int(j), int(score[j])) for r, j in enumerate(order)} <= got
     assert len(got) == 100
+
+
+def test_postings_are_read_by_segments_until_the_proof(monkeypatch):
+    rng = np.random.default_rng(5)
+    count, reads = np.bincount, []
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: reads.append(len(a[0])) or count(*a, **b))
+
+    def segments(matrix, query):
+        n, dims = matrix.shape
+        order = np.argsort(-matrix, axis=0, kind="stable").T.astype(np.uint16)
+        block = _Block(dims, np.arange(n).tobytes(), matrix.astype(np.int32).tobytes(), np.ascontiguousarray(order).tobytes())
+        reads.clear()
+        ids, score = block.best(query, -1, 5, None)
+        exact = np.sort(matrix @ query)[::-1]
+        assert np.sort(score)[::-1][:5].tolist() == exact[:5].tolist()
+        return list(reads)
+
+    flat = rng.integers(-200, 200, (4000, 24))
+    peaked = flat.copy()
+    peaked[:20] += 3000
+    ones = np.full(24, 7)
+    assert len(segments(flat, rng.integers(1, 200, 24))) > 1
+    first, *more = segments(peaked, ones)
+    assert not more and first < 0.25 * peaked.size
