@@ -14,9 +14,12 @@ from paritas.llm.line_dedup import drop_repeated_windows
 from paritas.llm.mixing import mix
 from paritas.llm.near_dup import near_duplicates
 from paritas.llm.quality import quality_sample
+from paritas.llm.secret_scan import secret_digests
+from paritas.llm.spelling import document_variants
 from paritas.llm.topk import top_k
 from paritas.llm.url_filter import judge
 from paritas.llm.warc import archive_round_trip
+from paritas.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +120,44 @@ SELECT doc_id, count(*) AS n_lines, count(gone.line) AS n_removed,
        coalesce(string_agg(l[line], chr(10) ORDER BY line) FILTER (gone.line IS NULL), '') AS text
 FROM lines LEFT JOIN gone USING (doc_id, line) GROUP BY doc_id
 """
+
+
+@register
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return document_variants(table(spark, folder, "documents"))
+
+
+# Near words meet by what is left of them without one letter; crc32 byte by byte through its table.
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE
+crc AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+        FROM range(256) r(i)),
+runs AS (SELECT doc_id, run, count(*) AS n
+         FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+         GROUP BY ALL),
+points AS (SELECT run, n, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c: CAST(unicode(c) AS BIGINT)) AS p FROM runs),
+summed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(p, lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 | (c >> 6), 128 | (c & 63)] END))),
+                  lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1])), 4294967295) AS h FROM points, crc),
+kept AS (SELECT CASE WHEN h % 97 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM summed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM kept GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+rests AS (SELECT word, n, i, word[: i - 1] || word[i + 1 :] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word AS word, a.n AS n, b.word AS near, b.n AS m FROM rests a JOIN rests b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT a.word, a.n, b.word, b.n FROM rests a JOIN words b ON a.rest = b.word
+          UNION SELECT b.word, b.n, a.word, a.n FROM rests a JOIN words b ON a.rest = b.word),
+near AS (SELECT word, n, count(*) AS n_near, first(near ORDER BY m DESC, encode(near)) AS best, max(m) AS best_n FROM pairs GROUP BY word, n),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * w.n THEN best END AS form, CASE WHEN best_n >= 2 * w.n THEN best_n END AS form_n
+           FROM words w LEFT JOIN near USING (word)),
+led AS (SELECT word, word AS at, form AS next FROM formed
+        UNION ALL SELECT led.word, f.word, f.form FROM led JOIN formed f ON led.next = f.word)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, led.at AS root FROM formed f JOIN led USING (word) WHERE led.next IS NULL
+"""
+
+
+@register
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digests(table(spark, folder, "documents"))
+
+
+@register
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
