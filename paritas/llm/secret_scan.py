@@ -33,7 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paritas.llm.common import ship
@@ -314,7 +314,13 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def secret_digests(docs: DataFrame) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` of every document."""
     found = find_secrets(docs)
-    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
-    text = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda span: span["kind"].isin(*kinds))
+
+    def text(some: Column) -> Column:
+        return F.array_join(F.transform(some, lambda span: F.concat_ws(":", span["kind"], span["start"], span["end"])), ",")
+
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS]
+    digest = F.sha2(text(of(*BASE_KINDS)).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, text(F.col("spans")).alias("spans"))

@@ -229,7 +229,7 @@ def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         symbols = points - np.uint64(97)
         codes = _Codes(symbols + np.uint64(1), bounds)
         own, size = codes.whole(), batch.column("size").to_numpy()
-        same = np.concatenate([[False], (symbols[1:] == symbols[:-1]) & (codes.owner[1:] == codes.owner[:-1])])
+        same = np.concatenate([[False], symbols[1:] == symbols[:-1]])[: len(symbols)] & (codes.place > 0)
         drop = np.flatnonzero(~same)  # of a run of one symbol any deletion leaves the same
         found = [(codes.owner[drop], codes.without()[drop])]
         for step in range(1, SYMBOLS):
@@ -244,19 +244,27 @@ def _neighbourhood(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(word, n, place, rest)``: a row for each letter a word can lack, and one (place -1) for the whole word."""
+    """``(word, n, place, fresh, rest)``: a row for each letter a word can lack, and one (place -1) for the whole word.
+
+    ``fresh`` is false where the letter before is the same: lacking either leaves the same rest.
+    """
     for batch in batches:
         points, bounds = _letters(batch.column("word"))
         codes = _Codes(mix(points + np.uint64(1)), bounds)
         owner = np.concatenate([codes.owner, np.arange(batch.num_rows)])
+        same = np.concatenate([[False], points[1:] == points[:-1]])[: len(points)] & (codes.place > 0)
+        fresh = np.concatenate([~same, np.ones(batch.num_rows, bool)])
         place = np.concatenate([codes.place, np.full(batch.num_rows, -1)])
         rest = np.concatenate([codes.without(), codes.whole()])
         rows = max(1, _ROWS * 64 // max(64, int(codes.sizes.max(initial=0))))
         for k in range(0, len(owner), rows):
             part = pa.array(owner[k : k + rows])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word").take(part), batch.column("n").take(part), pa.array(place[k : k + rows]), pa.array(rest[k : k + rows])],
-                ["word", "n", "place", "rest"],
+                [
+                    *(batch.column(name).take(part) for name in ("word", "n")),
+                    *(pa.array(values[k : k + rows]) for values in (place, fresh, rest)),
+                ],
+                ["word", "n", "place", "fresh", "rest"],
             )
 
 
@@ -284,11 +292,11 @@ def near_words(words: DataFrame, work: Workspace, most_pairs: int = MOST_PAIRS)
 
     crowded = linked.where(many)
     crowded = crowded.select("code").union(crowded.select("other")).distinct()
-    rests = coded.join(crowded, "code", "left_semi").select("word", "n").mapInArrow(_rests, "word string, n long, place long, rest long")
-    one = rests.select(F.col("word").alias("a"), F.col("n").alias("n_a"), "place", "rest")
+    rests = coded.join(crowded, "code", "left_semi").select("word", "n").mapInArrow(_rests, "word string, n long, place long, fresh boolean, rest long")
+    one = rests.select(F.col("word").alias("a"), F.col("n").alias("n_a"), "place", "fresh", "rest")
     two = rests.select(F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("place").alias("place_b"), "rest")
     replaced = one.join(two.withColumnRenamed("place_b", "place"), ["place", "rest"]).where("place >= 0 and a < b")
-    longer = one.where("place >= 0").join(two.where("place_b = -1"), "rest")
+    longer = one.where("place >= 0 and fresh").join(two.where("place_b = -1"), "rest")
     return _verified(few).union(_verified(replaced)).union(_verified(longer)).select(
         F.least("a", "b").alias("a"),
         F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
