@@ -11,7 +11,10 @@ plain digits without trailing zeros (floating point rounded to
 ``float_decimals`` places first); instants are UTC to the second; binary is
 lower-case hex; arrays, structs and maps are bracketed, the latter two sorted
 by name, and every value inside is preceded by its length, so that no separator
-in a value can be taken for one between values.
+in a value can be taken for one between values.  The separator between the
+values of a row, and the sign the NULL tag starts with, are escaped where they
+occur in a value.  Semi-structured values (VARIANT, and text read as JSON) are
+written with sorted keys and plain numbers, whatever order and spelling they had.
 """
 
 from __future__ import annotations
@@ -42,6 +45,32 @@ def _trim_fraction(text: str) -> str:
     return f"rtrim('.', rtrim('0', {text}))"
 
 
+def _escaped(text: str) -> str:
+    """``text`` without the separator and without the sign a NULL tag starts with; other text is unchanged."""
+    return f"replace(replace({text}, chr(30), concat(chr(30), 'e')), chr(31), concat(chr(30), 's'))"
+
+
+#: Parts of JSON as it is written out: strings, numbers, and everything between them.
+_JSON_PARTS = r'"(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|[^"0-9-]+|-'
+
+
+def variant_text(value: str) -> str:
+    """SQL text of a VARIANT's canonical form: keys sorted, numbers in plain digits without needless zeros."""
+    # A number in plain digits keeps them all; one with an exponent goes through the widest decimal that holds it.
+    plain = "rtrim('.', rtrim('0', if(instr(p, '.') > 0, p, concat(p, '.'))))"
+    wide = "rtrim('.', rtrim('0', CAST(try_cast(p AS DECIMAL(38,18)) AS STRING)))"
+    exact = f"try_cast({wide} AS DOUBLE) <=> try_cast(p AS DOUBLE)"
+    number = f"if(p RLIKE '[eE]', if({exact}, {wide}, upper(p)), {plain})"
+    number = f"if({number} = '-0', '0', {number})"
+    parts = f"regexp_extract_all(to_json({value}), r'{_JSON_PARTS}', 0)"
+    return f"if(is_variant_null({value}), 'null', array_join(transform({parts}, p -> if(p RLIKE '^-?[0-9]', {number}, p)), ''))"
+
+
+def json_text(c: str) -> str:
+    """SQL text of the canonical form of JSON kept as text; text that is no JSON stays as it is."""
+    return f"coalesce({variant_text(f'try_parse_json({c})')}, {c})"
+
+
 def _numeric_string(c: str) -> str:
     # Any number of digits: signs and zeros that say nothing are cut from the text itself.
     plain = f"regexp_replace(regexp_replace(trim({c}), '^[+]', ''), '^(-?)0+(?=[0-9])', '$1')"
@@ -55,9 +84,10 @@ def canon_sql(
     *,
     float_decimals: int = FLOAT_DECIMALS,
     coerce_numeric_strings: bool = False,
+    json: bool = False,
     _depth: int = 0,
 ) -> str:
-    """SQL text of the canonical form of expression ``c`` of type ``dtype``."""
+    """SQL text of the canonical form of expression ``c`` of type ``dtype``; ``json`` reads text as JSON."""
 
     def inner(value: str, value_type: T.DataType) -> str:
         text = bare(value, value_type)
@@ -90,10 +120,14 @@ def canon_sql(
     elif isinstance(dtype, T.MapType):
         pair = f"concat({inner(f'{item}.key', dtype.keyType)}, ':', {inner(f'{item}.value', dtype.valueType)})"
         text = f"concat('{{', array_join(array_sort(transform(map_entries({c}), {item} -> {pair})), ','), '}}')"
+    elif isinstance(dtype, T.VariantType):
+        text = variant_text(c)
     elif isinstance(dtype, T.StringType):
-        text = _numeric_string(c) if coerce_numeric_strings else c
+        text = json_text(c) if json else _numeric_string(c) if coerce_numeric_strings else c
     else:
         text = f"CAST({c} AS STRING)"
+    if not _depth and isinstance(dtype, (T.StringType, T.VariantType, T.ArrayType, T.StructType, T.MapType)):
+        text = _escaped(text)
     return f"coalesce({text}, {_NULL_SQL})"
 
 
@@ -102,14 +136,14 @@ def canon_value(name: str, dtype: T.DataType, **options) -> Column:
     return F.expr(canon_sql(f"`{name}`", dtype, **options))
 
 
-def canon_row_sql(df: DataFrame, columns: Sequence[str], **options) -> str:
+def canon_row_sql(df: DataFrame, columns: Sequence[str], json_columns: Sequence[str] = (), **options) -> str:
     types = {f.name: f.dataType for f in df.schema.fields}
-    parts = ", ".join(canon_sql(f"`{c}`", types[c], **options) for c in columns)
+    parts = ", ".join(canon_sql(f"`{c}`", types[c], json=c in json_columns, **options) for c in columns)
     return f"concat_ws({_SEPARATOR_SQL}, {parts})"
 
 
 def canon_row(df: DataFrame, columns: Sequence[str], **options) -> Column:
-    """Canonical text of the named columns, in the given order."""
+    """Canonical text of the named columns, in the given order; ``json_columns`` name text to read as JSON."""
     return F.expr(canon_row_sql(df, columns, **options))
 
 
@@ -132,10 +166,13 @@ def with_text_hashes(df: DataFrame, text: str) -> DataFrame:
     return staged.selectExpr("* EXCEPT (_md5)", f"{_hash60('_md5', 1)} AS h1", f"{_hash60('_md5', 16)} AS h2")
 
 
-def key_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> Column:
-    """Bucket number of a key: 60-bit hash of its canonical text, modulo ``buckets``."""
+HASH_BITS = 60
+
+
+def key_node(df: DataFrame, key: Sequence[str], bits: int) -> Column:
+    """The first ``bits`` bits of the 60-bit hash of a key's canonical text."""
     # Never NULL; saying so spares joins on it a second evaluation as a NULL filter.
-    return F.expr(f"coalesce(CAST({_hash60(f'md5({canon_row_sql(df, key)})', 1)} % {buckets} AS INT), 0)")
+    return F.expr(f"coalesce(shiftright({_hash60(f'md5({canon_row_sql(df, key)})', 1)}, {HASH_BITS - bits}), 0L)")
 
 
 # A 60-bit hash is summed as three 20-bit pieces: each piece stays inside a

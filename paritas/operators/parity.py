@@ -9,6 +9,7 @@ any size is combined on the map side before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from paritas.functions.tolerance import allowed
 from paritas.operators.report import FAIL, as_checks, verdict
 from paritas.session import durable
 
-BUCKETS = 256
-
+#: Bits a level of a digest tree adds to the one above, at most.
+WIDEST = 16
 
 def _two_sides(source: DataFrame, target: DataFrame) -> DataFrame:
     """Union of both sides with ``_side`` 0 and 1."""
@@ -91,7 +92,8 @@ def _float_sum(df: DataFrame, column: str) -> DataFrame:
     x = F.col(f"`{column}`").cast("double")
     infinite = F.lit(float("inf"))
     finite = ~F.isnan(x) & (F.abs(x) != infinite)
-    exponent = F.when(finite & (x != 0), F.greatest(F.floor(F.log2(F.abs(x))), F.lit(-1000))).otherwise(F.lit(0)).cast("int")
+    # One bit more than needed, since a logarithm just below a whole number may be rounded up to it.
+    exponent = F.when(finite & (x != 0), F.floor(F.log2(F.abs(x))) - 1).otherwise(F.lit(0)).cast("int")
     # Scaled in two steps: 2**(52 - exponent) may itself be too large for a double.
     scaled = F.round(x * F.pow(F.lit(2.0), F.floor((52 - exponent) / 2)) * F.pow(F.lit(2.0), F.ceil((52 - exponent) / 2)))
     whole = F.when(finite, scaled.cast("decimal(20,0)"))
@@ -132,8 +134,7 @@ def _digits(value: Column, dtype: T.DataType) -> Column:
         small = (F.abs(plain) < 1e15) & ((plain == 0) | (F.abs(plain) >= 1e-3)) & ~F.isnan(plain)
         # The shortest text of such a double has a point and no exponent once it is a decimal.
         text = F.when(small, F.when(small, text).try_cast("decimal(38,20)").cast("string")).otherwise(text)
-    pointed = text.contains(".") & ~text.contains("E")
-    return F.when(pointed, F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+    return _trimmed(text)
 
 
 def table_aggregates(df: DataFrame, aggregates: Sequence[Mapping[str, str]]) -> DataFrame:
@@ -160,10 +161,28 @@ def table_aggregates(df: DataFrame, aggregates: Sequence[Mapping[str, str]]) ->
     return out
 
 
+#: Scales tried for an exact difference; with 37 digits the difference of two still has its scale.
+_SCALES = (0, 6, 12, 18, 24, 30, 36)
+
+
 def _within(src: Column, tgt: Column, src_text: Column, tgt_text: Column, limit: Column) -> Column:
-    """Whether two numbers differ by ``limit`` at most: as decimals where both fit, else as doubles."""
-    exact = F.abs(src_text.try_cast("decimal(38,12)") - tgt_text.try_cast("decimal(38,12)")) <= limit.try_cast("decimal(38,12)")
-    return (limit > 0) & F.coalesce(exact, F.abs(src - tgt) <= limit)
+    """Whether two numbers differ by ``limit`` at most.
+
+    The difference is exact, at the first scale that holds all digits of both;
+    numbers that no decimal holds are subtracted as doubles.
+    """
+    gaps = []
+    for scale in _SCALES:
+        sides = [text.try_cast(f"decimal(37,{scale})") for text in (src_text, tgt_text)]
+        whole = [_trimmed(side.cast("string")) == _trimmed(text) for side, text in zip(sides, (src_text, tgt_text))]
+        gaps.append(F.when(whole[0] & whole[1], F.abs(sides[0] - sides[1]).cast("double")))
+    return (limit > 0) & (F.coalesce(*gaps, F.abs(src - tgt)) <= limit)
+
+
+def _trimmed(text: Column) -> Column:
+    """Digits without trailing zeros of a fraction."""
+    pointed = text.contains(".") & ~text.contains("E")
+    return F.when(pointed, F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
 
 
 def aggregate_parity(
@@ -199,9 +218,35 @@ def aggregate_parity(
 # -- fingerprints and keyed differences ---------------------------------------
 
 
-def bucket_digests(df: DataFrame, key: Sequence[str], columns: Sequence[str], buckets: int = BUCKETS, **options):
-    """One digest per key bucket: ``bucket, n, sum1, sum2, xor1, xor2, digest``."""
-    keyed = df.withColumn("bucket", canon.key_bucket(df, key, buckets))
+def counted_rows(*tables: DataFrame) -> int:
+    """Rows of the largest of the tables."""
+    counts = [df.agg(F.count(F.lit(1)).alias("n")) for df in tables]
+    return reduce(DataFrame.unionByName, counts).agg(F.max("n")).first()[0]
+
+
+def tree_bits(n_rows: int, first: int | None = None) -> tuple[int, ...]:
+    """Bits of the key hash that number the nodes of each level of a digest tree.
+
+    The last level has twice as many nodes as ``n_rows`` at least, so a node
+    there is a key or two.  Levels are as few as can be with at most ``WIDEST``
+    bits each, but two; ``first`` sets the first level's bits.
+    """
+    leaves = min(canon.HASH_BITS, max(2, n_rows.bit_length() + 1))
+    if first:
+        rest = max(1, leaves - first)
+        steps = -(-rest // WIDEST)
+        return (first, *(first + rest * (i + 1) // steps for i in range(steps)))
+    levels = max(2, -(-leaves // WIDEST))
+    return tuple(leaves * (i + 1) // levels for i in range(levels))
+
+
+def bucket_digests(df: DataFrame, key: Sequence[str], columns: Sequence[str], bits: int | None = None, **options):
+    """One digest per node of a digest tree's first level: ``bucket, n, sum1, sum2, xor1, xor2, digest``.
+
+    ``bits`` numbers the nodes; by default it follows from the counted rows.
+    """
+    bits = bits or tree_bits(counted_rows(df))[0]
+    keyed = df.withColumn("bucket", canon.key_node(df, key, bits))
     hashed = canon.with_row_hashes(keyed, columns, keep=("bucket",), **options)
     return canon.finish_digest(hashed.groupBy("bucket").agg(*canon.digest_columns()), "bucket")
 
@@ -237,38 +282,84 @@ def diff_keys(source: DataFrame, target: DataFrame, key: Sequence[str], columns:
     return _classified(_net(_signed_rows(source, target, key, columns, options), key), key)
 
 
+class DigestTree:
+    """Two tables compared node by node, level by level, down to the differing keys.
+
+    The first level is one pass over both tables, folded to a digest per node and
+    side.  Rows of its unequal nodes are read in a second pass and written down
+    with their hashes; every further level folds those that are left and keeps the
+    rows of unequal nodes only.  The last pass nets what remains by key.  The number
+    of levels and nodes follows from the counted rows.
+    """
+
+    def __init__(self, source, target, key, columns, first: int | None = None, **options):
+        self.source, self.target, self.key, self.columns, self.options = source, target, list(key), columns, options
+        self.bits = tree_bits(counted_rows(source, target), first)
+        node = lambda df: df.withColumn("_node", canon.key_node(df, key, self.bits[0]))
+        rows = _signed_rows(source, target, key, columns, options, keep=["_node"], prepare=node)
+        #: Digest parts per side and node of the first level: at most two rows per node.
+        self.parts = durable(rows.groupBy("_side", "_node").agg(*canon.digest_columns()), "nodes")
+        net = [F.expr(f"sum({c} * (1 - 2 * _side)) AS {c}") for c in ("n", *canon.PIECES)]
+        signs = [F.expr(f"sum(if(_side = {i}, n, 0)) AS n_{s}") for i, s in enumerate(("source", "target"))]
+        folded = self.parts.groupBy("_node").agg(*net, *signs)
+        differs = " OR ".join(f"{c} != 0" for c in ("n", *canon.PIECES))
+        self._passes = [_pass_row(folded, differs, 1)]
+        suspects = self._suspects(folded.where(differs).select("_node"))
+        for level, bits in enumerate(self.bits[1:], 2):
+            at = F.expr(f"shiftright(_hash, {canon.HASH_BITS - bits})")
+            nodes = _net(suspects.withColumn("_node", at), ["_node"])
+            self._passes.append(_pass_row(nodes, _DIFFERS, level))
+            left = suspects.withColumn("_node", at).join(nodes.where(_DIFFERS).select("_node"), "_node", "left_semi").drop("_node")
+            suspects = durable(left, "suspects")
+        self._keys = _net(suspects, self.key)
+        self._passes.append(_pass_row(self._keys, _DIFFERS, len(self.bits) + 1))
+
+    def _suspects(self, unequal: DataFrame) -> DataFrame:
+        """Key, key hash, row hashes and side of the rows in unequal nodes of the first level."""
+
+        def prepare(df: DataFrame) -> DataFrame:
+            # Only the key is hashed before the filter; whole rows after it.  A level has at most 2**WIDEST nodes.
+            hashed = df.withColumn("_hash", canon.key_node(df, self.key, canon.HASH_BITS))
+            hashed = hashed.withColumn("_node", F.expr(f"shiftright(_hash, {canon.HASH_BITS - self.bits[0]})"))
+            return hashed.join(F.broadcast(unequal), "_node", "left_semi")
+
+        keep = [*self.key, "_hash"]
+        rows = _signed_rows(self.source, self.target, self.key, self.columns, self.options, keep=keep, prepare=prepare)
+        return durable(rows, "suspects")
+
+    def differences(self) -> DataFrame:
+        """The rows of :func:`diff_keys`."""
+        return _classified(self._keys, self.key)
+
+    def passes(self) -> DataFrame:
+        """``pass, nodes, unequal, rows_read``: what each pass folded, and how many nodes (last: keys) were unequal."""
+        return reduce(DataFrame.unionByName, self._passes).orderBy("pass")
+
+
+def _pass_row(nodes: DataFrame, differs: str, number: int) -> DataFrame:
+    return nodes.agg(
+        F.lit(number).alias("pass"),
+        F.count(F.lit(1)).alias("nodes"),
+        F.count_if(F.expr(differs)).alias("unequal"),
+        F.coalesce(F.sum(F.col("n_source") + F.col("n_target")), F.lit(0)).cast("bigint").alias("rows_read"),
+    )
+
+
 def localised_differences(
     source: DataFrame,
     target: DataFrame,
     key: Sequence[str],
     columns: Sequence[str],
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     **options,
 ) -> DataFrame:
-    """The rows of :func:`diff_keys`, found by drilling only into unequal buckets.
+    """The rows of :func:`diff_keys`, found by drilling only into unequal nodes of a digest tree.
 
-    The first pass folds both tables to at most ``buckets`` rows; the second
-    shuffles only rows of unequal buckets.  Equal tables shuffle no rows.
+    ``buckets`` sets the first level's number of nodes (rounded up to a power of
+    two); by default it follows from the counted rows.  Equal tables shuffle no rows.
     """
-    rows = _bucketed_rows(source, target, key, columns, buckets, options)
-    unequal = _net(rows, ["_bucket"]).where(_DIFFERS).select("_bucket")
-    return _drill(source, target, key, columns, buckets, unequal, options)
-
-
-def _bucketed_rows(source, target, key, columns, buckets: int, options) -> DataFrame:
-    """``_bucket``, ``h1``, ``h2`` and ``_side`` of every row of both tables."""
-    bucketed = lambda df: df.withColumn("_bucket", canon.key_bucket(df, key, buckets))
-    return _signed_rows(source, target, key, columns, options, keep=["_bucket"], prepare=bucketed)
-
-
-def _drill(source, target, key, columns, buckets: int, unequal: DataFrame, options) -> DataFrame:
-    """Differing keys within the buckets listed in ``unequal`` (at most ``buckets`` rows)."""
-
-    def suspect(df: DataFrame) -> DataFrame:
-        # Only the key is hashed before the filter; whole rows after it.
-        return df.withColumn("_bucket", canon.key_bucket(df, key, buckets)).join(F.broadcast(unequal), "_bucket", "left_semi")
-
-    return _classified(_net(_signed_rows(source, target, key, columns, options, prepare=suspect), key), key)
+    first = max(1, (buckets - 1).bit_length()) if buckets else None
+    return DigestTree(source, target, key, columns, first, **options).differences()
 
 
 def diff_sample(differences: DataFrame, key: Sequence[str], n: int = 10) -> DataFrame:
@@ -281,7 +372,6 @@ def fingerprint_parity(
     target: DataFrame,
     columns: Sequence[str],
     key: Sequence[str] | None = None,
-    buckets: int = BUCKETS,
     *,
     name: str = "target",
     labels: Mapping[str, str] | None = None,
@@ -289,15 +379,14 @@ def fingerprint_parity(
 ) -> DataFrame:
     """Digest check and, with ``key``, a check that counts and names differing keys.
 
-    With a key, one pass folds both tables to bucket digests (written down: at
-    most two rows per bucket), from which the table digests and the unequal
-    buckets follow; a second pass reads only the latter.
+    With a key, one pass folds both tables to the first level of a digest tree,
+    from which the table digests and the unequal nodes follow; further passes read
+    only the latter.
     """
     labels = dict(labels or {})
     if key:
-        rows = _bucketed_rows(source, target, key, columns, buckets, options)
-        parts = durable(rows.groupBy("_side", "_bucket").agg(*canon.digest_columns()), "buckets")
-        digests = canon.finish_digest(parts.groupBy("_side").agg(*canon.folded_digest_columns()), "_side")
+        tree = DigestTree(source, target, key, columns, **options)
+        digests = canon.finish_digest(tree.parts.groupBy("_side").agg(*canon.folded_digest_columns()), "_side")
     else:
         digests = _two_sides(canon.fingerprint(source, columns, **options), canon.fingerprint(target, columns, **options))
     empty = F.expr(canon.EMPTY_DIGEST_SQL)
@@ -316,9 +405,7 @@ def fingerprint_parity(
     )
     if not key:
         return checks
-    net = [F.expr(f"sum({c} * (1 - 2 * _side)) AS {c}") for c in ("n", *canon.PIECES)]
-    unequal = parts.groupBy("_bucket").agg(*net).where(" OR ".join(f"{c} != 0" for c in ("n", *canon.PIECES))).select("_bucket")
-    found = durable(_drill(source, target, key, columns, buckets, unequal, options), "differences")
+    found = durable(tree.differences(), "differences")
     first = found.orderBy(*key).limit(10).select(F.struct(*key, canon.canon_row(found, key).alias("text")).alias("k"))
     names = first.agg(F.concat_ws(", ", F.transform(F.array_sort(F.collect_list("k")), lambda k: k.getField("text"))))
     total = found.agg(F.count(F.lit(1)).alias("n")).withColumn("first", names.scalar())

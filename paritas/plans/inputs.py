@@ -158,6 +158,16 @@ STAND_INS = {
                CAST(CAST(o_totalprice AS DECIMAL(14,2)) + CASE WHEN o_orderkey % 997 = 5 THEN 0.01 ELSE 0.00 END AS DECIMAL(14,2)) AS amount,
                o_orderdate, o_orderpriority
         FROM {orders} WHERE o_orderkey % 1009 <> 3""",
+    "orders_ruined": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN amount ELSE CAST(amount + 1 AS DECIMAL(14,2)) END AS amount,
+               o_orderdate, o_orderpriority
+        FROM {orders_source} WHERE o_orderkey % 5 <> 1""",
+    "nation_left": """
+        SELECT n_nationkey, concat(n_name, chr(31), 'x') AS a, CAST(n_regionkey AS STRING) AS b FROM {nation}""",
+    "nation_right": """
+        SELECT n_nationkey, n_name AS a, concat('x', chr(31), CAST(n_regionkey AS STRING)) AS b FROM {nation}""",
+    "small_numbers": """
+        SELECT event_id, CAST(event_id % 7 AS DECIMAL(30,15)) / 10000000000000.0 AS v FROM {events}""",
     "epoch_source": """
         SELECT event_id, CASE event_id % 500 WHEN 7 THEN [ms:ts] * 1000 WHEN 11 THEN -5 WHEN 13 THEN NULL
                               WHEN 17 THEN CAST(floor([ms:ts] / 1000) AS BIGINT) ELSE [ms:ts] END AS raw_ms

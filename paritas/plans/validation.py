@@ -28,13 +28,18 @@ _H2 = "CAST('0x' || substr(md5({0}), 16, 15) AS BIGINT)"
 
 
 def _hashed(table: str) -> str:
-    bucket = _H1.format("CAST(o_orderkey AS STRING)")
+    key = _H1.format("CAST(o_orderkey AS STRING)")
     return (
-        f"SELECT o_orderkey, {bucket} % 256 AS bucket, {_H1.format(_ORDER_TEXT)} AS h1, {_H2.format(_ORDER_TEXT)} AS h2 "
+        f"SELECT o_orderkey, {key} AS key_hash, {_H1.format(_ORDER_TEXT)} AS h1, {_H2.format(_ORDER_TEXT)} AS h2 "
         f"FROM {{{table}}}"
     )
 
 
+#: Bits of the last and of the first level of a digest tree over at most 2**30 rows.
+_LEAF_BITS = "(CAST(floor(log2(n)) AS INTEGER) + 2)"
+_FIRST_BITS = f"({_LEAF_BITS} // 2)"
+
+
 _DIGEST = (
     "COUNT(*) AS n, CAST(SUM(h1) AS STRING) AS sum1, CAST(SUM(h2) AS STRING) AS sum2, "
     "bit_xor(h1) AS xor1, bit_xor(h2) AS xor2"
@@ -73,7 +78,12 @@ def fingerprint_pushdown(t):
     return _digest_text(canon.fingerprint(t.events, ["event_id", "ts", "user_id", "event_type", "value", "props"]))
 
 
-@query("bucket_digests", f"SELECT CAST(bucket AS INTEGER) AS bucket, {_DIGEST} FROM ({_hashed('orders_source')}) x GROUP BY 1")
+@query(
+    "bucket_digests",
+    f"""
+    WITH t AS (SELECT COUNT(*) AS n FROM {{orders_source}})
+    SELECT key_hash >> (60 - {_FIRST_BITS}) AS bucket, {_DIGEST} FROM ({_hashed('orders_source')}) x, t GROUP BY 1""",
+)
 def bucket_digests(t):
     return _digest_text(parity.bucket_digests(t.orders_source, ["o_orderkey"], ORDER_COLUMNS))
 
@@ -161,6 +171,111 @@ _DIFF = """
     WHERE s.o_orderkey IS NULL OR t.o_orderkey IS NULL OR s.amount <> t.amount"""
 
 
+def _tree_passes(name: str, table: str) -> str:
+    """The passes of a digest tree over ``orders_source`` and a copy: nodes, unequal ones and rows read."""
+    moved = "sum(sign) AS dn, sum(sign * h1) AS d1, sum(sign * h2) AS d2, COUNT(*) AS c"
+    differs = "(dn <> 0 OR d1 <> 0 OR d2 <> 0)"
+    row = f"COUNT(*) AS nodes, COUNT(*) FILTER {differs} AS unequal, CAST(coalesce(SUM(c), 0) AS BIGINT) AS rows_read"
+    return f"""
+    SELECT * FROM (
+      WITH u AS (SELECT *, 1 AS sign FROM ({_hashed('orders_source')}) x UNION ALL SELECT *, -1 FROM ({_hashed(table)}) y),
+           b AS (SELECT {_LEAF_BITS} AS leaf, {_FIRST_BITS} AS first_bits
+                 FROM (SELECT greatest((SELECT COUNT(*) FROM {{orders_source}}), (SELECT COUNT(*) FROM {{{table}}})) AS n) z),
+           k AS (SELECT u.*, key_hash >> (60 - first_bits) AS upper_node, key_hash >> (60 - leaf) AS lower_node FROM u, b),
+           l1 AS (SELECT upper_node, {moved} FROM k GROUP BY 1),
+           l2 AS (SELECT lower_node, {moved} FROM k WHERE upper_node IN (SELECT upper_node FROM l1 WHERE {differs}) GROUP BY 1),
+           l3 AS (SELECT o_orderkey, {moved} FROM k WHERE lower_node IN (SELECT lower_node FROM l2 WHERE {differs}) GROUP BY 1)
+      SELECT '{name}' AS copy, 1 AS pass, {row} FROM l1 UNION ALL SELECT '{name}', 2, {row} FROM l2 UNION ALL SELECT '{name}', 3, {row} FROM l3) v"""
+
+
+_COPIES = {"golden": "orders_source", "faulty": "orders_target", "badly faulty": "orders_ruined"}
+
+
+@query("digest_tree", " UNION ALL ".join(_tree_passes(name, table) for name, table in _COPIES.items()))
+def digest_tree(t):
+    """What each pass of the drill-down reads, for an equal copy, one with a few differences and one with very many."""
+    found = []
+    for name, table in _COPIES.items():
+        tree = parity.DigestTree(t.orders_source, getattr(t, table), ["o_orderkey"], ORDER_COLUMNS)
+        found.append(tree.passes().select(F.lit(name).alias("copy"), "pass", "nodes", "unequal", "rows_read"))
+    return report.reconcile(found)
+
+
+@query("digest_tree_differences", _DIFF.replace("{orders_target}", "{orders_ruined}"))
+def digest_tree_differences(t):
+    """Every differing key of the copy with very many differences."""
+    return parity.localised_differences(t.orders_source, t.orders_ruined, ["o_orderkey"], ORDER_COLUMNS)
+
+
+@query(
+    "separator_parity",
+    """
+    SELECT 'same names' AS target, CASE WHEN (SELECT COUNT(*) FROM (FROM {nation_left} EXCEPT ALL FROM {nation_left}) x) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+    UNION ALL SELECT 'separator moved', CASE WHEN (SELECT COUNT(*) FROM (FROM {nation_left} EXCEPT ALL FROM {nation_right}) x) = 0 THEN 'PASS' ELSE 'FAIL' END""",
+)
+def separator_parity(t):
+    """Rows whose values differ only in where a separator sign stands."""
+    columns = ["n_nationkey", "a", "b"]
+    checks = parity.fingerprint_parity(t.nation_left, t.nation_left, columns, name="same names").unionByName(
+        parity.fingerprint_parity(t.nation_left, t.nation_right, columns, name="separator moved")
+    )
+    return checks.select("target", "status")
+
+
+@query(
+    "small_tolerances",
+    """
+    WITH m AS (SELECT MAX(v) AS a, MAX(CASE WHEN v < 0.0000000000003 THEN v END) AS b FROM {small_numbers})
+    SELECT 'decimal ' || label || ':max' AS target, CASE WHEN abs(a - b) <= tolerance THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM m, (VALUES ('below.v', 0.0000000000001), ('above.v', 0.0000000000005)) x(label, tolerance)
+    UNION ALL SELECT 'double ' || label || ':max', CASE WHEN abs(a - b) <= tolerance THEN 'PASS' ELSE 'FAIL' END
+    FROM m, (VALUES ('below.v', 0.0000000000001), ('above.v', 0.0000000000005)) x(label, tolerance)
+    UNION ALL SELECT 'scalar ' || label, CASE WHEN abs(a - b) <= tolerance THEN 'PASS' ELSE 'FAIL' END
+    FROM m, (VALUES ('below', 0.0000000000001), ('above', 0.0000000000005)) x(label, tolerance)""",
+)
+def small_tolerances(t):
+    """Maxima that differ by 4e-13, with tolerances below and above that."""
+    full = t.small_numbers.selectExpr("event_id", "CAST(v AS DECIMAL(32,20)) AS v")
+    part = full.where("v < 3e-13BD")
+    checks = []
+    for label, tolerance in (("below", "0.0000000000001"), ("above", "0.0000000000005")):
+        spec = [{"column": "v", "fn": "max", "tolerance": tolerance}]
+        doubles = [df.withColumn("v", F.col("v").cast("double")) for df in (full, part)]
+        checks.append(parity.aggregate_parity(full, part, spec, name=f"decimal {label}"))
+        checks.append(parity.aggregate_parity(*doubles, spec, name=f"double {label}"))
+        tops = [df.agg(F.max("v").alias("v")) for df in (full, part)]
+        checks.append(parity.query_parity(*tops, "scalar", tolerance, name=f"scalar {label}"))
+    return report.reconcile(checks).select("target", "status")
+
+
+_PLAIN_PROPS = "regexp_extract(props, '([0-9]+)', 1)"
+
+
+@query(
+    "json_parity",
+    f"""
+    WITH a AS (SELECT event_id, user_id, CAST({_PLAIN_PROPS} AS BIGINT) AS k FROM {{events}}),
+         changed AS (SELECT event_id, user_id, CASE WHEN event_id % 97 = 3 THEN k + 1 ELSE k END AS k FROM a)
+    SELECT 'reordered (rows)' AS target, '0' AS actual, CASE WHEN (SELECT COUNT(*) FROM (FROM a EXCEPT ALL FROM a) x) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+    UNION ALL SELECT 'changed (rows)', CAST(COUNT(*) AS STRING), CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END FROM (FROM a EXCEPT ALL FROM changed) x""",
+)
+def json_parity(t):
+    """JSON with other key order and number spelling is the same; one with another number is not.  As text and as VARIANT."""
+    k = F.expr(f"CAST({_PLAIN_PROPS} AS BIGINT)")
+    source = t.events.select("event_id", F.format_string('{"k": %d, "user": {"id": %d, "tags": ["a", null, true]}, "x": 2}', k, "user_id").alias("props"))
+    other = F.format_string('{ "x":2.0, "user":{"tags":["\\u0061",null,true],"id":%d.00},"k":%de0 }', "user_id", k)
+    wrong = F.format_string('{"k": %d, "user": {"id": %d, "tags": ["a", null, true]}, "x": 2}', k + F.expr("if(event_id % 97 = 3, 1, 0)"), "user_id")
+    out = []
+    for label, text in (("reordered", other), ("changed", wrong)):
+        copy = t.events.select("event_id", text.alias("props"))
+        as_text = parity.fingerprint_parity(source, copy, ["event_id", "props"], ["event_id"], name=label, json_columns=["props"])
+        typed = [df.select("event_id", F.parse_json("props").alias("props")) for df in (source, copy)]
+        counted = parity.diff_keys(*typed, ["event_id"], ["event_id", "props"]).agg(F.count(F.lit(1)).alias("n"))
+        verdicts = as_text.where(~F.col("target").contains("localized")).select("status")
+        out.append(counted.select(F.lit(f"{label} (rows)").alias("target"), F.col("n").cast("string").alias("actual"), verdicts.scalar().alias("status")))
+    return out[0].unionByName(out[1])
+
+
 @query("diff_keys", _DIFF)
 def diff_keys(t):
     return parity.diff_keys(t.orders_source, t.orders_target, ["o_orderkey"], ORDER_COLUMNS)
