@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paritas.functions.types import signature
 from paritas.operators.report import several_checks, verdict
+from paritas.session import durable
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -125,3 +126,66 @@ def fk_type_consistency(
             row = spark.range(1).select(*labels, none.alias("orphans"), none.alias("total"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+# -- chains of references --------------------------------------------------------
+
+Reference = tuple[str, str, str, str]
+
+
+def reference_chains(references: Sequence[Reference], start: str) -> list[list[Reference]]:
+    """Every way along the (child, child key, parent, parent key) references from a table to one that refers to no other.
+
+    A table that a chain has met ends it, so circles and references of a table to itself do too.
+    """
+    out: list[list[Reference]] = []
+
+    def walk(at: str, met: tuple[str, ...], chain: list[Reference]) -> None:
+        onward = [r for r in references if r[0] == at and r[2] not in met]
+        if not onward and chain:
+            out.append(chain)
+        for r in onward:
+            walk(r[2], (*met, r[2]), [*chain, r])
+
+    walk(start, (start,), [])
+    return out
+
+
+def fk_chain(tables: dict[str, DataFrame], chain: Sequence[Reference], *, name: str | None = None) -> DataFrame:
+    """A row per reference of a chain: ``chain, hop, child, parent, child_type, parent_type, types_agree, reached, broken, status``.
+
+    ``reached`` counts the rows of the first table that come as far as this child,
+    ``broken`` those of them whose key names no parent, so a row that is lost on
+    its way is counted once, where it is lost.  Rows are folded to one per key
+    before each join, with how many rows of the first table stand behind it.
+    """
+    spark = tables[chain[0][0]].sparkSession
+    name = name or " > ".join([chain[0][0], *[r[2] for r in chain]])
+    weights = tables[chain[0][0]].groupBy(F.col(chain[0][1]).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    out = None
+    for hop, (child, ck, parent, pk) in enumerate(chain, 1):
+        kinds = [signature(tables[t].schema[c].dataType, with_scale=True) for t, c in ((child, ck), (parent, pk))]
+        onward = chain[hop][1] if hop < len(chain) else pk
+        # A parent key that is there twice would carry its rows twice.
+        known = tables[parent].where(F.col(pk).isNotNull()).groupBy(F.col(pk).alias("_parent")).agg(F.min(F.col(onward)).alias("_onward"))
+        met = durable(weights.join(known, F.col("_key") == F.col("_parent"), "left"), "hop")
+        broken = F.coalesce(F.sum(F.when(F.col("_parent").isNull(), F.col("_rows"))), F.lit(0))
+        row = met.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("reached"), broken.alias("broken"))
+        agree = F.lit(kinds[0] == kinds[1])
+        row = row.select(
+            F.lit(name).alias("chain"), F.lit(hop).alias("hop"), F.lit(f"{child}.{ck}").alias("child"), F.lit(f"{parent}.{pk}").alias("parent"),
+            F.lit(kinds[0]).alias("child_type"), F.lit(kinds[1]).alias("parent_type"), agree.alias("types_agree"), "reached", "broken",
+            verdict(agree & (F.col("broken") == 0)).alias("status"),
+        )
+        out = row if out is None else out.unionByName(row)
+        weights = met.where("_parent IS NOT NULL").groupBy(F.col("_onward").alias("_key")).agg(F.sum("_rows").alias("_rows"))
+    return out if out is not None else spark.createDataFrame([], "chain string")
+
+
+def key_type_chain(tables: dict[str, DataFrame], column: str, names: Sequence[str] | None = None) -> DataFrame:
+    """``column, table, type, status``: a key has one logical type in every table that holds it, that of the first."""
+    holders = [t for t in names or tables if column in tables[t].columns]
+    kinds = {t: signature(tables[t].schema[column].dataType, with_scale=True) for t in holders}
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(column, t, kinds[t], "PASS" if kinds[t] == kinds[holders[0]] else "FAIL") for t in holders]
+    return spark.createDataFrame(rows, "column string, table string, type string, status string")

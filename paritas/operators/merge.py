@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paritas.functions import canon
 from paritas.operators.history import cdc_latest
 from paritas.operators.report import as_checks, verdict
 from paritas.session import durable
+from paritas.sources import ledger
 
 
 class _Batch:
@@ -201,3 +202,37 @@ def incremental_append(
         (total - F.sum(loaded).over(earlier)).alias("rows_not_taken"),
         F.when(repeated == 0, "SUCCESS").otherwise("FAILED").alias("status"),
     )
+
+
+def audited_append(
+    feed: DataFrame, path: str, check_column: str, upto: object, run: str, *, before_commit: Callable[[], None] | None = None
+) -> tuple[int, bool]:
+    """Append the feed's rows above the stored watermark and up to ``upto``; returns ``(rows, added)``.
+
+    Rows, run and watermark become visible together, by one line of the ledger
+    below ``path``.  A run that is recorded adds nothing and reports what it added
+    then; one that ended before its line left nothing, and is taken anew.
+    ``before_commit`` is called between the rows and the line.
+    """
+    spark = feed.sparkSession
+    lines = ledger.entries(spark, path)
+    for line in lines:
+        if line["run"] == run:
+            return line["rows"], False
+    mark = F.col(check_column)
+    kind = feed.schema[check_column].dataType
+    fresh = feed.where(mark <= F.lit(upto).cast(kind))
+    if lines:
+        fresh = fresh.where(mark > F.lit(lines[-1]["watermark"]).cast(kind))
+    folder, rows = ledger.stage(fresh, path)
+    if before_commit:
+        before_commit()
+    ledger.commit(spark, path, run, folder, feed.schema, rows, watermark=str(upto))
+    return rows, True
+
+
+def append_audit(spark: SparkSession, path: str) -> DataFrame:
+    """``run, watermark_from, watermark, rows_loaded`` of every recorded run, in order."""
+    lines = ledger.entries(spark, path)
+    rows = [(line["run"], lines[i - 1]["watermark"] if i else None, line["watermark"], line["rows"]) for i, line in enumerate(lines)]
+    return spark.createDataFrame(rows, "run string, watermark_from string, watermark string, rows_loaded bigint")

@@ -239,3 +239,97 @@ def scan_reduction(full: DataFrame, filtered: DataFrame, *, name: str) -> DataFr
         actual=F.col("filtered_bytes"),
         metrics={c: F.col(c) for c in ("full_bytes", "filtered_bytes", "full_files", "filtered_files")},
     )
+
+
+# -- estimates without running -----------------------------------------------------
+
+
+class TooExpensive(RuntimeError):
+    """A query or a generated table would be larger than its limit."""
+
+
+def _size_of(text: str) -> int:
+    """Bytes of a size as the optimiser prints it, like ``1.5 MiB``."""
+    number, _, unit = text.partition(" ")
+    return round(float(number) * 1024 ** ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB").index(unit))
+
+
+def _listed(plan) -> tuple[int, int]:
+    """Files and bytes that the file scans of a planned query list, subqueries included; nothing is run or opened."""
+    files = size = 0
+    found = plan.subqueriesAll()
+    for at in [plan, *(found.apply(i) for i in range(found.size()))]:
+        leaves = at.collectLeaves()
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            if leaf.getClass().getSimpleName() == "FileSourceScanExec":
+                files += leaf.selectedPartitions().totalNumberOfFiles()
+                size += leaf.selectedPartitions().totalFileSize()
+    return files, size
+
+
+def estimate(df: DataFrame) -> dict[str, int]:
+    """What a query would read, without running it: ``files``, ``bytes_scanned`` and ``result_bytes``.
+
+    Files are those left after the planner pruned partitions, with their lengths as
+    listed.  Scans whose filter is only known at run time count whole.  The
+    result's size is the optimiser's statistic for the plan's top.
+    """
+    files, size = _listed(df._jdf.queryExecution().sparkPlan())
+    plan = df.sparkSession.sql("EXPLAIN COST SELECT * FROM {df}", df=df).first()[0]
+    top = re.search(r"sizeInBytes=([\d.]+(?:E\+\d+)? \w+)", plan)
+    return {"files": files, "bytes_scanned": size, "result_bytes": _size_of(top.group(1)) if top else 0}
+
+
+def within_limit(df: DataFrame, max_bytes: int) -> DataFrame:
+    """``df``, unless it would scan more than ``max_bytes``."""
+    expected = estimate(df)["bytes_scanned"]
+    if expected > max_bytes:
+        raise TooExpensive(f"the query would scan {expected} bytes; the limit is {max_bytes}")
+    return df
+
+
+def perf_dry_run(queries: Mapping[str, DataFrame], max_bytes: int | None = None, factor: float = 1.0) -> DataFrame:
+    """Checks that each query's estimate is within ``factor`` of what a run scans, and, with a limit, below it.
+
+    The second kind is a gate that runs nothing; the first runs each query once.
+    """
+    spark = next(iter(queries.values())).sparkSession
+    rows = []
+    for name, df in queries.items():
+        expected = estimate(df)
+        found = run_once(df)["bytes_scanned"]
+        rows.append((name, expected["files"], expected["bytes_scanned"], int(found)))
+    table = spark.createDataFrame(rows, "name string, files bigint, expected bigint, found bigint")
+    close = F.col("expected").between(F.col("found") / factor, F.col("found") * factor)
+    checks = as_checks(
+        table, "query_performance", target=F.concat("name", F.lit(":estimate")), status=verdict(close),
+        message=F.format_string("%d files", "files"), expected=F.col("expected"), actual=F.col("found"),
+    )
+    if max_bytes is None:
+        return checks
+    return checks.unionByName(
+        as_checks(
+            table, "query_performance", target=F.concat("name", F.lit(":limit")), status=verdict(F.col("expected") <= max_bytes),
+            message=F.lit("not run"), expected=F.lit(f"<={max_bytes}"), actual=F.col("expected"),
+        )
+    )
+
+
+def cluster_reduction(full: DataFrame, filtered: DataFrame, *, name: str) -> DataFrame:
+    """One check: file and row-group statistics let the filtered query read fewer rows than the full one.
+
+    Rows are those the scans hand on, after row groups and pages were skipped and
+    before the filter is applied to each.
+    """
+    a, b = run_once(full), run_once(filtered)
+    rows = [(name, int(a["rows_scanned"]), int(b["rows_scanned"]))]
+    df = full.sparkSession.createDataFrame(rows, "name string, full_rows bigint, filtered_rows bigint")
+    return as_checks(
+        df,
+        "query_performance",
+        target=F.col("name"),
+        status=verdict(F.col("filtered_rows") < F.col("full_rows")),
+        message=F.format_string("%d of %d rows read", "filtered_rows", "full_rows"),
+        expected=F.concat(F.lit("<"), F.col("full_rows").cast("string")),
+        actual=F.col("filtered_rows"),
+    )

@@ -45,13 +45,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def release_scratch(spark: SparkSession) -> int:
     """Delete the scratch tables this application wrote; results read from them end here."""
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for text in paths:
-        path = jvm.org.apache.hadoop.fs.Path(text)
-        path.getFileSystem(conf).delete(path, True)
+    for path in paths:
+        delete_path(spark, path)
     return len(paths)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, in whatever store it lies."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 from paritas.functions import canon
 from paritas.operators.parity import multiset_counts
 from paritas.operators.report import FAIL, as_checks, check_row, error_text, several_checks, verdict
+from paritas.session import delete_path, durable
+from paritas.sources import ledger
 
 # Accepted format names.
 FORMATS = {
@@ -100,9 +103,10 @@ def bulk_load(spark: SparkSession, loads: Sequence[Mapping], folder: str) -> Dat
     """Checks of a list of loads ``{table, uri, format, expected_count, schema?,
     field_delimiter?, skip_leading_rows?, hive_partitioning?}``.
 
-    Each load replaces the table's files below ``folder``, and the rows that
-    landed there are counted.  A load that fails, be it for one malformed row, is
-    a FAIL row, and the next one still runs.
+    A load lands in a new folder below ``folder/<table>`` and its rows are counted
+    there; only a load of the expected count becomes the table (:func:`landed_table`),
+    at once.  One that fails, be it for a single malformed row, is a FAIL row: the
+    table keeps the rows it had, and the next load still runs.
     """
     out = None
     for spec in loads:
@@ -117,14 +121,16 @@ def bulk_load(spark: SparkSession, loads: Sequence[Mapping], folder: str) -> Dat
                 skip_leading_rows=spec.get("skip_leading_rows", 0),
                 hive_partitioning=spec.get("hive_partitioning"),
             )
-            path = f"{folder}/{target}"
-            df.write.mode("overwrite").parquet(path)
-            landed = spark.read.schema(df.schema).parquet(path).count()
+            path, want = f"{folder}/{target}", spec["expected_count"]
+            staged, landed = ledger.stage(df, path)
+            if landed == want:
+                ledger.commit(spark, path, staged, staged, df.schema, landed, replaces=True)
+            else:
+                delete_path(spark, f"{path}/{staged}")
         except Exception as e:  # noqa: BLE001 - a failed load is a finding
             row = check_row(spark, "bulk_load", target, FAIL, f"load failed: {error_text(e)}")
             out = row if out is None else out.unionByName(row)
             continue
-        want = spec["expected_count"]
         rows = check_row(
             spark, "bulk_load", f"{target} ({spec['format']})", "PASS" if landed == want else FAIL,
             f"landed {landed} rows", expected=want, actual=landed, metrics={"rows": landed, "format": spec["format"]},
@@ -141,6 +147,11 @@ def bulk_load(spark: SparkSession, loads: Sequence[Mapping], folder: str) -> Dat
     return out
 
 
+def landed_table(spark: SparkSession, folder: str, table: str) -> DataFrame | None:
+    """The table as the last load of :func:`bulk_load` that passed left it; None if there was none."""
+    return ledger.table(spark, f"{folder}/{table}")
+
+
 def stage_formats(df: DataFrame, folder: str, partition: str) -> dict[str, str]:
     """Write four staged copies below ``folder`` and return their paths.
 
@@ -193,6 +204,25 @@ def write_partitioned(
     writer.format(fmt).save(path)
 
 
+def write_clustered(
+    df: DataFrame, path: str, cluster_by: Sequence[str], *, files: int | None = None, bloom: Mapping[str, int] | None = None
+) -> None:
+    """Write files that each cover a narrow range of ``cluster_by``, so that their statistics skip what a filter excludes.
+
+    ``bloom`` maps other columns to their expected number of values: such a column
+    gets a Bloom filter per row group, for lookups of single values.  ``files``
+    sets their number; by default it follows from the shuffled bytes.
+    """
+    order = [F.col(c) for c in cluster_by]
+    number = [files] if files else []
+    arranged = df.repartitionByRange(*number, *order, row_salt(df)).sortWithinPartitions(*order) if order else df
+    writer = arranged.write
+    for column, values in (bloom or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", str(values))
+        writer = writer.option(f"parquet.enable.dictionary#{column}", "false")  # a filter is only written where no dictionary is
+    writer.parquet(path)
+
+
 def dynamic_partition_write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite only the partitions present in ``df``."""
     write_partitioned(df, path, partition_by, mode="overwrite")
@@ -289,19 +319,64 @@ def egress_parity(
     return checks.unionByName(several_checks(both, "egress_parity", specs, **labels))
 
 
-def _header_verdicts(spark: SparkSession, uri: str, header: str) -> DataFrame:
-    """``_path, status`` per file.
+#: Largest file read as one piece where only its first line is wanted.
+_WHOLE_FILE = 1 << 40
 
-    A file passes when its lowest row id is also the lowest one holding the
-    header, so the scan folds to two numbers per file and task.
+
+def _file_per_task(spark: SparkSession) -> SparkSession:
+    """A session whose scans give every file (up to a terabyte) to a task of its own, whole and from its front."""
+    session = spark.newSession()
+    for setting in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{setting}", str(_WHOLE_FILE))
+    return session
+
+
+#: Files whose first line is read at a time, and bytes of a line at most.
+_HEADS_AT_ONCE, _LONGEST_HEADER = 16, 1 << 20
+
+
+def first_lines(spark: SparkSession, uri: str) -> DataFrame:
+    """``_path, line``: the first line of every file that has one; paths as :func:`_file_path` has them.
+
+    Each file is opened and read up to its first line break, so the bytes read do
+    not depend on the sizes of the files.  (A Spark scan can't end after a row per
+    file: Python workers read their input to the end, and a limit holds for the
+    whole result.)  The driver holds a line per file, as it holds their listing.
     """
-    front = spark.read.text(uri).where(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("_path"),
-        (F.col("value") == header).alias("_is_header"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    heads = front.groupBy("_path").agg(F.min("_id").alias("_first"), F.min(F.when(F.col("_is_header"), F.col("_id"))).alias("_header"))
-    return heads.select("_path", F.when(F.col("_first") == F.col("_header"), "ACCEPTED").otherwise("QUARANTINED").alias("status"))
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def head(name: str) -> tuple[str, str] | None:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            line = jvm.org.apache.hadoop.io.Text()
+            lines = jvm.org.apache.hadoop.util.LineReader(codec.createInputStream(stream) if codec else stream)
+            return (name, line.toString()) if lines.readLine(line, _LONGEST_HEADER) else None
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(_HEADS_AT_ONCE) as pool:
+        found = [x for x in pool.map(head, spark.read.text(uri).inputFiles()) if x]
+    listed = spark.createDataFrame(found, "_path string, line string")
+    return listed.select(_one_slash("_path").alias("_path"), "line")
+
+
+def _one_slash(path: str) -> Column:
+    """A path with one slash after its scheme: listings and scans differ in how many they write."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def _file_path() -> Column:
+    """The path of the file a scanned row comes from."""
+    return _one_slash("_metadata.file_path").alias("_path")
+
+
+def _header_verdicts(spark: SparkSession, uri: str, header: str) -> DataFrame:
+    """``_path, found, status`` per file."""
+    same = F.col("line") == header
+    return first_lines(spark, uri).select("_path", F.col("line").alias("found"), F.when(same, "ACCEPTED").otherwise("QUARANTINED").alias("status"))
 
 
 def header_drift(spark: SparkSession, uri: str, expected: Sequence[str], delimiter: str = ",") -> DataFrame:
@@ -310,10 +385,43 @@ def header_drift(spark: SparkSession, uri: str, expected: Sequence[str], delimit
     return verdicts.select(F.regexp_extract("_path", r"([^/]+)$", 1).alias("file"), "status")
 
 
+def quarantine(spark: SparkSession, uri: str, expected: Sequence[str], folder: str, delimiter: str = ",") -> DataFrame:
+    """Copy the files with another header below ``folder``; returns the reasons, a row per file.
+
+    ``folder/lines`` holds ``line_no, line`` by ``file``, ``folder/reasons`` the rows
+    ``file, path, reason, expected, found``.  A file without the header's columns is
+    told from one with the same columns in another order.
+    """
+    header = delimiter.join(expected)
+    drifted = durable(_header_verdicts(spark, uri, header).where("status = 'QUARANTINED'"), "drifted")
+    columns = F.split("found", re.escape(delimiter), -1)
+    listed = F.array(*[F.lit(c) for c in expected])
+    missing, extra = F.array_except(listed, columns), F.array_except(columns, listed)
+    parts = [
+        F.when(F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ", "))),
+        F.when(F.size(extra) > 0, F.concat(F.lit("unexpected: "), F.array_join(extra, ", "))),
+    ]
+    reason = F.when((F.size(missing) == 0) & (F.size(extra) == 0), "other order").otherwise(F.concat_ws("; ", *parts))
+    name = F.regexp_extract("_path", r"([^/]+)$", 1).alias("file")
+    reasons = drifted.select(name, F.col("_path").alias("path"), reason.alias("reason"), F.lit(header).alias("expected"), "found")
+    reasons.write.json(f"{folder}/reasons")
+    # In file order: a task reads one file from its front, and ids within a task count up.
+    session = _file_per_task(spark)
+    lines = session.read.text(uri).select(
+        _file_path(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("line_no"), F.col("value").alias("line")
+    )
+    known = session.read.json(f"{folder}/reasons", schema="file string, path string") if not drifted.isEmpty() else None
+    if known is not None:
+        kept = lines.join(known, F.col("_path") == F.col("path")).select("file", (F.col("line_no") + 1).alias("line_no"), "line")
+        kept.write.partitionBy("file").parquet(f"{folder}/lines")
+    return reasons
+
+
 def accepted_rows(
     spark: SparkSession, uri: str, expected: Sequence[str], schema: str, delimiter: str = ","
 ) -> DataFrame:
     """Rows of the files whose header is the expected one."""
     verdicts = _header_verdicts(spark, uri, delimiter.join(expected)).where("status = 'ACCEPTED'").select("_path")
     rows = spark.read.schema(schema).option("sep", delimiter).option("header", True).csv(uri)
-    return rows.join(verdicts, rows["_metadata.file_path"] == F.col("_path"), "left_semi")
+    kept = rows.select("*", _file_path().alias("_from")).join(verdicts, F.col("_from") == F.col("_path"), "left_semi")
+    return kept.drop("_from")

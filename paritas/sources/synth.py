@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paritas.operators.perf import TooExpensive, estimate
 from paritas.sources.files import row_salt, write_partitioned
 
 # Rows per size tier.
@@ -69,9 +70,16 @@ def write_synth_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     seed: int = 42,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Generate a table, lay it out by partition and cluster columns, and read it back."""
+    """Generate a table, lay it out by partition and cluster columns, and read it back.
+
+    With ``max_bytes`` a table that the optimiser's statistics put above it is
+    refused before a row is made.
+    """
     df = synth_table(spark, rows, columns, seed)
+    if max_bytes is not None and (expected := estimate(df)["result_bytes"]) > max_bytes:
+        raise TooExpensive(f"{rows} rows would take {expected} bytes; the limit is {max_bytes}")
     if partition_by:
         write_partitioned(df, path, partition_by, cluster_by)
     elif cluster_by:
