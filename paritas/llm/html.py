@@ -1,35 +1,39 @@
 """Main text of pages by template deduction from equivalence classes.
 
-1. Every page is cut into tokens (tags and words), told apart by their tag path
-   and words also by the tokens beside them.  A template's tokens are on
-   half of the host's pages or more, hence on half of the host's pages in some
-   run of pages: these are the candidates.  Candidates of one host with the same
-   occurrence vector over all its pages form a class; vectors are compared by
-   additive digests, so a host of any size is an aggregate combined before the
-   shuffle, never a group in one task.
+1. Pages are compressed, equal ones of a host brought together, dealt by ranges
+   of (host, page) and written, so that a run of neighbouring pages is a host's.
+   Every page is cut into tokens (tags and words), told apart by their tag path
+   and words also by the tokens beside them.  A template's tokens are on half of
+   the host's pages or more, hence on half of the host's pages in some run: these
+   are the candidates, which are then counted over all pages.  Tokens of one host
+   with the same occurrence vector form a class; vectors are compared by additive
+   digests, so a host of any size is an aggregate combined before the shuffle,
+   never a group in one task.
 2. A class is valid if its tokens come in one order on every page (repeated
    ones: in one order per repetition) and nest: on no page does a class straddle
    the slots of a larger one.  Valid classes nested in each other are the host's
    template.  Words are the template's only where they stand in a run of class
-   words too long, or too close to the block's edges, for chance to repeat.
+   words too long for chance: each page but the first that a class is on makes
+   a common run less likely, and so does a block's edge that the run reaches
+   (``_least_words``, a smooth function of the pages).
 3. What lies between template tokens are slots.  The text of slots inside the
    article is extracted; text that belongs to the template itself, and slots
    inside menus, headers, footers, sidebars, notices, adverts, forms, comments,
-   scripts and styles, are not.  Where a page marks its article, all text there
-   is content, as chance can make a class of words that a few pages share.
+   scripts and styles, are not.  A block that is mostly template goes whole.
+   Where a page marks its article, a block there goes if it is template from end
+   to end and stands outside running text, headings, lists and tables; what
+   repeats within those is content.
 
-Hosts with fewer than ``LEAST_PAGES`` pages have no template; the marks of the
-page decide alone.
+Equal pages of a host count as one, and a page that shares nothing has no
+template: the marks of the page decide alone.
 
 Defined cases: null or empty html gives empty text; null urls share the empty
-host; rows that repeat count as pages each.  Text ends where a page is cut off; a
-tag cut off is no text.
+host; rows that repeat come out each.  Text ends where a page is cut off; a tag
+cut off is no text.
 """
 
 from __future__ import annotations
 
-import html as entities
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,196 +43,81 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paritas.llm.common import Workspace, ship, slices
+from paritas.llm.markup import Template, blocks, page_blocks, paths, tags  # noqa: F401 - page_blocks reads a page by itself
 from paritas.llm.shingles import SLICE_BYTES, as_bytes, mix, token_hashes
 from paritas.llm.url_filter import host_and_path
 
-LEAST_PAGES = 3
 #: Share of a host's pages a template token is on, and tokens a class has at least.
 SUPPORT, CLASS_TOKENS = 0.5, 2
-#: Words of a template run that reaches none, one or both edges of its block, on hosts below and from ``SURE_PAGES`` pages.
-SURE_PAGES, _RUN_WORDS = 8, ((8, 3, 2), (6, 2, 1))
-
-# Elements whose text is never the article's.
-_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp"}
-_ASIDE = {
-    "head", "nav", "aside", "footer", "form", "menu", "dialog", "button", "select", "fieldset", "object", "canvas", "audio", "video",
-}
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_BLOCK = {
-    "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
-    "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "li", "main",
-    "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
-}
-# Words in class, id and role that mark what is not the article.
-_MARKS = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promotion",
-    "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "header", "masthead", "contentinfo",
-    "complementary", "dialog", "comment", "comments", "disqus", "reply", "replies", "cookie", "cookies", "consent", "gdpr", "notice", "notices",
-    "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "signup", "login", "search", "share", "social", "related", "widget",
-}
-# Parts of names that tell how a page is laid out, and elements that only a whole name makes an aside.
-_STATES = {"no", "not", "has", "with", "without", "layout"}
-_TEXT = {"h1", "h2", "h3", "h4", "h5", "h6", "p"}
-# Of the marks, and of tags, those that a page may leave open before its article.
-_LEFT_OPEN = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promotion",
-    "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "header", "masthead", "head", "form",
-}
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-_MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_WORDS = re.compile(r"[^a-z0-9]+")
-_TAG_BYTES = re.compile(_TAG.pattern.encode(), re.S)
-_BLOCK_BYTES = {tag.encode(): number for number, tag in enumerate(sorted(_BLOCK), 1)}
-_REPEATS = {b"p", b"li", b"dt", b"dd", b"tr", b"td", b"th"}
+#: Words of a template run that reaches none, one or both edges of its block must be more than this on very many pages,
+#: and by how much more on few: what chance repeats on a second page, each further page makes less of.
+_RUN_WORDS, _SURPRISE = (5.0, 1.0, 0.0), 8.0
 #: Kinds of tokens: words, tags of blocks, other tags.
 _WORD, _EDGE, _INLINE = 0, 1, 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Inflated html tokenised at a time, in bytes; a larger page goes alone.
+_INFLATED = 8 << 20
 
 
-def _aside(tag: str, attributes: str, in_article: bool) -> int:
-    """0: no aside, 1: a menu, header or advert, which may be left open, 2: another."""
-    if tag in _ASIDE or tag == "header" and not in_article:
-        return 1 if tag in _LEFT_OPEN else 2
-    if not attributes or tag in ("html", "body"):
-        return 0
-    if _HIDDEN.search(attributes):
-        return 2
-    names = [name for value in _MARKED.findall(attributes) for name in value.strip("\"'").lower().split()]
-    if in_article or tag in _TEXT:
-        marks = [{name} for name in names if name in _MARKS]
-    else:
-        parts = [set(_WORDS.split(name)) for name in names]
-        marks = [m for p in parts if _STATES.isdisjoint(p) and (m := _MARKS & p)]
-    return 0 if not marks else 1 if all(m <= _LEFT_OPEN for m in marks) else 2
-
-
-def _closes(page: str, at: int, tag: str) -> bool:
-    """Whether an element that is open at ``at`` is closed later."""
-    depth = 0
-    for found in re.finditer(rf"<(/?){tag}\b", page[at:], re.I):
-        depth += -1 if found.group(1) else 1
-        if depth < 0:
-            return True
-    return False
-
-
-def page_blocks(page: str, is_template=None) -> list[str]:
-    """The blocks of the article of one page; ``is_template(start, end)`` tells which text is the template's."""
-    blocks, shut_in = _blocks(page, is_template, False)
-    return _blocks(page, is_template, True)[0] if shut_in and not blocks else blocks
-
-
-def _blocks(page: str, is_template, any_aside: bool) -> tuple[list[str], bool]:
-    """The blocks, and whether an article lies in an aside; ``any_aside`` takes the first such article as the page's."""
-    outside: list[str] = []  # blocks elsewhere, used if the page marks no article
-    stack: list[tuple[str, int, bool]] = []  # tag, aside here, within an article
-    text: list[str] = []
-    marked, aside, article, shut_in, at, size = False, 0, False, False, 0, len(page)
-    blocks: list[str] = []
-
-    def close_block() -> None:
-        if text:
-            block = " ".join(entities.unescape("".join(text)).split())
-            text.clear()
-            if block:
-                (blocks if article else outside).append(block)
-
-    def take(start: int, end: int) -> None:
-        if start < end and not aside:
-            piece = page[start:end]
-            if is_template is not None and not article:
-                piece = is_template(start, piece)
-            text.append(piece)
-
-    while at < size:
-        found = _TAG.search(page, at)
-        if found is None:
-            rest = page[at:]
-            cut = re.search(r"<[/a-zA-Z!?]", rest)  # a tag that the end of the page cuts off
-            take(at, at + cut.start() if cut else size)
-            break
-        take(at, found.start())
-        at = found.end()
-        tag = found.group(2)
-        if tag is None:
-            continue
-        tag, closing, attributes = tag.lower(), found.group(1), found.group(3)
-        if tag in _BLOCK:
-            close_block()
-        elif tag == "br" and not aside:
-            text.append(" ")
-        if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    _, aside, article = stack[depth]
-                    del stack[depth:]
-                    break
-            continue
-        if tag in _VOID or attributes.endswith("/") and tag not in _BLOCK:
-            continue
-        if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
-            continue
-        mark = _aside(tag, attributes, article)
-        if tag in ("article", "main") and not mark:
-            if aside and not marked:
-                # The first article lies in no menu, header or advert left open: that has ended. Other asides hold comments and teasers.
-                opened = {name for name, _, _ in stack if name in ("nav", "menu", "header")}
-                if any_aside or aside == 1 and not any(_closes(page, at, name) for name in opened):
-                    while stack and aside:
-                        _, aside, article = stack.pop()
-                else:
-                    shut_in = True
-            stack.append((tag, aside, article))
-            if not aside:
-                article = marked = True
-            continue
-        stack.append((tag, aside, article))
-        aside = max(aside, mark)
-    close_block()
-    return blocks if marked else outside, shut_in
-
-
-def _places(page: bytes, first: int, found: list[tuple[int, int, bool, int]]) -> None:
-    """Adds ``(start, end, block, path)`` of the page's tags; ``path`` is a hash of the blocks open after the tag."""
-    found.append((first, first, True, 0))
-    stack: list[tuple[bytes, int]] = []
-    path = 0
-    for tag in _TAG_BYTES.finditer(page):
-        name = (tag.group(2) or b"").lower()
-        block = name in _BLOCK_BYTES
-        if block and tag.group(1):
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    path = stack[depth][1]
-                    del stack[depth:]
-                    break
-        elif block and name != b"hr":
-            if name in _REPEATS and stack and stack[-1][0] == name:  # <p> ends an open <p>
-                path = stack.pop()[1]
-            stack.append((name, path))
-            path = (path * 1000003 + _BLOCK_BYTES[name]) & 0xFFFFFFFFFFFF
-        found.append((first + tag.start(), first + tag.end(), block, path))
-
-
-def _page_tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For runs of pages: ``(first, end, owner, token hash, byte offset in the page, kind)``.
+# Pages, compressed and dealt by host
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compresses pages; of equal ones of a host in a batch, one."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for batch in batches:
+        hosts, pages = batch.column("host").to_pylist(), batch.column("page").to_pylist()
+        rows = list({(h, p): i for i, (h, p) in enumerate(zip(hosts, pages))}.values())
+        texts = [(batch.column("html")[i].as_py() or "").encode() for i in rows]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("host", "page")),
+                pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary()),
+            ],
+            ["host", "page", "size", "packed"],
+        )
+
+
+def _one_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of equal pages, which are neighbours here, the first."""
+    last = None
+    for batch in batches:
+        keys = list(zip(batch.column("host").to_pylist(), batch.column("page").to_pylist()))
+        fresh = [key != before for key, before in zip(keys, [last, *keys])]
+        last = keys[-1] if keys else last
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
+def _inflated(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of a batch's pages: ``(first, end, bytes, offsets)``."""
+    codec, packed = pa.Codec("zstd"), batch.column("packed")
+    sizes = batch.column("size").to_pylist()
+    for a, b in slices(sizes, _INFLATED):
+        raw = b"".join(codec.decompress(packed[i].as_py(), decompressed_size=sizes[i], asbytes=True) if sizes[i] else b"" for i in range(a, b))
+        yield a, b, np.frombuffer(raw, np.uint8) if raw else np.zeros(0, np.uint8), np.cumsum([0, *sizes[a:b]])
+
+
+# Tokens
+
+
+def _page_tokens(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
+    """For runs of pages: ``(first, end, owner, token hash, byte offset in the page, kind, tags of each page)``.
 
     Tokens are tags and words, told apart by the blocks they are in, and words
     also by the token before and after: next to a block's edge, by that edge.
     """
-    data, offsets = as_bytes(texts)
     for a, b in slices(np.diff(offsets).tolist(), SLICE_BYTES):
         hashes, bounds, starts = token_hashes(data, offsets[a : b + 1])
         owner = np.repeat(np.arange(b - a), np.diff(bounds))
-        tags: list[tuple[int, int, bool, int]] = []
-        for i in range(a, b):
-            _places(data[offsets[i] : offsets[i + 1]].tobytes(), int(offsets[i] - offsets[a]), tags)
-        begin, end, block, path = (np.array(c) for c in zip(*tags))
-        at = np.searchsorted(begin, starts, side="right") - 1
-        in_tag, path = starts < end[at], path[at].astype(np.uint64)
+        begin = offsets[a : b + 1] - offsets[a]
+        found = tags(data[offsets[a] : offsets[b]], begin)
+        placed: list[tuple[int, int, bool, int]] = []
+        for first, page in zip(begin.tolist(), found):
+            paths(page, first, placed)
+        begins, ends, block, path = (np.array(c) for c in zip(*placed))
+        at = np.searchsorted(begins, starts, side="right") - 1
+        in_tag, path = starts < ends[at], path[at].astype(np.uint64)
         kind = np.where(in_tag, np.where(block[at], _EDGE, _INLINE), _WORD)
         token = mix(hashes + path * _ODD)
         line = np.flatnonzero(kind != _INLINE)
@@ -238,31 +127,38 @@ def _page_tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         before[1:][same], after[:-1][same] = value[:-1][same], value[1:][same]
         inner = kind[line] == _WORD
         token[line[inner]] = mix(mix(mix(before + path[line] * _ODD) + value) + after)[inner]
-        yield a, b, owner, token, starts - (offsets[a:b] - offsets[a])[owner], kind
+        yield a, b, owner, token, starts - begin[owner], kind, found
+
 
+def _least_words(edges: np.ndarray, pages: np.ndarray) -> np.ndarray:
+    """Words a run of the template must have more of, by the block's edges it reaches and the pages its class is on."""
+    return np.array(_RUN_WORDS)[edges] + _SURPRISE / np.maximum(pages - 1, 1e-9)
 
-def _template_words(kind: np.ndarray, known: np.ndarray, pages: int) -> np.ndarray:
-    """Which of a page's tokens are words of the template, given which are tokens of its classes.
+
+def _template_words(kind: np.ndarray, known: np.ndarray, pages: np.ndarray) -> np.ndarray:
+    """Which of a page's tokens are words of the template, given which are tokens of its classes, and on how many pages.
 
     A class word vouches for the words beside it.  A run of such words counts by
-    its length and by the block's edges it reaches: what chance can repeat on
-    ``pages`` pages is none.
+    its length, the block's edges it reaches and the pages of its words' classes.
     """
     line = np.flatnonzero(kind != _INLINE)
     word = kind[line] == _WORD
-    hit = np.zeros(len(kind), bool)
-    hit[known] = True
-    hit = hit[line] & word
+    share = np.zeros(len(kind))
+    share[known] = pages
+    share = np.where(word, share[line], 0)
+    hit = share > 0
     run = hit.copy()
     run[1:] |= hit[:-1]
     run[:-1] |= hit[1:]
     run &= word
     edge = np.diff(np.concatenate([[0], run.view(np.int8), [0]]))
     first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+    if not len(first):
+        return np.zeros(0, np.int64)
     inside = np.concatenate([[False], word, [False]])
     edges = (hit[first] & ~inside[first]).astype(int) + (hit[last] & ~inside[last + 2])
-    least = np.array(_RUN_WORDS[pages >= SURE_PAGES])[edges]
-    keep = last - first + 1 >= least
+    most = np.maximum.reduceat(share, np.stack([first, last + 1], axis=1).reshape(-1)[: 2 * len(first) - (last[-1] + 1 >= len(share))])[::2]
+    keep = last - first + 1 > _least_words(edges, most)
     chosen = [line[f : e + 1] for f, e in zip(first[keep], last[keep])]
     return np.concatenate(chosen) if chosen else np.zeros(0, np.int64)
 
@@ -279,14 +175,18 @@ def _grouped(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(change)
 
 
+# Classes
+
+
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per host of a run of pages: the tokens on at least ``SUPPORT`` of its pages in the run."""
     for batch in batches:
         names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
         found = []
-        for a, _, owner, token, *_ in _page_tokens(batch.column("html")):
-            order, starts = _grouped([owner, token])
-            found.append((host[owner[order][starts] + a], token[order][starts]))
+        for x, _, data, offsets in _inflated(batch):
+            for a, _, owner, token, *_ in _page_tokens(data, offsets):
+                order, starts = _grouped([owner, token])
+                found.append((host[owner[order][starts] + a + x], token[order][starts]))
         if not found:
             continue
         hosts, tokens = (np.concatenate(c) for c in zip(*found))
@@ -312,16 +212,18 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages, cells = np.asarray(batch.column("page")).view(np.uint64), batch.column("tokens")
         names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
         sums = []
-        for a, b, owner, token, *_ in _page_tokens(batch.column("html")):
-            bounds = np.searchsorted(owner, np.arange(b - a + 1))
-            known = [_members(token[bounds[i] : bounds[i + 1]], cells[a + i].values.to_numpy())[0] + bounds[i] for i in range(b - a)]
-            at = np.concatenate(known) if known else np.zeros(0, np.int64)
-            owner, token = owner[at], token[at]
-            order, starts = _grouped([owner, token])
-            times = np.diff(np.append(starts, len(order))).astype(np.uint64)
-            owner, token = owner[order][starts], token[order][starts]
-            digest = mix(mix(pages[a:b][owner] + _ODD) + times * _ODD)
-            sums.append((host[owner + a], token, digest))
+        for x, _, data, offsets in _inflated(batch):
+            for a, b, owner, token, *_ in _page_tokens(data, offsets):
+                a, b = a + x, b + x
+                bounds = np.searchsorted(owner, np.arange(b - a + 1))
+                known = [_members(token[bounds[i] : bounds[i + 1]], cells[a + i].values.to_numpy())[0] + bounds[i] for i in range(b - a)]
+                at = np.concatenate(known) if known else np.zeros(0, np.int64)
+                owner, token = owner[at], token[at]
+                order, starts = _grouped([owner, token])
+                times = np.diff(np.append(starts, len(order))).astype(np.uint64)
+                owner, token = owner[order][starts], token[order][starts]
+                digest = mix(mix(pages[a:b][owner] + _ODD) + times * _ODD)
+                sums.append((host[owner + a], token, digest))
         if not sums or not sum(len(t) for _, t, _ in sums):
             continue
         hosts, tokens, digest = (np.concatenate(c) for c in zip(*sums))
@@ -336,10 +238,37 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["host", "token", "low", "high", "pages"])
 
 
-def _classes_of(cell) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted tokens and their classes, of one host's cell."""
-    pairs = cell.values
-    return pairs.field("token").to_numpy(), pairs.field("grp").to_numpy()
+def _class_spans(at: np.ndarray, tokens: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, int | None, bool]]:
+    """Of a page's class tokens: ``(class, order of its tokens, straddles)``; the order is None where repetitions differ.
+
+    A class that is on the page once straddles if a token of a larger one, also
+    there once, lies between its first and its last.  Larger classes are marked
+    from size to size, so the work grows with tokens and sizes, not with pairs.
+    """
+    order, starts = _grouped([group, at])
+    change = np.flatnonzero(np.diff(group[order], prepend=group[order][0] - 1))
+    ends = np.append(change[1:], len(order))
+    spans = []
+    sizes = np.zeros(len(at), np.int64)
+    for a, b in zip(change.tolist(), ends.tolist()):
+        members = order[a:b]
+        mine = tokens[members]
+        distinct = len(set(mine.tolist()))
+        rounds = mine.reshape(-1, distinct) if len(mine) % distinct == 0 else mine[None, :]
+        even = rounds.shape[1] == distinct and bool((rounds == rounds[0]).all())
+        pattern = hash(tuple(rounds[0].tolist())) if even else None
+        single = len(rounds) == 1
+        if single:
+            sizes[members] = b - a
+        spans.append((int(group[members[0]]), pattern, single, b - a, int(members[0]), int(members[-1])))
+    larger: dict[int, np.ndarray] = {}
+    for g, pattern, single, size, first, last in spans:
+        straddles = False
+        if single:
+            if size not in larger:
+                larger[size] = np.concatenate([[0], np.cumsum(sizes > size)])
+            straddles = bool(larger[size][last] > larger[size][first])
+        yield g, pattern, straddles
 
 
 def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,32 +276,20 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, seen = batch.column("host").to_pylist(), {}
         cells = batch.column("tokens")
-        for a, b, owner, token, *_ in _page_tokens(batch.column("html")):
-            bounds = np.searchsorted(owner, np.arange(b - a + 1))
-            for i in range(b - a):
-                known, classes = _classes_of(cells[a + i])
-                own = token[bounds[i] : bounds[i + 1]]
-                at, place = _members(own, known)
-                mine, group = known[place], classes[place]
-                spans = {}
-                for g in dict.fromkeys(group.tolist()):
-                    chosen = group == g
-                    where, tokens = at[chosen], mine[chosen]
-                    distinct = len(set(tokens.tolist()))
-                    rounds = tokens.reshape(-1, distinct) if len(tokens) % distinct == 0 else tokens[None, :]
-                    pattern = hash(tuple(rounds[0].tolist())) if rounds.shape[1] == distinct and (rounds == rounds[0]).all() else None
-                    spans[g] = (where, pattern, len(rounds) == 1)
-                for g, (where, pattern, once) in spans.items():
-                    straddles = once and any(
-                        single and len(other) > len(where) and where[0] < other[-1] and where[-1] > other[0]
-                        and len(set(np.searchsorted(other, where).tolist())) > 1
-                        for h, (other, _, single) in spans.items() if h != g
-                    )
-                    low, high, bad = seen.get((hosts[a + i], g), (pattern, pattern, 0))
-                    broken = pattern is None or low is None
-                    seen[hosts[a + i], g] = (
-                        None if broken else min(low, pattern), None if broken else max(high, pattern), bad + straddles + broken,
-                    )
+        for x, _, data, offsets in _inflated(batch):
+            for a, b, owner, token, *_ in _page_tokens(data, offsets):
+                bounds = np.searchsorted(owner, np.arange(b - a + 1))
+                for i in range(b - a):
+                    pairs = cells[x + a + i].values
+                    known, classes = pairs.field("token").to_numpy(), pairs.field("grp").to_numpy()
+                    at, place = _members(token[bounds[i] : bounds[i + 1]], known)
+                    if not len(at):
+                        continue
+                    for g, pattern, straddles in _class_spans(at, known[place], classes[place]):
+                        key = hosts[x + a + i], g
+                        low, high, bad = seen.get(key, (pattern, pattern, 0))
+                        broken = pattern is None or low is None
+                        seen[key] = (None if broken else min(low, pattern), None if broken else max(high, pattern), bad + straddles + broken)
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -383,75 +300,75 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def templates(pages: DataFrame, work: Workspace) -> DataFrame:
-    """``host, tokens, all_pages``: the tokens of the valid classes of each host (``host, page, html`` in), with their class."""
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages")).where(F.col("all_pages") >= LEAST_PAGES)
+def dealt(pages: DataFrame, work: Workspace) -> DataFrame:
+    """``host, page, size, packed``: the different pages of every host (``host, page, html`` in), neighbours in one file."""
+    packed = pages.mapInArrow(_packed, "host string, page bigint, size bigint, packed binary")
+    ranges = packed.repartitionByRange("host", "page").sortWithinPartitions("host", "page")
+    return work.write(ranges.mapInArrow(_one_each, packed.schema), "pages")
+
+
+def frequent_tokens(pages: DataFrame, work: Workspace) -> DataFrame:
+    """``host, token, grp, pages`` of the tokens on half of a host's pages or more; ``grp`` names the occurrence vector."""
+    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages")).where("all_pages > 1")
     sizes = work.write(sizes, "sizes")
     local = pages.mapInArrow(_frequent, "host string, token bigint").join(sizes, "host", "left_semi")
     candidates = work.write(local.groupBy("host").agg(F.array_sort(F.collect_set("token")).alias("tokens")), "candidates")
-    vectors = pages.join(candidates, "host").select("host", "page", "html", "tokens")
+    vectors = pages.join(candidates, "host").select("host", "page", "size", "packed", "tokens")
     vectors = vectors.mapInArrow(_vectors, "host string, token bigint, low bigint, high bigint, pages bigint")
     vectors = vectors.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages")])
-    frequent = vectors.join(sizes, "host").where(F.col("pages") >= F.col("all_pages") * SUPPORT)
-    frequent = work.write(frequent.select("host", "token", F.xxhash64("low", "high", "pages").alias("grp")), "frequent")
+    frequent = vectors.join(sizes, "host").where(F.col("pages") >= F.col("all_pages") * SUPPORT).where("pages > 1")
+    return work.write(frequent.select("host", "token", F.xxhash64("low", "high", "pages").alias("grp"), "pages"), "frequent")
+
+
+def templates(pages: DataFrame, work: Workspace) -> DataFrame:
+    """``host, tokens``: the tokens of the valid classes of each host (``host, page, html`` in), with their class and its pages."""
+    pages = dealt(pages, work)
+    frequent = frequent_tokens(pages, work)
     classes = frequent.groupBy("host", "grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CLASS_TOKENS)
-    tokens = frequent.join(classes.drop("n"), ["host", "grp"])
-    tokens = work.write(tokens, "tokens")
-    cells = tokens.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("token", "grp"))).alias("tokens"))
-    checks = pages.join(work.write(cells, "classes"), "host").select("host", "html", "tokens")
+    tokens = work.write(frequent.join(classes.drop("n"), ["host", "grp"]), "tokens")
+    cell = F.array_sort(F.collect_list(F.struct("token", "grp", "pages"))).alias("tokens")
+    cells = work.write(tokens.groupBy("host").agg(cell), "classes")
+    checks = pages.join(cells, "host").select("host", "size", "packed", "tokens")
     checks = checks.mapInArrow(_checks, "host string, grp bigint, low bigint, high bigint, bad bigint")
     checks = checks.groupBy("host", "grp").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("bad").alias("bad"))
     valid = checks.where("low = high AND bad = 0").select("host", "grp")
-    cells = tokens.join(valid, ["host", "grp"]).groupBy("host").agg(F.array_sort(F.collect_list(F.struct("token", "grp"))).alias("tokens"))
-    return work.write(cells.join(sizes, "host"), "templates")
+    found = work.write(tokens.join(valid, ["host", "grp"]).groupBy("host").agg(cell), "templates")
+    work.drop("pages", "sizes", "candidates", "frequent", "tokens", "classes")
+    work.sweep()
+    return found
 
 
 def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cells, pages = batch.column("tokens"), batch.column("html")
+        cells = batch.column("tokens")
         texts, slots = [], []
-        for a, b, owner, token, place, kind in _page_tokens(pages):
+        data, offsets = as_bytes(batch.column("html"))
+        for a, b, owner, token, place, kind, found in _page_tokens(data, offsets):
             bounds = np.searchsorted(owner, np.arange(b - a + 1))
             for i in range(b - a):
-                page, offsets, frame = pages[a + i].as_py() or "", None, 0
+                page, template, frame = data[offsets[a + i] : offsets[a + i + 1]].tobytes(), None, 0
                 if cells[a + i].is_valid:
-                    own, where = token[bounds[i] : bounds[i + 1]], place[bounds[i] : bounds[i + 1]]
-                    at, _ = _members(own, _classes_of(cells[a + i])[0])
+                    rows = slice(bounds[i], bounds[i + 1])
+                    pairs, own, where = cells[a + i].values, kind[rows], place[rows]
+                    at, which = _members(token[rows], pairs.field("token").to_numpy())
                     frame = int(np.count_nonzero(np.diff(at) > 1)) + 1 if len(at) else 0
-                    words = _template_words(kind[bounds[i] : bounds[i + 1]], at, batch.column("all_pages")[a + i].as_py())
-                    offsets = set(where[words].tolist())
-                blocks = page_blocks(page, _template_text(page, offsets) if offsets else None)
-                texts.append("\n".join(blocks))
+                    words = _template_words(own, at, pairs.field("pages").to_numpy()[which])
+                    template = Template(where[own == _WORD].tolist(), where[words].tolist()) if len(words) else None
+                texts.append("\n".join(blocks(page, found[i], template)))
                 slots.append(frame)
         n = [len(t) for t in texts]
         arrays = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(slots, pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def _template_text(page: str, offsets: set[int]):
-    """Drops from a piece of text the words that are template tokens; ``offsets`` are byte offsets of those."""
-    ascii_only = page.isascii()
-
-    def slot(start: int, piece: str) -> str:
-        first = start if ascii_only else len(page[:start].encode())
-        out = []
-        for word in re.finditer(r"\s+|\S+", piece):
-            at = first + (word.start() if ascii_only else len(piece[: word.start()].encode()))
-            out.append("" if at in offsets and not word.group().isspace() else word.group())
-        return "".join(out)
-
-    return slot
-
-
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row of ``pages``: id, url, ``text``, ``n_chars`` and ``n_slots``, the slots its host's template leaves on it."""
     ship(pages.sparkSession)
     work = Workspace(pages.sparkSession, "html")
     url = F.col(f"`{url_col}`")
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), url.alias("url"), host_and_path(url)[0].alias("host"), F.col(f"`{html_col}`").alias("html"))
-    keyed = rows.select("host", F.xxhash64("id", "url", "html").alias("page"), F.coalesce("html", F.lit("")).alias("html"))
-    known = templates(keyed, work)
-    joined = rows.join(known, "host", "left").select("id", "url", "html", "tokens", "all_pages")
+    keyed = rows.withColumn("html", F.coalesce("html", F.lit(""))).select("host", F.xxhash64("html").alias("page"), "html")
+    joined = rows.join(templates(keyed, work), "host", "left").select("id", "url", "html", "tokens")
     schema = T.StructType(joined.schema.fields[:2]).add("text", T.StringType()).add("n_chars", T.LongType()).add("n_slots", T.LongType())
     names = schema.names
     found = joined.mapInArrow(lambda b: _extract(b, names), schema)
