@@ -257,7 +257,7 @@ def _class_spans(at: np.ndarray, tokens: np.ndarray, group: np.ndarray) -> Itera
         rounds = mine.reshape(-1, distinct) if len(mine) % distinct == 0 else mine[None, :]
         even = rounds.shape[1] == distinct and bool((rounds == rounds[0]).all())
         pattern = hash(tuple(rounds[0].tolist())) if even else None
-        single = len(rounds) == 1
+        single = distinct == len(mine)
         if single:
             sizes[members] = b - a
         spans.append((int(group[members[0]]), pattern, single, b - a, int(members[0]), int(members[-1])))
