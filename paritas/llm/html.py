@@ -1,11 +1,12 @@
 """Main text of pages by template deduction from equivalence classes.
 
-1. Pages are compressed, equal ones of a host brought together, dealt by ranges
-   of (host, page) and written, so that a run of neighbouring pages is a host's.
-   Every page is cut into tokens (tags and words), told apart by their tag path
-   and words also by the tokens beside them.  A template's tokens are on half of
-   the host's pages or more, hence on half of the host's pages in some run: these
-   are the candidates, which are then counted over all pages.  Tokens of one host
+1. Pages are compressed and dealt by ranges of (host, page), so that equal pages
+   meet and neighbours are a host's.  Every page is cut into tokens (tags and
+   words), told apart by their tag path and words also by the tokens beside them.
+   A template's tokens are on half of the host's pages or more, hence on half of
+   the host's pages in some run of neighbours.  A run keeps the occurrences of
+   such tokens only; of a host that several runs share, the other runs are read
+   again for tokens that can still be on half of all pages.  Tokens of one host
    with the same occurrence vector form a class; vectors are compared by additive
    digests, so a host of any size is an aggregate combined before the shuffle,
    never a group in one task.
@@ -55,8 +56,8 @@ _RUN_WORDS, _SURPRISE = (5.0, 1.0, 0.0), 8.0
 #: Kinds of tokens: words, tags of blocks, other tags.
 _WORD, _EDGE, _INLINE = 0, 1, 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Inflated html tokenised at a time, in bytes; a larger page goes alone.
-_INFLATED = 8 << 20
+#: Inflated html of a run of pages, in bytes; a larger page goes alone.
+RUN_BYTES = 8 << 20
 
 
 # Pages, compressed and dealt by host
@@ -79,21 +80,11 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _one_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of equal pages, which are neighbours here, the first."""
-    last = None
-    for batch in batches:
-        keys = list(zip(batch.column("host").to_pylist(), batch.column("page").to_pylist()))
-        fresh = [key != before for key, before in zip(keys, [last, *keys])]
-        last = keys[-1] if keys else last
-        yield batch.filter(pa.array(fresh, pa.bool_()))
-
-
-def _inflated(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of a batch's pages: ``(first, end, bytes, offsets)``."""
+def _inflated(batch: pa.RecordBatch, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of a batch's pages: ``(first, end, bytes, offsets)``; a page of more than ``most`` bytes goes alone."""
     codec, packed = pa.Codec("zstd"), batch.column("packed")
     sizes = batch.column("size").to_pylist()
-    for a, b in slices(sizes, _INFLATED):
+    for a, b in slices(sizes, most):
         raw = b"".join(codec.decompress(packed[i].as_py(), decompressed_size=sizes[i], asbytes=True) if sizes[i] else b"" for i in range(a, b))
         yield a, b, np.frombuffer(raw, np.uint8) if raw else np.zeros(0, np.uint8), np.cumsum([0, *sizes[a:b]])
 
@@ -175,27 +166,120 @@ def _grouped(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(change)
 
 
-# Classes
+# Occurrences
+
+
+def _whole_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, token and place of all tokens of a run."""
+    parts = [(owner + a, token, place) for a, _, owner, token, place, *_ in _page_tokens(data, offsets)]
+    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def _lists(owner: np.ndarray, values: np.ndarray, count: int) -> pa.ListArray:
+    """Values of each owner in turn, as lists; owners are sorted."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(count + 1)).astype(np.int32)), pa.array(values))
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host of a run of pages: the tokens on at least ``SUPPORT`` of its pages in the run."""
+def _kept(host: np.ndarray, owner: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Which occurrences are of tokens on half of the host's pages in a run.
+
+    Hosts lie in a row.  One that neither begins nor ends the run is whole, so its
+    tokens must be on two pages too.
+    """
+    order, starts = _grouped([owner, token])
+    if not len(order):
+        return np.zeros(0, bool)
+    pair = np.empty(len(order), np.int64)
+    pair[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+    whose, what = host[owner[order][starts]], token[order][starts]
+    second, begins = _grouped([whose, what])
+    times = np.diff(np.append(begins, len(second)))
+    least = SUPPORT * np.bincount(host)[whose[second][begins]]
+    inner = (whose[second][begins] != host[0]) & (whose[second][begins] != host[-1])
+    enough = np.empty(len(starts), bool)
+    enough[second] = np.repeat(times >= np.where(inner, np.maximum(least, 2), least), times)
+    return enough[pair]
+
+
+def _occurrences(run_bytes: int):
+    """``host, page, run, tokens, places`` of pages sorted by host and page; of equal neighbours the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            keys = list(zip(batch.column("host").to_pylist(), batch.column("page").to_pylist()))
+            fresh = [key != before for key, before in zip(keys, [last, *keys])]
+            last = keys[-1] if keys else last
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
+            hosts = batch.column("host").to_pylist()
+            for x, y, data, offsets in _inflated(batch, run_bytes):
+                _, host = np.unique(np.array(hosts[x:y], object), return_inverse=True)
+                owner, token, place = _whole_tokens(data, offsets)
+                kept = _kept(host, owner, token)
+                owner, token, place = owner[kept], token[kept].view(np.int64), place[kept].astype(np.int32)
+                pages = batch.column("page")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("host").slice(x, y - x), pages.slice(x, y - x), pa.array([pages[x].as_py()] * (y - x), pa.int64()),
+                        _lists(owner, token, y - x), _lists(owner, place, y - x),
+                    ],
+                    ["host", "page", "run", "tokens", "places"],
+                )
+
+    return run
+
+
+def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``host, page, more, more_places``: occurrences of wanted tokens in pages that are read again."""
     for batch in batches:
-        names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
-        found = []
-        for x, _, data, offsets in _inflated(batch):
-            for a, _, owner, token, *_ in _page_tokens(data, offsets):
-                order, starts = _grouped([owner, token])
-                found.append((host[owner[order][starts] + a + x], token[order][starts]))
-        if not found:
-            continue
-        hosts, tokens = (np.concatenate(c) for c in zip(*found))
-        order, starts = _grouped([hosts, tokens])
-        count = np.diff(np.append(starts, len(order)))
-        hosts, tokens = hosts[order][starts], tokens[order][starts]
-        keep = count >= SUPPORT * np.bincount(host, minlength=len(names))[hosts] if len(hosts) else np.zeros(0, bool)
-        arrays = [pa.array([names[i] for i in hosts[keep]], pa.string()), pa.array(tokens[keep].view(np.int64))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["host", "token"])
+        data, offsets = as_bytes(batch.column("html"))
+        offsets = offsets - offsets[0] if len(offsets) else offsets
+        owner, token, place = _whole_tokens(data[: offsets[-1]], offsets)
+        bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+        wanted = batch.column("wanted")
+        at = [_members(token[bounds[i] : bounds[i + 1]], np.sort(wanted[i].values.to_numpy()))[0] + bounds[i] for i in range(batch.num_rows)]
+        at = np.concatenate(at) if at else np.zeros(0, np.int64)
+        lists = [_lists(owner[at], v[at], batch.num_rows) for v in (token.view(np.int64), place.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), *lists], ["host", "page", "more", "more_places"])
+
+
+def occurrences(pages: DataFrame, work: Workspace, run_bytes: int = RUN_BYTES) -> DataFrame:
+    """``host, page, tokens, places`` of the different pages of every host (``host, page, html`` in).
+
+    Tokens are those on half of the host's pages, and others; all occurrences of each token that is listed for a
+    host are listed if it can be on half of its pages.
+    """
+    packed = pages.mapInArrow(_packed, "host string, page bigint, size bigint, packed binary")
+    ranges = packed.repartitionByRange("host", "page").sortWithinPartitions("host", "page")
+    layout = "host string, page bigint, run bigint, tokens array<bigint>, places array<int>"
+    first = work.write(ranges.mapInArrow(_occurrences(run_bytes), layout), "first")
+    work.sweep()
+
+    # Hosts of several runs: a token is on fewer than half of the pages of every run that does not list it.
+    runs = first.groupBy("host", "run").agg(F.count(F.lit(1)).alias("n"))
+    runs = runs.withColumn("unseen", F.ceil(F.col("n") * SUPPORT) - 1)
+    totals = runs.groupBy("host").agg(F.count(F.lit(1)).alias("runs"), F.sum("n").alias("all_pages"), F.sum("unseen").alias("all_unseen")).where("runs > 1")
+    totals = work.write(totals, "totals")
+    listed = first.join(totals.select("host"), "host", "left_semi").select("host", "run", F.explode(F.array_distinct("tokens")).alias("token"))
+    listed = work.write(listed.groupBy("host", "run", "token").agg(F.count(F.lit(1)).alias("seen")), "listed")
+    bound = listed.join(runs, ["host", "run"]).groupBy("host", "token").agg(F.sum(F.col("seen") - F.col("unseen")).alias("over"), F.count(F.lit(1)).alias("in_runs"))
+    open_ = bound.join(totals, "host").where((F.col("over") + F.col("all_unseen") >= F.col("all_pages") * SUPPORT) & (F.col("in_runs") < F.col("runs")))
+    missing = open_.select("host", "token").join(runs.select("host", "run"), "host").join(listed, ["host", "run", "token"], "left_anti")
+    missing = work.write(missing.groupBy("host", "run").agg(F.collect_list("token").alias("wanted")), "missing")
+    if missing.isEmpty():
+        return first.drop("run")
+    asked = first.select("host", "page", "run").join(missing, ["host", "run"]).select("host", "page", "wanted")
+    html = pages.join(asked, ["host", "page"]).mapInArrow(_again, "host string, page bigint, more array<bigint>, more_places array<int>")
+    html = work.write(html.groupBy("host", "page").agg(F.min_by(F.struct("more", "more_places"), F.lit(0)).alias("found")), "again")
+    none = F.array().cast("array<bigint>"), F.array().cast("array<int>")
+    both = first.join(html, ["host", "page"], "left").select(
+        "host", "page", F.concat("tokens", F.coalesce("found.more", none[0])).alias("tokens"),
+        F.concat("places", F.coalesce("found.more_places", none[1])).alias("places"),
+    )
+    return work.write(both, "occurrences")
+
+
+# Classes
 
 
 def _members(own: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,33 +290,30 @@ def _members(own: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, place[at]
 
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and value of everything in a column of lists."""
+    sizes = np.diff(np.asarray(lists.offsets))
+    return np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy()
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and candidate of a run of pages: two digest sums of the occurrence vector, and pages it is on."""
+    """Per host and token: two digest sums of the occurrence vector, and pages it is on."""
     for batch in batches:
-        pages, cells = np.asarray(batch.column("page")).view(np.uint64), batch.column("tokens")
         names, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
-        sums = []
-        for x, _, data, offsets in _inflated(batch):
-            for a, b, owner, token, *_ in _page_tokens(data, offsets):
-                a, b = a + x, b + x
-                bounds = np.searchsorted(owner, np.arange(b - a + 1))
-                known = [_members(token[bounds[i] : bounds[i + 1]], cells[a + i].values.to_numpy())[0] + bounds[i] for i in range(b - a)]
-                at = np.concatenate(known) if known else np.zeros(0, np.int64)
-                owner, token = owner[at], token[at]
-                order, starts = _grouped([owner, token])
-                times = np.diff(np.append(starts, len(order))).astype(np.uint64)
-                owner, token = owner[order][starts], token[order][starts]
-                digest = mix(mix(pages[a:b][owner] + _ODD) + times * _ODD)
-                sums.append((host[owner + a], token, digest))
-        if not sums or not sum(len(t) for _, t, _ in sums):
+        owner, token = _flat(batch.column("tokens"))
+        if not len(owner):
             continue
-        hosts, tokens, digest = (np.concatenate(c) for c in zip(*sums))
-        order, starts = _grouped([hosts, tokens])
+        pages = np.asarray(batch.column("page")).view(np.uint64)
+        order, starts = _grouped([owner, token])
+        times = np.diff(np.append(starts, len(order))).astype(np.uint64)
+        owner, token = owner[order][starts], token[order][starts]
+        digest = mix(mix(pages[owner] + _ODD) + times * _ODD)
+        order, starts = _grouped([host[owner], token])
         low = np.add.reduceat((digest & np.uint64(0x7FFFFFFF)).astype(np.int64)[order], starts)
         high = np.add.reduceat((digest >> np.uint64(33)).astype(np.int64)[order], starts)
         count = np.diff(np.append(starts, len(order))).astype(np.int64)
         arrays = [
-            pa.array([names[i] for i in hosts[order][starts]], pa.string()), pa.array(tokens[order][starts].view(np.int64)),
+            pa.array([names[i] for i in host[owner][order][starts]], pa.string()), pa.array(token[order][starts]),
             pa.array(low), pa.array(high), pa.array(count),
         ]
         yield pa.RecordBatch.from_arrays(arrays, names=["host", "token", "low", "high", "pages"])
@@ -272,24 +353,22 @@ def _class_spans(at: np.ndarray, tokens: np.ndarray, group: np.ndarray) -> Itera
 
 
 def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and class of a run of pages: the order its tokens come in, and on how many pages it does not nest."""
+    """Per host and class: the order its tokens come in, and on how many pages it does not nest."""
     for batch in batches:
         hosts, seen = batch.column("host").to_pylist(), {}
-        cells = batch.column("tokens")
-        for x, _, data, offsets in _inflated(batch):
-            for a, b, owner, token, *_ in _page_tokens(data, offsets):
-                bounds = np.searchsorted(owner, np.arange(b - a + 1))
-                for i in range(b - a):
-                    pairs = cells[x + a + i].values
-                    known, classes = pairs.field("token").to_numpy(), pairs.field("grp").to_numpy()
-                    at, place = _members(token[bounds[i] : bounds[i + 1]], known)
-                    if not len(at):
-                        continue
-                    for g, pattern, straddles in _class_spans(at, known[place], classes[place]):
-                        key = hosts[x + a + i], g
-                        low, high, bad = seen.get(key, (pattern, pattern, 0))
-                        broken = pattern is None or low is None
-                        seen[key] = (None if broken else min(low, pattern), None if broken else max(high, pattern), bad + straddles + broken)
+        tokens, places, cells = (batch.column(c) for c in ("tokens", "places", "known"))
+        for i, host in enumerate(hosts):
+            pairs = cells[i].values
+            known, classes = pairs.field("token").to_numpy(), pairs.field("grp").to_numpy()
+            own, at = tokens[i].values.to_numpy(), places[i].values.to_numpy()
+            order = np.argsort(at)
+            chosen, which = _members(own[order].view(np.uint64), known)
+            if not len(chosen):
+                continue
+            for g, pattern, straddles in _class_spans(chosen, known[which], classes[which]):
+                low, high, bad = seen.get((host, g), (pattern, pattern, 0))
+                broken = pattern is None or low is None
+                seen[host, g] = (None if broken else min(low, pattern), None if broken else max(high, pattern), bad + straddles + broken)
         if seen:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -300,42 +379,30 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def dealt(pages: DataFrame, work: Workspace) -> DataFrame:
-    """``host, page, size, packed``: the different pages of every host (``host, page, html`` in), neighbours in one file."""
-    packed = pages.mapInArrow(_packed, "host string, page bigint, size bigint, packed binary")
-    ranges = packed.repartitionByRange("host", "page").sortWithinPartitions("host", "page")
-    return work.write(ranges.mapInArrow(_one_each, packed.schema), "pages")
-
-
-def frequent_tokens(pages: DataFrame, work: Workspace) -> DataFrame:
-    """``host, token, grp, pages`` of the tokens on half of a host's pages or more; ``grp`` names the occurrence vector."""
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages")).where("all_pages > 1")
-    sizes = work.write(sizes, "sizes")
-    local = pages.mapInArrow(_frequent, "host string, token bigint").join(sizes, "host", "left_semi")
-    candidates = work.write(local.groupBy("host").agg(F.array_sort(F.collect_set("token")).alias("tokens")), "candidates")
-    vectors = pages.join(candidates, "host").select("host", "page", "size", "packed", "tokens")
-    vectors = vectors.mapInArrow(_vectors, "host string, token bigint, low bigint, high bigint, pages bigint")
+def frequent_tokens(found: DataFrame, work: Workspace) -> DataFrame:
+    """``host, token, grp, pages`` of the tokens on half of a host's pages and on two; ``grp`` names the occurrence vector."""
+    sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    vectors = found.select("host", "page", "tokens").mapInArrow(_vectors, "host string, token bigint, low bigint, high bigint, pages bigint")
     vectors = vectors.groupBy("host", "token").agg(*[F.sum(c).alias(c) for c in ("low", "high", "pages")])
     frequent = vectors.join(sizes, "host").where(F.col("pages") >= F.col("all_pages") * SUPPORT).where("pages > 1")
     return work.write(frequent.select("host", "token", F.xxhash64("low", "high", "pages").alias("grp"), "pages"), "frequent")
 
 
-def templates(pages: DataFrame, work: Workspace) -> DataFrame:
+def templates(pages: DataFrame, work: Workspace, run_bytes: int = RUN_BYTES) -> DataFrame:
     """``host, tokens``: the tokens of the valid classes of each host (``host, page, html`` in), with their class and its pages."""
-    pages = dealt(pages, work)
-    frequent = frequent_tokens(pages, work)
+    found = occurrences(pages, work, run_bytes)
+    frequent = frequent_tokens(found, work)
     classes = frequent.groupBy("host", "grp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CLASS_TOKENS)
     tokens = work.write(frequent.join(classes.drop("n"), ["host", "grp"]), "tokens")
-    cell = F.array_sort(F.collect_list(F.struct("token", "grp", "pages"))).alias("tokens")
-    cells = work.write(tokens.groupBy("host").agg(cell), "classes")
-    checks = pages.join(cells, "host").select("host", "size", "packed", "tokens")
+    cell = F.array_sort(F.collect_list(F.struct("token", "grp", "pages")))
+    cells = work.write(tokens.groupBy("host").agg(cell.alias("known")), "classes")
+    checks = found.join(cells, "host").select("host", "tokens", "places", "known")
     checks = checks.mapInArrow(_checks, "host string, grp bigint, low bigint, high bigint, bad bigint")
     checks = checks.groupBy("host", "grp").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("bad").alias("bad"))
     valid = checks.where("low = high AND bad = 0").select("host", "grp")
-    found = work.write(tokens.join(valid, ["host", "grp"]).groupBy("host").agg(cell), "templates")
-    work.drop("pages", "sizes", "candidates", "frequent", "tokens", "classes")
-    work.sweep()
-    return found
+    kept = work.write(tokens.join(valid, ["host", "grp"]).groupBy("host").agg(cell.alias("tokens")), "templates")
+    work.drop("first", "totals", "listed", "missing", "again", "occurrences", "frequent", "tokens", "classes")
+    return kept
 
 
 def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:

@@ -101,8 +101,9 @@ def tags(data: np.ndarray, offsets: np.ndarray) -> list[list[Tag]]:
     kind = np.where(letter, _PLAIN, _DECLARATION)
     kind[~letter & (padded[lt + 2] == 0x2D) & (padded[lt + 3] == 0x2D) & (lt + 4 <= stop)] = _COMMENT
     for quote in (0x22, 0x27):
-        seen = np.concatenate([[0], np.cumsum(data == quote, dtype=np.int32)])
-        kind[(kind == _PLAIN) & ((seen[end] - seen[lt]) % 2 == 1)] = _QUOTED
+        quotes = np.flatnonzero(data == quote)
+        odd = (np.searchsorted(quotes, end) - np.searchsorted(quotes, lt)) % 2 == 1
+        kind[(kind == _PLAIN) & odd] = _QUOTED
     name, inside = np.zeros(len(lt), np.uint64), letter.copy()
     for k in range(_NAME_BYTES):
         byte = padded[first + k]

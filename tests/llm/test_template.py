@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from llm_samples import sentence
 from paritas.llm.common import Workspace
-from paritas.llm.html import _class_spans, _least_words, _page_tokens, dealt, frequent_tokens, main_text, templates
+from paritas.llm.html import _class_spans, _least_words, _page_tokens, frequent_tokens, main_text, occurrences, templates
 from paritas.llm.markup import page_blocks, tags
 
 PAGE = "page_id bigint, url string, html string"
@@ -74,20 +74,20 @@ def frequent_by_hand():
     return kept, Counter((h, frozenset(c)) for (h, _), c in classes.items())
 
 
-@pytest.mark.parametrize("partitions", [1, 97])
-def test_frequent_tokens_and_classes_equal_brute_force_at_any_partitioning(spark, partitions):
+@pytest.mark.parametrize("partitions, run_bytes", [(1, 8 << 20), (97, 8 << 20), (5, 3000), (3, 1)])
+def test_frequent_tokens_and_classes_equal_brute_force_at_any_partitioning(spark, partitions, run_bytes):
     df = spark.createDataFrame(list(host_pages()), PAGE).repartition(partitions)
     keyed = df.select(F.regexp_extract("url", "//([^/]+)", 1).alias("host"), F.xxhash64("html").alias("page"), "html")
     keyed = keyed.unionByName(keyed.limit(30))  # copies count once
     work = Workspace(spark, "test-html")
-    found = frequent_tokens(dealt(keyed, work), work).collect()
+    found = frequent_tokens(occurrences(keyed, work, run_bytes), work).collect()
     kept, classes = frequent_by_hand()
     assert {(r["host"], r["token"]): r["pages"] for r in found} == kept
     groups = defaultdict(set)
     for r in found:
         groups[r["host"], r["grp"]].add(r["token"])
     assert Counter((h, frozenset(c)) for (h, _), c in groups.items()) == classes
-    assert templates(keyed, Workspace(spark, "test-html")).count() == 8
+    assert templates(keyed, Workspace(spark, "test-html"), run_bytes).count() == 8
 
 
 def straddles_by_hand(at, tokens, group):
