@@ -186,19 +186,21 @@ def _kept(host: np.ndarray, owner: np.ndarray, token: np.ndarray) -> np.ndarray:
     Hosts lie in a row.  One that neither begins nor ends the run is whole, so its
     tokens must be on two pages too.
     """
-    order, starts = _grouped([owner, token])
-    if not len(order):
+    if not len(owner):
         return np.zeros(0, bool)
-    pair = np.empty(len(order), np.int64)
-    pair[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
-    whose, what = host[owner[order][starts]], token[order][starts]
-    second, begins = _grouped([whose, what])
-    times = np.diff(np.append(begins, len(second)))
-    least = SUPPORT * np.bincount(host)[whose[second][begins]]
-    inner = (whose[second][begins] != host[0]) & (whose[second][begins] != host[-1])
-    enough = np.empty(len(starts), bool)
-    enough[second] = np.repeat(times >= np.where(inner, np.maximum(least, 2), least), times)
-    return enough[pair]
+    key = mix(token + host[owner].astype(np.uint64) * _ODD)
+    order = np.argsort(key, kind="stable")  # owners stay sorted within a key
+    key, page = key[order], owner[order]
+    fresh = np.concatenate([[True], key[1:] != key[:-1]])
+    starts = np.flatnonzero(fresh)
+    times = np.add.reduceat(fresh | np.concatenate([[True], page[1:] != page[:-1]]), starts, dtype=np.int64)
+    whose = host[page[starts]]
+    least = SUPPORT * np.bincount(host)[whose]
+    inner = (whose != host[0]) & (whose != host[-1])
+    enough = times >= np.where(inner, np.maximum(least, 2), least)
+    kept = np.empty(len(owner), bool)
+    kept[order] = np.repeat(enough, np.diff(np.append(starts, len(order))))
+    return kept
 
 
 def _occurrences(run_bytes: int):
