@@ -8,15 +8,18 @@ and adds them up.  After each step an unseen posting can add at most the next
 contribution; vectors that can't reach the k-th best score known so far drop
 out, and when few are left the rest is not read.  Those few are scored exactly.
 
-Blocks are built where the rows are read.  Queries travel in batches to groups
-of blocks (an equi-join on the group's number), and a batch keeps its k best
-over the blocks of a group, so that later blocks stop early; what comes out of a
-group is k rows per query.
+Blocks are built where the rows are read.  Queries travel in batches.  A batch
+first meets one block by itself, whose k-th best score is its floor everywhere;
+then it meets the groups of blocks (an equi-join on the group's number) and keeps
+its k best over the blocks of a group, so that later blocks stop earlier still.
+What comes out of a group is k rows per query.  Where the segments of a dimension
+end is searched for all queries of a batch at once.
 
 Defined cases: vectors that are null, empty or hold null or non-finite
-components take no part.  A query meets vectors of its own length.  Rows that
-repeat an id are candidates each, and none of them for a query of that id;
-queries equal in id and vector are one.  Scores must fit in 63 bits.
+components take no part, nor do rows without an id.  A query meets vectors of its
+own length.  Rows that repeat an id are candidates each, and none of them for a
+query of that id; queries equal in id and vector are one.  Components beyond 2^62
+after scaling end the query; scores must fit in 63 bits.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ BLOCK_ROWS, BATCH_QUERIES, GROUP_BLOCKS = 8192, 256, 4
 _STEPS = (0.15, 0.3, 0.45, 0.6, 0.8)
 #: Added to every contribution, so that one weighted count gives a sum of contributions and their number.
 _ONE = float(1 << 40)
+_NO_FLOOR = -(1 << 63)
 
 
 def _packed(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -44,7 +48,10 @@ def _packed(rows: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.ndar
     for batch in rows:
         ids, vectors = batch.column(0).to_numpy(), batch.column(1)
         lengths = vectors.value_lengths().to_numpy()
-        flat = np.floor(np.asarray(vectors.flatten(), np.float64) * SCALE).astype(np.int64)
+        flat = np.floor(np.asarray(vectors.flatten(), np.float64) * SCALE)
+        if len(flat) and np.abs(flat).max() > 2.0**62:
+            raise OverflowError("a scaled component does not fit in 62 bits")
+        flat = flat.astype(np.int64)
         starts = np.cumsum(lengths) - lengths
         for dim in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == dim)
@@ -92,39 +99,73 @@ class _Block:
 
     def best(self, query: np.ndarray, own: int, k: int, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of every vector that may be among the k best, given the k-th best score known."""
+        return next(self.best_of(query[None, :], [own], k, [floor]))
+
+    def _limits(self, queries: np.ndarray) -> np.ndarray:
+        """Per query the contributions at which its segments end, falling: quantiles of a sample of contributions."""
+        sample = self.impacts[:, :: max(1, len(self.ids) // 64)]
+        out = np.empty((len(queries), len(_STEPS)), np.int64)
+        for i, query in enumerate(queries):
+            dims = np.flatnonzero(query)
+            gains = (query[dims][:, None] * sample[dims]).ravel() if len(dims) else np.zeros(1, np.int64)
+            out[i] = np.quantile(gains, [1 - s for s in _STEPS]).astype(np.int64)
+        return np.minimum.accumulate(out, axis=1)
+
+    def _ends(self, queries: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(begin, end)`` by query, dimension and segment: postings that contribute the limit or more.
+
+        A positive component reads from the high end to ``end``, a negative one from the low end back to ``begin``.
+        """
+        n = len(self.ids)
+        shape = (*queries.shape, limits.shape[1])
+        begin, end = np.zeros(shape, np.int64), np.zeros(shape, np.int64)
+        for d in range(queries.shape[1]):
+            q = queries[:, d]
+            high, low = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
+            if len(high):  # impact >= limit / q
+                end[high, d] = np.searchsorted(self.rising[d], -(-(-limits[high] // q[high][:, None])), side="right")
+            if len(low):  # impact <= limit / q
+                begin[low, d] = np.searchsorted(self.rising[d], -(limits[low] // q[low][:, None]), side="left")
+                end[low, d] = n
+        return begin, end
+
+    def best_of(self, queries: np.ndarray, owns: list[int], k: int, floors: list[int | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """:meth:`best` of several queries in turn."""
+        limits = self._limits(queries)
+        begins, ends = self._ends(queries, limits)
+        largest = np.maximum(np.abs(self.impacts[:, 0]), np.abs(self.impacts[:, -1]))
+        for i, (query, own, floor) in enumerate(zip(queries, owns, floors)):
+            yield self._read(query, own, k, floor, limits[i].tolist(), begins[i].T, ends[i].T, int((np.abs(query) * largest).sum()) < 1 << 39)
+
+    def _read(self, query, own, k, floor, limits, begins, ends, small: bool) -> tuple[np.ndarray, np.ndarray]:
         n, dims = len(self.ids), np.flatnonzero(query)
+        small = small and len(dims) < 1 << 12
         score, unseen = np.zeros(n, np.int64), np.full(n, len(dims), np.int64)
-        down, up = np.zeros(len(query), np.int64), np.full(len(query), n)  # postings read from the high and the low end
-        extent = np.abs(query[dims]) * np.maximum(np.abs(self.impacts[dims, 0]), np.abs(self.impacts[dims, -1]))
-        sample = (query[dims][:, None] * self.impacts[dims][:, :: max(1, n // 64)]).ravel() if len(dims) else np.zeros(1, np.int64)
-        steps = np.quantile(sample, [1 - s for s in _STEPS]).astype(np.int64) if len(dims) and extent.any() else []
-        small = int(extent.sum()) < 1 << 39 and len(dims) < 1 << 12
         may = np.flatnonzero(self.ids != own)
-        for number, limit in enumerate(dict.fromkeys(np.asarray(steps).tolist())):
-            # Every posting that contributes at least ``limit`` is read.
-            read, gain = [], []
-            for d in dims.tolist():
-                q = int(query[d])
-                if q > 0:  # impact >= limit / q
-                    end = int(np.searchsorted(self.rising[d], -(-(-limit // q)), side="right"))
-                    part = slice(int(down[d]), max(end, int(down[d])))
-                    down[d] = part.stop
-                else:  # impact <= limit / q, from the low end
-                    start = int(np.searchsorted(self.rising[d], -(limit // q), side="left"))
-                    part = slice(min(start, int(up[d])), int(up[d]))
-                    up[d] = part.start
-                if part.start < part.stop:
-                    read.append(self.order[d, part])
-                    gain.append(q * self.weights[d, part] + _ONE if small else q * self.impacts[d, part])
-            if read and small:
-                both = np.bincount(np.concatenate(read), weights=np.concatenate(gain), minlength=n)
-                count = np.rint(both / _ONE)
-                score += (both - count * _ONE).astype(np.int64)
-                unseen -= count.astype(np.int64)
-            elif read:
-                at = np.concatenate(read)
-                score += _add(at, np.concatenate(gain), n)
-                unseen -= np.bincount(at, minlength=n)
+        gains = query[dims].astype(np.float64) if small else query[dims]
+        weights, up = self.weights if small else self.impacts, query[dims] > 0
+        low, high = np.where(up, 0, n), np.where(up, 0, n)  # where the postings read so far begin and end
+        for number, limit in enumerate(limits):
+            if number and limit == limits[number - 1] or not len(dims):
+                continue
+            # Every posting that contributes at least ``limit`` and was not read before.
+            first, last = np.where(up, high, begins[number][dims]), np.where(up, ends[number][dims], low)
+            first, last = np.where(up, first, np.minimum(first, low)), np.where(up, np.maximum(last, high), last)
+            low, high = np.where(up, low, first), np.where(up, last, high)
+            size = last - first
+            if size.any():
+                parts = list(zip(dims.tolist(), first.tolist(), last.tolist()))
+                at = np.concatenate([self.order[d, a:b] for d, a, b in parts])
+                gain = np.repeat(gains, size) * np.concatenate([weights[d, a:b] for d, a, b in parts])
+                if small:
+                    gain += _ONE
+                    both = np.bincount(at, weights=gain, minlength=n)
+                    count = np.rint(both / _ONE)
+                    score += (both - count * _ONE).astype(np.int64)
+                    unseen -= count.astype(np.int64)
+                else:
+                    score += _add(at, gain, n)
+                    unseen -= np.bincount(at, minlength=n)
             if number == 0 and len(may) > 4 * k:
                 # The best so far, scored exactly, raise the floor.
                 probe = may[np.argpartition(-score[may], 4 * k)[: 4 * k]]
@@ -147,6 +188,31 @@ def _add(at: np.ndarray, more: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _cell(batch: pa.RecordBatch, row: int) -> dict:
+    return {name: batch.column(name)[row].as_py() for name in batch.schema.names}
+
+
+def _queries(cell: dict) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(cell["query_ids"], np.int64)
+    return ids, np.frombuffer(cell["queries"], np.int64).reshape(len(ids), cell["dim"])
+
+
+def _prime(rows: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Each batch of queries with a floor per query from the block it meets; without a block, the least number."""
+    for batch in rows:
+        for row in range(batch.num_rows):
+            cell = _cell(batch, row)
+            ids, matrix = _queries(cell)
+            floors = np.full(len(ids), _NO_FLOOR)
+            if cell["ids"] is not None:
+                block = _Block(cell["dim"], cell["ids"], cell["impacts"], cell["postings"])
+                for i, (_, exact) in enumerate(block.best_of(matrix, ids.tolist(), k, [None] * len(ids))):
+                    if len(exact) >= k:
+                        floors[i] = np.partition(exact, len(exact) - k)[len(exact) - k]
+            names = ("batch", "dim", "query_ids", "queries")
+            yield pa.RecordBatch.from_arrays([*(pa.array([cell[n]]) for n in names), pa.array([floors.tobytes()])], names=[*names, "floors"])
+
+
 def _search(rows: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Each batch of queries over the blocks of a group, which come one after the other."""
     now, queries, held = None, None, []
@@ -161,20 +227,20 @@ def _search(rows: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
 
     for batch in rows:
         for row in range(batch.num_rows):
-            cell = {name: batch.column(name)[row].as_py() for name in ("batch", "dim", "ids", "impacts", "postings")}
+            cell = _cell(batch, row)
             if cell["batch"] != now:
                 if now is not None:
                     yield out()
                 now = cell["batch"]
-                ids = np.frombuffer(batch.column("query_ids")[row].as_py(), np.int64)
-                matrix = np.frombuffer(batch.column("queries")[row].as_py(), np.int64).reshape(len(ids), cell["dim"])
+                ids, matrix = _queries(cell)
                 queries = (ids, matrix, (np.int64(now) << 16) + np.arange(len(ids)))
+                floors = np.frombuffer(cell["floors"], np.int64)
                 held = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
             block = _Block(cell["dim"], cell["ids"], cell["impacts"], cell["postings"])
-            for i, (own, query) in enumerate(zip(queries[0].tolist(), queries[1])):
-                ids, score = held[i]
-                found, exact = block.best(query, own, k, int(score[k - 1]) if len(score) >= k else None)
-                ids, score = np.concatenate([ids, found]), np.concatenate([score, exact])
+            known = [max(int(f), int(s[k - 1]) if len(s) >= k else _NO_FLOOR) for f, (_, s) in zip(floors, held)]
+            found = block.best_of(queries[1], queries[0].tolist(), k, [None if f == _NO_FLOOR else f for f in known])
+            for i, (more, exact) in enumerate(found):
+                ids, score = np.concatenate([held[i][0], more]), np.concatenate([held[i][1], exact])
                 order = np.lexsort((ids, -score))[:k]
                 held[i] = ids[order], score[order]
     if now is not None:
@@ -199,8 +265,14 @@ def top_k(
     queries = work.write(queries.withColumn("batch", F.monotonically_increasing_id()), "queries")
     groups = max(1, -(-blocks.count() // GROUP_BLOCKS))
     placed = blocks.withColumn("grp", F.pmod(F.xxhash64("block"), F.lit(groups)))
+    # A block of some group for each batch, chosen by its number; batches spread over the groups.
+    firsts = placed.groupBy("grp", "dim").agg(F.min("block").alias("block"))
+    firsts = placed.join(firsts, ["grp", "dim", "block"], "left_semi").select("grp", "dim", "ids", "impacts", "postings")
+    home = queries.withColumn("grp", F.pmod(F.xxhash64("batch"), F.lit(groups))).join(firsts, ["grp", "dim"], "left")
+    layout = "batch bigint, dim bigint, query_ids binary, queries binary, floors binary"
+    queries = work.write(home.drop("grp").mapInArrow(lambda b: _prime(b, k), layout), "primed")
     sent = queries.withColumn("grp", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))))
-    met = sent.join(placed, ["grp", "dim"]).select("batch", "dim", "query_ids", "queries", "ids", "impacts", "postings")
+    met = sent.join(placed, ["grp", "dim"]).select("batch", "dim", "query_ids", "queries", "floors", "ids", "impacts", "postings")
     found = met.mapInArrow(lambda b: _search(b, k), "query_id bigint, query bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
