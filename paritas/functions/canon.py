@@ -126,7 +126,7 @@ def canon_sql(
         text = json_text(c) if json else _numeric_string(c) if coerce_numeric_strings else c
     else:
         text = f"CAST({c} AS STRING)"
-    if not _depth and isinstance(dtype, (T.StringType, T.VariantType, T.ArrayType, T.StructType, T.MapType)):
+    if not _depth and isinstance(dtype, (T.StringType, T.VariantType)):  # nested text tells by its lengths where it ends
         text = _escaped(text)
     return f"coalesce({text}, {_NULL_SQL})"
 

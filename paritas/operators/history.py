@@ -116,8 +116,8 @@ def scd2_continuity(
     With ``source`` (the legacy history), a further check counts hashes present
     on one side only.
     """
-    # The look-ahead already brings an entity's versions together, so counting
-    # per entity on top of it needs no second shuffle.
+    # The look-ahead deals versions by ranges, so counting per entity is a second
+    # shuffle, of one partial row per entity and range.
     versions = _with_next(df, entity_key, eff_from, eff_to, [current_flag], tiebreak)
     per = versions.groupBy(entity_key).agg(F.count_if("_gap").alias("gaps"), *_entity_counts(eff_to, current_flag, terminal))
     wrong_current = F.when(F.col("n_current") == 1, F.col("current_not_open")).otherwise(0)
@@ -154,13 +154,15 @@ def scd2_continuity(
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the largest ``order`` per key.
+    """The row with the largest ``order`` per key; of several, always the same one, by a hash of the row.
 
     An aggregate, not a window: each task keeps one candidate per key, so a
     key of any size costs one row per task in the shuffle.
     """
     whole = F.struct(*[F.col(c) for c in df.columns])
-    rank = F.struct(*[F.col(c) for c in order])
+    # Ties are broken by what the rows hold, so that reruns agree; maps have no hash but their text has.
+    hashable = [F.to_json(F.col(f"`{n}`")) if "map<" in kind or "variant" in kind else F.col(f"`{n}`") for n, kind in df.dtypes]
+    rank = F.struct(*[F.col(c) for c in order], F.xxhash64(*hashable).alias("_tie"))
     latest = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max_by(whole, rank).alias("_row"))
     return latest.select("_row.*")
 

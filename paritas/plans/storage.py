@@ -382,10 +382,16 @@ def queryability(t):
     UNION ALL SELECT 'event_type', 'STRING', 'STRING', COUNT(*), 0 FROM {events}
     UNION ALL SELECT 'value', 'DOUBLE', 'FLOAT64', COUNT(*), 0 FROM {events}
     UNION ALL SELECT 'amount', 'DECIMAL(12,2)', 'NUMERIC(12,2)', COUNT(*), 0 FROM {events}
-    UNION ALL SELECT 'k', 'INT', 'INT64', COUNT(*), 0 FROM {events}""",
+    UNION ALL SELECT 'k', 'INT', 'INT64', COUNT(*), 0 FROM {events}
+    UNION ALL SELECT 'props', 'STRING', 'STRING', COUNT(*), 0 FROM {events}
+    UNION ALL SELECT 'fine', 'DECIMAL(25,12)', 'NUMERIC(25,12)', COUNT(*), COUNT(*) FILTER (event_id * 1001 % 1000 <> 0) FROM {events}""",
 )
 def type_map(t):
-    df = t.events.selectExpr("event_id", "event_type", "value", "CAST(value AS DECIMAL(12,2)) AS amount", "CAST(user_id AS INT) AS k")
+    """Columns whose values come back, and one with more places than the target keeps."""
+    df = t.events.selectExpr(
+        "event_id", "event_type", "value", "CAST(value AS DECIMAL(12,2)) AS amount", "CAST(user_id AS INT) AS k", "props",
+        "CAST(event_id * 0.000000001001BD AS DECIMAL(25,12)) AS fine",
+    )
     return schema.type_map(df)
 
 
@@ -446,7 +452,9 @@ def transform_diff(t):
     """
     WITH n AS (SELECT CAST(COUNT(*) FILTER (o_orderstatus = 'O') AS STRING) AS o, CAST(COUNT(*) AS STRING) AS a FROM {orders})
     SELECT 'ods_invoice' AS target, 'PASS' AS status, o AS expected, o AS actual FROM n
-    UNION ALL SELECT 'staging', 'PASS', a, a FROM n""",
+    UNION ALL SELECT 'staging', 'PASS', a, a FROM n
+    UNION ALL SELECT 'short', CASE WHEN o = a THEN 'PASS' ELSE 'FAIL' END, a, o FROM n
+    UNION ALL SELECT 'step 2 (transform)', 'ERROR', NULL, NULL""",
 )
 def build_and_verify(t):
     path = scratch_path(t.spark, "feed")
@@ -459,7 +467,12 @@ def build_and_verify(t):
         lambda spark: rowcount_parity(t.orders.where("o_orderstatus = 'O'"), spark.table("ods_invoice"), name="ods_invoice"),
         lambda spark: rowcount_parity(t.orders, spark.table("ods_invoice_raw"), name="staging"),
     ]
-    return shown(transform.build_and_verify(t.spark, steps, suites, "scratch_build_verify", scratch_path(t.spark, "build")))
+    suites.append(lambda spark: rowcount_parity(t.orders, spark.table("ods_invoice"), name="short"))
+    whole = transform.build_and_verify(t.spark, steps, suites, "scratch_build_verify", scratch_path(t.spark, "build"))
+    # A step that fails ends the build: the steps after it and the suites do not run.
+    broken = [steps[0], {"kind": "transform", "sql_text": "CREATE TABLE ods_invoice AS SELECT no_such_column FROM ods_invoice_raw"}, steps[1]]
+    ended = transform.build_and_verify(t.spark, broken, suites, "scratch_build_broken", scratch_path(t.spark, "build"))
+    return shown(whole.unionByName(ended))
 
 
 @query(
@@ -467,7 +480,8 @@ def build_and_verify(t):
     """
     SELECT target, 'PASS' AS status, n_filtered, n_full FROM (
       SELECT 'partition filter' AS target, COUNT(*) FILTER (year(o_orderdate) = 1997) AS n_filtered, COUNT(*) AS n_full FROM {orders_source}
-      UNION ALL SELECT 'unfiltered rejected', 0, COUNT(*) FROM {orders_source}) x""",
+      UNION ALL SELECT 'unfiltered rejected', 0, COUNT(*) FROM {orders_source}) x
+    UNION ALL SELECT 'no partitions', 'FAIL', COUNT(*) FILTER (year(o_orderdate) = 1997), COUNT(*) FROM {orders_source}""",
 )
 def scan_reduction(t):
     path = scratch_path(t.spark, "pruned")
@@ -486,7 +500,13 @@ def scan_reduction(t):
     except perf.PartitionFilterRequired:
         rejected = "PASS"
     status = reduced.select("status").scalar()
-    return counts.select(F.lit("partition filter").alias("target"), status.alias("status"), "n_filtered", "n_full").unionByName(
+    flat = scratch_path(t.spark, "flat")
+    df.write.parquet(flat)
+    twin = t.spark.read.parquet(flat)
+    sums = lambda x: x.groupBy("o_orderstatus").agg(F.sum("amount"))
+    unpruned = perf.scan_reduction(sums(twin), sums(twin.where("order_year = 1997")), name="no partitions").select("status").scalar()
+    flat_counts = counts.select(F.lit("no partitions").alias("target"), unpruned.alias("status"), "n_filtered", "n_full")
+    return flat_counts.unionByName(counts.select(F.lit("partition filter").alias("target"), status.alias("status"), "n_filtered", "n_full")).unionByName(
         counts.select(
             F.lit("unfiltered rejected").alias("target"), F.lit(rejected).alias("status"), F.lit(0).cast("bigint").alias("n_filtered"), "n_full"
         )

@@ -127,13 +127,14 @@ def repeat_contact(t):
 @query(
     "vw_billing_reconciliation",
     """
-    SELECT s.invoice_no, CAST(s.total_amount AS DOUBLE) AS staged_amount, CAST(a.total_amount AS DOUBLE) AS ods_amount,
-           strftime(make_timestamp(s.issued_ts_sec * 1000), '%Y-%m-%d %H:%M:%S') AS staged_issued_ts,
-           strftime(a.issued_ts, '%Y-%m-%d %H:%M:%S') AS ods_issued_ts,
-           [sec:a.issued_ts] - s.issued_ts_sec // 1000 AS drift_seconds,
-           CASE WHEN abs(s.total_amount - a.total_amount) > 0.01 THEN 'AMOUNT_MISMATCH'
-                WHEN [sec:a.issued_ts] <> s.issued_ts_sec // 1000 THEN 'TS_MISMATCH' ELSE 'OK' END AS recon_status
-    FROM {stg_fin_invoice} s JOIN {ods_invoice_acid} a ON a.invoice_id = s.invoice_id""",
+    WITH both_books AS (
+      SELECT invoice_no, staged.total_amount AS claimed, booked.total_amount AS kept, staged.issued_ts_sec AS claimed_ms, booked.issued_ts AS kept_at,
+             [sec:booked.issued_ts] - (staged.issued_ts_sec // 1000) AS late
+      FROM {stg_fin_invoice} staged INNER JOIN {ods_invoice_acid} booked USING (invoice_id))
+    SELECT invoice_no, CAST(claimed AS DOUBLE) AS staged_amount, CAST(kept AS DOUBLE) AS ods_amount,
+           strftime(make_timestamp(1000 * claimed_ms), '%Y-%m-%d %H:%M:%S') AS staged_issued_ts, strftime(kept_at, '%Y-%m-%d %H:%M:%S') AS ods_issued_ts,
+           late AS drift_seconds, ['OK', 'TS_MISMATCH', 'AMOUNT_MISMATCH'][1 + greatest(CAST(late <> 0 AS INTEGER), 2 * CAST(kept NOT BETWEEN claimed - 0.01 AND claimed + 0.01 AS INTEGER))] AS recon_status
+    FROM both_books""",
 )
 def vw_billing_reconciliation(t):
     return marts.billing_reconciliation(t.stg_fin_invoice, t.ods_invoice_acid)
@@ -214,14 +215,14 @@ def vw_attrition_risk(t):
 @query(
     "vw_queue_sla",
     """
-    SELECT q.queue_code, q.media_type, f.date_key,
-           CAST(SUM(f.answered_in_sl) AS DOUBLE) / NULLIF(CAST(SUM(f.answered) AS DOUBLE), 0) * 100 AS sl_pct,
-           CAST(MAX(t.target_value) AS DOUBLE) AS sl_target,
-           CASE WHEN CAST(SUM(f.answered_in_sl) AS DOUBLE) / NULLIF(CAST(SUM(f.answered) AS DOUBLE), 0) * 100 >= CAST(MAX(t.target_value) AS DOUBLE)
-                THEN 'MET' ELSE 'MISSED' END AS attainment
-    FROM {fact_queue_interval} f JOIN {dim_queue} q ON q.queue_sk = f.queue_sk
-    LEFT JOIN {stg_crm_sla_target} t ON t.queue_id = q.queue_id AND t.metric_code = 'SL_20_80'
-    GROUP BY 1, 2, 3""",
+    -- Goals per queue and calls per queue and day first; a queue with k goals counts its calls k times.
+    WITH goals AS (SELECT queue_id, count(*) AS k, CAST(max(target_value) AS DOUBLE) AS goal FROM {stg_crm_sla_target} WHERE metric_code = 'SL_20_80' GROUP BY ALL),
+         calls AS (SELECT queue_sk, date_key, sum(answered) AS taken, sum(answered_in_sl) AS quick FROM {fact_queue_interval} GROUP BY ALL),
+         shares AS (
+           SELECT queue_code, media_type, date_key, max(goal) AS goal, CAST(sum(quick * ifnull(k, 1)) AS DOUBLE) AS quick, CAST(sum(taken * ifnull(k, 1)) AS DOUBLE) AS taken
+           FROM calls INNER JOIN {dim_queue} USING (queue_sk) LEFT JOIN goals USING (queue_id) GROUP BY ALL),
+         percent AS (SELECT *, CASE WHEN taken <> 0 THEN quick / taken * 100 END AS reached FROM shares)
+    SELECT queue_code, media_type, date_key, reached AS sl_pct, goal AS sl_target, if(ifnull(reached >= goal, FALSE), 'MET', 'MISSED') AS attainment FROM percent""",
 )
 def vw_queue_sla(t):
     return marts.queue_sla(t.fact_queue_interval, t.dim_queue, t.stg_crm_sla_target)
@@ -281,14 +282,22 @@ def vw_occupancy(t):
 @query(
     "vw_shrinkage",
     """
-    SELECT f.date_key, a.site_code, CAST(SUM(f.scheduled_minutes) AS BIGINT) AS scheduled_minutes,
-           CAST(SUM(f.worked_minutes) AS BIGINT) AS worked_minutes, CAST(SUM(f.exception_minutes + f.timeoff_minutes) AS BIGINT) AS shrinkage_minutes,
-           CAST(SUM(f.exception_minutes + f.timeoff_minutes) AS DOUBLE) / NULLIF(CAST(SUM(f.scheduled_minutes) AS DOUBLE), 0) * 100 AS shrinkage_pct,
-           COUNT(DISTINCT s.schedule_id) AS schedules, COUNT(DISTINCT sh.shift_sk) AS overnight_shifts
-    FROM {fact_adherence_daily} f JOIN {dim_agent} a ON a.agent_sk = f.agent_sk
-    LEFT JOIN {ods_schedule} s ON s.agent_id = a.agent_id AND s.sched_date = CAST(strptime(CAST(f.date_key AS STRING), '%Y%m%d') AS DATE)
-    LEFT JOIN {dim_shift} sh ON sh.shift_id = s.shift_id AND sh.overnight_flag
-    GROUP BY 1, 2""",
+    -- What an agent's day is planned as, folded to one row: how often the day counts, and which schedules and shifts it names.
+    WITH nights AS (SELECT shift_id, count(*) AS n, list(shift_sk) AS names FROM {dim_shift} WHERE overnight_flag GROUP BY ALL),
+         plans AS (
+           SELECT agent_id, CAST(strftime(sched_date, '%Y%m%d') AS BIGINT) AS date_key, sum(ifnull(n, 1)) AS times, list(schedule_id) AS planned, flatten(list(ifnull(names, []))) AS nightly
+           FROM {ods_schedule} LEFT JOIN nights USING (shift_id) GROUP BY ALL),
+         days AS (
+           SELECT date_key, site_code, ifnull(times, 1) AS times, scheduled_minutes AS due, worked_minutes AS done, exception_minutes + timeoff_minutes AS lost, planned, nightly
+           FROM {fact_adherence_daily} INNER JOIN {dim_agent} USING (agent_sk) LEFT JOIN plans USING (agent_id, date_key)),
+         sums AS (
+           SELECT date_key, site_code, sum(times * due) AS due, sum(times * done) AS done, sum(times * lost) AS lost,
+                  flatten(list(ifnull(planned, []))) AS planned, flatten(list(ifnull(nightly, []))) AS nightly
+           FROM days GROUP BY ALL)
+    SELECT date_key, site_code, CAST(due AS BIGINT) AS scheduled_minutes, CAST(done AS BIGINT) AS worked_minutes, CAST(lost AS BIGINT) AS shrinkage_minutes,
+           CASE WHEN due <> 0 THEN CAST(lost AS DOUBLE) / CAST(due AS DOUBLE) * 100 END AS shrinkage_pct,
+           CAST(list_unique(planned) AS BIGINT) AS schedules, CAST(list_unique(nightly) AS BIGINT) AS overnight_shifts
+    FROM sums""",
 )
 def vw_shrinkage(t):
     return marts.shrinkage(t.fact_adherence_daily, t.dim_agent, t.ods_schedule, t.dim_shift)
@@ -344,11 +353,11 @@ def vw_executive_summary(t):
 @query(
     "mv_agent_weekly",
     """
-    SELECT CAST(strftime(date_trunc('week', strptime(CAST(date_key AS STRING), '%Y%m%d')), '%Y%m%d') AS BIGINT) AS week_start_key,
-           agent_sk, site_code, COUNT(*) AS days_worked, CAST(SUM(interactions_handled) AS BIGINT) AS interactions_handled,
-           CAST(SUM(avg_handle_seconds) AS DOUBLE) / COUNT(*) AS avg_handle_seconds,
-           CAST(SUM(adherence_pct) AS DOUBLE) / COUNT(*) AS adherence_pct, CAST(SUM(occupancy_pct) AS DOUBLE) / COUNT(*) AS occupancy_pct
-    FROM {agg_agent_daily} GROUP BY 1, 2, 3""",
+    WITH dated AS (SELECT *, make_date(date_key // 10000, date_key // 100 % 100, date_key % 100) AS d FROM {agg_agent_daily}),
+         weeks AS (SELECT *, year(monday) * 10000 + month(monday) * 100 + day(monday) AS monday_key FROM (SELECT *, d - CAST(isodow(d) - 1 AS INTEGER) AS monday FROM dated))
+    SELECT CAST(monday_key AS BIGINT) AS week_start_key, site_code, agent_sk, CAST(sum(interactions_handled) AS BIGINT) AS interactions_handled, count(d) AS days_worked,
+           avg(occupancy_pct) AS occupancy_pct, avg(adherence_pct) AS adherence_pct, avg(avg_handle_seconds) AS avg_handle_seconds
+    FROM weeks GROUP BY ALL""",
 )
 def mv_agent_weekly(t):
     return marts.agent_weekly(t.agg_agent_daily)
@@ -357,10 +366,13 @@ def mv_agent_weekly(t):
 @query(
     "mv_site_daily",
     """
-    SELECT date_key, site_code, COUNT(DISTINCT agent_sk) AS agents_active, CAST(SUM(interactions_handled) AS BIGINT) AS interactions,
-           CAST(SUM(avg_handle_seconds) AS DOUBLE) / COUNT(*) AS avg_handle_seconds, CAST(NULL AS DOUBLE) AS sl_pct,
-           CAST(SUM(adherence_pct) AS DOUBLE) / COUNT(*) AS adherence_pct
-    FROM {agg_agent_daily} GROUP BY 1, 2""",
+    -- One row per agent, site and day first: agents are then rows, and means are sums of sums over sums of counts.
+    WITH agents AS (
+      SELECT site_code, date_key, agent_sk, count(*) AS n, sum(interactions_handled) AS handled, sum(avg_handle_seconds) AS seconds, sum(adherence_pct) AS kept
+      FROM {agg_agent_daily} GROUP BY ALL)
+    SELECT site_code, date_key, count(agent_sk) AS agents_active, CAST(sum(handled) AS BIGINT) AS interactions, CAST(sum(seconds) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS avg_handle_seconds,
+           CAST(sum(kept) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS adherence_pct, CAST(NULL AS DOUBLE) AS sl_pct
+    FROM agents GROUP BY site_code, date_key""",
 )
 def mv_site_daily(t):
     return marts.site_daily(t.agg_agent_daily)

@@ -288,3 +288,14 @@ def test_rows_lost_along_a_chain_are_counted_where_they_are_lost(spark):
     c = spark.createDataFrame([("10",)], "id string")
     found = integrity.fk_chain({"a": a, "b": b, "c": c}, [("a", "b_id", "b", "id"), ("b", "c_id", "c", "id")]).orderBy("hop").collect()
     assert [(r["hop"], r["reached"], r["broken"], r["types_agree"], r["status"]) for r in found] == [(1, 5, 2, True, "FAIL"), (2, 3, 1, False, "FAIL")]
+
+
+def test_latest_of_tied_rows_is_the_same_at_any_order(spark):
+    from paritas.operators.history import latest_version
+
+    rows = [(k, 1, f"v{i}") for k in range(20) for i in range(6)]
+    picks = []
+    for seed in (1, 2, 3):
+        df = spark.createDataFrame(sorted(rows, key=lambda r: hash((seed, r))), "k int, at int, v string").repartition(seed * 2)
+        picks.append(sorted(map(tuple, latest_version(df, ["k"], ["at"]).collect())))
+    assert picks[0] == picks[1] == picks[2] and len(picks[0]) == 20
