@@ -221,7 +221,11 @@ def _candidates(members: DataFrame, faces: DataFrame, groups: DataFrame | None)
     large = blocks.where(F.col("members") > BLOCK)
     one = large.select("key", F.col("block").alias("i"), F.col("cell").alias("one"))
     two = large.select("key", F.col("block").alias("j"), F.col("cell").alias("two"))
-    pairs = pairs.union(alike(one.join(two, "key").where("i <= j").select("key", "one", "two")))
+    # Pairs of blocks by number first, so that a bucket of many blocks is dealt by block, not as one key.
+    last = F.ceil(F.max("members") / BLOCK) - 1
+    dealt = large.groupBy("key").agg(last.alias("last")).select("key", "last", F.explode(F.sequence(F.lit(0), "last")).alias("i"))
+    dealt = dealt.select("key", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    pairs = pairs.union(alike(dealt.join(one, ["key", "i"]).join(two, ["key", "j"]).select("key", "one", "two")))
     return pairs.select("u", "v")
 
 
@@ -278,7 +282,8 @@ def near_duplicates(
 
     named = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = work.write(named, "named")
-    lowest = named.groupBy("root").agg(F.min("low").alias("component"))
+    # Written before the join: rows of a large group can then be split among tasks.
+    lowest = work.write(named.groupBy("root").agg(F.min("low").alias("component")), "lowest")
     named = work.write(named.join(lowest, "root").select("digest", "component"), "components")
     result = slim.join(named, "digest", "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
