@@ -3,10 +3,10 @@
 1. Pages are compressed and dealt by ranges of (host, page), so that equal pages
    meet and neighbours are a host's.  Every page is cut into tokens (tags and
    words), told apart by their tag path and words also by the tokens beside them.
-   A template's tokens are on half of the host's pages or more, hence on half of
-   the host's pages in some run of neighbours.  A run keeps the occurrences of
-   such tokens only; of a host that several runs share, the other runs are read
-   again for tokens that can still be on half of all pages.  Tokens of one host
+   A template's tokens are on half of the host's pages or more.  A run of
+   neighbours keeps the occurrences of tokens on a quarter of a host's pages
+   there only; of a host that several runs share, runs that do not list a token
+   that can still be on half of all pages are read again for it.  Tokens of one host
    with the same occurrence vector form a class; vectors are compared by additive
    digests, so a host of any size is an aggregate combined before the shuffle,
    never a group in one task.
@@ -53,6 +53,9 @@ SUPPORT, CLASS_TOKENS = 0.5, 2
 #: Words of a template run that reaches none, one or both edges of its block must be more than this on very many pages,
 #: and by how much more on few: what chance repeats on a second page, each further page makes less of.
 _RUN_WORDS, _SURPRISE = (5.0, 1.0, 0.0), 8.0
+#: Share of a host's pages in a run from which a token is listed there; below ``SUPPORT``, so that chance seldom
+#: keeps a token that is on half of all pages out of a run's list.
+LISTED = 0.25
 #: Kinds of tokens: words, tags of blocks, other tags.
 _WORD, _EDGE, _INLINE = 0, 1, 2
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -181,7 +184,7 @@ def _lists(owner: np.ndarray, values: np.ndarray, count: int) -> pa.ListArray:
 
 
 def _kept(host: np.ndarray, owner: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Which occurrences are of tokens on half of the host's pages in a run.
+    """Which occurrences are of tokens on a share of ``LISTED`` of the host's pages in a run.
 
     Hosts lie in a row.  One that neither begins nor ends the run is whole, so its
     tokens must be on two pages too.
@@ -195,7 +198,7 @@ def _kept(host: np.ndarray, owner: np.ndarray, token: np.ndarray) -> np.ndarray:
     starts = np.flatnonzero(fresh)
     times = np.add.reduceat(fresh | np.concatenate([[True], page[1:] != page[:-1]]), starts, dtype=np.int64)
     whose = host[page[starts]]
-    least = SUPPORT * np.bincount(host)[whose]
+    least = LISTED * np.bincount(host)[whose]
     inner = (whose != host[0]) & (whose != host[-1])
     enough = times >= np.where(inner, np.maximum(least, 2), least)
     kept = np.empty(len(owner), bool)
@@ -257,20 +260,21 @@ def occurrences(pages: DataFrame, work: Workspace, run_bytes: int = RUN_BYTES) -
     first = work.write(ranges.mapInArrow(_occurrences(run_bytes), layout), "first")
     work.sweep()
 
-    # Hosts of several runs: a token is on fewer than half of the pages of every run that does not list it.
+    # Hosts of several runs: a token that a run does not list is on ``unseen`` of its pages at most, often on none.
     runs = first.groupBy("host", "run").agg(F.count(F.lit(1)).alias("n"))
-    runs = runs.withColumn("unseen", F.ceil(F.col("n") * SUPPORT) - 1)
+    runs = runs.withColumn("unseen", F.ceil(F.col("n") * LISTED) - 1)
     totals = runs.groupBy("host").agg(F.count(F.lit(1)).alias("runs"), F.sum("n").alias("all_pages"), F.sum("unseen").alias("all_unseen")).where("runs > 1")
     totals = work.write(totals, "totals")
     listed = first.join(totals.select("host"), "host", "left_semi").select("host", "run", F.explode(F.array_distinct("tokens")).alias("token"))
     listed = work.write(listed.groupBy("host", "run", "token").agg(F.count(F.lit(1)).alias("seen")), "listed")
     bound = listed.join(runs, ["host", "run"]).groupBy("host", "token").agg(F.sum(F.col("seen") - F.col("unseen")).alias("over"), F.count(F.lit(1)).alias("in_runs"))
     open_ = bound.join(totals, "host").where((F.col("over") + F.col("all_unseen") >= F.col("all_pages") * SUPPORT) & (F.col("in_runs") < F.col("runs")))
-    missing = open_.select("host", "token").join(runs.select("host", "run"), "host").join(listed, ["host", "run", "token"], "left_anti")
+    missing = open_.select("host", "token").join(runs.where("unseen > 0").select("host", "run"), "host").join(listed, ["host", "run", "token"], "left_anti")
     missing = work.write(missing.groupBy("host", "run").agg(F.collect_list("token").alias("wanted")), "missing")
     if missing.isEmpty():
         return first.drop("run")
-    asked = first.select("host", "page", "run").join(missing, ["host", "run"]).select("host", "page", "wanted")
+    # Written, so that a few pages are known to be few when the join is planned.
+    asked = work.write(first.select("host", "page", "run").join(missing, ["host", "run"]).select("host", "page", "wanted"), "asked")
     html = pages.join(asked, ["host", "page"]).mapInArrow(_again, "host string, page bigint, more array<bigint>, more_places array<int>")
     html = work.write(html.groupBy("host", "page").agg(F.min_by(F.struct("more", "more_places"), F.lit(0)).alias("found")), "again")
     none = F.array().cast("array<bigint>"), F.array().cast("array<int>")
@@ -403,7 +407,7 @@ def templates(pages: DataFrame, work: Workspace, run_bytes: int = RUN_BYTES) ->
     checks = checks.groupBy("host", "grp").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("bad").alias("bad"))
     valid = checks.where("low = high AND bad = 0").select("host", "grp")
     kept = work.write(tokens.join(valid, ["host", "grp"]).groupBy("host").agg(cell.alias("tokens")), "templates")
-    work.drop("first", "totals", "listed", "missing", "again", "occurrences", "frequent", "tokens", "classes")
+    work.drop("first", "totals", "listed", "missing", "asked", "again", "occurrences", "frequent", "tokens", "classes")
     return kept
 
 
