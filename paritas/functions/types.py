@@ -44,7 +44,7 @@ def signature(dtype: T.DataType, *, with_scale: bool = False) -> str:
 
 
 def leaf_paths(schema: T.StructType) -> list[tuple[str, T.DataType]]:
-    """Every field path with its type; array elements are written ``[]``."""
+    """Every field path with its type; array elements are written ``[]``, a map's sides ``{key}`` and ``{value}``."""
     out: list[tuple[str, T.DataType]] = []
 
     def visit(prefix: str, dtype: T.DataType) -> None:
@@ -56,6 +56,9 @@ def leaf_paths(schema: T.StructType) -> list[tuple[str, T.DataType]]:
         if isinstance(inner, T.StructType):
             for f in inner.fields:
                 visit(f"{path}.{f.name.lower()}", f.dataType)
+        if isinstance(inner, T.MapType):
+            visit(f"{path}{{key}}", inner.keyType)
+            visit(f"{path}{{value}}", inner.valueType)
 
     for f in schema.fields:
         visit(f.name.lower(), f.dataType)

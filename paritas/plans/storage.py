@@ -330,6 +330,27 @@ def nested_signature(t):
     return schema.nested_signature(df)
 
 
+@query(
+    "nested_signature_maps",
+    """
+    SELECT path, type, CAST(n_values AS BIGINT) AS n_values FROM (
+      SELECT unnest(['k', 'facts', 'facts{{key}}', 'facts{{value}}', 'lines', 'lines[]{{key}}', 'lines[]{{value}}', 'lines[]{{value}}.qty', 'lines[]{{value}}.tags']) AS path,
+             unnest(['INT64', 'MAP<STRING,NUMERIC>', 'STRING', 'NUMERIC', 'ARRAY<MAP<STRING,STRUCT<qty:INT64,tags:ARRAY<STRING>>>>', 'STRING',
+                     'STRUCT<qty:INT64,tags:ARRAY<STRING>>', 'INT64', 'ARRAY<STRING>']) AS type,
+             unnest([COUNT(o_orderkey), COUNT(*) FILTER (o_orderstatus <> 'P'), 2 * COUNT(*) FILTER (o_orderstatus <> 'P'),
+                     COUNT(*) FILTER (o_orderstatus <> 'P') + COUNT(*) FILTER (o_orderstatus = 'O'), COUNT(*), COUNT(*), COUNT(*),
+                     COUNT(*) FILTER (o_orderkey % 3 <> 0), COUNT(*)]) AS n_values FROM {orders_source}) x""",
+)
+def nested_signature_maps(t):
+    """Maps by their sides, also inside arrays: a map that is NULL at times, one with NULL values, structs as values."""
+    df = t.orders_source.selectExpr(
+        "o_orderkey AS k",
+        "CASE WHEN o_orderstatus <> 'P' THEN map('amount', amount, 'open', CASE WHEN o_orderstatus = 'O' THEN amount END) END AS facts",
+        "array(map(o_orderpriority, named_struct('qty', nullif(o_orderkey % 3, 0), 'tags', array(o_orderstatus)))) AS lines",
+    )
+    return schema.nested_signature(df)
+
+
 @query(
     "catalog_presence",
     " UNION ALL ".join(
