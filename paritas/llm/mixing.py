@@ -9,6 +9,14 @@ the words that certain copies leave open.  A document larger than what is open
 is passed over and the draw goes on below it, until no document fits; then the
 smallest one left may replace the last ranks drawn, if that narrows the gap.
 
+Without a weight column, as in the registered query, the documents of a source share
+one p, and the order of odds is the equal case of the design: a plain random order.
+With one, p differs by document and the heavier come first.  Passing over what no
+longer fits makes documents of a size near a source's open words a little rarer than p.
+Each pass of the draw leaves out the text it stopped at and all that are larger than
+the words still open, so there are at most as many passes as texts have sizes, and
+in a random order some logarithm of that (six for sizes that fall by 3 % each).
+
 Ranks are range partitioned by (source, odds), so one source may hold any share
 of the rows; running sums carry one number per range and source.
 

@@ -16,7 +16,10 @@ hash, a broadcast of bounded size.
 
 Defined cases: a text without tokens scores 0.  Without labels of both kinds
 nothing is rejected.  Labels other than 0 and 1 and labels of null ids are
-ignored; of several labels of one doc_id the lowest counts.
+ignored; of several labels of one doc_id the lowest counts.  Null text is empty.
+Rows that repeat a doc_id (null ids among them) are judged each by its own text, with
+the noise of that id.  Documents whose key equals that of rank k are kept all, so
+ties may keep more than k.  A table without rows gives none.
 """
 
 from __future__ import annotations
