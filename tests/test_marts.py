@@ -1,9 +1,11 @@
 import datetime as dt
 import random
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from paritas.plans import marts
+from paritas.plans import marts, registry
 
 
 def test_first_contact_resolution_equals_the_pairwise_join(spark):
@@ -73,3 +75,29 @@ def test_shrinkage_counts_minutes_once_per_schedule(spark):
 def test_ratios_guard_zero(spark):
     row = spark.range(1).select(marts.percent(F.lit(1), F.lit(0)), marts.percent(F.lit(1), F.lit(4))).first()
     assert tuple(row) == (None, 25.0)
+
+
+@pytest.mark.parametrize("name, value", [("agg_agent_daily", "avg_handle_seconds")])
+def test_agent_days_come_in_parts_of_bounded_size(spark, tmp_path, monkeypatch, name, value):
+    rng = random.Random(8)
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    # A fifth of the rows is one agent's; agents and days may be missing, rows repeat.
+    rows = [(rng.choice([0, *range(9), *range(9), None]), rng.choice([*days, None]), rng.randrange(1, 4), float(rng.randrange(50)), 0.01 * rng.randrange(9), 0.02) for _ in range(3000)]
+    rows += rows[:500]
+    lines = spark.createDataFrame(rows, "l_suppkey bigint, l_shipdate timestamp, l_linenumber int, l_quantity double, l_discount double, l_tax double")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i % 3) for i in range(8)], "s_suppkey bigint, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(registry, "DEALT_ROWS", 100)
+    found = getattr(registry.Inputs(spark, str(tmp_path)), name).withColumn("part", F.spark_partition_id()).collect()
+    want = {}
+    for who, at, line, quantity, discount, _ in rows:
+        if name == "fact_adherence_daily" or who in range(8):
+            key = None if at is None else at.year * 10000 + at.month * 100 + at.day
+            want.setdefault((who, key), []).append((line, quantity, discount))
+    day = {(r["agent_sk"], r["date_key"]): r for r in found}
+    assert len(found) == len(day) and set(day) == set(want)
+    for key, own in want.items():
+        counted = day[key]["interactions_handled" if name == "agg_agent_daily" else "exception_minutes"]
+        assert (counted, day[key][value]) == (len(own), max(q for _, q, _ in own) if name == "agg_agent_daily" else sum(n for n, _, _ in own))
+    sizes = Counter(r["part"] for r in found)
+    assert len(sizes) > 8 and max(sizes.values()) <= 40
