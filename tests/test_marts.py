@@ -77,7 +77,7 @@ def test_ratios_guard_zero(spark):
     assert tuple(row) == (None, 25.0)
 
 
-@pytest.mark.parametrize("name, value", [("agg_agent_daily", "avg_handle_seconds")])
+@pytest.mark.parametrize("name, value", [("agg_agent_daily", "avg_handle_seconds"), ("fact_adherence_daily", "worked_minutes")])
 def test_agent_days_come_in_parts_of_bounded_size(spark, tmp_path, monkeypatch, name, value):
     rng = random.Random(8)
     days = [dt.datetime(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
