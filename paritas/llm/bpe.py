@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.llm.common import ship, slices
-from paritas.llm.shingles import as_bytes, mix
+from paritas.llm.common import lean, ship, slices
+from paritas.llm.shingles import as_bytes, mix, powers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of text processed at a time, and pieces a worker remembers; both bound memory.
@@ -161,14 +162,16 @@ class Vocabulary:
         self.lengths = np.array([len(t) for t in by_id], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
-        self.cache: dict[bytes, list[int]] = {}
+        self.cache: dict[bytes, bytes] = {}
 
-    def piece(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
+    def piece(self, piece: bytes) -> bytes:
+        """Ids of one piece, four bytes each; what a worker remembers stays small that way."""
+        rank = self.ranks.get(piece)
+        if rank is not None:
+            return rank.to_bytes(4, sys.byteorder)
         known = self.cache.get(piece)
         if known is None:
-            rank = self.ranks.get(piece)
-            known = [rank] if rank is not None else self._merge(piece)
+            known = np.array(self._merge(piece), np.uint32).tobytes()
             if len(piece) <= 64:
                 if len(self.cache) >= CACHED_PIECES:
                     self.cache.clear()
@@ -238,13 +241,8 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C13
-    n = 4 * RUN_BYTES
-    up, down = np.full(n, np.uint64(base)), np.full(n, np.uint64(pow(base, -1, 1 << 64)))
-    up[0] = down[0] = 1
-    values = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
-    return values, np.multiply.accumulate(up), np.multiply.accumulate(down)
+def _byte_values() -> np.ndarray:
+    return np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 def _encode_run(data: np.ndarray, offsets: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -262,20 +260,20 @@ def _encode_run(data: np.ndarray, offsets: np.ndarray, words: Vocabulary) -> tup
     starts = at[piece_starts(points, starts_text)]
     ends = np.append(starts[1:], len(raw))
     if len(raw) <= 4 * RUN_BYTES:
-        values, up, down = _hash_tables()
-        sums = np.add.reduceat(values[data[lo:hi]] * up[: len(raw)], starts) * down[starts]
+        up, down = powers(len(raw))
+        sums = np.add.reduceat(_byte_values()[data[lo:hi]] * up[: len(raw)], starts) * down[starts]
         _, first, place = np.unique(mix(sums) ^ (ends - starts).astype(np.uint64), return_index=True, return_inverse=True)
     else:  # one piece longer than any run
         first = place = np.arange(len(starts))
     merged = [words.piece(raw[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-    sizes = np.fromiter(map(len, merged), np.int64, len(merged))
-    flat = np.fromiter((i for ids in merged for i in ids), np.int64, int(sizes.sum()))
+    sizes = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
+    flat = np.frombuffer(b"".join(merged), np.uint32).astype(np.int64)
     before = np.cumsum(sizes) - sizes
     ids = flat[_spread(before[place], sizes[place])]
     if not np.array_equal(words.decode(ids), data[lo:hi]):  # two pieces with one hash
         merged = [words.piece(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
-        sizes = np.fromiter(map(len, merged), np.int64, len(merged))
-        ids, place = np.fromiter((i for each in merged for i in each), np.int64, int(sizes.sum())), np.arange(len(starts))
+        sizes = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
+        ids, place = np.frombuffer(b"".join(merged), np.uint32).astype(np.int64), np.arange(len(starts))
     ids_before = np.concatenate([[0], np.cumsum(sizes[place])])
     return ids, ids_before[np.searchsorted(starts, offsets - lo)]
 
@@ -335,7 +333,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name
     schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("ends", T.ArrayType(T.LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             text = batch.column(1)
             lengths = np.diff(as_bytes(text)[1]).tolist()
             for a, b in slices(lengths, 4 * RUN_BYTES):
@@ -355,7 +353,7 @@ def decode(tokens: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", name
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(name)
-        for batch in batches:
+        for batch in lean(batches):
             for i in range(batch.num_rows):
                 ids = batch.column(1)[i].values
                 found = words.decode(np.asarray(ids, np.int64)).tobytes() if ids is not None else b""
@@ -373,7 +371,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(name)
-        for batch in batches:
+        for batch in lean(batches):
             counts, encoded, decoded = [], [], []
             for ids, _ in encode_texts(batch.column(1), name):
                 counts.append(len(ids))

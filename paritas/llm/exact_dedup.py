@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.llm.common import LOWER, UPPER, Workspace, keep_rows, row_keys, ship, slices
+from paritas.llm.common import LOWER, UPPER, Workspace, keep_rows, lean, row_keys, ship, slices
 from paritas.llm.shingles import as_bytes
 
 BLOCK_BYTES = 4096
@@ -42,7 +42,7 @@ _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     """One row per block: the document's columns, place, number of blocks, digest (at place 0) and content."""
-    for batch in batches:
+    for batch in lean(batches):
         data, offsets = as_bytes(batch.column(batch.num_columns - 1))
         heads = pa.RecordBatch.from_arrays(batch.columns[:-1], names=names[: batch.num_columns - 1])
         for a, b in slices(np.diff(offsets).tolist(), _SLICE_BYTES):
@@ -71,7 +71,7 @@ def _number(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
     """Sorted rows in, their content replaced by a number within this range; at the end a row that sums the range up."""
     part = TaskContext.get().partitionId()
     first, last, number, kinds = None, None, -1, None
-    for batch in batches:
+    for batch in lean(batches):
         content = batch.column(batch.num_columns - 1)
         n = len(content)
         if not n:

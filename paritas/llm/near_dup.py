@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paritas.llm.common import Workspace, keep_rows, row_keys, ship
+from paritas.llm.common import Workspace, keep_rows, lean, row_keys, ship
 from paritas.llm.components import components
 from paritas.llm.shingles import mix, shingle_sets
 
@@ -48,6 +48,8 @@ LOOKS_SIMILAR, SIMILAR = 0.62, 0.68
 BLOCK = 256
 #: The first round looks at so many bands and takes so many best candidates of each node; the last takes all that are left.
 FIRST_BANDS, BEST = 16, 4
+#: Texts signed in one go, however short; bounds the signatures a worker holds.
+SIGNED = 1024
 _SET_ROWS = 1024
 
 
@@ -80,7 +82,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (large.slice(at, SIGNED) for large in lean(batches) for at in range(0, large.num_rows, SIGNED)):
         text = batch.column(batch.num_columns - 1)
         counts, digests, signatures, full = [], [], [], []
         for shingles in shingle_sets(text):
@@ -133,7 +135,7 @@ def _cells(column: pa.ListArray) -> tuple[np.ndarray, ...]:
 def _alike(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of different groups within two blocks of a bucket that look similar; of each node the best ones, or all."""
     limit = LOOKS_SIMILAR if best else SIMILAR
-    for batch in batches:
+    for batch in lean(batches):
         if not batch.num_rows:
             continue
         cells = {name: _cells(batch.column(name)) for name in batch.schema.names if name != "key"}
@@ -170,7 +172,7 @@ def _alike(batches: Iterator[pa.RecordBatch], best: bool) -> Iterator[pa.RecordB
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose full shingle sets share ``percent`` of their union; rows come sorted by u."""
     seen, kept = None, None
-    for batch in batches:
+    for batch in lean(batches):
         us, vs = batch.column("u").to_pylist(), batch.column("v").to_pylist()
         out_u, out_v = [], []
         for i, (u, v, other) in enumerate(zip(us, vs, shingle_sets(batch.column("text_v")))):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paritas.llm.common import Workspace, ship, slices
+from paritas.llm.common import Workspace, lean, release, ship, slices
 from paritas.llm.shingles import SLICE_BYTES, as_bytes, mix, word_hashes
 
 BUCKETS = 1 << 16
@@ -69,7 +69,7 @@ def _grams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-grams per bucket, of all texts and of those labelled good, of this partition."""
     raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for batch in batches:
+    for batch in lean(batches):
         is_good = np.asarray(batch.column("quality").fill_null(0)) == 1
         for a, _, owner, bucket in _grams(batch.column("text")):
             raw += np.bincount(bucket, minlength=BUCKETS)
@@ -129,6 +129,7 @@ class Resampler:
         @F.arrow_udf("struct<score: double, n_grams: bigint>")
         def scored(texts: pa.Array) -> pa.Array:
             score, count = _score(texts, ratio)
+            release()
             return pa.StructArray.from_arrays([pa.array(score), pa.array(count)], names=["score", "n_grams"])
 
         return scored(text)

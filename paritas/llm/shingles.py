@@ -47,6 +47,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse; a worker holds one table for all texts of a slice."""
+    return _powers(1 << max(20, int(n - 1).bit_length()))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(33))
@@ -93,7 +98,7 @@ def word_hashes(
     bounds = np.searchsorted(starts, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), bounds
-    up, down = _powers(1 << max(20, int(n - 1).bit_length()))
+    up, down = powers(n)
     values = _byte_values()[data] * up[:n]
     return mix(np.add.reduceat(values, starts) * down[starts]), bounds
 
@@ -138,5 +143,5 @@ def token_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     bounds = np.searchsorted(starts, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), bounds, starts
-    up, down = _powers(1 << max(20, int(n - 1).bit_length()))
+    up, down = powers(n)
     return mix(np.add.reduceat(_byte_values()[data] * up[:n], starts) * down[starts]), bounds, starts
